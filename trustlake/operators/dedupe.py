@@ -10,12 +10,19 @@ from pyspark.sql import functions as F
 COPIES = "_copies"
 
 
-def dedupe(df: DataFrame, key: Sequence[str], order: Sequence[str] = (), copies: str | None = None) -> DataFrame:
+def dedupe(
+    df: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str] = (),
+    copies: str | None = None,
+    null_keys: bool = True,
+) -> DataFrame:
     """Keep, per key, the row that is largest by ``order`` and then by every other column.
 
     An aggregate rather than a ranked window: copies are folded on the map side, so a key that holds a large part of
     the table never travels to one task row by row. Rows without a key are no copies of each other; all are kept.
-    ``copies`` names a column that receives how many rows were folded into the kept one.
+    ``copies`` names a column that receives how many rows were folded into the kept one. A caller that has already set
+    the keyless rows aside says ``null_keys=False`` and saves the second read of ``df``.
     """
     unknown = sorted(set(key).union(order) - set(df.columns))
     if unknown:
@@ -26,15 +33,17 @@ def dedupe(df: DataFrame, key: Sequence[str], order: Sequence[str] = (), copies:
     largest = F.max(F.struct(*ranked) if ranked else F.struct(F.lit(1)))
     keyless = " OR ".join(f"`{k}` IS NULL" for k in key)
 
+    keyed = df.filter(f"NOT ({keyless})") if null_keys else df
     kept = (
-        df.filter(f"NOT ({keyless})")
-        .groupBy(*key)
+        keyed.groupBy(*key)
         .agg(largest.alias("_row"), F.count(F.lit(1)).alias(COPIES))
         .select(
             *(F.col(c) if c in key else F.col("_row").getField(c).alias(c) for c in df.columns),
             *([F.col(COPIES).alias(copies)] if copies else []),
         )
     )
+    if not null_keys:
+        return kept
     without_key = df.filter(keyless)
     if copies:
         without_key = without_key.withColumn(copies, F.lit(1).cast("long"))

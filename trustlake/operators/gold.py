@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trustlake.functions.measures import days_between, logistic_score, money_avg, money_sum, month_of, ratio
 from trustlake.operators.bounded import bounded_lookup
 from trustlake.operators.selection import DIRECT_LIMIT, group_quantile
+from trustlake.session import lineage_cut
 
 CATEGORICAL = ("product", "region", "channel")
 NUMERIC = (
@@ -111,8 +112,13 @@ def claim_features(records: DataFrame, medians: DataFrame, on_unknown: str = "ra
             raise ValueError(f"No median for product(s) {sorted(map(str, strangers))}: the model has not seen them")
     elif on_unknown != "keep":
         raise ValueError(f"on_unknown must be raise or keep, got {on_unknown!r}")
+    return feature_columns(with_group_statistic(records, medians), keep)
+
+
+def feature_columns(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The feature projection of records that already carry the median of their product."""
     labels = [TARGET] if TARGET in records.columns else []
-    return with_group_statistic(records, medians).select(
+    return records.select(
         "claim_id",
         *CATEGORICAL,
         "customer_age",
@@ -135,7 +141,8 @@ def claim_records(claims: DataFrame, policies: DataFrame) -> DataFrame:
 def fraud_features(claims: DataFrame, policies: DataFrame, direct_limit: int = DIRECT_LIMIT) -> DataFrame:
     """The training table: every claim of a known policy, relative to the median over all of them."""
     records = claim_records(claims, policies)
-    medians = group_medians(records, direct_limit=direct_limit)
+    # the statistic needs several passes over two columns of the join: store those two, not the whole join
+    medians = group_medians(lineage_cut(records.select("product", "claim_amount")), direct_limit=direct_limit)
     return claim_features(records, medians, on_unknown="keep")
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trustlake.operators.rules import is_valid
+
 
 def mark_existing(df: DataFrame, known: DataFrame, on: str, flag: str) -> DataFrame:
     """Keep every row and add whether its key occurs in ``known`` (whose keys must be unique).
@@ -52,17 +54,11 @@ def reconcile(left: DataFrame, right: DataFrame, key: Sequence[str], columns: Se
     return counts.select(F.inline(F.array(*lines)), "compared", "only_left", "only_right")
 
 
-def conservation(source: DataFrame, key: str, valid: DataFrame, quarantine: DataFrame) -> DataFrame:
+def conservation(source: DataFrame, key: str, checked: DataFrame) -> DataFrame:
     """Nothing is lost: distinct keys of the source equal good plus bad rows. One row with both sides of the equation."""
-    parts = [
-        (source, F.count_distinct(key), "distinct_keys"),
-        (valid, F.count(F.lit(1)), "valid_rows"),
-        (quarantine, F.count(F.lit(1)), "quarantined_rows"),
-    ]
-    names = [name for _, _, name in parts]
-    stacked = None
-    for frame, measure, name in parts:
-        line = frame.agg(measure.alias("n")).select(*(F.col("n").alias(n) if n == name else F.lit(0).cast("long").alias(n) for n in names))
-        stacked = line if stacked is None else stacked.union(line)
-    total = stacked.agg(*(F.sum(n).alias(n) for n in names))
-    return total.withColumn("conserved", F.col("distinct_keys") == F.col("valid_rows") + F.col("quarantined_rows"))
+    keys = source.agg(F.count_distinct(key).alias("distinct_keys")).withColumn("_one", F.lit(1))
+    outcomes = checked.agg(
+        F.count_if(is_valid()).alias("valid_rows"), F.count_if(~is_valid()).alias("quarantined_rows")
+    ).withColumn("_one", F.lit(1))
+    both = keys.join(outcomes, "_one").drop("_one")
+    return both.withColumn("conserved", F.col("distinct_keys") == F.col("valid_rows") + F.col("quarantined_rows"))

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from trustlake.functions.cleaning import Clean, clean
 from trustlake.operators.dedupe import COPIES, dedupe
@@ -34,12 +35,24 @@ class Dataset:
 
     @property
     def raw_columns(self) -> list[str]:
-        return [c.source or c.name for c in self.columns]
+        return [c.raw for c in self.columns]
+
+
+def one_row_per_key(spec: Dataset, bronze: DataFrame) -> DataFrame:
+    """Typed rows, deduplicated, with the number of raw rows each stands for."""
+    keys = [c for c in spec.columns if c.name in spec.key]
+    if not all(c.keeps_nulls for c in keys):
+        return dedupe(clean(bronze, spec.columns), spec.key, spec.order, copies=COPIES)
+    # a raw column can be tested for NULL in the scan itself, so the read for keyless rows skips whole row groups
+    keyless = " OR ".join(f"`{c.raw}` IS NULL" for c in keys)
+    keyed = clean(bronze.filter(f"NOT ({keyless})"), spec.columns)
+    others = clean(bronze.filter(keyless), spec.columns).withColumn(COPIES, F.lit(1).cast("long"))
+    return dedupe(keyed, spec.key, spec.order, copies=COPIES, null_keys=False).unionByName(others)
 
 
 def check(spec: Dataset, bronze: DataFrame, known: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Typed, one row per key, every row with its broken rules and the number of raw rows it stands for."""
-    rows = dedupe(clean(bronze, spec.columns), spec.key, spec.order, copies=COPIES)
+    rows = one_row_per_key(spec, bronze)
     for reference in spec.references:
         rows = mark_existing(rows, known[reference.dataset], reference.on, reference.flag)
     return apply_rules(rows, spec.rules).drop(*(r.flag for r in spec.references))
