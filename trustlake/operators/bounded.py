@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 MAX_LOOKUP_ROWS = 10_000
 
@@ -17,3 +22,10 @@ def bounded_lookup(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
     if head.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
+
+
+def few_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A handful of driver-side rows as a local table that needs no Python worker."""
+    schema = StructType.fromDDL(ddl)
+    columns = [pa.array([row[i] for row in rows], field.type) for i, field in enumerate(to_arrow_schema(schema))]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema.names), schema).coalesce(1)

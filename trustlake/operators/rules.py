@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Row
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 FAILED = "_failed_rules"
@@ -95,22 +95,10 @@ class Ledger:
             "duplicates_removed": self.duplicates_removed,
         }
 
-    def rows(self, run_id: str) -> list[Row]:
+    def rows(self, run_id: str) -> list[tuple]:
         """One row per rule, for the report table."""
-        return [
-            Row(
-                run_id=run_id,
-                dataset=self.dataset,
-                rule=rule,
-                failed_rows=failed,
-                total_rows=self.total_rows,
-                valid_rows=self.valid_rows,
-                quarantined_rows=self.quarantined_rows,
-                quarantine_rate=self.quarantine_rate,
-                duplicates_removed=self.duplicates_removed,
-            )
-            for rule, failed in self.failures_by_rule.items()
-        ]
+        totals = (self.total_rows, self.valid_rows, self.quarantined_rows, self.quarantine_rate, self.duplicates_removed)
+        return [(run_id, self.dataset, rule, failed, *totals) for rule, failed in self.failures_by_rule.items()]
 
 
 REPORT_SCHEMA = (

@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trustlake.operators.bounded import few_rows
 from trustlake.operators.dedupe import COPIES
 from trustlake.operators.gold import claims_monthly, fraud_features
 from trustlake.operators.rules import (
@@ -63,7 +64,7 @@ def check_all(layers: Layers, specs: Sequence[Dataset], run_id: str) -> Outcome:
 
 def save_report(layers: Layers, outcome: Outcome, spark: SparkSession) -> None:
     rows = [row for ledger in outcome.ledgers.values() for row in ledger.rows(outcome.run_id)]
-    layers.append(spark.createDataFrame(rows, REPORT_SCHEMA), "reports", "quality")
+    layers.append(few_rows(spark, rows, REPORT_SCHEMA), "reports", "quality")
 
 
 def publish_silver(layers: Layers, outcome: Outcome, specs: Sequence[Dataset], limit: float) -> None:

@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustlake.functions.hashing import chosen
 from trustlake.operators.defects import Defect, claim_defects, inject, inject_duplicates
+from trustlake.operators.bounded import few_rows
 from trustlake.operators.dedupe import COPIES
 from trustlake.operators.rules import (
     FAILED,
@@ -26,7 +26,6 @@ from trustlake.queries.bindings import (
     CHECKED_CLAIMS,
     CHECKED_POLICIES,
     checked_claims,
-    day,
     failed_sql,
     half_up,
     hit_sql,
@@ -154,7 +153,7 @@ def s9_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     observed, counts = observe_ledger(checked_lines(spark, sf_dir), LINE_RULES, COPIES)
     lake.stage(observed.drop(COPIES), "lines")
     ledger = Ledger.from_counts("lines", counts.get, LINE_RULES)
-    lake.append(spark.createDataFrame(ledger.rows("run"), REPORT_SCHEMA), "reports", "quality")
+    lake.append(few_rows(spark, ledger.rows("run"), REPORT_SCHEMA), "reports", "quality")
     return lake.read_appended("reports", "quality").drop("run_id")
 
 
@@ -317,5 +316,3 @@ def r2_stream_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("event_id", "user_id", "value", "event_type")
     return good.select(*columns, F.lit("").alias("failed_rules")).unionByName(bad.select(*columns, reasons()))
 
-
-__all__ = ["chosen", "day"]

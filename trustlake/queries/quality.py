@@ -548,5 +548,3 @@ def f2_days_between(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min(days).alias("least_days"), F.max(days).alias("most_days")
     )
 
-
-__all__ = ["ALL_CLAIM_RULES", "BOUND_RULES", "POLICY_RULES", "features", "requests", "risk"]

@@ -11,6 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trustlake.operators.bounded import few_rows
 from trustlake.operators.models import Trained
 from trustlake.operators.scoring import Scorer
 
@@ -27,13 +28,13 @@ class ModelRegistry:
     def __init__(self, spark: SparkSession, base: str) -> None:
         self.spark = spark
         self.base = base.rstrip("/")
+        for table, schema in (("runs", RUN_SCHEMA), ("versions", VERSION_SCHEMA)):
+            few_rows(spark, [], schema).write.mode("ignore").json(f"{self.base}/{table}")
 
     def _append(self, table: str, schema: str, row: tuple) -> None:
-        self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").json(f"{self.base}/{table}")
+        few_rows(self.spark, [row], schema).write.mode("append").json(f"{self.base}/{table}")
 
     def _table(self, table: str, schema: str) -> DataFrame:
-        # an empty append creates the folder on first use
-        self.spark.createDataFrame([], schema).write.mode("append").json(f"{self.base}/{table}")
         return self.spark.read.schema(schema).json(f"{self.base}/{table}")
 
     def runs(self) -> DataFrame:
@@ -58,7 +59,7 @@ class ModelRegistry:
             float(review_rate),
             int(trained.n_train),
             int(trained.n_test),
-            {k: float(v) for k, v in trained.metrics.items()},
+            [(k, float(v)) for k, v in trained.metrics.items()],
             json.dumps(dict(params), sort_keys=True),
             int(trained.fingerprint.get("rows", 0)),
             str(trained.fingerprint.get("checksum", "")),

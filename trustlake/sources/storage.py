@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from trustlake.operators.bounded import few_rows
 from trustlake.operators.rules import FAILED, is_valid
 
 OUTCOME = "_outcome"
@@ -115,6 +117,8 @@ class Snapshots:
         self.spark = spark
         self.base = base.rstrip("/")
         self._log = f"{self.base}/_versions"
+        # create the log unless there is one
+        few_rows(spark, [], LOG_SCHEMA).write.mode("ignore").json(self._log)
 
     # -- plain layers --
 
@@ -138,7 +142,7 @@ class Snapshots:
         entry = entries.orderBy(F.desc("version")).limit(1).first()
         if entry is None:
             raise LookupError(f"no such table or version: {layer}.{name} {'' if version is None else version}".rstrip())
-        schema = StructType.fromJson(_json(entry["columns"]))
+        schema = StructType.fromJson(json.loads(entry["columns"]))
         frame = self.spark.read.schema(schema).parquet(entry["path"])
         if entry["outcome"]:
             return Staged(name, entry["path"], schema).pick(frame, entry["outcome"])
@@ -173,14 +177,11 @@ class Snapshots:
         return self.spark.read.schema(LOG_SCHEMA).json(self._log)
 
     def _record(self, layer: str, name: str, path: str, outcome: str, schema: StructType, run_id: str) -> int:
-        # an empty append creates the log folder on first use
-        nothing = self.spark.createDataFrame([], LOG_SCHEMA)
-        nothing.write.mode("append").json(self._log)
         last = self.history(layer, name).agg(F.max("version")).first()[0]
         version = 0 if last is None else last + 1
         written_at = datetime.now(UTC).isoformat()
         row = (layer, name, version, path, outcome, schema.json(), run_id, written_at)
-        self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").json(self._log)
+        few_rows(self.spark, [row], LOG_SCHEMA).write.mode("append").json(self._log)
         return version
 
 
@@ -220,9 +221,3 @@ class CatalogLayers:
             self.spark.sql(
                 f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM {handle.target} WHERE {OUTCOME} = '{outcome}'"
             )
-
-
-def _json(text: str) -> dict:
-    import json
-
-    return json.loads(text)
