@@ -106,13 +106,14 @@ def claim_features(records: DataFrame, medians: DataFrame, on_unknown: str = "ra
     The same code serves training (``medians`` computed from the data) and scoring (``medians`` loaded with the model).
     ``on_unknown``: ``raise`` refuses products without a median, ``keep`` leaves their ratio NULL.
     """
+    known = bounded_lookup(medians)
     if on_unknown == "raise":
-        strangers = [row[0] for row in unknown_groups(records, medians).limit(20).collect()]
+        strangers = [row[0] for row in unknown_groups(records, known).limit(20).collect()]
         if strangers:
             raise ValueError(f"No median for product(s) {sorted(map(str, strangers))}: the model has not seen them")
     elif on_unknown != "keep":
         raise ValueError(f"on_unknown must be raise or keep, got {on_unknown!r}")
-    return feature_columns(with_group_statistic(records, medians), keep)
+    return feature_columns(with_group_statistic(records, known), keep)
 
 
 def feature_columns(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

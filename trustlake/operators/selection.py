@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trustlake.functions.hashing import keyed_hash
+from trustlake.functions.hashing import chosen, keyed_hash
 from trustlake.operators.bounded import bounded_lookup
 from trustlake.session import lineage_cut
 
-# Up to this many values per group, Spark's own exact percentile (which holds a group's distinct values in memory) is
-# the cheapest way.
-DIRECT_LIMIT = 1_000_000
+# Up to this many values per group, Spark's own exact percentile is the cheapest way. It holds a group's distinct values
+# in memory, and those of up to 128 groups at once.
+DIRECT_LIMIT = 200_000
+# A sketch of this accuracy takes a few megabytes per group and leaves a ten-thousandth of the values in the bracket.
+MAX_ACCURACY = 100_000
 # The bracket around the wanted rank is this many sketch errors wide on each side.
 BRACKET_ERRORS = 5
 HASH_PREFIX = 4
@@ -41,7 +43,7 @@ def group_quantile(
         return _direct(rows, groups, q, out)
 
     large = sizes.filter(F.col("_n") > direct_limit)
-    accuracy = max(10_000, min(1_000_000, largest // 100_000))
+    accuracy = max(10_000, min(MAX_ACCURACY, largest // 10_000))
     margin = BRACKET_ERRORS / accuracy
     around = F.percentile_approx("_v", [max(q - margin, 0.0), min(q + margin, 1.0)], accuracy)
     sketch = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), around.alias("_b"))
@@ -150,6 +152,4 @@ def stratified_split(
 
 def hash_split(df: DataFrame, key: str, test_size: float = 0.2, seed: object = 42, out: str = "is_test") -> DataFrame:
     """The narrow variant: about ``test_size`` of the keys, decided row by row without any shuffle."""
-    from trustlake.functions.hashing import chosen
-
     return df.withColumn(out, chosen(seed, test_size, key))

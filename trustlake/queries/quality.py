@@ -15,7 +15,6 @@ from trustlake.operators.rules import (
     CLAIM_RULES,
     FAILED,
     KEY_PRESENT,
-    POLICY_RULES,
     Rule,
     apply_rules,
     failures_by_rule,
