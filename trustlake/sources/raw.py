@@ -33,5 +33,6 @@ def with_lineage(df: DataFrame) -> DataFrame:
 
 
 def write_raw(df: DataFrame, path: str) -> None:
-    """Delimited text that ``read_raw`` reads back unchanged."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Delimited text that ``read_raw`` reads back unchanged (except that empty text becomes NULL)."""
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
