@@ -48,8 +48,6 @@ def test_clean_is_one_projection_with_defaults_and_blanks(spark):
         ("", "unknown", None),
         ("unknown", "unknown", None),
     ]
-    assert columns[0].keeps_nulls is False
-    assert Clean("a").keeps_nulls is True
 
 
 def test_trim_strips_spaces_only(spark):

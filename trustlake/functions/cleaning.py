@@ -47,11 +47,6 @@ class Clean:
     def raw(self) -> str:
         return self.source or self.name
 
-    @property
-    def keeps_nulls(self) -> bool:
-        """The cleaned value is NULL exactly where the raw one is."""
-        return self.kind in ("text", "folded") and self.default is None and not self.blank_is_null
-
     def column(self) -> Column:
         raw = F.col(self.raw)
         if self.blank_is_null:

@@ -19,6 +19,7 @@ from trustlake.functions.keywords import (
     stripped,
 )
 from trustlake.operators.rules import FAILED, Rule, apply_rules, member_of
+from trustlake.session import lineage_cut
 
 FIELDS = ("damage_type", "urgency", "injury_mentioned", "third_party_involved")
 FLAGS = ("injury_mentioned", "third_party_involved")
@@ -135,8 +136,10 @@ def first_valid_answers(
     before it is shuffled.
     """
     fields = [*FIELDS, "summary"]
-    read = read_answers(answers.filter(F.col("attempt") <= attempts)).filter(F.size(FAILED) == 0)
-    best = read.groupBy(on).agg(F.min(F.struct("attempt", *fields)).alias("_best"))
+    read = read_answers(answers.filter(F.col("attempt") <= attempts))
+    # a condition inside the aggregate, not a filter: a filter would be pushed below the parsing and repeat it per rule
+    valid = F.when(F.size(FAILED) == 0, F.struct("attempt", *fields))
+    best = read.groupBy(on).agg(F.min(valid).alias("_best"))
     joined = keys.select(on).join(best, on, "left")
     missing = F.col("_best").isNull()
     fallback = {
@@ -167,16 +170,20 @@ def extract_distinct(
 ) -> tuple[DataFrame, DataFrame]:
     """Read each distinct text once, skipping those in ``cache``.
 
-    Returns (extraction per text_key, rows to append to the cache). Fallbacks are not worth remembering: a text that
-    could not be read is tried again next time.
+    Returns (extraction per text_key, rows to append to the cache). What was read is stored at once, so that no use of
+    the two results runs the extractor again. Fallbacks are not worth remembering: a text that could not be read is
+    tried again next time.
     """
     texts = distinct_texts(df, text)
+    if cache is not None:
+        texts = texts.join(cache.select(KEY), KEY, "left_anti")
+    fresh = lineage_cut(extractor(texts).select(KEY, *EXTRACTION))
+    remember = fresh.filter(~F.col("needs_manual_review"))
     if cache is None:
-        found = extractor(texts)
-        return found, found.filter(~F.col("needs_manual_review"))
-    fresh = extractor(texts.join(cache.select(KEY), KEY, "left_anti"))
-    known = cache.join(texts.select(KEY), KEY, "left_semi").select(KEY, *EXTRACTION)
-    return known.unionByName(fresh), fresh.filter(~F.col("needs_manual_review"))
+        return fresh, remember
+    wanted = df.select(text_key(text).alias(KEY))
+    known = cache.join(wanted, KEY, "left_semi").select(KEY, *EXTRACTION)
+    return known.unionByName(fresh), remember
 
 
 def attach(df: DataFrame, text: str, extractions: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from trustlake.functions.hashing import chosen, share_cut
 from trustlake.operators.defects import inject_duplicates
 from trustlake.operators.rules import CLAIM_RULES, KEY_PRESENT, POLICY_RULES, Rule, split_valid
 from trustlake.plans.datasets import CLAIMS, POLICIES, check
+from trustlake.session import lineage_cut
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -145,8 +146,11 @@ def checked_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check(CLAIMS, raw_claims(spark, sf_dir), {"policies": valid_policies(spark, sf_dir)})
 
 
-def valid_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_valid(checked_claims(spark, sf_dir))[0].drop("_copies")
+def silver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Valid claims and policies, each computed and stored once, as the silver layer is."""
+    policies = lineage_cut(valid_policies(spark, sf_dir))
+    checked = check(CLAIMS, raw_claims(spark, sf_dir), {"policies": policies})
+    return lineage_cut(split_valid(checked)[0].drop("_copies")), policies
 
 
 CLEAN_POLICIES = f"""{RAW_POLICIES},

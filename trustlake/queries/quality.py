@@ -43,14 +43,13 @@ from trustlake.queries.bindings import (
     raw_claims,
     raw_policies,
     round_sql,
+    silver,
     table,
     text_dates_sql,
-    valid_claims,
     valid_policies,
     with_text_dates,
 )
 from trustlake.queries.catalogue import query
-from trustlake.session import lineage_cut
 
 POLICY_COLUMNS = ("policy_id", "product", "region", "customer_age", "start_date", "end_date", "annual_premium")
 POLICY_DATES = ("start_date", "end_date")
@@ -155,7 +154,7 @@ def p5_apply_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("p6_valid", f"WITH {CHECKED_CLAIMS} SELECT {CLAIM_SELECT} FROM claims")
 def p6_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_text_dates(valid_claims(spark, sf_dir))
+    return with_text_dates(split_valid(checked_claims(spark, sf_dir))[0].drop(COPIES))
 
 
 @query(
@@ -220,7 +219,7 @@ def j1_existence_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{text_dates_sql(POLICY_DATES, POLICY_DATES)}, annual_premium FROM records",
 )
 def j3_claim_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_text_dates(gold.claim_records(valid_claims(spark, sf_dir), valid_policies(spark, sf_dir)))
+    return with_text_dates(gold.claim_records(*silver(spark, sf_dir)))
 
 
 def changed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,7 +302,7 @@ avg_amount, fraud_rate FROM monthly"""
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.claims_monthly(valid_claims(spark, sf_dir), valid_policies(spark, sf_dir))
+    return gold.claims_monthly(*silver(spark, sf_dir))
 
 
 @query("a2_monthly", MONTHLY_SQL)
@@ -378,7 +377,7 @@ def a6_group_median_large(spark: SparkSession, sf_dir: str) -> DataFrame:
            {half_up("cents", "n * 100", 0)} AS avg_amount FROM g""",
 )
 def a7_rate_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.rate_by_group(gold.claim_records(valid_claims(spark, sf_dir), valid_policies(spark, sf_dir)))
+    return gold.rate_by_group(gold.claim_records(*silver(spark, sf_dir)))
 
 
 @query(
@@ -418,11 +417,6 @@ def a10_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- features ----------------------------------------------------------------------------------------------------
 
 
-def silver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Valid claims and policies, stored once as a silver layer would be."""
-    return lineage_cut(valid_claims(spark, sf_dir)), lineage_cut(valid_policies(spark, sf_dir))
-
-
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fraud_features(*silver(spark, sf_dir))
 
