@@ -12,6 +12,7 @@ from trustlake.operators.extraction import (
     KEY,
     attach,
     batch_extractor,
+    choose_extractor,
     compare_with_labels,
     extract_distinct,
     extraction_accuracy,
@@ -205,6 +206,17 @@ def test_batch_extractor_runs_a_users_function(spark):
     assert sorted((r.summary, r.extractor) for r in readings.collect()) == [("A", "shout"), ("B", "shout")]
 
 
+def test_settings_choose_the_extractor(spark):
+    texts = spark.createDataFrame([("k", "fire")], f"{KEY} string, text string")
+    assert choose_extractor({})(texts).first().extractor == "fake"
+    assert choose_extractor({"model": "m"})(texts).first().extractor == "fake"
+
+    def read_batch(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({KEY: frame[KEY], **{f: None for f in FIELDS}, "summary": "s"})
+
+    assert choose_extractor({"model": "m"}, read_batch)(texts).first().extractor == "llm:m"
+
+
 def test_triage_keeps_a_score_without_extraction(spark):
     scored = spark.createDataFrame([("C1", 0.5), ("C2", 0.6)], "claim_id string, fraud_score double")
     described = spark.createDataFrame([("C1", "Stolen phone")], "claim_id string, text string")

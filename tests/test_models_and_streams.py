@@ -23,7 +23,7 @@ from trustlake.plans.training import run_all, train_and_register
 from trustlake.sources.logs import append_log, extraction_log, prediction_log
 from trustlake.sources.registry import ModelRegistry, champion, parse_uri
 from trustlake.sources.storage import Snapshots
-from trustlake.streaming.jobs import read_checked, stream_quality, stream_score
+from trustlake.streaming.jobs import read_checked, read_scored, stream_quality, stream_score
 
 QUICK = {"logistic_regression": {"max_iter": 30}, "gradient_boosting": {"max_iter": 5}}
 REGIONS = ("North", "South")
@@ -248,17 +248,23 @@ def test_log_records(spark, data, scorer, tmp_path):
 
 def test_stream_scores_equal_batch_scores(spark, data, scorer, tmp_path):
     wanted = requests_of(data[0])
+    wanted = wanted.withColumn("product", F.when(F.col("customer_age") == 30, "pet").otherwise(F.col("product")))
     arriving, target, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
     wanted.repartition(3).write.parquet(arriving)
 
     def run():
         stream = spark.readStream.schema(wanted.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
         stream_score(stream, scorer, target, offsets).awaitTermination()
-        return spark.read.parquet(target)
-
-    batch = score_batch(wanted, scorer)[0]
-    assert run().exceptAll(batch).count() == 0
-    assert run().count() == batch.count() == 3000
+        return read_scored(spark, target)
+
+    batch, refused = score_batch(wanted, scorer)
+    scored, rejected = run()
+    assert scored.exceptAll(batch).count() == 0
+    assert rejected.select("claim_id", FAILED).exceptAll(refused.select("claim_id", FAILED)).count() == 0
+    assert (scored.count(), rejected.count()) == (batch.count(), refused.count())
+    assert rejected.count() > 0
+    # nothing new has arrived
+    assert run()[0].count() == batch.count()
 
 
 RULES = (Rule("value_present", "value IS NOT NULL"), Rule("value_positive", "value IS NULL OR value > 0"))

@@ -56,6 +56,14 @@ def test_csv_text_is_not_interpreted(spark, tmp_path):
     assert [tuple(r) for r in frame.collect()][:2] == [("001", None), (None, "1,5")]
 
 
+def test_a_wrong_header_is_noticed(spark, tmp_path):
+    file = tmp_path / "x.csv"
+    file.write_text("a,b\n1,2\n")
+    assert read_raw(spark, str(file), ["a", "b"]).count() == 1
+    with pytest.raises(Exception, match="header"):
+        read_raw(spark, str(file), ["b", "a"]).collect()
+
+
 def test_path_storage_overwrites_and_replaces_the_schema(spark, folder):
     storage = Storage("path", folder)
     storage.write(spark.range(5), "silver", "t")

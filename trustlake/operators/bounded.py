@@ -29,3 +29,11 @@ def few_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
     schema = StructType.fromDDL(ddl)
     columns = [pa.array([row[i] for row in rows], field.type) for i, field in enumerate(to_arrow_schema(schema))]
     return spark.createDataFrame(pa.Table.from_arrays(columns, schema.names), schema).coalesce(1)
+
+
+def side_by_side(*frames: DataFrame) -> DataFrame:
+    """One-row frames with different columns as one row: stacked and folded, so that no join is needed."""
+    stacked = frames[0]
+    for frame in frames[1:]:
+        stacked = stacked.unionByName(frame, allowMissingColumns=True)
+    return stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))

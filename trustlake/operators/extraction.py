@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,6 +81,12 @@ def batch_extractor(name: str, read_batch: Callable) -> Extractor:
     return extract
 
 
+def choose_extractor(settings: Mapping[str, str], read_batch: Callable | None = None) -> Extractor:
+    """The user's own reader if the settings name a model and one is given, otherwise the keyword rules."""
+    model = settings.get("model", "").strip()
+    return batch_extractor(f"llm:{model}", read_batch) if model and read_batch is not None else keyword_extractor()
+
+
 # --- answers of a model ------------------------------------------------------------------------------------------
 
 ANSWER_RULES = (

@@ -8,7 +8,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trustlake.operators.bounded import bounded_lookup
+from trustlake.operators.bounded import bounded_lookup, side_by_side
 from trustlake.operators.selection import group_quantile
 from trustlake.session import lineage_cut
 
@@ -126,9 +126,8 @@ def evaluate(df: DataFrame, score: str, label: str, threshold: float, digits: in
     """All metrics of one scored table at one threshold, rounded; one row."""
     flagged = df.withColumn("_flag", F.col(score) >= F.lit(threshold))
     both = ranking_metrics(df, score, label).withColumnRenamed("average_precision", "pr_auc")
-    # two one-row frames side by side
-    pair = both.withColumn("_one", F.lit(1)).join(flag_metrics(flagged, "_flag", label).withColumn("_one", F.lit(1)), "_one")
-    return pair.select(*(F.round(c, digits).alias(c) for c in pair.columns if c != "_one"))
+    pair = side_by_side(both, flag_metrics(flagged, "_flag", label))
+    return pair.select(*(F.round(c, digits).alias(c) for c in pair.columns))
 
 
 def review_threshold(df: DataFrame, score: str, review_rate: float) -> float:

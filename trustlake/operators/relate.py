@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trustlake.operators.bounded import side_by_side
 from trustlake.operators.rules import is_valid
 
 
@@ -56,9 +57,9 @@ def reconcile(left: DataFrame, right: DataFrame, key: Sequence[str], columns: Se
 
 def conservation(source: DataFrame, key: str, checked: DataFrame) -> DataFrame:
     """Nothing is lost: distinct keys of the source equal good plus bad rows. One row with both sides of the equation."""
-    keys = source.agg(F.count_distinct(key).alias("distinct_keys")).withColumn("_one", F.lit(1))
+    keys = source.agg(F.count_distinct(key).alias("distinct_keys"))
     outcomes = checked.agg(
         F.count_if(is_valid()).alias("valid_rows"), F.count_if(~is_valid()).alias("quarantined_rows")
-    ).withColumn("_one", F.lit(1))
-    both = keys.join(outcomes, "_one").drop("_one")
+    )
+    both = side_by_side(keys, outcomes)
     return both.withColumn("conserved", F.col("distinct_keys") == F.col("valid_rows") + F.col("quarantined_rows"))

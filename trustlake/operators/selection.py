@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,15 +80,17 @@ def _semi(rows: DataFrame, wanted: DataFrame, groups: list[str]) -> DataFrame:
 def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
     """Equi-join in which a missing group name is a name of its own."""
     renamed = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
-    condition = F.lit(True)
-    for c in on:
-        condition = condition & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
+    condition = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on))
     return left.join(renamed, condition, how).drop(*(f"_on_{c}" for c in on))
 
 
 def _inside_bracket(rows: DataFrame, groups: list[str], bracket: DataFrame, q: float, out: str) -> DataFrame:
     """Rank the values of ``[_lo, _hi]``; everything smaller is only counted. NULL where the bracket misses."""
-    joined = _null_safe_join(rows, bracket, groups, "inner")
+    if groups:
+        joined = _null_safe_join(rows, bracket, groups, "inner")
+    else:
+        only = bracket.first()
+        joined = rows.withColumns({c: F.lit(only[c]) for c in bracket.columns})
     # one aggregate: a NULL value stands for all values below the bracket
     pool = (
         joined.filter(F.col("_v") <= F.col("_hi"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustlake.functions.hashing import HASH_DIGITS, keyed_hash
+from trustlake.operators.bounded import few_rows
 from trustlake.operators.metrics import confusion, evaluate, ranking_metrics, review_threshold
 from trustlake.operators.models import (
     DEFAULT_REVIEW_RATE,
@@ -26,7 +27,7 @@ from trustlake.queries.quality import BOUND_RULES, features, requests, risk
 from trustlake.session import lineage_cut, work_dir
 from trustlake.sources.logs import prediction_log
 from trustlake.sources.registry import ModelRegistry, champion
-from trustlake.streaming.jobs import stream_score
+from trustlake.streaming.jobs import read_scored, stream_score
 
 QUICK_PARAMS = {"logistic_regression": {"max_iter": 50}, "gradient_boosting": {"max_iter": 5}}
 REVIEW_RATE = 0.1
@@ -238,8 +239,8 @@ def scorer(spark: SparkSession, sf_dir: str) -> Scorer:
 
 
 def metrics_row(spark: SparkSession, trained: Trained) -> DataFrame:
-    values = {"model_type": trained.name, "n_train": trained.n_train, "n_test": trained.n_test, **trained.metrics}
-    return spark.createDataFrame([tuple(values.values())], list(values))
+    ddl = "model_type string, n_train long, n_test long, " + ", ".join(f"{m} double" for m in trained.metrics)
+    return few_rows(spark, [(trained.name, trained.n_train, trained.n_test, *trained.metrics.values())], ddl)
 
 
 @query("m4_logreg")
@@ -252,6 +253,16 @@ def m5_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics_row(spark, trained_models(spark, sf_dir)["gradient_boosting"])
 
 
+@query("m15_model_comparison")
+def m15_model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every model's metrics on the same held-out rows, and which of them becomes champion."""
+    models = trained_models(spark, sf_dir).values()
+    rows = [metrics_row(spark, m) for m in models]
+    every = rows[0].unionByName(rows[1])
+    best = champion(every.select("model_type", "pr_auc"), "pr_auc").select("model_type", F.lit(True).alias("champion"))
+    return every.join(best, "model_type", "left").withColumn("champion", F.coalesce("champion", F.lit(False)))
+
+
 @query("m10_score_batch")
 def m10_score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_batch(requests(spark, sf_dir), scorer(spark, sf_dir))[0]
@@ -287,7 +298,7 @@ def m11_run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     first, second = fingerprint(orders), fingerprint(orders.repartition(7, "o_custkey"))
-    return spark.createDataFrame([(first["rows"], first == second)], "n long, order_independent boolean")
+    return few_rows(spark, [(first["rows"], first == second)], "n long, order_independent boolean")
 
 
 @query("s10_prediction_log")
@@ -305,4 +316,4 @@ def r1_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = spark.readStream.schema(wanted.schema).option("maxFilesPerTrigger", 100).parquet(arriving)
     job = stream_score(stream, scorer(spark, sf_dir), target, work_dir(spark, "offsets"))
     job.awaitTermination()
-    return spark.read.parquet(target)
+    return read_scored(spark, target)[0]

@@ -18,12 +18,13 @@ def read_raw(
     """Every column as text, nothing inferred; quotes inside a field are doubled.
 
     ``multi_line`` allows line breaks inside quoted fields but makes one task read one file, so switch it off for large
-    files without such fields. Naming the ``columns`` saves the job that reads the header.
+    files without such fields. Naming the ``columns`` saves the job that reads the header; every file's own header is
+    then checked against them.
     """
     reader = spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
     reader = reader.option("multiLine", multi_line)
     if columns is not None:
-        reader = reader.schema(StructType([StructField(c, StringType()) for c in columns]))
+        reader = reader.option("enforceSchema", False).schema(StructType([StructField(c, StringType()) for c in columns]))
     return reader.csv(path)
 
 

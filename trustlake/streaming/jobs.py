@@ -13,15 +13,29 @@ from trustlake.operators.scoring import Scorer, score_batch
 from trustlake.sources.storage import BAD, GOOD, OUTCOME, outcome
 
 BATCH = "batch_id"
+SCORES, REJECTED = "scores", "rejected"
 
 
 def stream_score(
     requests: DataFrame, scorer: Scorer, target: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Score records as they arrive. Stateless; the file sink commits each micro-batch exactly once."""
-    scored, _ = score_batch(requests, scorer)
-    writer = scored.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-    return writer.outputMode("append").trigger(**(trigger or {"availableNow": True})).start()
+    """Score records as they arrive; refused ones are kept with their reasons.
+
+    Stateless. Each micro-batch goes to folders of its own, so a repeated batch overwrites itself.
+    """
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        scored, rejected = score_batch(batch, scorer)
+        for frame, name in ((scored, SCORES), (rejected, REJECTED)):
+            frame.write.mode("overwrite").parquet(f"{target}/{name}/{BATCH}={batch_id}")
+
+    writer = requests.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_scored(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]:
+    """(scores, refused records) of everything ``stream_score`` has written so far."""
+    return tuple(spark.read.parquet(f"{target}/{name}").drop(BATCH) for name in (SCORES, REJECTED))
 
 
 def dedupe_stream(events: DataFrame, key: Sequence[str], event_time: str, delay: str) -> DataFrame:
