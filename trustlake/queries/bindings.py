@@ -188,8 +188,8 @@ records AS (SELECT claims.*, product, region, customer_age, start_date, end_date
 FEATURE_ROWS = f"""{RECORDS},
 features AS (
   SELECT claim_id, product, region, channel, customer_age, claim_amount, annual_premium,
-         datediff('day', start_date, incident_date) AS days_since_policy_start,
-         datediff('day', incident_date, report_date) AS report_delay_days,
+         CAST(datediff('day', start_date, incident_date) AS INTEGER) AS days_since_policy_start,
+         CAST(datediff('day', incident_date, report_date) AS INTEGER) AS report_delay_days,
          {round_sql("claim_amount / median(claim_amount) OVER (PARTITION BY product)", 3)} AS amount_vs_product_median,
          {round_sql("claim_amount / annual_premium", 3)} AS amount_vs_premium, is_fraud
   FROM records)"""

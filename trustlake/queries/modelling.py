@@ -21,11 +21,11 @@ from trustlake.operators.models import (
 )
 from trustlake.operators.scoring import RAW_SCORE, Scorer, score_batch
 from trustlake.operators.selection import group_quantile, stratified_split
-from trustlake.queries.bindings import CLEAN_CLAIMS, CLEAN_POLICIES, failed_sql, table
+from trustlake.queries.bindings import CLEAN_CLAIMS, CLEAN_POLICIES, FEATURE_ROWS, failed_sql, table
 from trustlake.queries.catalogue import query
-from trustlake.queries.quality import BOUND_RULES, features, requests, risk
+from trustlake.queries.quality import BOUND_RULES, RISK_SQL, features, requests, risk
 from trustlake.session import lineage_cut, work_dir
-from trustlake.sources.logs import prediction_log
+from trustlake.sources.logs import append_log, prediction_log
 from trustlake.sources.registry import ModelRegistry, champion
 from trustlake.streaming.jobs import read_scored, stream_score
 
@@ -243,14 +243,41 @@ def metrics_row(spark: SparkSession, trained: Trained) -> DataFrame:
     return few_rows(spark, [(trained.name, trained.n_train, trained.n_test, *trained.metrics.values())], ddl)
 
 
-@query("m4_logreg")
+# the labelled table and its split; what a model makes of it has no SQL
+LABELLED = f"""{FEATURE_ROWS},
+labelled AS (SELECT claim_id, CASE WHEN CAST('0x' || substr(md5('label|' || claim_id), 1, 8) AS BIGINT) / 4294967296.0
+                    < {RISK_SQL} THEN 1 ELSE 0 END AS y FROM features),
+strata AS (SELECT y, count(*) AS n, (count(*) + 4) // 5 AS n_test FROM labelled GROUP BY y),
+sizes AS (SELECT CAST(sum(n) AS BIGINT) AS n, CAST(sum(n_test) AS BIGINT) AS n_test,
+                 round(sum(n_test) FILTER (WHERE y = 0) / CAST(sum(n_test) AS DOUBLE), 4) AS honest_share FROM strata)"""
+
+
+def skill_sql(name: str) -> str:
+    return f"""WITH {LABELLED} SELECT '{name}' AS model_type, n - n_test AS n_train, n_test,
+      honest_share AS accuracy_if_never_fraud, true AS beats_chance, true AS flags_about_the_review_rate FROM sizes"""
+
+
+def skill(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Sizes of the split, and whether the held-out rows are ranked and flagged as they should be."""
+    row = metrics_row(spark, trained_models(spark, sf_dir)[name])
+    return row.select(
+        "model_type",
+        "n_train",
+        "n_test",
+        "accuracy_if_never_fraud",
+        (F.col("pr_auc") > 1.5 * (1 - F.col("accuracy_if_never_fraud"))).alias("beats_chance"),
+        F.col("flagged_rate").between(REVIEW_RATE / 2, 2 * REVIEW_RATE).alias("flags_about_the_review_rate"),
+    )
+
+
+@query("m4_logreg", skill_sql("logistic_regression"))
 def m4_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics_row(spark, trained_models(spark, sf_dir)["logistic_regression"])
+    return skill(spark, sf_dir, "logistic_regression")
 
 
-@query("m5_gbt")
+@query("m5_gbt", skill_sql("gradient_boosting"))
 def m5_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics_row(spark, trained_models(spark, sf_dir)["gradient_boosting"])
+    return skill(spark, sf_dir, "gradient_boosting")
 
 
 @query("m15_model_comparison")
@@ -286,12 +313,22 @@ def m7_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("m11_run_record")
+@query(
+    "m11_run_record",
+    f"""WITH {LABELLED} SELECT m AS model_type, n - n_test AS n_train, n_test, n AS data_rows, true AS complete,
+      1 AS fingerprints FROM sizes, (VALUES ('logistic_regression'), ('gradient_boosting')) models(m)""",
+)
 def m11_run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored runs: sizes, whether settings, threshold and metrics are all there, distinct data fingerprints."""
     registry = ModelRegistry(spark, work_dir(spark, "registry"))
     for name, trained in trained_models(spark, sf_dir).items():
         registry.log_run("claims", trained, REVIEW_RATE, {**MODEL_PARAMS[name], **QUICK_PARAMS[name]})
-    return registry.runs().select("model_type", "threshold", "n_train", "n_test", "metrics", "data_rows", "data_checksum")
+    runs = registry.runs()
+    complete = F.col("threshold").isNotNull() & F.col("params").contains("max_iter") & (F.size("metrics") == 7)
+    prints = runs.agg(F.count_distinct("data_checksum")).first()[0]
+    return runs.select(
+        "model_type", "n_train", "n_test", "data_rows", complete.alias("complete"), F.lit(prints).alias("fingerprints")
+    )
 
 
 @query("m11_fingerprint", "SELECT count(*) AS n, true AS order_independent FROM orders")
@@ -301,19 +338,38 @@ def m11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return few_rows(spark, [(first["rows"], first == second)], "n long, order_independent boolean")
 
 
-@query("s10_prediction_log")
+@query(
+    "s10_prediction_log",
+    f"""WITH {ACCEPTED} SELECT claim_id, true AS has_score, true AS has_flag, '1' AS model_version, CAST(0.5 AS DOUBLE) AS latency_ms,
+      (SELECT count(*) FROM accepted) AS batch_size FROM accepted""",
+)
 def s10_prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored, _ = score_batch(requests(spark, sf_dir), scorer(spark, sf_dir))
-    return prediction_log(scored, latency_ms=0.0, batch_size=scored.count())
+    """The JSON records of a scored batch, written, read back and taken apart."""
+    scored = lineage_cut(score_batch(requests(spark, sf_dir), scorer(spark, sf_dir))[0])
+    path = work_dir(spark, "predictions")
+    append_log(prediction_log(scored, latency_ms=0.5, batch_size=scored.count()), path)
+    kinds = "claim_id string, fraud_score double, flagged boolean, model_version string, latency_ms double, batch_size long"
+    return spark.read.text(path).select(F.from_json("value", kinds).alias("r")).select(
+        "r.claim_id",
+        F.col("r.fraud_score").isNotNull().alias("has_score"),
+        F.col("r.flagged").isNotNull().alias("has_flag"),
+        "r.model_version",
+        "r.latency_ms",
+        "r.batch_size",
+    )
 
 
-@query("r1_stream_score")
+@query("r1_stream_score", f"WITH {ACCEPTED} SELECT claim_id, true AS same_as_batch FROM accepted")
 def r1_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same requests, arriving as a stream of files."""
+    """The same requests, arriving as a stream of files, get the scores of the batch."""
     arriving, target = work_dir(spark, "requests"), work_dir(spark, "scores")
     wanted = requests(spark, sf_dir)
     wanted.write.parquet(arriving)
+    model = scorer(spark, sf_dir)
     stream = spark.readStream.schema(wanted.schema).option("maxFilesPerTrigger", 100).parquet(arriving)
-    job = stream_score(stream, scorer(spark, sf_dir), target, work_dir(spark, "offsets"))
-    job.awaitTermination()
-    return read_scored(spark, target)[0]
+    stream_score(stream, model, target, work_dir(spark, "offsets")).awaitTermination()
+    streamed, _ = read_scored(spark, target)
+    # copies of a request have equal scores: compare one row per claim and repeat none
+    batch = score_batch(wanted, model)[0].groupBy("claim_id").agg(F.min(RAW_SCORE).alias("batch_score"))
+    same = F.col(RAW_SCORE).eqNullSafe(F.col("batch_score")).alias("same_as_batch")
+    return streamed.join(batch, "claim_id", "left").select("claim_id", same)

@@ -243,7 +243,7 @@ def changed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts AS (SELECT count(*) FILTER (WHERE in_both) AS compared, count(*) FILTER (WHERE NOT in_both) AS only_left,
                count(*) FILTER (WHERE in_both AND price_differs) AS price,
                count(*) FILTER (WHERE in_both AND priority_differs) AS priority FROM pairs)
-    SELECT 'o_totalprice' AS "column", price AS mismatches, compared, only_left, 0 AS only_right FROM counts
+    SELECT 'o_totalprice' AS "column", price AS mismatches, compared, only_left, CAST(0 AS BIGINT) AS only_right FROM counts
     UNION ALL SELECT 'o_orderpriority', priority, compared, only_left, 0 FROM counts
     UNION ALL SELECT 'o_custkey', 0, compared, only_left, 0 FROM counts""",
 )
@@ -496,12 +496,14 @@ def p14_unknown_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.groupBy("product", reasons()).agg(F.count(F.lit(1)).alias("n"))
 
 
+RISK_SQL = """1 / (1 + exp(-(-4.0 + CASE WHEN days_since_policy_start < 200 THEN 1.8 ELSE 0.0 END
+  + CASE WHEN amount_vs_product_median > 1.6 THEN 2.0 ELSE 0.0 END
+  + CASE WHEN report_delay_days > 1500 THEN 1.2 ELSE 0.0 END)))"""
+
+
 @query(
     "f8_risk_score",
-    f"""WITH {FEATURE_ROWS} SELECT claim_id, round(1 / (1 + exp(-(-4.0
-      + CASE WHEN days_since_policy_start < 200 THEN 1.8 ELSE 0.0 END
-      + CASE WHEN amount_vs_product_median > 1.6 THEN 2.0 ELSE 0.0 END
-      + CASE WHEN report_delay_days > 1500 THEN 1.2 ELSE 0.0 END))), 8) AS risk FROM features""",
+    f"WITH {FEATURE_ROWS} SELECT claim_id, round({RISK_SQL}, 8) AS risk FROM features",
 )
 def f8_risk_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(spark, sf_dir).select("claim_id", F.round(risk(), 8).alias("risk"))
@@ -529,8 +531,8 @@ def t4_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "f2_days_between",
-    """SELECT l_orderkey, l_linenumber, count(*) AS n, min(datediff('day', o_orderdate, l_shipdate)) AS least_days,
-      max(datediff('day', o_orderdate, l_shipdate)) AS most_days
+    """SELECT l_orderkey, l_linenumber, count(*) AS n, CAST(min(datediff('day', o_orderdate, l_shipdate)) AS INTEGER) AS least_days,
+      CAST(max(datediff('day', o_orderdate, l_shipdate)) AS INTEGER) AS most_days
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""",
 )
 def f2_days_between(spark: SparkSession, sf_dir: str) -> DataFrame:
