@@ -20,6 +20,7 @@ DIRECT_LIMIT = 200_000
 MAX_ACCURACY = 100_000
 # The bracket around the wanted rank is this many sketch errors wide on each side.
 BRACKET_ERRORS = 5
+WIDEN = 20
 HASH_PREFIX = 4
 
 
@@ -35,51 +36,47 @@ def group_quantile(
 
     Groups beyond ``direct_limit`` values are solved in two scans: a mergeable sketch brackets the wanted rank, then
     only the values inside the bracket are shuffled, ranked, and interpolated. A group whose bracket turns out to miss
-    the rank is solved directly, so the answer never depends on the quality of the sketch.
+    the rank gets a wider one, so the answer never depends on the quality of the sketch.
     """
     groups = list(groups)
     rows = df.select(*groups, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
     sizes = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
-    if largest <= direct_limit:
+    large = bounded_lookup(sizes.filter(F.col("_n") > direct_limit))
+    largest = large.agg(F.max("_n")).first()[0]
+    if largest is None:
         return _direct(rows, groups, q, out)
 
-    large = sizes.filter(F.col("_n") > direct_limit)
     accuracy = max(10_000, min(MAX_ACCURACY, largest // 10_000))
     margin = BRACKET_ERRORS / accuracy
-    around = F.percentile_approx("_v", [max(q - margin, 0.0), min(q + margin, 1.0)], accuracy)
-    sketch = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), around.alias("_b"))
-    sketch = sketch.filter(F.col("_n") > direct_limit).select(
-        *groups, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi")
-    )
-    solved = lineage_cut(_inside_bracket(rows, groups, bounded_lookup(sketch), q, out))
-
-    parts = [solved.filter(F.col(out).isNotNull())]
-    missed = solved.filter(F.col(out).isNull())
-    if not missed.isEmpty():
-        parts.append(_direct(_semi(rows, missed, groups), groups, q, out))
+    parts, todo = [], large
+    while todo is not None:
+        solved = lineage_cut(_inside_bracket(rows, groups, _bracket(rows, groups, todo, q, margin, accuracy), q, out))
+        parts.append(solved.filter(F.col(out).isNotNull()))
+        missed = bounded_lookup(solved.filter(F.col(out).isNull()))
+        todo = None if missed.isEmpty() else missed
+        margin *= WIDEN
     if groups:
-        small = sizes.filter(F.col("_n") <= direct_limit)
-        parts.append(_direct(_semi(rows, small, groups), groups, q, out))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        parts.append(_direct(_null_safe_join(rows, large, groups, "left_anti"), groups, q, out))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _direct(rows: DataFrame, groups: list[str], q: float, out: str) -> DataFrame:
-    return rows.groupBy(*groups).agg(F.percentile("_v", q).alias(out))
+def _bracket(rows: DataFrame, groups: list[str], wanted: DataFrame, q: float, margin: float, accuracy: int) -> DataFrame:
+    """(groups, size, lower and upper value around the rank); a margin of 1 or more covers the whole group."""
+    around = F.percentile_approx("_v", [max(q - margin, 0.0), min(q + margin, 1.0)], accuracy)
+    among = _null_safe_join(rows, wanted, groups, "left_semi") if groups else rows
+    sketch = among.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), around.alias("_b"))
+    return bounded_lookup(sketch.select(*groups, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi")))
 
 
-def _semi(rows: DataFrame, wanted: DataFrame, groups: list[str]) -> DataFrame:
-    if not groups:
-        return rows
-    return _null_safe_join(rows, wanted.select(*groups), groups, "left_semi")
+def _direct(rows: DataFrame, groups: list[str], q: float, out: str) -> DataFrame:
+    return rows.groupBy(*groups).agg(F.percentile("_v", q).alias(out))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
     """Equi-join in which a missing group name is a name of its own."""
     renamed = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    if how in ("left_semi", "left_anti"):
+        renamed = renamed.select(*(f"_on_{c}" for c in on))
     condition = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on))
     return left.join(renamed, condition, how).drop(*(f"_on_{c}" for c in on))
 
