@@ -12,6 +12,7 @@ from trustlake.operators.bounded import bounded_lookup
 from trustlake.operators.selection import DIRECT_LIMIT, group_quantile
 from trustlake.session import lineage_cut
 
+# The feature columns, in the order in which models expect them.
 CATEGORICAL = ("product", "region", "channel")
 NUMERIC = (
     "customer_age",

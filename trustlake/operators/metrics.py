@@ -26,28 +26,25 @@ def _counts_by_score(df: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
-def _bucketed(by_score: DataFrame, rows_per_bucket: int) -> DataFrame:
-    """Number score ranges of about equal size in ascending order; the cut points are a bounded list of literals."""
-    n = by_score.count()
-    wanted = min(MAX_BUCKETS, math.ceil(n / rows_per_bucket))
+def _cut_points(by_score: DataFrame, rows_per_bucket: int) -> list[float]:
+    """Scores that divide the table into ranges of about equal size: a bounded list, empty for a small table."""
+    wanted = min(MAX_BUCKETS, math.ceil(by_score.count() / rows_per_bucket))
     if wanted <= 1:
-        return by_score.withColumn("_bucket", F.lit(0.0))
+        return []
     points = [i / wanted for i in range(1, wanted)]
-    cuts = by_score.agg(F.percentile_approx("_s", points, 10 * MAX_BUCKETS)).first()[0]
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    if len(splits) < 3:
-        return by_score.withColumn("_bucket", F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol="_s", outputCol="_bucket").transform(by_score)
+    return sorted(set(by_score.agg(F.percentile_approx("_s", points, 10 * MAX_BUCKETS)).first()[0]))
 
 
-def running_counts(df: DataFrame, score: str, label: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Per distinct score: ``pos``, ``neg``, the numbers strictly below it, and both grand totals.
-
-    A global prefix sum in two levels: a window inside every score range, plus the totals of the ranges before it.
-    """
-    by_score = lineage_cut(_counts_by_score(df, score, label))
-    bucketed = _bucketed(by_score, rows_per_bucket)
+def _with_offsets(by_score: DataFrame, cuts: list[float]) -> DataFrame:
+    """Add the range of every score, the totals of the ranges below it, and the grand totals."""
+    if not cuts:
+        totals = by_score.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
+        constants = {"_bucket": 0.0, "_pos_before": 0, "_neg_before": 0, "positives": totals.p, "negatives": totals.n}
+        return by_score.withColumns({name: F.lit(value) for name, value in constants.items()})
+    splits = [-math.inf, *cuts, math.inf]
+    bucketed = Bucketizer(splits=splits, inputCol="_s", outputCol="_bucket").transform(by_score)
     ranges = bucketed.groupBy("_bucket").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
+    # windows over the ranges, of which there are at most MAX_BUCKETS
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(F.lit(1))
     offsets = ranges.select(
@@ -57,11 +54,19 @@ def running_counts(df: DataFrame, score: str, label: str, rows_per_bucket: int =
         F.sum("_pos").over(everything).alias("positives"),
         F.sum("_neg").over(everything).alias("negatives"),
     )
-    offsets = bounded_lookup(offsets, MAX_BUCKETS + 1)
+    return bucketed.join(bounded_lookup(offsets, MAX_BUCKETS + 1), "_bucket")
+
+
+def running_counts(df: DataFrame, score: str, label: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Per distinct score: ``pos``, ``neg``, the numbers strictly below it, and both grand totals.
+
+    A global prefix sum in two levels: a window inside every score range, plus the totals of the ranges before it.
+    """
+    by_score = lineage_cut(_counts_by_score(df, score, label))
+    placed = _with_offsets(by_score, _cut_points(by_score, rows_per_bucket))
     inside = Window.partitionBy("_bucket").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        bucketed.join(offsets, "_bucket")
-        .withColumn("pos_below", F.col("_pos_before") + F.coalesce(F.sum("pos").over(inside), F.lit(0)))
+        placed.withColumn("pos_below", F.col("_pos_before") + F.coalesce(F.sum("pos").over(inside), F.lit(0)))
         .withColumn("neg_below", F.col("_neg_before") + F.coalesce(F.sum("neg").over(inside), F.lit(0)))
         .select(F.col("_s").alias("score"), "pos", "neg", "pos_below", "neg_below", "positives", "negatives")
     )

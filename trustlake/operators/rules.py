@@ -164,6 +164,7 @@ def gate(ledger: Ledger, limit: float = MAX_QUARANTINE_RATE) -> None:
 
 # --- rule sets ---------------------------------------------------------------------------------------------------
 
+# Names and conditions of the rules of the two claim feeds.
 POLICY_RULES = (
     Rule("policy_id_present", "policy_id IS NOT NULL", "a policy is found by its id"),
     Rule("start_date_valid", "start_date IS NOT NULL", "the start is a calendar date"),

@@ -101,7 +101,16 @@ def x4_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- answers -----------------------------------------------------------------------------------------------------
 
-WRONG_SHAPES = "first hex digit of the hash: 4 junk, 5 unknown type, 6 no urgency, 7 yes for true, 8 long summary, 9 none, a cut off"
+# How the first hex digit of the hash spoils an answer; with any other digit it is right.
+WRONG_SHAPES = {
+    "4": "not JSON at all",
+    "5": "a damage type outside the list",
+    "6": "no urgency",
+    "7": "yes instead of true, which is accepted",
+    "8": "the whole text as summary, mostly too long",
+    "9": "no answer",
+    "a": "cut off in the middle",
+}
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +120,7 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = F.col("shape")
     damage = F.when(shape == "5", F.lit("flooding")).otherwise(F.lit("water")).alias("damage_type")
     urgency = F.when(shape != "6", F.lit("high")).alias("urgency")
-    summary = F.when(shape == "8", F.col("text")).otherwise(F.substring("text", 1, 40)).alias("summary")
+    summary = F.when(shape == "8", F.col("text")).otherwise(first_sentence(F.col("text"))).alias("summary")
     hurt = (F.col("attempt") == 1).alias("injury_mentioned")
     other = F.lit(False).alias("third_party_involved")
     usual = F.to_json(F.struct(damage, urgency, hurt, other, summary))
@@ -138,15 +147,16 @@ def json_text_sql(name: str) -> str:
 
 
 ANSWERS = f"""shaped AS (
-  SELECT doc_id, text, attempt, substr(md5('answer|' || doc_id || '|' || attempt), 1, 1) AS shape
+  SELECT doc_id, text, substring(split_part(trim(text, '{WHITE_SPACE}'), '.', 1), 1, {SUMMARY_CHARS}) AS sentence,
+         attempt, substr(md5('answer|' || doc_id || '|' || attempt), 1, 1) AS shape
   FROM documents, (VALUES (1), (2), (3)) a(attempt)),
 answers AS (SELECT doc_id, attempt, CASE shape WHEN '4' THEN 'this is not json' WHEN '9' THEN NULL
     WHEN 'a' THEN '{{"damage_type": "water"'
     WHEN '7' THEN CAST(json_object('damage_type', 'water', 'urgency', 'high', 'injury_mentioned', 'yes',
-      'third_party_involved', false, 'summary', substring(text, 1, 40)) AS VARCHAR)
+      'third_party_involved', false, 'summary', sentence) AS VARCHAR)
     ELSE CAST(json_object('damage_type', CASE WHEN shape = '5' THEN 'flooding' ELSE 'water' END,
       'urgency', CASE WHEN shape <> '6' THEN 'high' END, 'injury_mentioned', attempt = 1, 'third_party_involved', false,
-      'summary', CASE WHEN shape = '8' THEN text ELSE substring(text, 1, 40) END) AS VARCHAR) END AS answer FROM shaped),
+      'summary', CASE WHEN shape = '8' THEN text ELSE sentence END) AS VARCHAR) END AS answer FROM shaped),
 parsed AS (SELECT doc_id, attempt, CASE WHEN json_valid(answer) THEN CAST(answer AS JSON) END AS j FROM answers),
 fields AS (SELECT doc_id, attempt, j, {json_text_sql("damage_type")}, {json_text_sql("urgency")},
   {truth_sql("injury_mentioned")}, {truth_sql("third_party_involved")}, {json_text_sql("summary")} FROM parsed),

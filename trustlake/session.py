@@ -15,6 +15,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a checked dataset has two outcome folders: keep a writer open for each instead of sorting the rows first
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     "spark.ui.enabled": "false",
 }
 LOCAL_SHUFFLE_PARTITIONS = "8"
