@@ -130,6 +130,11 @@ def test_perfect_inverted_and_constant_rankings(spark):
     assert tuple(ranking_metrics(frame, "same", "y").first()) == (0.5, pytest.approx(0.2))
 
 
+def test_metrics_of_nothing_are_missing(spark):
+    frame = spark.range(0).select(F.col("id").alias("s"), F.lit(1).alias("y"))
+    assert tuple(ranking_metrics(frame, "s", "y").first()) == (None, None)
+
+
 def test_running_counts_span_buckets(spark):
     frame = spark.range(50).select((F.col("id") % 2).cast("int").alias("y"), "id")
     rows = running_counts(frame, "id", "y", rows_per_bucket=3).orderBy("score").collect()

@@ -24,7 +24,10 @@ def month_of(column: str | Column) -> Column:
 
 
 def money(column: str | Column) -> Column:
-    """An amount as a decimal, so that its sum does not depend on the order in which partitions arrive."""
+    """An amount as a decimal, so that its sum does not depend on the order in which partitions arrive.
+
+    NaN and infinity count as missing.
+    """
     return _column(column).try_cast(MONEY_TYPE)
 
 

@@ -39,8 +39,9 @@ def _with_offsets(by_score: DataFrame, cuts: list[float]) -> DataFrame:
     """Add the range of every score, the totals of the ranges below it, and the grand totals."""
     if not cuts:
         totals = by_score.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-        constants = {"_bucket": 0.0, "_pos_before": 0, "_neg_before": 0, "positives": totals.p, "negatives": totals.n}
-        return by_score.withColumns({name: F.lit(value) for name, value in constants.items()})
+        constants = {"_pos_before": 0, "_neg_before": 0, "positives": totals.p, "negatives": totals.n}
+        numbers = {name: F.lit(value).cast("long") for name, value in constants.items()}
+        return by_score.withColumns({"_bucket": F.lit(0.0), **numbers})
     splits = [-math.inf, *cuts, math.inf]
     bucketed = Bucketizer(splits=splits, inputCol="_s", outputCol="_bucket").transform(by_score)
     ranges = bucketed.groupBy("_bucket").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))

@@ -61,6 +61,11 @@ def work_dir(spark: SparkSession, label: str) -> str:
 
 
 def lineage_cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that later jobs reread it even if executors are lost."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and read it back, so that later jobs start there even if executors are lost.
+
+    A columnar table rather than an RDD checkpoint: later readers prune its columns, and its true size is known when
+    they choose a join.
+    """
+    path = work_dir(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
