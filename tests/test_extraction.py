@@ -25,6 +25,7 @@ from trustlake.operators.extraction import (
     with_keyword_fields,
 )
 from trustlake.operators.rules import FAILED
+from trustlake.plans.evaluation import evaluate_extractor, evaluations, log_evaluation
 
 
 def read(spark, *texts):
@@ -74,6 +75,19 @@ def test_published_accuracy_of_the_keyword_rules(labelled):
     assert every.manual_review_rate == 0.0
 
 
+def test_evaluations_are_recorded(spark, labelled, folder):
+    metrics, compared = evaluate_extractor(labelled, keyword_extractor(), "id")
+    assert metrics["accuracy_damage_type"] == 0.8276
+    assert metrics["accuracy_all_fields_new_text"] == 0.1818
+    assert compared.count() == 29
+    log_evaluation(spark, folder, "fake", metrics)
+    log_evaluation(spark, folder, "again", metrics)
+    rows = {r.extractor: r for r in evaluations(spark, folder).collect()}
+    assert rows.keys() == {"fake", "again"}
+    assert (rows["fake"].cases, rows["fake"].metrics["accuracy_urgency"]) == (29, 0.7586)
+    assert rows["fake"].metrics["seconds_per_claim"] >= 0
+
+
 def test_errors_name_field_expected_and_got(labelled):
     got = with_keyword_fields(labelled.select("id", "text"))
     errors = extraction_errors(compare_with_labels(got, labelled, "id"), "id")

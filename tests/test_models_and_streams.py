@@ -19,6 +19,8 @@ from trustlake.operators.models import (
 )
 from trustlake.operators.rules import FAILED, Rule, apply_rules, request_rules, split_valid
 from trustlake.operators.scoring import check_requests, rejection_reasons, score_batch
+from trustlake.plans.serving import serve_batch, serve_triage
+from trustlake.plans.training import main as training_main
 from trustlake.plans.training import run_all, train_and_register
 from trustlake.sources.logs import append_log, extraction_log, prediction_log
 from trustlake.sources.registry import ModelRegistry, champion, parse_uri
@@ -267,6 +269,41 @@ def test_stream_scores_equal_batch_scores(spark, data, scorer, tmp_path):
     assert run()[0].count() == batch.count()
 
 
+def test_serving_writes_scores_refusals_and_logs(spark, data, scorer, tmp_path):
+    wanted = requests_of(data[0]).withColumn("description", F.lit("Burst pipe in the bathroom flooded the hallway."))
+    wanted = wanted.withColumn("product", F.when(F.col("customer_age") == 30, "pet").otherwise(F.col("product")))
+    target = str(tmp_path / "served")
+    rows = serve_triage(spark, wanted, scorer, target)
+    refused = wanted.filter("product = 'pet'").count()
+    assert rows.count() == 3000 - refused
+    assert {(r.damage_type, r.urgency) for r in rows.select("damage_type", "urgency").distinct().collect()} == {("water", "high")}
+    served = serve_batch(spark, wanted, scorer, target)
+    assert (served.scored_rows, served.rejected_rows) == (3000 - refused, refused)
+    log = [json.loads(r.value) for r in spark.read.text(f"{target}/prediction_log").collect()]
+    assert len(log) == 2 * (3000 - refused)
+    assert {r["batch_size"] for r in log} == {3000 - refused}
+    assert spark.read.text(f"{target}/extraction_log").count() == 3000 - refused
+    # a claim sent three times gets three scores, not nine
+    thrice = wanted.filter("claim_id = 'C000007'")
+    thrice = thrice.union(thrice).union(thrice.withColumn("description", F.lit("Stolen phone.")))
+    assert serve_triage(spark, thrice, scorer, str(tmp_path / "thrice")).count() == 3
+
+
+def test_models_by_uri(registry):
+    assert registry[0].load_uri("models:/m@champion").model_type == registry[2]
+    with pytest.raises(ValueError, match="models:/"):
+        registry[0].load_uri("m")
+
+
+def test_training_command_line(data, tmp_path, capsys):
+    data[1].write.parquet(str(tmp_path / "features"))
+    options = ["--features-path", str(tmp_path / "features"), "--registry", str(tmp_path / "r"), "--max-iter", "3"]
+    assert training_main(options) == 0
+    printed = json.loads(capsys.readouterr().out)
+    assert printed["version"] == 1
+    assert printed["champion"] in printed["metrics"]
+
+
 RULES = (Rule("value_present", "value IS NOT NULL"), Rule("value_positive", "value IS NULL OR value > 0"))
 
 

@@ -198,7 +198,7 @@ def attach(df: DataFrame, text: str, extractions: DataFrame) -> DataFrame:
 
 
 def triage(scored: DataFrame, extracted: DataFrame, key: str = "claim_id") -> DataFrame:
-    """Score and extraction side by side; a record without one still keeps the other."""
+    """Score and extraction side by side; a score without an extraction stays. ``extracted`` has one row per key."""
     note = F.when(F.col("extractor") == KEYWORD_EXTRACTOR, F.lit(KEYWORD_NOTE))
     return scored.join(extracted.select(key, *EXTRACTION), key, "left").withColumn("note", note)
 

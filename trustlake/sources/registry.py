@@ -99,6 +99,11 @@ class ModelRegistry:
         )
 
 
+    def load_uri(self, uri: str) -> Scorer:
+        """Load ``models:/<name>@<alias>``."""
+        return self.load(*parse_uri(uri))
+
+
 def parse_uri(uri: str) -> tuple[str, str]:
     """``models:/<name>@<alias>`` as (name, alias)."""
     head, _, rest = uri.partition("models:/")
