@@ -206,7 +206,7 @@ def test_silver_read_prunes_the_quarantine_folder(spark, small, folder):
 def test_command_line(spark, small, folder, capsys):
     for name, frame in raw_feeds(spark, small).items():
         write_raw(frame, f"{folder}/raw/{name}.csv")
-    assert main(["--base-path", folder]) == 0
+    assert main(["--base-path", folder, "--single-line"]) == 0
     report = json.loads(capsys.readouterr().out)
     assert report["claims"]["valid_rows"] > 0
     assert main(["--base-path", folder, "--limit", "0.0001"]) == 1
@@ -220,6 +220,7 @@ def test_configuration():
 
 
 def test_scratch_lives_in_the_shared_folder(spark):
-    assert work_dir(spark, "a").startswith(shared_dir(spark) + "/a-")
+    folder = f"{shared_dir(spark)}/trustlake/{spark.sparkContext.applicationId}"
+    assert work_dir(spark, "a").startswith(f"{folder}/a-")
     assert work_dir(spark, "a") != work_dir(spark, "a")
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

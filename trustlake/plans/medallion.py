@@ -89,8 +89,12 @@ def run_medallion(
     raw: Mapping[str, DataFrame] | str,
     specs: Sequence[Dataset] = (POLICIES, CLAIMS),
     limit: float = MAX_QUARANTINE_RATE,
+    multi_line: bool = True,
 ) -> Outcome:
-    """The whole chain. ``raw`` is a folder of ``<name>.csv`` files or the raw frames themselves.
+    """The whole chain. ``raw`` is a folder of ``<name>.csv`` files (or folders) or the raw frames themselves.
+
+    Text fields may hold line breaks, so a file is read by one task. Files known to have none are read in parallel
+    pieces with ``multi_line=False``.
 
     The quality report is stored before the gate decides. When the gate fails, the staged rows stay readable for
     inspection while silver, quarantine and gold keep their previous version.
@@ -98,7 +102,7 @@ def run_medallion(
     run_id = uuid.uuid4().hex
     for spec in specs:
         if isinstance(raw, str):
-            frame = with_lineage(read_raw(spark, f"{raw.rstrip('/')}/{spec.name}.csv"))
+            frame = with_lineage(read_raw(spark, f"{raw.rstrip('/')}/{spec.name}.csv", multi_line=multi_line))
         else:
             frame = raw[spec.name]
         load_bronze(layers, spec, frame)
@@ -117,6 +121,7 @@ class MedallionConfig:
     tables: str | None = None
     raw_dir: str | None = None
     limit: float = MAX_QUARANTINE_RATE
+    single_line: bool = False
 
     @property
     def raw(self) -> str:
@@ -136,10 +141,12 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser.add_argument("--tables", metavar="CATALOG.SCHEMA")
     parser.add_argument("--raw-dir")
     parser.add_argument("--limit", type=float, default=MAX_QUARANTINE_RATE)
+    parser.add_argument("--single-line", action="store_true", help="no line breaks inside fields: split large files")
     config = MedallionConfig(**vars(parser.parse_args(argv)))
     spark = get_spark("trustlake-medallion")
     try:
-        outcome = run_medallion(spark, config.layers(spark), config.raw, limit=config.limit)
+        layers = config.layers(spark)
+        outcome = run_medallion(spark, layers, config.raw, limit=config.limit, multi_line=not config.single_line)
     except QualityGateError as error:
         print(error)
         print(json.dumps(error.ledger.as_dict(), indent=2))

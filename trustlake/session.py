@@ -56,8 +56,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A path nobody else uses, inside the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A path nobody else uses, inside the shared folder.
+
+    All paths of one application lie in one folder, which may be removed when the application has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/trustlake/{application}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def lineage_cut(df: DataFrame) -> DataFrame:

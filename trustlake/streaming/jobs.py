@@ -39,7 +39,10 @@ def read_scored(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]
 
 
 def dedupe_stream(events: DataFrame, key: Sequence[str], event_time: str, delay: str) -> DataFrame:
-    """The first arrival of every key within the watermark delay; the state of older keys is dropped."""
+    """The first arrival of every key within the watermark delay; the state of older keys is dropped.
+
+    Events that come later than the delay are dropped by Spark, so the delay has to cover the lateness of the source.
+    """
     typed = events.withColumn(event_time, F.col(event_time).cast("timestamp"))
     return typed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))
 
