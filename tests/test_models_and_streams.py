@@ -307,7 +307,8 @@ def test_training_command_line(data, tmp_path, capsys):
 RULES = (Rule("value_present", "value IS NOT NULL"), Rule("value_positive", "value IS NULL OR value > 0"))
 
 
-def test_stream_quality_equals_batch(spark, small, tmp_path):
+@pytest.mark.parametrize("delay", [None, "4000 days"])
+def test_stream_quality_equals_batch(spark, small, tmp_path, delay):
     defects = (Defect("empty", "value", F.lit(None), 0.02), Defect("negative", "value", -F.col("value"), 0.02))
     events = spark.read.parquet(f"{small}/events.parquet")
     dirty = inject(events, defects, "event_id")
@@ -317,7 +318,7 @@ def test_stream_quality_equals_batch(spark, small, tmp_path):
 
     def run():
         stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
-        stream_quality(stream, RULES, ["event_id"], "ts", target, offsets, delay="4000 days").awaitTermination()
+        stream_quality(stream, RULES, ["event_id"], "ts", target, offsets, delay).awaitTermination()
         return read_checked(spark, target)
 
     good, bad = run()
@@ -333,6 +334,24 @@ def test_stream_quality_equals_batch(spark, small, tmp_path):
     assert again.count() == good.count()
 
 
+def test_late_events_are_kept_without_a_delay(spark, tmp_path):
+    arriving, target, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
+    ddl = "event_id long, ts timestamp_ntz, value double"
+
+    def arrive(*rows):
+        values = ", ".join(f"({i}L, TIMESTAMP_NTZ'{ts}', {v}D)" for i, ts, v in rows)
+        spark.sql(f"SELECT * FROM VALUES {values} AS t(event_id, ts, value)").write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(ddl).parquet(arriving)
+        stream_quality(stream, RULES, ["event_id"], "ts", target, offsets).awaitTermination()
+        good, bad = read_checked(spark, target)
+        return sorted(r.event_id for r in good.collect()), sorted(r.event_id for r in bad.collect())
+
+    assert arrive((1, "2024-01-05 10:00:00", 1), (1, "2024-01-05 10:00:00", 1), (2, "2024-01-06 10:00:00", -1)) == ([1], [2])
+    # years late, but new; and a copy of an event of the first batch
+    assert arrive((3, "2020-01-01 00:00:00", 3), (1, "2024-01-05 10:00:00", 1)) == ([1, 3], [2])
+    assert arrive((3, "2020-01-01 00:00:00", 3)) == ([1, 3], [2])
+
+
 def test_run_all_stops_at_the_gate_and_otherwise_registers(spark, small, tmp_path):
     lake = Snapshots(spark, str(tmp_path / "lake"))
     store = ModelRegistry(spark, str(tmp_path / "registry"))

@@ -309,9 +309,7 @@ def r2_stream_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     arriving = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     dirty = inject_duplicates(inject(arriving, event_defects(), "event_id"), "event_id", share=0.05)
     target = work_dir(spark, "events")
-    # the delay spans all the events, so none of them is too late
-    job = stream_quality(dirty, EVENT_RULES, ["event_id"], "ts", target, work_dir(spark, "offsets"), delay="4000 days")
-    job.awaitTermination()
+    stream_quality(dirty, EVENT_RULES, ["event_id"], "ts", target, work_dir(spark, "offsets")).awaitTermination()
     good, bad = read_checked(spark, target)
     columns = ("event_id", "user_id", "value", "event_type")
     return good.select(*columns, F.lit("").alias("failed_rules")).unionByName(bad.select(*columns, reasons()))

@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
+from trustlake.operators.dedupe import dedupe
 from trustlake.operators.rules import FAILED, Rule, apply_rules
 from trustlake.operators.scoring import Scorer, score_batch
 from trustlake.sources.storage import BAD, GOOD, OUTCOME, outcome
 
-BATCH = "batch_id"
+BATCH, DAY = "batch_id", "_day"
 SCORES, REJECTED = "scores", "rejected"
 
 
@@ -38,15 +40,6 @@ def read_scored(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]
     return tuple(spark.read.parquet(f"{target}/{name}").drop(BATCH) for name in (SCORES, REJECTED))
 
 
-def dedupe_stream(events: DataFrame, key: Sequence[str], event_time: str, delay: str) -> DataFrame:
-    """The first arrival of every key within the watermark delay; the state of older keys is dropped.
-
-    Events that come later than the delay are dropped by Spark, so the delay has to cover the lateness of the source.
-    """
-    typed = events.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return typed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))
-
-
 def stream_quality(
     events: DataFrame,
     rules: Sequence[Rule],
@@ -54,27 +47,48 @@ def stream_quality(
     event_time: str,
     target: str,
     checkpoint: str,
-    delay: str = "1 day",
+    delay: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Deduplicate, check and split a stream.
 
-    Every micro-batch is written once, under its own id, split by outcome; a repeated batch overwrites itself, which
-    makes the at-least-once callback an exactly-once table.
+    Without ``delay`` a micro-batch is deduplicated in itself and against the stored rows of the same event days, however
+    late it comes; copies of an event carry the same event time. With ``delay`` Spark's own state does it, which never
+    reads stored rows but drops events that come later than the delay.
+
+    Every micro-batch is written once, under its own id, split by event day and outcome; a repeated batch overwrites
+    itself, which makes the at-least-once callback an exactly-once table.
     """
-    checked = apply_rules(dedupe_stream(events, key, event_time, delay), rules)
+    typed = events.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    if delay is not None:
+        typed = typed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        split = batch.withColumn(OUTCOME, outcome())
-        split.write.mode("overwrite").partitionBy(OUTCOME).parquet(f"{target}/{BATCH}={batch_id}")
-
-    writer = checked.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+        rows = batch.withColumn(DAY, F.to_date(event_time))
+        if delay is None:
+            rows = dedupe(rows, key)
+            if batch_id > 0:
+                rows = rows.join(_stored_keys(rows, key, target, batch_id), list(key), "left_anti")
+        split = apply_rules(rows, rules).withColumn(OUTCOME, outcome())
+        split.write.mode("overwrite").partitionBy(DAY, OUTCOME).parquet(f"{target}/{BATCH}={batch_id}")
+
+    writer = typed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _stored_keys(rows: DataFrame, key: Sequence[str], target: str, batch_id: int) -> DataFrame:
+    """Keys that earlier batches have stored for the days this batch spans; other days are not read."""
+    days = rows.agg(F.min(DAY).alias("first"), F.max(DAY).alias("last")).first()
+    columns = [rows.schema[k] for k in key]
+    schema = StructType([*columns, StructField(BATCH, LongType()), rows.schema[DAY]])
+    stored = rows.sparkSession.read.schema(schema).parquet(target)
+    same_days = F.col(DAY).between(F.lit(days["first"]), F.lit(days["last"]))
+    return stored.filter((F.col(BATCH) < batch_id) & same_days).select(*key)
+
+
 def read_checked(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows with reasons) of everything ``stream_quality`` has written so far."""
     everything = spark.read.parquet(target)
-    good = everything.filter(F.col(OUTCOME) == GOOD).drop(OUTCOME, BATCH, FAILED)
-    bad = everything.filter(F.col(OUTCOME) == BAD).drop(OUTCOME, BATCH)
+    good = everything.filter(F.col(OUTCOME) == GOOD).drop(OUTCOME, BATCH, DAY, FAILED)
+    bad = everything.filter(F.col(OUTCOME) == BAD).drop(OUTCOME, BATCH, DAY)
     return good, bad
