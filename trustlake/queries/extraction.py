@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from trustlake.operators.extraction import (
     TRUE_TEXTS,
     UNREADABLE_SUMMARY,
     attach,
+    batch_extractor,
     compare_with_labels,
     extract_distinct,
     extraction_accuracy,
@@ -215,6 +217,34 @@ def x7_cached_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attach(docs, "text", marked).select("doc_id", "damage_type", "urgency", F.col("_fresh").isNull().alias("from_cache"))
 
 
+def read_by_length(texts: pd.DataFrame) -> pd.DataFrame:
+    """A stand-in for a user's reader: one Arrow batch of distinct texts in, their fields out."""
+    size = texts["text"].str.len()
+    return pd.DataFrame(
+        {
+            KEY: texts[KEY],
+            "damage_type": "other",
+            "urgency": size.gt(1000).map({True: "high", False: "low"}),
+            "injury_mentioned": size.mod(2).eq(1),
+            "third_party_involved": False,
+            "summary": size.astype(str) + " characters",
+        }
+    )
+
+
+@query(
+    "x8_batch_extractor",
+    f"""WITH t AS (SELECT doc_id, length(trim(text, '{WHITE_SPACE}')) AS size FROM documents)
+    SELECT doc_id, 'other' AS damage_type, CASE WHEN size > 1000 THEN 'high' ELSE 'low' END AS urgency,
+      size % 2 = 1 AS injury_mentioned, false AS third_party_involved, size || ' characters' AS summary,
+      'by length' AS extractor, false AS needs_manual_review FROM t""",
+)
+def x8_batch_extractor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    readings, _ = extract_distinct(docs, "text", batch_extractor("by length", read_by_length))
+    return attach(docs, "text", readings).select("doc_id", *EXTRACTION)
+
+
 # --- evaluation --------------------------------------------------------------------------------------------------
 
 

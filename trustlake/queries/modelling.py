@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trustlake.functions.hashing import HASH_DIGITS, keyed_hash
 from trustlake.operators.bounded import few_rows
+from trustlake.operators.dedupe import dedupe
 from trustlake.operators.metrics import confusion, evaluate, ranking_metrics, review_threshold
 from trustlake.operators.models import (
     DEFAULT_REVIEW_RATE,
@@ -331,6 +332,25 @@ def m11_run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("m13_load_scorer", f"WITH {ACCEPTED} SELECT DISTINCT claim_id, true AS same_score, true AS same_version FROM accepted")
+def m13_load_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A champion that was stored, registered and loaded by its alias scores as the fitted model does."""
+    registry = ModelRegistry(spark, work_dir(spark, "registry"))
+    fitted = scorer(spark, sf_dir)
+    run = registry.log_run("claims", trained_models(spark, sf_dir)["logistic_regression"], REVIEW_RATE, {})
+    registry.move_alias("claims", run)
+    loaded = registry.load_uri("models:/claims@champion")
+    loaded.rules = BOUND_RULES
+    wanted = dedupe(requests(spark, sf_dir), ["claim_id"])
+    one = score_batch(wanted, loaded)[0]
+    other = score_batch(wanted, fitted)[0].select("claim_id", F.col(RAW_SCORE).alias("_raw"), F.col("model_version").alias("_v"))
+    return one.join(other, "claim_id").select(
+        "claim_id",
+        F.col(RAW_SCORE).eqNullSafe(F.col("_raw")).alias("same_score"),
+        (F.col("model_version") == F.col("_v")).alias("same_version"),
+    )
+
+
 @query("m11_fingerprint", "SELECT count(*) AS n, true AS order_independent FROM orders")
 def m11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")

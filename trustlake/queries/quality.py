@@ -50,6 +50,7 @@ from trustlake.queries.bindings import (
     with_text_dates,
 )
 from trustlake.queries.catalogue import query
+from trustlake.session import lineage_cut
 
 POLICY_COLUMNS = ("policy_id", "product", "region", "customer_age", "start_date", "end_date", "annual_premium")
 POLICY_DATES = ("start_date", "end_date")
@@ -469,6 +470,23 @@ def f7_serving_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(gold.claim_features(records, medians), gold.NUMERIC)
 
 
+@query(
+    "e5_skew_check",
+    f"""WITH {RECORDS} SELECT c AS "column", CAST(0 AS BIGINT) AS mismatches, (SELECT count(*) FROM records) AS compared,
+      CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right
+    FROM (VALUES {", ".join(f"('{c}')" for c in gold.FEATURES)}) columns(c)""",
+)
+def e5_skew_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training features against the features serving computes from stored medians and untidy requests."""
+    claims, policies = silver(spark, sf_dir)
+    records = lineage_cut(gold.claim_records(claims, policies))
+    trained = gold.fraud_features(claims, policies)
+    medians = lineage_cut(gold.group_medians(records))
+    untidy = normalise_requests(records.withColumn("product", F.concat(F.lit(" "), F.upper("product"))))
+    served = gold.claim_features(untidy, medians)
+    return reconcile(trained, served, ["claim_id"], gold.FEATURES)
+
+
 @query(
     "p12_feature_types",
     f"""WITH {FEATURE_ROWS} SELECT claim_id, CAST(customer_age AS DOUBLE) AS customer_age, claim_amount, annual_premium,
