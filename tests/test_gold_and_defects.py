@@ -8,8 +8,14 @@ from trustlake.operators import gold
 from trustlake.operators.defects import claim_defects, inject, inject_duplicates
 
 DAY = datetime.date
-POLICIES = [("P1", "auto", "North", 40, DAY(2023, 1, 1), DAY(2024, 1, 1), 600.0), ("P2", "home", "South", None, DAY(2023, 1, 1), DAY(2024, 1, 1), 500.0)]
-POLICY_DDL = "policy_id string, product string, region string, customer_age int, start_date date, end_date date, annual_premium double"
+POLICIES = [
+    ("P1", "auto", "North", 40, DAY(2023, 1, 1), DAY(2024, 1, 1), 600.0),
+    ("P2", "home", "South", None, DAY(2023, 1, 1), DAY(2024, 1, 1), 500.0),
+]
+POLICY_DDL = (
+    "policy_id string, product string, region string, customer_age int, start_date date, end_date date, "
+    "annual_premium double"
+)
 CLAIMS = [
     ("P1", "C1", DAY(2023, 1, 11), DAY(2023, 1, 14), 3600.0, "web", "x", 1),
     ("P1", "C2", DAY(2023, 1, 20), DAY(2023, 1, 20), 1800.0, "web", "x", 0),
@@ -17,7 +23,10 @@ CLAIMS = [
     ("P2", "C4", DAY(2023, 2, 1), DAY(2023, 2, 3), 700.0, "app", "x", 0),
     ("P9", "C5", DAY(2023, 2, 1), DAY(2023, 2, 3), 700.0, "app", "x", 0),
 ]
-CLAIM_DDL = "policy_id string, claim_id string, incident_date date, report_date date, claim_amount double, channel string, description string, is_fraud int"
+CLAIM_DDL = (
+    "policy_id string, claim_id string, incident_date date, report_date date, claim_amount double, channel string, "
+    "description string, is_fraud int"
+)
 
 
 @pytest.fixture
@@ -51,7 +60,8 @@ def test_monthly_by_hand(tables):
 
 def test_rate_by_group_is_ordered(tables):
     ordered = gold.rate_by_group(gold.claim_records(*tables)).collect()
-    assert [(r["product"], r.claims, r.fraud_cases, r.fraud_rate_pct) for r in ordered] == [("auto", 3, 1, 50.0), ("home", 1, 0, 0.0)]
+    rows = [(r["product"], r.claims, r.fraud_cases, r.fraud_rate_pct) for r in ordered]
+    assert rows == [("auto", 3, 1, 50.0), ("home", 1, 0, 0.0)]
 
 
 def test_frozen_medians(spark, tables):

@@ -139,8 +139,8 @@ def test_medians_rebuild_the_gold_column(registry, data):
     _, results, _, _ = registry
     medians = results["logistic_regression"].medians
     rebuilt = gold.claim_features(data[0].withColumn("is_fraud", F.lit(0)), medians)
-    both = rebuilt.select("claim_id", "amount_vs_product_median").exceptAll(data[1].select("claim_id", "amount_vs_product_median"))
-    assert both.count() == 0
+    columns = ["claim_id", "amount_vs_product_median"]
+    assert rebuilt.select(columns).exceptAll(data[1].select(columns)).count() == 0
 
 
 def test_runs_record_everything(registry):
@@ -244,7 +244,8 @@ def test_log_records(spark, data, scorer, tmp_path):
     lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "log")).collect()]
     assert len(lines) == 10
     assert list(lines[0]) == ["claim_id", "fraud_score", "flagged", "model_version", "latency_ms", "batch_size"]
-    read = spark.createDataFrame([("C1", "fake", "fire", "low", False)], "claim_id string, extractor string, damage_type string, urgency string, needs_manual_review boolean")
+    ddl = "claim_id string, extractor string, damage_type string, urgency string, needs_manual_review boolean"
+    read = spark.createDataFrame([("C1", "fake", "fire", "low", False)], ddl)
     assert json.loads(extraction_log(read, 1.0).first().record)["extraction_ms"] == 1.0
 
 
@@ -276,7 +277,7 @@ def test_serving_writes_scores_refusals_and_logs(spark, data, scorer, tmp_path):
     rows = serve_triage(spark, wanted, scorer, target)
     refused = wanted.filter("product = 'pet'").count()
     assert rows.count() == 3000 - refused
-    assert {(r.damage_type, r.urgency) for r in rows.select("damage_type", "urgency").distinct().collect()} == {("water", "high")}
+    assert [tuple(r) for r in rows.select("damage_type", "urgency").distinct().collect()] == [("water", "high")]
     served = serve_batch(spark, wanted, scorer, target)
     assert (served.scored_rows, served.rejected_rows) == (3000 - refused, refused)
     log = [json.loads(r.value) for r in spark.read.text(f"{target}/prediction_log").collect()]

@@ -39,7 +39,8 @@ def test_every_oracle_has_a_query():
 
 def test_bench_prints_one_json_line(small):
     env = {**os.environ, "BENCH_SF_DIR": small, "BENCH_CPUS": "2", "BENCH_QUERIES": "p2_normalise"}
-    done = subprocess.run([sys.executable, "bench.py"], cwd=ROOT, env=env, capture_output=True, text=True, timeout=300, check=True)
+    command = [sys.executable, "bench.py"]
+    done = subprocess.run(command, cwd=ROOT, env=env, capture_output=True, text=True, timeout=300, check=True)
     result = json.loads(done.stdout)
     assert result["queries"].keys() == {"p2_normalise"}
     assert (result["unit"], result["sf"]) == ("sec", "0.001")

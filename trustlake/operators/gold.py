@@ -48,7 +48,9 @@ def claims_monthly(claims: DataFrame, policies: DataFrame) -> DataFrame:
     )
 
 
-def rate_by_group(features: DataFrame, group: str = "product", label: str = TARGET, amount: str = "claim_amount") -> DataFrame:
+def rate_by_group(
+    features: DataFrame, group: str = "product", label: str = TARGET, amount: str = "claim_amount"
+) -> DataFrame:
     """Rows, positives, percentage of positives and mean amount per group, worst group first."""
     return (
         features.groupBy(group)
@@ -101,7 +103,9 @@ def unknown_groups(df: DataFrame, stats: DataFrame, group: str = "product") -> D
     return df.select(group).distinct().join(stats.select(group), group, "left_anti")
 
 
-def claim_features(records: DataFrame, medians: DataFrame, on_unknown: str = "raise", keep: Sequence[str] = ()) -> DataFrame:
+def claim_features(
+    records: DataFrame, medians: DataFrame, on_unknown: str = "raise", keep: Sequence[str] = ()
+) -> DataFrame:
     """The feature columns of claim records, each of which already carries its policy's columns.
 
     The same code serves training (``medians`` computed from the data) and scoring (``medians`` loaded with the model).

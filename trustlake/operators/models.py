@@ -40,7 +40,9 @@ MODEL_PARAMS: dict[str, dict] = {
 }
 
 
-def prepare_features(df: DataFrame, categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC) -> DataFrame:
+def prepare_features(
+    df: DataFrame, categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC
+) -> DataFrame:
     """Check the columns and make every number a double; rows keep no order, nothing downstream depends on one."""
     require_columns(df, [*categorical, *numeric, TARGET], "fraud_features")
     return as_double(df, numeric).withColumn(TARGET, F.col(TARGET).cast("int"))

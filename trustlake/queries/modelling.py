@@ -221,7 +221,8 @@ _trained: dict[tuple[str, str], dict[str, Trained]] = {}
 
 def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table with a label drawn from the red-flag score, so that there is something to learn."""
-    drawn = F.conv(F.substring(keyed_hash("label", "claim_id"), 1, HASH_DIGITS), 16, 10).cast("double") / 16**HASH_DIGITS
+    digits = F.substring(keyed_hash("label", "claim_id"), 1, HASH_DIGITS)
+    drawn = F.conv(digits, 16, 10).cast("double") / 16**HASH_DIGITS
     return features(spark, sf_dir).withColumn("is_fraud", (drawn < risk()).cast("int"))
 
 
@@ -343,7 +344,8 @@ def m13_load_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded.rules = BOUND_RULES
     wanted = dedupe(requests(spark, sf_dir), ["claim_id"])
     one = score_batch(wanted, loaded)[0]
-    other = score_batch(wanted, fitted)[0].select("claim_id", F.col(RAW_SCORE).alias("_raw"), F.col("model_version").alias("_v"))
+    other = score_batch(wanted, fitted)[0]
+    other = other.select("claim_id", F.col(RAW_SCORE).alias("_raw"), F.col("model_version").alias("_v"))
     return one.join(other, "claim_id").select(
         "claim_id",
         F.col(RAW_SCORE).eqNullSafe(F.col("_raw")).alias("same_score"),
