@@ -14,11 +14,13 @@ from trustlake.operators.models import (
     fingerprint,
     one_hot,
     prepare_features,
+    relative_to,
     standardise,
     train,
 )
 from trustlake.operators.rules import FAILED, Rule, apply_rules, request_rules, split_valid
 from trustlake.operators.scoring import check_requests, rejection_reasons, score_batch
+from trustlake.operators.selection import stratified_split
 from trustlake.plans.serving import serve_batch, serve_triage
 from trustlake.plans.training import main as training_main
 from trustlake.plans.training import run_all, train_and_register
@@ -143,6 +145,16 @@ def test_medians_rebuild_the_gold_column(registry, data):
     assert rebuilt.select(columns).exceptAll(data[1].select(columns)).count() == 0
 
 
+def test_statistics_of_the_training_rows_only(spark, data):
+    trained = train(data[1], ["logistic_regression"], params=QUICK, stats_from="train")["logistic_regression"]
+    rows = stratified_split(data[1], "is_fraud", "claim_id").filter("NOT is_test")
+    assert trained.medians.exceptAll(gold.group_medians(rows)).count() == 0
+    assert trained.medians.exceptAll(gold.group_medians(data[1])).count() > 0
+    moved = relative_to(data[1], trained.medians, "product", "claim_amount")
+    assert moved.columns == data[1].columns
+    assert moved.exceptAll(data[1]).count() > 0
+
+
 def test_runs_record_everything(registry):
     store, results, _, _ = registry
     rows = {r.model_type: r for r in store.runs().collect()}

@@ -26,7 +26,7 @@ def test_locations(mode, base, layer, name, location):
     assert Storage(mode, base).location(layer, name) == location
 
 
-@pytest.mark.parametrize("base", ["claims", "a.b.c"])
+@pytest.mark.parametrize("base", ["claims", "a.b.c", ".claims", "a. b"])
 def test_table_base_has_two_parts(base):
     with pytest.raises(ValueError, match=r"catalog\.schema"):
         Storage("table", base)

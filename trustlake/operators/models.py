@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from trustlake.functions.cleaning import as_double, require_columns
 from trustlake.functions.hashing import chosen
-from trustlake.operators.gold import CATEGORICAL, NUMERIC, TARGET, group_medians
+from trustlake.functions.measures import ratio
+from trustlake.operators.gold import CATEGORICAL, MEDIAN, NUMERIC, TARGET, group_medians, with_group_statistic
 from trustlake.operators.metrics import evaluate, review_threshold
 from trustlake.operators.selection import stratified_split
 from trustlake.session import lineage_cut, shared_dir, work_dir
@@ -182,6 +183,12 @@ def _too_many_categories(df: DataFrame, categorical: Sequence[str]) -> list[str]
     return [c for c in categorical if counts[c] > MAX_CATEGORIES]
 
 
+def relative_to(features: DataFrame, medians: DataFrame, group: str, amount: str) -> DataFrame:
+    """The feature table with its ratio to the group median taken from other medians."""
+    known = with_group_statistic(features, medians, group)
+    return known.withColumn("amount_vs_product_median", ratio(amount, MEDIAN)).drop(MEDIAN)
+
+
 def train(
     features: DataFrame,
     names: Sequence[str] = tuple(MODEL_PARAMS),
@@ -198,7 +205,8 @@ def train(
 ) -> dict[str, Trained]:
     """Fit each model on the same split, take the threshold from its training scores, evaluate on the held-out rows.
 
-    ``stats_from``: medians over ``all`` rows (what the gold table uses) or over ``train`` rows only.
+    ``stats_from``: medians over ``all`` rows, as in the gold table, or over the ``train`` rows only; the ratio to the
+    median is then computed anew, so that training and serving use the same medians.
     """
     if stats_from not in ("all", "train"):
         raise ValueError(f"stats_from must be all or train, got {stats_from!r}")
@@ -208,10 +216,13 @@ def train(
     if wide:
         raise ValueError(f"more than {MAX_CATEGORIES} categories in {wide}")
     split = lineage_cut(stratified_split(data, TARGET, key, test_size, seed))
+    in_training = split if stats_from == "all" else split.filter("NOT is_test")
+    medians = lineage_cut(group_medians(in_training, group, amount))
+    if stats_from == "train":
+        split = lineage_cut(relative_to(split, medians, group, amount))
     train_rows = split.filter("NOT is_test")
     weights = class_weights(train_rows)
     sizes = split.agg(F.count_if(~F.col("is_test")).alias("a"), F.count_if("is_test").alias("b")).first()
-    medians = lineage_cut(group_medians(split if stats_from == "all" else train_rows, group, amount))
     source = fingerprint(data)
 
     result = {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -33,7 +34,7 @@ class Storage:
     def __post_init__(self) -> None:
         if self.mode not in ("path", "table"):
             raise ValueError(f"mode must be path or table, got {self.mode!r}")
-        if self.mode == "table" and self.base.count(".") != 1:
+        if self.mode == "table" and not re.fullmatch(r"[^.\s]+\.[^.\s]+", self.base):
             raise ValueError(f"a table base is catalog.schema, got {self.base!r}")
         if self.fmt not in FORMATS:
             raise ValueError(f"format must be one of {FORMATS}, got {self.fmt!r}")
