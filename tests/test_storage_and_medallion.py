@@ -1,5 +1,6 @@
 import json
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -214,7 +215,8 @@ def test_command_line(spark, small, folder, capsys):
 
 
 def test_configuration():
-    assert MedallionConfig().raw == "data/raw"
+    assert MedallionConfig().raw == str(Path("data/raw").resolve())
+    assert MedallionConfig("s3://lake/").raw == "s3://lake/raw"
     assert MedallionConfig(tables="main.claims").raw == "/Volumes/main/claims/raw"
     assert MedallionConfig(raw_dir="/x").raw == "/x"
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -123,16 +124,21 @@ class MedallionConfig:
     limit: float = MAX_QUARANTINE_RATE
     single_line: bool = False
 
+    @property
+    def root(self) -> str:
+        """The base folder; a plain local path is made absolute, a URI is left as it is."""
+        return self.base_path if "://" in self.base_path else os.path.abspath(self.base_path)
+
     @property
     def raw(self) -> str:
         if self.raw_dir:
             return self.raw_dir
         if self.tables:
             return "/Volumes/" + self.tables.replace(".", "/") + "/raw"
-        return f"{self.base_path.rstrip('/')}/raw"
+        return f"{self.root.rstrip('/')}/raw"
 
     def layers(self, spark: SparkSession) -> Layers:
-        return CatalogLayers(spark, self.tables) if self.tables else Snapshots(spark, self.base_path)
+        return CatalogLayers(spark, self.tables) if self.tables else Snapshots(spark, self.root)
 
 
 def main(argv: Sequence[str] | None = None) -> int:
