@@ -21,7 +21,6 @@ def spark(tmp_path_factory: pytest.TempPathFactory) -> SparkSession:
         master="local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
-            "spark.checkpoint.dir": str(shared / "checkpoints"),
             "spark.sql.warehouse.dir": str(shared / "warehouse"),
             "spark.driver.memory": "4g",
         },

@@ -225,4 +225,23 @@ def test_scratch_lives_in_the_shared_folder(spark):
     folder = f"{shared_dir(spark)}/trustlake/{spark.sparkContext.applicationId}"
     assert work_dir(spark, "a").startswith(f"{folder}/a-")
     assert work_dir(spark, "a") != work_dir(spark, "a")
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert configured is None or shared_dir(spark) == configured
+
+
+def test_a_cluster_without_shared_folder_is_refused():
+    class Unset:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Unset(), Context()
+
+    with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
+        shared_dir(Session())
