@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from trustlake.llm.contamination import contained_items
 from trustlake.llm.exact_dedup import classify
+from trustlake.llm.packing import pack
+from trustlake.llm.quality import classify_quality, fit
 from trustlake.llm.simhash import near_groups
+from trustlake.llm.token_files import read_digests, write_token_files
+from trustlake.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,11 +35,59 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return classify_quality(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
+def plain_words_sql(text: str) -> str:
+    """SQL of the words of a text: runs of digits, ASCII letters (lower-cased) and non-ASCII characters."""
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+CONTAINED_ITEMS = f"""
+WITH items AS (SELECT DISTINCT item_id, {plain_words_sql("text")} AS w FROM benchmark),
+wanted AS (
+  SELECT DISTINCT item_id, least(5, len(w)) AS width,
+         unnest(list_transform(range(1, len(w) - least(5, len(w)) + 2),
+                               lambda i: array_to_string(w[i:i + least(5, len(w)) - 1], ' '))) AS shingle
+  FROM items WHERE len(w) > 0),
+docs AS (SELECT doc_id, {plain_words_sql("text")} AS w FROM documents),
+held AS (
+  SELECT DISTINCT doc_id, width,
+         unnest(list_transform(range(1, len(w) - width + 2), lambda i: array_to_string(w[i:i + width - 1], ' '))) AS shingle
+  FROM docs, (SELECT DISTINCT width FROM wanted)),
+sizes AS (SELECT item_id, count(*) AS item_shingles FROM wanted GROUP BY item_id),
+met AS (SELECT doc_id, item_id, count(*) AS matched FROM wanted JOIN held USING (width, shingle) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, item_shingles, matched, matched / item_shingles AS containment
+FROM met JOIN sizes USING (item_id) WHERE 10 * matched >= 8 * item_shingles"""
+
+
+@query("op4_benchmark_decontamination", CONTAINED_ITEMS)
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_token_files")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "tokens")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    manifest = write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer)
+    return read_digests(manifest, folder)
+
+
 @query("op8_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op9_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 EXACT_COPIES = r"""
 WITH rows AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
