@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trustlake.llm.contamination import contained_items
 from trustlake.llm.exact_dedup import classify
+from trustlake.llm.html_text import extract_pages
+from trustlake.llm.licenses import scan_licenses
 from trustlake.llm.packing import pack
 from trustlake.llm.quality import classify_quality, fit
+from trustlake.llm.secrets_scan import scan_secrets
 from trustlake.llm.simhash import near_groups
+from trustlake.llm.token_counts import count_tokens
 from trustlake.llm.token_files import read_digests, write_token_files
 from trustlake.session import work_dir
 
@@ -35,12 +39,22 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
 @query("op2_quality_classifier")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return classify_quality(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
+@query("op3_secret_scan")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def plain_words_sql(text: str) -> str:
     """SQL of the words of a text: runs of digits, ASCII letters (lower-cased) and non-ASCII characters."""
     lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -78,6 +92,16 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(manifest, folder)
 
 
+@query("op6_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query("op7_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op8_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
