@@ -128,7 +128,7 @@ def pairs(text: str) -> Iterator[tuple[str, list[Literal]]]:
                 whole = _BARE.match(text, start)
                 if kind == "name" and value in known:
                     parts += known[value]
-                elif not parts and any(c.isdigit() for c in whole[0]):
+                elif not parts and whole and any(c.isdigit() for c in whole[0]):
                     parts.append(Literal(start, whole.end(), whole[0]))
                     skip_to = whole.end()
                 plus = adjacent = False
