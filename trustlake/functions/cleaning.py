@@ -25,9 +25,9 @@ def null_if_blank(column: Column) -> Column:
 
 
 def is_finite(column: str) -> str:
-    """SQL condition: the number is neither NaN nor infinite. ``NaN > 0`` holds in Spark, so a plain range rule
-    lets NaN through."""
-    return f"NOT isnan({column}) AND abs({column}) < double('Infinity')"
+    """SQL condition: the number is neither NaN nor infinite. ``NaN > 0`` holds in SQL engines, so a plain range rule
+    lets NaN through; the difference of a number with itself is 0 for finite ones only."""
+    return f"{column} - {column} = 0"
 
 
 @dataclass(frozen=True)
@@ -71,9 +71,10 @@ def require_columns(df: DataFrame, needed: Iterable[str], table: str = "input")
     """Fail on the driver, before any job, when columns are missing."""
     missing = sorted(set(needed) - set(df.columns))
     if missing:
-        raise ValueError(f"{table} is missing columns: {missing}")
+        raise ValueError(f"{table} lacks the columns {', '.join(missing)}")
 
 
 def as_double(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """All the named columns as double, the others untouched."""
-    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+    doubles = {c: F.col(c).cast("double") for c in columns}
+    return df.withColumns(doubles) if doubles else df

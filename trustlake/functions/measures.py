@@ -26,18 +26,23 @@ def month_of(column: str | Column) -> Column:
 def money(column: str | Column) -> Column:
     """An amount as a decimal, so that its sum does not depend on the order in which partitions arrive.
 
-    NaN and infinity count as missing.
+    Amounts count in millionths. NaN, infinities and amounts of 10^22 or more have no such decimal.
     """
     return _column(column).try_cast(MONEY_TYPE)
 
 
+def _complete_total(column: str | Column) -> Column:
+    """The sum, or NULL where some amount has no decimal: never the sum of a part."""
+    missing = F.count(_column(column)) - F.count(money(column))
+    return F.when(missing == 0, F.sum(money(column)))
+
+
 def money_sum(column: str | Column, digits: int = 2) -> Column:
-    return F.round(F.sum(money(column)), digits).cast("double")
+    return F.round(_complete_total(column), digits).cast("double")
 
 
 def money_avg(column: str | Column, digits: int = 2) -> Column:
-    total = F.sum(money(column))
-    return F.round(F.try_divide(total, F.count(money(column))), digits).cast("double")
+    return F.round(F.try_divide(_complete_total(column), F.count(money(column))), digits).cast("double")
 
 
 def logistic_score(terms: Sequence[tuple[str | Column, float]], intercept: float) -> Column:

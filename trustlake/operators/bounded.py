@@ -1,4 +1,4 @@
-"""Small frames, proven small before they are broadcast."""
+"""Frames of a handful of rows."""
 
 from __future__ import annotations
 
@@ -10,20 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-MAX_LOOKUP_ROWS = 10_000
-
-
-def bounded_lookup(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
-    """``df`` as a broadcast literal table if it has at most ``max_rows`` rows, otherwise unchanged and unhinted.
-
-    The size is measured, not assumed: at most one row more than the bound is ever fetched.
-    """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
-
-
 def few_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
     """A handful of driver-side rows as a local table that needs no Python worker."""
     schema = StructType.fromDDL(ddl)

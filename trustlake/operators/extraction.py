@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +26,8 @@ FLAGS = ("injury_mentioned", "third_party_involved")
 EXTRACTION = (*FIELDS, "summary", "extractor", "needs_manual_review")
 KEY = "text_key"
 MAX_ATTEMPTS = 2
+#: Of a reader's error, what the next reading is told.
+ERROR_CHARS = 500
 
 # What is reported when no answer could be read, and when keyword rules were used.
 KEYWORD_EXTRACTOR = "fake"
@@ -67,16 +69,37 @@ def keyword_extractor(words: KeywordTable = CLAIM_WORDS) -> Extractor:
     return extract
 
 
-def batch_extractor(name: str, read_batch: Callable) -> Extractor:
-    """An extractor around a user's function from a pandas frame (text_key, text) to (text_key, *FIELDS, summary)."""
-    schema = (
-        f"{KEY} string, damage_type string, urgency string, injury_mentioned boolean, third_party_involved boolean, "
-        "summary string"
-    )
+def batch_extractor(name: str, read_batch: Callable, attempts: int = MAX_ATTEMPTS) -> Extractor:
+    """An extractor around a user's reader.
+
+    ``read_batch`` takes a pandas frame (text_key, text, last_error) and returns one of (text_key, answer), the answers
+    being JSON texts. Every answer is checked by the answer rules. Texts without a valid answer are read again, with the
+    names of the broken rules, or the reader's own error, as ``last_error`` (NULL at first); after ``attempts`` readings
+    the fallback stands and the text is left to people. A reader that raises fails its batch only. Each round's answers
+    are stored, so no text is read more often than that.
+    """
+
+    def read(frames: Iterator) -> Iterator:
+        for frame in frames:
+            try:
+                given = read_batch(frame)[[KEY, "answer"]].assign(reader_error=None)
+                # an answer to a question that was not asked is none
+                yield frame[[KEY]].merge(given.drop_duplicates(KEY), on=KEY, how="left")
+            except Exception as error:  # noqa: BLE001 - whatever a user's reader raises is a failed reading
+                yield frame[[KEY]].assign(answer=None, reader_error=f"{type(error).__name__}: {error}"[:ERROR_CHARS])
 
     def extract(texts: DataFrame) -> DataFrame:
-        read = texts.select(KEY, "text").mapInPandas(lambda frames: (read_batch(f) for f in frames), schema)
-        return read.select("*", F.lit(name).alias("extractor"), F.lit(False).alias("needs_manual_review"))
+        waiting = texts.select(KEY, "text", F.lit(None).cast("string").alias("last_error"))
+        answers = None
+        for attempt in range(1, attempts + 1):
+            raw = waiting.mapInPandas(read, f"{KEY} string, answer string, reader_error string")
+            read_once = lineage_cut(read_answers(raw).withColumn("attempt", F.lit(attempt)))
+            answers = read_once if answers is None else answers.unionByName(read_once)
+            if attempt < attempts:
+                error = F.coalesce("reader_error", F.array_join(FAILED, ", "))
+                failed = read_once.filter(F.size(FAILED) > 0).select(KEY, error.alias("last_error"))
+                waiting = texts.select(KEY, "text").join(failed, KEY)
+        return _first_valid(texts, answers, f"{name}", KEY)
 
     return extract
 
@@ -141,8 +164,12 @@ def first_valid_answers(
     ``answers`` has (key, attempt, answer). The choice is an aggregate, so any number of answers per key is folded
     before it is shuffled.
     """
+    return _first_valid(keys, read_answers(answers.filter(F.col("attempt") <= attempts)), extractor, on)
+
+
+def _first_valid(keys: DataFrame, read: DataFrame, extractor: str, on: str) -> DataFrame:
+    """The choice among answers that have been read and checked."""
     fields = [*FIELDS, "summary"]
-    read = read_answers(answers.filter(F.col("attempt") <= attempts))
     # a condition inside the aggregate, not a filter: a filter would be pushed below the parsing and repeat it per rule
     valid = F.when(F.size(FAILED) == 0, F.struct("attempt", *fields))
     best = read.groupBy(on).agg(F.min(valid).alias("_best"))
@@ -207,18 +234,23 @@ def triage(scored: DataFrame, extracted: DataFrame, key: str = "claim_id") -> Da
 
 
 def _right(field: str) -> Column:
-    return F.col(f"got_{field}").eqNullSafe(F.col(f"expected_{field}"))
+    return ~F.col("unanswered") & F.col(f"got_{field}").eqNullSafe(F.col(f"expected_{field}"))
 
 
 def compare_with_labels(got: DataFrame, expected: DataFrame, on: str, keep: Sequence[str] = ()) -> DataFrame:
-    """(key, expected_*, got_*, *keep): predictions next to their labels."""
+    """(key, expected_*, got_*, *keep): predictions next to their labels; a case without a prediction keeps NULLs."""
     left = expected.select(on, *keep, *(F.col(f).alias(f"expected_{f}") for f in FIELDS))
     right = got.select(on, "needs_manual_review", *(F.col(f).alias(f"got_{f}") for f in FIELDS))
-    return left.join(right, on)
+    joined = left.join(right.withColumn("_answered", F.lit(True)), on, "left")
+    unread = F.col("_answered").isNull()
+    # nobody has read such a case, so somebody has to
+    return joined.withColumn("needs_manual_review", F.coalesce("needs_manual_review", F.lit(True))).select(
+        "*", unread.alias("unanswered")
+    ).drop("_answered")
 
 
-def extraction_accuracy(compared: DataFrame, group: str, digits: int = 4) -> DataFrame:
-    """Share of right fields, per group and over ``all`` rows, from one aggregate."""
+def extraction_accuracy(compared: DataFrame, group: str | None = None, digits: int = 4) -> DataFrame:
+    """Share of right fields over all rows, or per group. A case without a prediction counts as wrong in every field."""
     every = F.lit(True)
     for f in FIELDS:
         every = every & _right(f)
@@ -226,15 +258,12 @@ def extraction_accuracy(compared: DataFrame, group: str, digits: int = 4) -> Dat
     def share(condition: Column, name: str) -> Column:
         return F.round(F.avg(condition.cast("int")), digits).alias(name)
 
-    measured = compared.rollup(group).agg(
-        F.grouping(group).alias("_is_total"),
+    return compared.groupBy(*([group] if group else [])).agg(
         F.count(F.lit(1)).alias("cases"),
         *(share(_right(f), f"accuracy_{f}") for f in FIELDS),
         share(every, "accuracy_all_fields"),
         share(F.col("needs_manual_review"), "manual_review_rate"),
     )
-    name = F.when(F.col("_is_total") == 1, F.lit("all")).otherwise(F.col(group))
-    return measured.withColumn(group, name).drop("_is_total")
 
 
 def extraction_errors(compared: DataFrame, on: str) -> DataFrame:

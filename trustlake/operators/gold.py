@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trustlake.functions.measures import days_between, logistic_score, money_avg, money_sum, month_of, ratio
-from trustlake.operators.bounded import bounded_lookup
-from trustlake.operators.selection import DIRECT_LIMIT, group_quantile
+from trustlake.operators.selection import group_quantile, null_safe_join
 from trustlake.session import lineage_cut
 
 # The feature columns, in the order in which models expect them.
@@ -26,6 +25,8 @@ NUMERIC = (
 FEATURES = CATEGORICAL + NUMERIC
 TARGET = "is_fraud"
 MEDIAN = "product_median"
+#: How many unknown products an error names.
+NAMED_STRANGERS = 20
 
 
 # --- roll-ups ----------------------------------------------------------------------------------------------------
@@ -81,21 +82,14 @@ def monthly_rollup(monthly: DataFrame) -> DataFrame:
 # --- features ----------------------------------------------------------------------------------------------------
 
 
-def group_medians(
-    df: DataFrame, group: str = "product", amount: str = "claim_amount", direct_limit: int = DIRECT_LIMIT
-) -> DataFrame:
+def group_medians(df: DataFrame, group: str = "product", amount: str = "claim_amount") -> DataFrame:
     """(group, product_median): the statistic that training computes and scoring loads."""
-    return group_quantile(df, [group], amount, 0.5, MEDIAN, direct_limit)
+    return group_quantile(df, [group], amount, 0.5, MEDIAN)
 
 
 def with_group_statistic(df: DataFrame, stats: DataFrame, group: str = "product") -> DataFrame:
-    """Attach a per-group statistic; rows of a group without one get NULL.
-
-    The statistics are broadcast only when they are measured to be small.
-    """
-    others = [c for c in stats.columns if c != group]
-    lookup = bounded_lookup(stats.select(F.col(group).alias("_group"), *others))
-    return df.join(lookup, F.col(group).eqNullSafe(F.col("_group")), "left").drop("_group")
+    """Attach a per-group statistic; rows of a group without one get NULL. No hint: AQE knows the statistics' true size."""
+    return null_safe_join(df, stats, [group], "left")
 
 
 def unknown_groups(df: DataFrame, stats: DataFrame, group: str = "product") -> DataFrame:
@@ -111,14 +105,15 @@ def claim_features(
     The same code serves training (``medians`` computed from the data) and scoring (``medians`` loaded with the model).
     ``on_unknown``: ``raise`` refuses products without a median, ``keep`` leaves their ratio NULL.
     """
-    known = bounded_lookup(medians)
     if on_unknown == "raise":
-        strangers = [row[0] for row in unknown_groups(records, known).limit(20).collect()]
+        strangers = [row[0] for row in unknown_groups(records, medians).limit(NAMED_STRANGERS + 1).collect()]
         if strangers:
-            raise ValueError(f"No median for product(s) {sorted(map(str, strangers))}: the model has not seen them")
+            more = " and others" if len(strangers) > NAMED_STRANGERS else ""
+            named = ", ".join(sorted(map(str, strangers[:NAMED_STRANGERS])))
+            raise ValueError(f"the model was trained without these products: {named}{more}")
     elif on_unknown != "keep":
         raise ValueError(f"on_unknown must be raise or keep, got {on_unknown!r}")
-    return feature_columns(with_group_statistic(records, known), keep)
+    return feature_columns(with_group_statistic(records, medians), keep)
 
 
 def feature_columns(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -144,20 +139,26 @@ def claim_records(claims: DataFrame, policies: DataFrame) -> DataFrame:
     return claims.join(policies, "policy_id")
 
 
-def fraud_features(claims: DataFrame, policies: DataFrame, direct_limit: int = DIRECT_LIMIT) -> DataFrame:
-    """The training table: every claim of a known policy, relative to the median over all of them."""
-    records = claim_records(claims, policies)
-    # the statistic needs several passes over two columns of the join: store those two, not the whole join
-    medians = group_medians(lineage_cut(records.select("product", "claim_amount")), direct_limit=direct_limit)
-    return claim_features(records, medians, on_unknown="keep")
+def fraud_features(claims: DataFrame, policies: DataFrame) -> DataFrame:
+    """The training table: every claim of a known policy, relative to the median over all of them.
+
+    The join of claims and policies is stored once, with the columns that features need; both the medians and the
+    features read it from there.
+    """
+    records = lineage_cut(
+        claim_records(
+            claims.select("claim_id", "policy_id", "incident_date", "report_date", "claim_amount", "channel", TARGET),
+            policies.select("policy_id", "product", "region", "customer_age", "start_date", "annual_premium"),
+        )
+    )
+    return claim_features(records, group_medians(records), on_unknown="keep")
 
 
-# Weights of the three red flags in the label formula, and the typical amount per product.
+# Weights of the three red flags in the label formula.
 RED_FLAG_INTERCEPT = -4.0
 EARLY_WEIGHT = 1.8
 BIG_WEIGHT = 2.0
 LATE_WEIGHT = 1.2
-TYPICAL_AMOUNT = {"auto": 1800, "home": 2500, "travel": 600, "health": 900}
 
 
 def red_flag_score(early: str | Column, big: str | Column, late: str | Column) -> Column:

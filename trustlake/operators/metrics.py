@@ -2,80 +2,38 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trustlake.operators.bounded import bounded_lookup, side_by_side
-from trustlake.operators.selection import group_quantile
-from trustlake.session import lineage_cut
-
-ROWS_PER_BUCKET = 200_000
-MAX_BUCKETS = 5_000
-
-
-def _counts_by_score(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Positives and negatives per distinct score; equal scores, however many, become one row on the map side."""
-    return (
-        df.select(F.col(score).cast("double").alias("_s"), F.col(label).cast("int").alias("_y"))
-        .filter("_s IS NOT NULL AND _y IS NOT NULL")
-        .groupBy("_s")
-        .agg(F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg"))
-    )
+from trustlake.operators.bounded import side_by_side
+from trustlake.operators.selection import group_quantile, prefix_sums
 
 
-def _cut_points(by_score: DataFrame, rows_per_bucket: int) -> list[float]:
-    """Scores that divide the table into ranges of about equal size: a bounded list, empty for a small table."""
-    wanted = min(MAX_BUCKETS, math.ceil(by_score.count() / rows_per_bucket))
-    if wanted <= 1:
-        return []
-    points = [i / wanted for i in range(1, wanted)]
-    return sorted(set(by_score.agg(F.percentile_approx("_s", points, 10 * MAX_BUCKETS)).first()[0]))
-
-
-def _with_offsets(by_score: DataFrame, cuts: list[float]) -> DataFrame:
-    """Add the range of every score, the totals of the ranges below it, and the grand totals."""
-    if not cuts:
-        totals = by_score.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-        constants = {"_pos_before": 0, "_neg_before": 0, "positives": totals.p, "negatives": totals.n}
-        numbers = {name: F.lit(value).cast("long") for name, value in constants.items()}
-        return by_score.withColumns({"_bucket": F.lit(0.0), **numbers})
-    splits = [-math.inf, *cuts, math.inf]
-    bucketed = Bucketizer(splits=splits, inputCol="_s", outputCol="_bucket").transform(by_score)
-    ranges = bucketed.groupBy("_bucket").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
-    # windows over the ranges, of which there are at most MAX_BUCKETS
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(F.lit(1))
-    offsets = ranges.select(
-        "_bucket",
-        F.coalesce(F.sum("_pos").over(before), F.lit(0)).alias("_pos_before"),
-        F.coalesce(F.sum("_neg").over(before), F.lit(0)).alias("_neg_before"),
-        F.sum("_pos").over(everything).alias("positives"),
-        F.sum("_neg").over(everything).alias("negatives"),
-    )
-    return bucketed.join(bounded_lookup(offsets, MAX_BUCKETS + 1), "_bucket")
+def known_score(score: str) -> Column:
+    """A score that can be ranked; NaN counts as missing."""
+    value = F.col(score).cast("double")
+    return F.when(~F.isnan(value), value)
 
 
-def running_counts(df: DataFrame, score: str, label: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def running_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score: ``pos``, ``neg``, the numbers strictly below it, and both grand totals.
 
-    A global prefix sum in two levels: a window inside every score range, plus the totals of the ranges before it.
+    Rows without a score or a label do not count. Equal scores, however many, become one row on the map side.
     """
-    by_score = lineage_cut(_counts_by_score(df, score, label))
-    placed = _with_offsets(by_score, _cut_points(by_score, rows_per_bucket))
-    inside = Window.partitionBy("_bucket").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        placed.withColumn("pos_below", F.col("_pos_before") + F.coalesce(F.sum("pos").over(inside), F.lit(0)))
-        .withColumn("neg_below", F.col("_neg_before") + F.coalesce(F.sum("neg").over(inside), F.lit(0)))
-        .select(F.col("_s").alias("score"), "pos", "neg", "pos_below", "neg_below", "positives", "negatives")
+    by_score = (
+        df.select(known_score(score).alias("score"), F.col(label).cast("int").alias("_y"))
+        .filter("score IS NOT NULL AND _y IS NOT NULL")
+        .groupBy("score")
+        .agg(F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg"))
     )
+    placed = prefix_sums(by_score, [], "score", ["pos", "neg"])
+    renamed = {"pos_before": "pos_below", "neg_before": "neg_below", "pos_total": "positives", "neg_total": "negatives"}
+    return placed.withColumnsRenamed(renamed)
 
 
-def ranking_metrics(df: DataFrame, score: str, label: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def ranking_metrics(df: DataFrame, score: str, label: str) -> DataFrame:
     """One row: ``roc_auc`` (ties count half) and ``average_precision`` (step-wise area over distinct thresholds)."""
-    running = running_counts(df, score, label, rows_per_bucket)
+    running = running_counts(df, score, label)
     flagged_pos = F.col("positives") - F.col("pos_below")
     flagged_all = flagged_pos + F.col("negatives") - F.col("neg_below")
     beaten = F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / F.lit(2.0))
@@ -106,9 +64,9 @@ def confusion(df: DataFrame, flag: str, label: str) -> DataFrame:
 
 
 def flag_metrics(df: DataFrame, flag: str, label: str) -> DataFrame:
-    """One row of count metrics; precision is 0 where nothing was flagged."""
+    """One row of count metrics over the rows that have a label and a flag; precision is 0 where nothing was flagged."""
     hit = F.count_if((F.col(label) == 1) & F.col(flag))
-    counts = df.filter(F.col(label).isNotNull()).agg(
+    counts = df.filter(F.col(label).isNotNull() & F.col(flag).isNotNull()).agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if(F.col(label) == 1).alias("_p"),
         F.count_if(F.col(flag)).alias("_f"),
@@ -130,7 +88,7 @@ def flag_metrics(df: DataFrame, flag: str, label: str) -> DataFrame:
 
 def evaluate(df: DataFrame, score: str, label: str, threshold: float, digits: int = 4) -> DataFrame:
     """All metrics of one scored table at one threshold, rounded; one row."""
-    flagged = df.withColumn("_flag", F.col(score) >= F.lit(threshold))
+    flagged = df.withColumn("_flag", known_score(score) >= F.lit(threshold))
     both = ranking_metrics(df, score, label).withColumnRenamed("average_precision", "pr_auc")
     pair = side_by_side(both, flag_metrics(flagged, "_flag", label))
     return pair.select(*(F.round(c, digits).alias(c) for c in pair.columns))
@@ -138,4 +96,5 @@ def evaluate(df: DataFrame, score: str, label: str, threshold: float, digits: in
 
 def review_threshold(df: DataFrame, score: str, review_rate: float) -> float:
     """The score above which about ``review_rate`` of the rows lie (interpolated quantile)."""
-    return group_quantile(df, [], score, 1 - review_rate, "threshold").first()["threshold"]
+    scores = df.select(known_score(score).alias("_score"))
+    return group_quantile(scores, [], "_score", 1 - review_rate, "threshold").first()["threshold"]

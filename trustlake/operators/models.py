@@ -7,8 +7,9 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,6 @@ from trustlake.operators.selection import stratified_split
 from trustlake.session import lineage_cut, shared_dir, work_dir
 
 DEFAULT_REVIEW_RATE = 0.05
-MAX_CATEGORIES = 10_000
 WEIGHT = "_weight"
 VALIDATION = "_validation"
 SCORE = "fraud_score"
@@ -62,50 +62,54 @@ def with_weight(df: DataFrame, weights: Mapping[int, float], label: str = TARGET
     return df.withColumn(WEIGHT, F.when(F.col(label) == 1, F.lit(weights[1])).otherwise(F.lit(weights[0])))
 
 
-def one_hot(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    """One 0/1 column per known value; an unknown or missing value is zero everywhere."""
-    hits = {f"{column}_{v}": F.coalesce((F.col(column) == v).cast("int"), F.lit(0)) for v in values}
-    return df.withColumns(hits)
+def preparation(categorical: Sequence[str], numeric: Sequence[str], rows: int) -> list:
+    """Stages that turn the columns into vectors: one 0/1 place per known category (none for an unknown one), numbers with
+    missing ones replaced by the median, and numbers as distances from the mean in population standard deviations.
+
+    ``rows`` is the number of rows that the stages are fitted on: Spark's scaler divides by the sample deviation, which the
+    factor after it turns into the population's.
+    """
+    codes, hot = [f"{c}_code" for c in categorical], [f"{c}_hot" for c in categorical]
+    filled = [f"{c}_filled" for c in numeric]
+    stages: list = []
+    if categorical:
+        stages += [
+            StringIndexer(inputCols=list(categorical), outputCols=codes, handleInvalid="keep"),
+            # the slot dropped is the one for unknown values
+            OneHotEncoder(inputCols=codes, outputCols=hot, dropLast=True),
+        ]
+    if numeric:
+        factor = (rows / (rows - 1)) ** 0.5 if rows > 1 else 1.0
+        stages += [
+            Imputer(inputCols=list(numeric), outputCols=filled, strategy="median"),
+            VectorAssembler(inputCols=filled, outputCol="numbers"),
+            StandardScaler(inputCol="numbers", outputCol="in_sample_deviations", withMean=True, withStd=True),
+            ElementwiseProduct(
+                inputCol="in_sample_deviations", outputCol="scaled", scalingVec=Vectors.dense([factor] * len(numeric))
+            ),
+        ]
+    return stages
 
 
-def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace the columns by their distance from the mean in population standard deviations."""
-    moments = df.agg(
-        *(F.avg(c).alias(f"m:{c}") for c in columns),
-        *(F.stddev_pop(c).alias(f"s:{c}") for c in columns),
-    ).first()
-    scaled = {c: (F.col(c) - F.lit(moments[f"m:{c}"])) / F.lit(moments[f"s:{c}"] or 1.0) for c in columns}
-    return df.withColumns(scaled)
+def vector_columns(categorical: Sequence[str], numeric: Sequence[str]) -> list[str]:
+    return [*(f"{c}_hot" for c in categorical), *(["numbers", "scaled"] if numeric else [])]
 
 
-def build_estimator(
+def classifier(
     name: str,
     weight_sum: float,
     params: Mapping | None = None,
     categorical: Sequence[str] = CATEGORICAL,
     numeric: Sequence[str] = NUMERIC,
-) -> Pipeline:
-    """Preparation and classifier as one object, so that scoring prepares its input exactly as training did."""
+) -> list:
+    """The stages from the prepared vectors to scores."""
     if name not in MODEL_PARAMS:
-        raise ValueError(f"Unknown model: {name}")
+        raise ValueError(f"no model family is called {name}; there are {', '.join(MODEL_PARAMS)}")
     settings = {**MODEL_PARAMS[name], **(params or {})}
-    codes, hot = [f"{c}_code" for c in categorical], [f"{c}_hot" for c in categorical]
-    filled = [f"{c}_filled" for c in numeric]
-    stages = []
-    if categorical:
-        stages += [
-            StringIndexer(inputCols=list(categorical), outputCols=codes, handleInvalid="keep"),
-            # the slot dropped is the one for unknown values
-            OneHotEncoder(inputCols=codes, outputCols=hot, dropLast=True),
-        ]
-    stages += [
-        Imputer(inputCols=list(numeric), outputCols=filled, strategy="median"),
-        VectorAssembler(inputCols=filled, outputCol="numbers"),
-    ]
+    hot = [f"{c}_hot" for c in categorical]
     if name == "logistic_regression":
-        stages += [
-            StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
-            VectorAssembler(inputCols=[*hot, "scaled"], outputCol="features"),
+        return [
+            VectorAssembler(inputCols=[*hot, *(["scaled"] if numeric else [])], outputCol="features"),
             LogisticRegression(
                 labelCol=TARGET,
                 weightCol=WEIGHT,
@@ -116,23 +120,21 @@ def build_estimator(
                 standardization=False,
             ),
         ]
-    else:
-        stages += [
-            VectorAssembler(inputCols=[*hot, "numbers"], outputCol="features"),
-            GBTClassifier(
-                labelCol=TARGET,
-                weightCol=WEIGHT,
-                stepSize=settings["learning_rate"],
-                maxIter=settings["max_iter"],
-                maxDepth=settings["max_depth"],
-                maxBins=255,
-                minInstancesPerNode=20,
-                seed=settings["seed"],
-                validationIndicatorCol=VALIDATION,
-                validationTol=settings["validation_tol"],
-            ),
-        ]
-    return Pipeline(stages=stages)
+    return [
+        VectorAssembler(inputCols=[*hot, *(["numbers"] if numeric else [])], outputCol="features"),
+        GBTClassifier(
+            labelCol=TARGET,
+            weightCol=WEIGHT,
+            stepSize=settings["learning_rate"],
+            maxIter=settings["max_iter"],
+            maxDepth=settings["max_depth"],
+            maxBins=255,
+            minInstancesPerNode=20,
+            seed=settings["seed"],
+            validationIndicatorCol=VALIDATION,
+            validationTol=settings["validation_tol"],
+        ),
+    ]
 
 
 def without_summary(model: PipelineModel, path: str) -> PipelineModel:
@@ -168,21 +170,16 @@ class Trained:
     n_test: int
     medians: DataFrame
     fingerprint: dict = field(default_factory=dict)
+    n_unlabelled: int = 0
 
 
 def fingerprint(df: DataFrame) -> dict:
-    """Row count and an order-independent checksum of the content."""
-    row = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("checksum")
-    ).first()
+    """Row count and an order-independent checksum of the content; a NULL counts as a value of its place."""
+    whole = F.xxhash64(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(whole.cast("decimal(38,0)")).alias("checksum")).first()
     return {"rows": row["rows"], "checksum": str(row["checksum"] if row["checksum"] is not None else 0)}
 
 
-def _too_many_categories(df: DataFrame, categorical: Sequence[str]) -> list[str]:
-    counts = df.agg(*(F.approx_count_distinct(c).alias(c) for c in categorical)).first()
-    return [c for c in categorical if counts[c] > MAX_CATEGORIES]
-
-
 def relative_to(features: DataFrame, medians: DataFrame, group: str, amount: str) -> DataFrame:
     """The feature table with its ratio to the group median taken from other medians."""
     known = with_group_statistic(features, medians, group)
@@ -207,15 +204,21 @@ def train(
 
     ``stats_from``: medians over ``all`` rows, as in the gold table, or over the ``train`` rows only; the ratio to the
     median is then computed anew, so that training and serving use the same medians.
+
+    Rows without a label are left out and counted. The preparation is fitted once and its vectors are stored; every model
+    is fitted on those.
     """
     if stats_from not in ("all", "train"):
         raise ValueError(f"stats_from must be all or train, got {stats_from!r}")
-    shared_dir(features.sparkSession)
+    for name in names:
+        classifier(name, 1.0)
+    spark = features.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:  # boosting cuts its own lineage there
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     data = prepare_features(features, categorical, numeric)
-    wide = _too_many_categories(data, categorical) if categorical else []
-    if wide:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in {wide}")
-    split = lineage_cut(stratified_split(data, TARGET, key, test_size, seed))
+    source = fingerprint(data)
+    labelled = data.filter(F.col(TARGET).isNotNull())
+    split = lineage_cut(stratified_split(labelled, TARGET, key, test_size, seed))
     in_training = split if stats_from == "all" else split.filter("NOT is_test")
     medians = lineage_cut(group_medians(in_training, group, amount))
     if stats_from == "train":
@@ -223,21 +226,22 @@ def train(
     train_rows = split.filter("NOT is_test")
     weights = class_weights(train_rows)
     sizes = split.agg(F.count_if(~F.col("is_test")).alias("a"), F.count_if("is_test").alias("b")).first()
-    source = fingerprint(data)
 
+    prepared = Pipeline(stages=preparation(categorical, numeric, sizes["a"])).fit(train_rows)
+    weighted = with_weight(prepared.transform(split), weights)
+    vectors = lineage_cut(weighted.select(key, *vector_columns(categorical, numeric), TARGET, WEIGHT, "is_test"))
     result = {}
     for name in names:
-        if name not in MODEL_PARAMS:
-            raise ValueError(f"Unknown model: {name}")
         chosen_params = (params or {}).get(name)
         share = {**MODEL_PARAMS[name], **(chosen_params or {})}.get("validation_share", 0.0)
-        weighted = with_weight(train_rows, weights).withColumn(VALIDATION, chosen(f"{seed}|validation", share, key))
-        estimator = build_estimator(name, float(sizes["a"]), chosen_params, categorical, numeric)
-        model = without_summary(estimator.fit(weighted), work_dir(features.sparkSession, name))
+        marked = vectors.withColumn(VALIDATION, chosen(f"{seed}|validation", share, key))
+        stages = classifier(name, float(sizes["a"]), chosen_params, categorical, numeric)
+        fitted = without_summary(Pipeline(stages=stages).fit(marked.filter("NOT is_test")), work_dir(spark, name))
         # every row is scored once; threshold and metrics read the stored scores
-        scored = lineage_cut(apply_model(model, split, SCORE).select(SCORE, TARGET, "is_test"))
+        scored = lineage_cut(apply_model(fitted, vectors, SCORE).select(SCORE, TARGET, "is_test"))
         threshold = review_threshold(scored.filter("NOT is_test"), SCORE, review_rate)
         metrics = evaluate(scored.filter("is_test"), SCORE, TARGET, threshold).first().asDict()
-        result[name] = Trained(name, model, threshold, metrics, sizes["a"], sizes["b"], medians, source)
+        model = PipelineModel([*prepared.stages, *fitted.stages])
+        unlabelled = source["rows"] - sizes["a"] - sizes["b"]
+        result[name] = Trained(name, model, threshold, metrics, sizes["a"], sizes["b"], medians, source, unlabelled)
     return result
-

@@ -30,7 +30,8 @@ def reconcile(left: DataFrame, right: DataFrame, key: Sequence[str], columns: Se
     """Compare two versions of a table key by key; one row per column with the number of keys that differ.
 
     Both sides go through one grouped aggregate instead of an outer join. Repeated keys are folded on the map side (the
-    smallest row of each side is compared), so no key can blow up into all pairs of its copies.
+    smallest row of each side is compared), so no key can blow up into all pairs of its copies; ``copies_left`` and
+    ``copies_right`` say how many rows were folded away.
     """
     key, columns = list(key), list(columns)
     sides = []
@@ -43,23 +44,36 @@ def reconcile(left: DataFrame, right: DataFrame, key: Sequence[str], columns: Se
                 (row if name == "r" else F.lit(None)).alias("_r"),
             )
         )
-    paired = sides[0].union(sides[1]).groupBy(*key).agg(F.min("_l").alias("_l"), F.min("_r").alias("_r"))
+    paired = (
+        sides[0]
+        .union(sides[1])
+        .groupBy(*key)
+        .agg(F.min("_l").alias("_l"), F.min("_r").alias("_r"), F.count("_l").alias("_nl"), F.count("_r").alias("_nr"))
+    )
     both = F.col("_l").isNotNull() & F.col("_r").isNotNull()
     counts = paired.agg(
         F.count_if(F.col("_r").isNull()).alias("only_left"),
         F.count_if(F.col("_l").isNull()).alias("only_right"),
         F.count_if(both).alias("compared"),
+        F.coalesce(F.sum(F.greatest(F.col("_nl") - 1, F.lit(0))), F.lit(0)).alias("copies_left"),
+        F.coalesce(F.sum(F.greatest(F.col("_nr") - 1, F.lit(0))), F.lit(0)).alias("copies_right"),
         *(F.count_if(both & ~F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}"))).alias(f"c:{c}") for c in columns),
     )
     lines = [F.struct(F.lit(c).alias("column"), F.col(f"`c:{c}`").alias("mismatches")) for c in columns]
-    return counts.select(F.inline(F.array(*lines)), "compared", "only_left", "only_right")
+    return counts.select(F.inline(F.array(*lines)), "compared", "only_left", "only_right", "copies_left", "copies_right")
 
 
 def conservation(source: DataFrame, key: str, checked: DataFrame) -> DataFrame:
-    """Nothing is lost: distinct keys of the source equal good plus bad rows. One row with both sides of the equation."""
-    keys = source.agg(F.count_distinct(key).alias("distinct_keys"))
+    """Nothing is lost: distinct keys of the source, plus its rows without a key, equal good plus bad rows.
+
+    One row with both sides of the equation. Rows without a key are no copies of each other, so each counts.
+    """
+    keys = source.agg(
+        F.count_distinct(key).alias("distinct_keys"), F.count_if(F.col(key).isNull()).alias("keyless_rows")
+    )
     outcomes = checked.agg(
         F.count_if(is_valid()).alias("valid_rows"), F.count_if(~is_valid()).alias("quarantined_rows")
     )
     both = side_by_side(keys, outcomes)
-    return both.withColumn("conserved", F.col("distinct_keys") == F.col("valid_rows") + F.col("quarantined_rows"))
+    kept = F.col("valid_rows") + F.col("quarantined_rows")
+    return both.withColumn("conserved", F.col("distinct_keys") + F.col("keyless_rows") == kept)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from trustlake.functions.cleaning import is_finite
+
 FAILED = "_failed_rules"
 VALID = "_is_valid"
 MAX_QUARANTINE_RATE = 0.05
@@ -150,15 +153,15 @@ class QualityGateError(RuntimeError):
 
     def __init__(self, ledger: Ledger, limit: float) -> None:
         super().__init__(
-            f"Quality gate failed for {ledger.dataset}: {ledger.quarantine_rate:.1%} of rows quarantined "
+            f"Quality gate failed for {ledger.dataset}: {ledger.quarantined_rows} of {ledger.total_rows} rows quarantined "
             f"(limit {limit:.0%}); nothing was published"
         )
         self.ledger = ledger
 
 
 def gate(ledger: Ledger, limit: float = MAX_QUARANTINE_RATE) -> None:
-    """Raise when the published (four-digit) quarantine rate exceeds the limit."""
-    if ledger.quarantine_rate > limit:
+    """Raise when more than the limit's share of the rows is quarantined; counts decide, not the rounded rate."""
+    if ledger.quarantined_rows > Fraction(str(limit)) * ledger.total_rows:
         raise QualityGateError(ledger, limit)
 
 
@@ -170,6 +173,7 @@ POLICY_RULES = (
     Rule("start_date_valid", "start_date IS NOT NULL", "the start is a calendar date"),
     Rule("end_after_start", "end_date > start_date", "a policy runs for at least a day"),
     Rule("premium_positive", "annual_premium > 0", "somebody pays for the policy"),
+    Rule("premium_finite", f"annual_premium IS NULL OR {is_finite('annual_premium')}", "own rule: NaN > 0 holds in SQL"),
 )
 
 KEY_PRESENT = Rule("claim_id_present", "claim_id IS NOT NULL", "a claim is found by its id")
@@ -180,6 +184,7 @@ CLAIM_RULES = (
     Rule("incident_date_valid", "incident_date IS NOT NULL", "the incident has a calendar date"),
     Rule("reported_after_incident", "report_date >= incident_date", "reports follow incidents"),
     Rule("policy_exists", "_policy_found", "the policy is known and itself valid"),
+    Rule("claim_amount_finite", f"claim_amount IS NULL OR {is_finite('claim_amount')}", "own rule: NaN > 0 holds in SQL"),
 )
 
 
@@ -199,8 +204,8 @@ def request_rules(
         Rule("region_known", member_of("region", regions)),
         Rule("channel_known", member_of("channel", channels)),
         Rule("age_in_range", "customer_age BETWEEN 18 AND 120"),
-        Rule("claim_amount_positive", "claim_amount > 0"),
-        Rule("premium_positive", "annual_premium > 0"),
+        Rule("claim_amount_positive", f"claim_amount > 0 AND {is_finite('claim_amount')}"),
+        Rule("premium_positive", f"annual_premium > 0 AND {is_finite('annual_premium')}"),
         Rule("start_date_valid", "policy_start_date IS NOT NULL"),
         Rule("incident_date_valid", "incident_date IS NOT NULL"),
         Rule("reported_after_incident", "report_date >= incident_date"),

@@ -1,4 +1,4 @@
-"""Exact order statistics without putting a group into one task."""
+"""Exact order statistics and prefix sums without putting a group into one task."""
 
 from __future__ import annotations
 
@@ -10,102 +10,73 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trustlake.functions.hashing import chosen, keyed_hash
-from trustlake.operators.bounded import bounded_lookup
 from trustlake.session import lineage_cut
 
-# Up to this many values per group, Spark's own exact percentile is the cheapest way. It holds a group's distinct values
-# in memory, and those of up to 128 groups at once.
-DIRECT_LIMIT = 200_000
-# A sketch of this accuracy takes a few megabytes per group and leaves a ten-thousandth of the values in the bracket.
-MAX_ACCURACY = 100_000
-# The bracket around the wanted rank is this many sketch errors wide on each side.
-BRACKET_ERRORS = 5
-WIDEN = 20
-HASH_PREFIX = 4
+RANGE = "_range"
 
 
-def group_quantile(
-    df: DataFrame,
-    groups: Sequence[str],
-    value: str,
-    q: float,
-    out: str,
-    direct_limit: int = DIRECT_LIMIT,
-) -> DataFrame:
-    """(groups, out): the linearly interpolated quantile of the non-null values of every group, exactly.
-
-    Groups beyond ``direct_limit`` values are solved in two scans: a mergeable sketch brackets the wanted rank, then
-    only the values inside the bracket are shuffled, ranked, and interpolated. A group whose bracket turns out to miss
-    the rank gets a wider one, so the answer never depends on the quality of the sketch.
-    """
-    groups = list(groups)
-    rows = df.select(*groups, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
-    sizes = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    large = bounded_lookup(sizes.filter(F.col("_n") > direct_limit))
-    largest = large.agg(F.max("_n")).first()[0]
-    if largest is None:
-        return _direct(rows, groups, q, out)
-
-    accuracy = max(10_000, min(MAX_ACCURACY, largest // 10_000))
-    margin = BRACKET_ERRORS / accuracy
-    parts, todo = [], large
-    while todo is not None:
-        solved = lineage_cut(_inside_bracket(rows, groups, _bracket(rows, groups, todo, q, margin, accuracy), q, out))
-        parts.append(solved.filter(F.col(out).isNotNull()))
-        missed = bounded_lookup(solved.filter(F.col(out).isNull()))
-        todo = None if missed.isEmpty() else missed
-        margin *= WIDEN
-    if groups:
-        parts.append(_direct(_null_safe_join(rows, large, groups, "left_anti"), groups, q, out))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _bracket(rows: DataFrame, groups: list[str], wanted: DataFrame, q: float, margin: float, accuracy: int) -> DataFrame:
-    """(groups, size, lower and upper value around the rank); a margin of 1 or more covers the whole group."""
-    around = F.percentile_approx("_v", [max(q - margin, 0.0), min(q + margin, 1.0)], accuracy)
-    among = _null_safe_join(rows, wanted, groups, "left_semi") if groups else rows
-    sketch = among.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), around.alias("_b"))
-    return bounded_lookup(sketch.select(*groups, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi")))
-
-
-def _direct(rows: DataFrame, groups: list[str], q: float, out: str) -> DataFrame:
-    return rows.groupBy(*groups).agg(F.percentile("_v", q).alias(out))
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Equi-join in which a missing group name is a name of its own."""
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a missing name is a name of its own; the keys come from the left side."""
     renamed = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
-    if how in ("left_semi", "left_anti"):
-        renamed = renamed.select(*(f"_on_{c}" for c in on))
     condition = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on))
     return left.join(renamed, condition, how).drop(*(f"_on_{c}" for c in on))
 
 
-def _inside_bracket(rows: DataFrame, groups: list[str], bracket: DataFrame, q: float, out: str) -> DataFrame:
-    """Rank the values of ``[_lo, _hi]``; everything smaller is only counted. NULL where the bracket misses."""
-    if groups:
-        joined = _null_safe_join(rows, bracket, groups, "inner")
-    else:
-        only = bracket.first()
-        joined = rows.withColumns({c: F.lit(only[c]) for c in bracket.columns})
-    # one aggregate: a NULL value stands for all values below the bracket
-    pool = (
-        joined.filter(F.col("_v") <= F.col("_hi"))
-        .groupBy(*groups, "_n", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_v"))
+def prefix_sums(df: DataFrame, groups: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
+    """Add, per column of ``sums``, ``<column>_before`` (the group's sum over smaller ``order``) and ``<column>_total``.
+
+    ``order`` must be unique within a group. The rows are dealt into ranges of (groups, order), however large a group is;
+    a window runs inside each range, and the ranges before it contribute their totals. The only rows that a group gathers
+    are one total per range.
+    """
+    groups = list(groups)
+    ranged = lineage_cut(df.repartitionByRange(*groups, order).withColumn(RANGE, F.spark_partition_id()))
+    totals = ranged.groupBy(*groups, RANGE).agg(*(F.sum(c).alias(c) for c in sums))
+    group = Window.partitionBy(*groups)
+    before = group.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *groups,
+        RANGE,
+        *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_offset") for c in sums),
+        *(F.sum(c).over(group).alias(f"{c}_total") for c in sums),
+    )
+    inside = Window.partitionBy(RANGE, *groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = null_safe_join(
+        ranged.withColumns({f"{c}_inside": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums}),
+        offsets,
+        [*groups, RANGE],
+    )
+    return placed.select(
+        *df.columns,
+        *((F.col(f"{c}_offset") + F.col(f"{c}_inside")).alias(f"{c}_before") for c in sums),
+        *(f"{c}_total" for c in sums),
+    )
+
+
+def group_quantile(df: DataFrame, groups: Sequence[str], value: str, q: float, out: str) -> DataFrame:
+    """(groups, out): the linearly interpolated quantile of the non-null values of every group, exactly.
+
+    NaN counts as larger than any number. Equal values are counted before anything is shuffled.
+    """
+    groups = list(groups)
+    counted = (
+        df.select(*groups, F.col(value).cast("double").alias("_v"))
+        .filter("_v IS NOT NULL")
+        .groupBy(*groups, "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    upto = F.sum("_c").over(Window.partitionBy(*groups).orderBy(F.asc_nulls_first("_v")))
-    ranked = pool.withColumn("_upto", upto).withColumn("_pos", F.lit(q) * (F.col("_n") - 1))
+    ranked = prefix_sums(counted, groups, "_v", ["_c"]).withColumn("_pos", F.lit(float(q)) * (F.col("_c_total") - 1))
 
     def value_at(rank):
-        # the value covering this rank, unless the rank lies below the bracket
-        covers = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank)
+        covers = (F.col("_c_before") <= rank) & (rank < F.col("_c_before") + F.col("_c"))
         return F.max(F.when(covers, F.col("_v")))
 
     lower, upper = value_at(F.floor("_pos")), value_at(F.ceil("_pos"))
     share = F.max(F.col("_pos") - F.floor("_pos"))
     ends = ranked.groupBy(*groups).agg(lower.alias("_l"), upper.alias("_u"), share.alias("_s"))
-    return ends.select(*groups, ((1 - F.col("_s")) * F.col("_l") + F.col("_s") * F.col("_u")).alias(out))
+    mixed = (1 - F.col("_s")) * F.col("_l") + F.col("_s") * F.col("_u")
+    # a share of nothing takes nothing, not even of an infinite neighbour
+    return ends.select(*groups, F.when(F.col("_s") == 0, F.col("_l")).otherwise(mixed).alias(out))
 
 
 def stratified_split(
@@ -116,37 +87,17 @@ def stratified_split(
     seed: object = 42,
     out: str = "is_test",
 ) -> DataFrame:
-    """Mark, per label, exactly ``ceil(test_size * rows)`` rows as test rows: those whose keyed hash is smallest.
+    """Mark, per label, ``ceil(test_size * rows)`` rows as test rows: those whose keyed hash is smallest.
 
-    The result depends only on which keys there are. The cut is found by counting hash prefixes and then ranking the
-    one prefix the cut falls into, so no label is ever sorted as a whole.
+    The result depends only on which keys there are. Rows with equal keys, or without one, share a hash and stay together.
     """
     hashed = df.withColumn("_hash", keyed_hash(seed, key))
-    keys = hashed.select(F.col(label).alias("_label"), "_hash", F.substring("_hash", 1, HASH_PREFIX).alias("_prefix"))
-    by_prefix = keys.groupBy("_label", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    strata = Window.partitionBy("_label")
-    counted = by_prefix.select(
-        "_label",
-        "_prefix",
-        (F.sum("_n").over(strata.orderBy("_prefix")) - F.col("_n")).alias("_before"),
-        F.col("_n"),
-        F.ceil(F.round(F.sum("_n").over(strata) * F.lit(float(test_size)), 6)).alias("_need"),
-    )
-    at_cut = counted.filter((F.col("_before") < F.col("_need")) & (F.col("_before") + F.col("_n") >= F.col("_need")))
-    at_cut = bounded_lookup(at_cut.select("_label", "_prefix", "_before", "_need"))
-
-    near = (
-        _null_safe_join(keys, at_cut, ["_label", "_prefix"], "inner")
-        .groupBy("_label", "_hash", "_before", "_need")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy("_label").orderBy("_hash"))
-    last = near.withColumn("_upto", upto).filter(F.col("_upto") >= F.col("_need"))
-    cuts = bounded_lookup(last.groupBy("_label").agg(F.min("_hash").alias("_cut")))
-
-    marked = hashed.withColumn("_label", F.col(label))
-    renamed = cuts.withColumnRenamed("_label", "_cut_label")
-    joined = marked.join(renamed, F.col("_label").eqNullSafe(F.col("_cut_label")), "left")
+    counted = hashed.groupBy(F.col(label).alias("_label"), "_hash").agg(F.count(F.lit(1)).alias("_n"))
+    need = F.ceil(F.round(F.col("_n_total") * F.lit(float(test_size)), 6))
+    upto = F.col("_n_before") + F.col("_n")
+    placed = prefix_sums(counted, ["_label"], "_hash", ["_n"]).filter((need > 0) & (upto >= need))
+    cuts = placed.groupBy("_label").agg(F.min("_hash").alias("_cut"))
+    joined = null_safe_join(hashed.withColumn("_label", F.col(label)), cuts, ["_label"], "left")
     inside = F.coalesce(F.col("_hash") <= F.col("_cut"), F.lit(False))
     return joined.select(*df.columns, inside.alias(out))
 

@@ -9,44 +9,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trustlake.operators.bounded import few_rows
 from trustlake.operators.extraction import (
-    FIELDS,
     Extractor,
     attach,
     compare_with_labels,
     extract_distinct,
     extraction_accuracy,
 )
+from trustlake.session import lineage_cut
 
-MAX_GROUPS = 1_000
 EVALUATION_SCHEMA = "extractor string, cases long, metrics map<string,double>, evaluated_at string"
 
 
 def evaluate_extractor(
     cases: DataFrame, extractor: Extractor, key: str, text: str = "text", group: str = "group"
-) -> tuple[dict[str, float], DataFrame]:
-    """(metrics, cases with expected and got fields).
+) -> tuple[dict[str, float], DataFrame, DataFrame]:
+    """(metrics, the same per group as rows, cases with expected and got fields).
 
-    Metrics are the accuracy per field and of all fields together, the latter also per group, the share left to people,
-    and the mean time per case.
+    Metrics are the accuracy per field and of all fields together, the share left to people, and the mean time per case.
+    The groups, however many, stay a frame.
     """
     start = time.perf_counter()
     readings, _ = extract_distinct(cases, text, extractor)
     seconds = time.perf_counter() - start
     got = attach(cases.select(key, text), text, readings)
-    compared = compare_with_labels(got, cases, key, [group])
-    rows = extraction_accuracy(compared, group).limit(MAX_GROUPS + 2).collect()
-    if len(rows) > MAX_GROUPS + 1:
-        raise ValueError(f"more than {MAX_GROUPS} groups in {group}")
-    metrics = {}
-    for row in rows:
-        if row[group] != "all":
-            metrics[f"accuracy_all_fields_{row[group]}"] = row["accuracy_all_fields"]
-            continue
-        metrics |= {name: row[name] for name in (*(f"accuracy_{f}" for f in FIELDS), "accuracy_all_fields")}
-        metrics["manual_review_rate"] = row["manual_review_rate"]
-        metrics["seconds_per_claim"] = round(seconds / row["cases"], 4)
-        metrics["cases"] = row["cases"]
-    return metrics, compared
+    compared = lineage_cut(compare_with_labels(got, cases, key, [group]))
+    total = extraction_accuracy(compared).first().asDict()
+    return total | {"seconds_per_claim": round(seconds / max(1, total["cases"]), 4)}, extraction_accuracy(compared, group), compared
 
 
 def log_evaluation(spark: SparkSession, base: str, name: str, metrics: dict[str, float]) -> None:

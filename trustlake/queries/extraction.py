@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +27,6 @@ from trustlake.operators.extraction import (
     first_valid_answers,
     keyword_extractor,
     read_answers,
-
     triage,
     with_keyword_fields,
 )
@@ -35,6 +36,7 @@ from trustlake.queries.bindings import hit_sql, table
 from trustlake.queries.catalogue import query
 from trustlake.queries.modelling import ACCEPTED, scorer
 from trustlake.queries.quality import reasons, requests
+from trustlake.session import lineage_cut
 from trustlake.sources.logs import extraction_log
 
 # words that occur in the given documents, in the role of the claim words
@@ -218,28 +220,38 @@ def x7_cached_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_by_length(texts: pd.DataFrame) -> pd.DataFrame:
-    """A stand-in for a user's reader: one Arrow batch of distinct texts in, their fields out."""
-    size = texts["text"].str.len()
-    return pd.DataFrame(
-        {
-            KEY: texts[KEY],
-            "damage_type": "other",
-            "urgency": size.gt(1000).map({True: "high", False: "low"}),
-            "injury_mentioned": size.mod(2).eq(1),
+    """A stand-in for a user's reader: one Arrow batch of distinct texts in, a JSON answer per text out.
+
+    The first digit of a text's key decides how it fails: 0 to 2 give a damage type outside the list until the reader is
+    told so; 3 never gives JSON; 4 gives no answer at all.
+    """
+    rows = []
+    for key, text, error in zip(texts[KEY], texts["text"], texts["last_error"], strict=True):
+        told = isinstance(error, str) and "damage_type_known" in error
+        size = len(text)
+        fields = {
+            "damage_type": "flooding" if key[0] in "012" and not told else "other",
+            "urgency": "high" if size > 1000 else "low",
+            "injury_mentioned": size % 2 == 1,
             "third_party_involved": False,
-            "summary": size.astype(str) + " characters",
+            "summary": f"{size} characters",
         }
-    )
+        if key[0] != "4":
+            rows.append((key, "no json" if key[0] == "3" else json.dumps(fields)))
+    return pd.DataFrame(rows, columns=[KEY, "answer"])
 
 
 @query(
     "x8_batch_extractor",
-    f"""WITH t AS (SELECT doc_id, length(trim(text, '{WHITE_SPACE}')) AS size FROM documents)
-    SELECT doc_id, 'other' AS damage_type, CASE WHEN size > 1000 THEN 'high' ELSE 'low' END AS urgency,
-      size % 2 = 1 AS injury_mentioned, false AS third_party_involved, size || ' characters' AS summary,
-      'by length' AS extractor, false AS needs_manual_review FROM t""",
+    f"""WITH t AS (SELECT doc_id, length(trim(text, '{WHITE_SPACE}')) AS size,
+                      substr(sha256(trim(text, '{WHITE_SPACE}')), 1, 1) IN ('3', '4') AS unread FROM documents)
+    SELECT doc_id, 'other' AS damage_type, CASE WHEN unread THEN 'medium' WHEN size > 1000 THEN 'high' ELSE 'low' END AS urgency,
+      NOT unread AND size % 2 = 1 AS injury_mentioned, false AS third_party_involved,
+      CASE WHEN unread THEN '{UNREADABLE_SUMMARY}' ELSE size || ' characters' END AS summary,
+      'by length' AS extractor, unread AS needs_manual_review FROM t""",
 )
 def x8_batch_extractor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers are checked, bad ones asked for once more with the reason, and the rest left to people."""
     docs = documents(spark, sf_dir)
     readings, _ = extract_distinct(docs, "text", batch_extractor("by length", read_by_length))
     return attach(docs, "text", readings).select("doc_id", *EXTRACTION)
@@ -258,36 +270,43 @@ def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
             "injury_mentioned": F.col("injury_mentioned") | chosen("hurt", 0.1, "doc_id"),
         }
     )
-    return compare_with_labels(got, expected, "doc_id", ["lang"])
+    return compare_with_labels(got.filter(~chosen("unread", 0.05, "doc_id")), expected, "doc_id", ["lang"])
 
 
-COMPARED = f"""{READ}, compared AS (SELECT doc_id, lang, needs_manual_review,
+COMPARED = f"""{READ}, compared AS (SELECT doc_id, lang, {hit_sql("unread", 0.05, "doc_id")} AS unread,
   damage_type AS got_damage_type, urgency AS got_urgency, injury_mentioned AS got_injury_mentioned,
   third_party_involved AS got_third_party_involved,
   CASE WHEN {hit_sql("type", 0.2, "doc_id")} THEN 'other' ELSE damage_type END AS expected_damage_type,
   CASE WHEN {hit_sql("urgency", 0.3, "doc_id")} THEN 'low' ELSE urgency END AS expected_urgency,
   injury_mentioned OR {hit_sql("hurt", 0.1, "doc_id")} AS expected_injury_mentioned,
   third_party_involved AS expected_third_party_involved FROM found)"""
-ALL_RIGHT = " AND ".join(f"got_{f} = expected_{f}" for f in FIELDS)
-ACCURACIES = ", ".join(f"round(avg(CAST(got_{f} = expected_{f} AS INTEGER)), 4) AS accuracy_{f}" for f in FIELDS)
+ALL_RIGHT = "NOT unread AND " + " AND ".join(f"got_{f} = expected_{f}" for f in FIELDS)
+ACCURACIES = ", ".join(
+    f"round(avg(CAST(NOT unread AND got_{f} = expected_{f} AS INTEGER)), 4) AS accuracy_{f}" for f in FIELDS
+)
 
 
 @query(
     "x10_extraction_eval",
     f"""WITH {COMPARED} SELECT coalesce(lang, 'all') AS lang, count(*) AS cases, {ACCURACIES},
       round(avg(CAST({ALL_RIGHT} AS INTEGER)), 4) AS accuracy_all_fields,
-      round(avg(CAST(needs_manual_review AS INTEGER)), 4) AS manual_review_rate
+      round(avg(CAST(unread AS INTEGER)), 4) AS manual_review_rate
     FROM compared GROUP BY ROLLUP (lang)""",
 )
 def x10_extraction_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extraction_accuracy(compared(spark, sf_dir), "lang")
+    """Per language and over all; a document without a reading is wrong."""
+    judged = lineage_cut(compared(spark, sf_dir))
+    total = extraction_accuracy(judged).withColumn("lang", F.lit("all"))
+    return extraction_accuracy(judged, "lang").unionByName(total)
 
 
 @query(
     "x11_extraction_errors",
     f"WITH {COMPARED} SELECT doc_id, concat_ws('; ', "
     + ", ".join(
-        f"CASE WHEN got_{f} <> expected_{f} THEN '{f}: expected ' || expected_{f} || ', got ' || got_{f} END" for f in FIELDS
+        f"CASE WHEN unread OR got_{f} <> expected_{f} THEN '{f}: expected ' || expected_{f} || ', got ' || "
+        f"CASE WHEN unread THEN 'nothing' ELSE CAST(got_{f} AS VARCHAR) END END"
+        for f in FIELDS
     )
     + f") AS errors FROM compared WHERE NOT ({ALL_RIGHT})",
 )

@@ -10,6 +10,7 @@ from trustlake.functions.hashing import chosen
 from trustlake.functions.measures import days_between
 from trustlake.operators import gold
 from trustlake.operators.dedupe import COPIES, dedupe
+from trustlake.operators.defects import inject_duplicates
 from trustlake.operators.relate import conservation, mark_existing, orphans, reconcile
 from trustlake.operators.rules import (
     CLAIM_RULES,
@@ -24,6 +25,8 @@ from trustlake.operators.rules import (
     split_valid,
 )
 from trustlake.operators.scoring import normalise_requests
+from trustlake.operators.selection import group_quantile
+from trustlake.plans.datasets import CLAIMS, POLICIES, check
 from trustlake.queries.bindings import (
     CHECKED_CLAIMS,
     CHECKED_POLICIES,
@@ -33,11 +36,10 @@ from trustlake.queries.bindings import (
     RAW_CLAIMS,
     RAW_POLICIES,
     RECORDS,
+    broken_sql,
     checked_claims,
-    checked_policies,
     clean_claims,
     clean_policies,
-    failed_sql,
     half_up,
     hit_sql,
     raw_claims,
@@ -138,13 +140,19 @@ def checked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left"), LINE_RULES)
 
 
+LINE_FAILED = broken_sql(
+    ("shipped_after_order", "o_orderdate IS NULL OR l_shipdate IS NULL OR l_shipdate < o_orderdate"),
+    ("not_returned", "l_returnflag IS NULL OR l_returnflag = 'R'"),
+    ("more_than_one", "l_quantity IS NULL OR l_quantity <= 1"),
+)
+
 # the kept copy is the largest by ship date, price and then every column in table order
 LINES = f"""lines AS (
   SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM lineitem
   QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_extendedprice DESC,
     l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_discount DESC, l_tax DESC, l_returnflag DESC,
     l_linestatus DESC) = 1),
-lines_checked AS (SELECT lines.*, {failed_sql(LINE_RULES)} AS failed_rules
+lines_checked AS (SELECT lines.*, {LINE_FAILED} AS failed_rules
                   FROM lines LEFT JOIN orders ON l_orderkey = o_orderkey)"""
 
 
@@ -167,14 +175,40 @@ def p6_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_text_dates(bad.drop(COPIES)).withColumn("failed_rules", reasons()).drop(FAILED)
 
 
-@query("p7_dim_rules", f"WITH {CHECKED_POLICIES} SELECT policy_id, failed_rules FROM policies_checked")
+def odd_number(value: str, key: str) -> F.Column:
+    """A raw number of which some are no number, or infinite."""
+    return (
+        F.when(chosen("nan", 0.02, key), F.lit("NaN"))
+        .when(chosen("infinite", 0.02, key), F.lit("Infinity"))
+        .when(chosen("minus", 0.02, key), F.lit("-Infinity"))
+        .otherwise(F.col(value))
+    )
+
+
+def odd_sql(value: str, key: str) -> str:
+    """SQL of ``odd_number``."""
+    return f"""CASE WHEN {hit_sql("nan", 0.02, key)} THEN 'NaN' WHEN {hit_sql("infinite", 0.02, key)} THEN 'Infinity'
+      WHEN {hit_sql("minus", 0.02, key)} THEN '-Infinity' ELSE {value} END"""
+
+
+ODD_POLICIES = CHECKED_POLICIES.replace(
+    "TRY_CAST(trim(annual_premium) AS DOUBLE)", f"TRY_CAST({odd_sql('annual_premium', 'policy_id')} AS DOUBLE)"
+)
+ODD_CLAIMS = CHECKED_CLAIMS.replace(
+    "TRY_CAST(trim(claim_amount) AS DOUBLE)", f"TRY_CAST({odd_sql('claim_amount', 'claim_id')} AS DOUBLE)"
+)
+
+
+@query("p7_dim_rules", f"WITH {ODD_POLICIES} SELECT policy_id, failed_rules FROM policies_checked")
 def p7_dim_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checked_policies(spark, sf_dir).select("policy_id", reasons())
+    raw = raw_policies(spark, sf_dir).withColumn("annual_premium", odd_number("annual_premium", "policy_id"))
+    return check(POLICIES, raw).select("policy_id", reasons())
 
 
-@query("p8_fact_rules", f"WITH {CHECKED_CLAIMS} SELECT claim_id, failed_rules FROM claims_checked")
+@query("p8_fact_rules", f"WITH {ODD_CLAIMS} SELECT claim_id, failed_rules FROM claims_checked")
 def p8_fact_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checked_claims(spark, sf_dir).select("claim_id", reasons())
+    raw = raw_claims(spark, sf_dir).withColumn("claim_amount", odd_number("claim_amount", "claim_id"))
+    return check(CLAIMS, raw, {"policies": valid_policies(spark, sf_dir)}).select("claim_id", reasons())
 
 
 BOUND_PRODUCTS = ("automobile", "building", "furniture", "machinery")
@@ -189,15 +223,37 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims.join(policies, "policy_id").withColumnRenamed("start_date", "policy_start_date")
 
 
+def one_of_sql(column: str, allowed: tuple[str, ...]) -> str:
+    return f"{column} IS NULL OR {column} NOT IN ({', '.join(repr(v) for v in allowed)})"
+
+
+REQUEST_FAILED = broken_sql(
+    ("claim_id_present", "claim_id IS NULL OR claim_id = ''"),
+    ("product_known", one_of_sql("product", BOUND_PRODUCTS)),
+    ("region_known", one_of_sql("region", BOUND_REGIONS)),
+    ("channel_known", one_of_sql("channel", BOUND_CHANNELS)),
+    ("age_in_range", "customer_age IS NULL OR customer_age < 18 OR customer_age > 120"),
+    ("claim_amount_positive", "claim_amount IS NULL OR claim_amount <= 0 OR isnan(claim_amount) OR isinf(claim_amount)"),
+    ("premium_positive", "annual_premium IS NULL OR annual_premium <= 0 OR isnan(annual_premium) OR isinf(annual_premium)"),
+    ("start_date_valid", "policy_start_date IS NULL"),
+    ("incident_date_valid", "incident_date IS NULL"),
+    ("reported_after_incident", "report_date IS NULL OR incident_date IS NULL OR report_date < incident_date"),
+    ("description_length", "description IS NULL OR length(description) < 1 OR length(description) > 2000"),
+)
+
+
 @query(
     "p9_request_rules",
     f"""WITH {CLEAN_POLICIES}, {CLEAN_CLAIMS},
-    requests AS (SELECT claims_copies.*, product, region, customer_age, start_date AS policy_start_date, annual_premium
+    requests AS (SELECT claims_copies.* EXCLUDE (claim_amount), product, region, customer_age, start_date AS policy_start_date,
+                        annual_premium,
+                        TRY_CAST({odd_sql("CAST(claim_amount AS VARCHAR)", "claim_id")} AS DOUBLE) AS claim_amount
                  FROM claims_copies JOIN policies_all ON claims_copies.policy_id = policies_all.policy_id)
-    SELECT claim_id, {failed_sql(BOUND_RULES)} AS failed_rules FROM requests""",
+    SELECT claim_id, {REQUEST_FAILED} AS failed_rules FROM requests""",
 )
 def p9_request_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply_rules(normalise_requests(requests(spark, sf_dir)), BOUND_RULES).select("claim_id", reasons())
+    odd = requests(spark, sf_dir).withColumn("claim_amount", safe_cast(odd_number("claim_amount", "claim_id"), "double"))
+    return apply_rules(normalise_requests(odd), BOUND_RULES).select("claim_id", reasons())
 
 
 # --- joins -------------------------------------------------------------------------------------------------------
@@ -243,13 +299,15 @@ def changed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM orders a),
     counts AS (SELECT count(*) FILTER (WHERE in_both) AS compared, count(*) FILTER (WHERE NOT in_both) AS only_left,
                count(*) FILTER (WHERE in_both AND price_differs) AS price,
-               count(*) FILTER (WHERE in_both AND priority_differs) AS priority FROM pairs)
-    SELECT 'o_totalprice' AS "column", price AS mismatches, compared, only_left, CAST(0 AS BIGINT) AS only_right FROM counts
-    UNION ALL SELECT 'o_orderpriority', priority, compared, only_left, 0 FROM counts
-    UNION ALL SELECT 'o_custkey', 0, compared, only_left, 0 FROM counts""",
+               count(*) FILTER (WHERE in_both AND priority_differs) AS priority,
+               (SELECT count(*) FROM orders WHERE {hit_sql("42|d6", 0.01, "o_orderkey")}) AS copies FROM pairs)
+    SELECT 'o_totalprice' AS "column", price AS mismatches, compared, only_left, CAST(0 AS BIGINT) AS only_right,
+           copies AS copies_left, CAST(0 AS BIGINT) AS copies_right FROM counts
+    UNION ALL SELECT 'o_orderpriority', priority, compared, only_left, 0, copies, 0 FROM counts
+    UNION ALL SELECT 'o_custkey', 0, compared, only_left, 0, copies, 0 FROM counts""",
 )
 def j5_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left, right = table(spark, sf_dir, "orders"), changed_orders(spark, sf_dir)
+    left, right = inject_duplicates(table(spark, sf_dir, "orders"), "o_orderkey"), changed_orders(spark, sf_dir)
     return reconcile(left, right, ["o_orderkey"], ["o_totalprice", "o_orderpriority", "o_custkey"])
 
 
@@ -363,11 +421,16 @@ def a6_group_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medians.select("product", F.round(gold.MEDIAN, 6).alias(gold.MEDIAN))
 
 
-@query("a6_group_median_large", MEDIANS_SQL)
+@query(
+    "a6_group_median_large",
+    """SELECT l_returnflag, l_linestatus, round(median(l_extendedprice), 6) AS price_median FROM lineitem
+    GROUP BY l_returnflag, l_linestatus""",
+)
 def a6_group_median_large(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The two-scan way that groups of any size take."""
-    medians = gold.group_medians(segment_amounts(spark, sf_dir), direct_limit=1_000)
-    return medians.select("product", F.round(gold.MEDIAN, 6).alias(gold.MEDIAN))
+    """Few groups that hold the largest table."""
+    lines = table(spark, sf_dir, "lineitem")
+    medians = group_quantile(lines, ["l_returnflag", "l_linestatus"], "l_extendedprice", 0.5, "price_median")
+    return medians.withColumn("price_median", F.round("price_median", 6))
 
 
 @query(
@@ -406,13 +469,16 @@ def a9_quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "a10_conservation",
-    f"""WITH {LINES} SELECT (SELECT count(DISTINCT l_orderkey * 100 + l_linenumber) FROM lineitem) AS distinct_keys,
-      count(*) FILTER (WHERE failed_rules = '') AS valid_rows,
-      count(*) FILTER (WHERE failed_rules <> '') AS quarantined_rows, true AS conserved FROM lines_checked""",
+    f"""WITH {CLEAN_CLAIMS}, c AS (SELECT claim_id, {hit_sql("keyless", 0.02, "claim_id")} AS keyless FROM claims_copies)
+    SELECT count(DISTINCT claim_id) FILTER (WHERE NOT keyless) AS distinct_keys, count(*) FILTER (WHERE keyless) AS keyless_rows,
+           count(DISTINCT claim_id) FILTER (WHERE NOT keyless) AS valid_rows, count(*) FILTER (WHERE keyless) AS quarantined_rows,
+           true AS conserved FROM c""",
 )
 def a10_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = table(spark, sf_dir, "lineitem").select(F.struct(*LINE_KEY).alias("line_key"))
-    return conservation(keyed, "line_key", checked_lines(spark, sf_dir))
+    """Copies of a claim count once, claims without a key one by one."""
+    keyed = F.when(~chosen("keyless", 0.02, "claim_id"), F.col("claim_id"))
+    claims = clean_claims(spark, sf_dir).withColumn("claim_id", keyed)
+    return conservation(claims, "claim_id", apply_rules(dedupe(claims, ["claim_id"]), (KEY_PRESENT,)))
 
 
 # --- features ----------------------------------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,20 +39,21 @@ def get_spark(app_name: str = "trustlake", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+SCRATCH = "trustlake.scratch.dir"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local-mode session (tests, a laptop) may fall back to a temporary folder, because there driver and
-    executors are the same machine.
+    Only a local-mode session (tests, a laptop) may fall back to a temporary folder, because there driver and executors are
+    the same machine. Reads the session's settings only, so that it works on any kind of session.
     """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
     if configured is None:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
             raise RuntimeError("Set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="trustlake-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured)
+        spark.conf.set(SCRATCH, configured)
     return configured.rstrip("/")
 
 
@@ -60,7 +62,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
 
     All paths of one application lie in one folder, which may be removed when the application has ended.
     """
-    application = spark.sparkContext.applicationId
+    application = spark.conf.get("spark.app.id", "application")
     return f"{shared_dir(spark)}/trustlake/{application}/{label}-{uuid.uuid4().hex[:12]}"
 
 

@@ -2,22 +2,35 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from trustlake.operators.dedupe import dedupe
 from trustlake.operators.rules import FAILED, Rule, apply_rules
 from trustlake.operators.scoring import Scorer, score_batch
 from trustlake.sources.storage import BAD, GOOD, OUTCOME, outcome
 
-BATCH, DAY = "batch_id", "_day"
+QUERY, BATCH, DAY = "query_id", "batch_id", "event_day"
+NO_DAY = "unknown"
 SCORES, REJECTED = "scores", "rejected"
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query when its checkpoint was made; a new checkpoint is a new query."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def _folder(batch: DataFrame, checkpoint: str, batch_id: int) -> str:
+    """Where a micro-batch goes: a repeated batch overwrites itself, and no other query's."""
+    return f"{QUERY}={_query_id(batch.sparkSession, checkpoint)}/{BATCH}={batch_id}"
+
+
 def stream_score(
     requests: DataFrame, scorer: Scorer, target: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
@@ -28,8 +41,9 @@ def stream_score(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         scored, rejected = score_batch(batch, scorer)
+        folder = _folder(batch, checkpoint, batch_id)
         for frame, name in ((scored, SCORES), (rejected, REJECTED)):
-            frame.write.mode("overwrite").parquet(f"{target}/{name}/{BATCH}={batch_id}")
+            frame.write.mode("overwrite").parquet(f"{target}/{name}/{folder}")
 
     writer = requests.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -37,7 +51,7 @@ def stream_score(
 
 def read_scored(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]:
     """(scores, refused records) of everything ``stream_score`` has written so far."""
-    return tuple(spark.read.parquet(f"{target}/{name}").drop(BATCH) for name in (SCORES, REJECTED))
+    return tuple(spark.read.parquet(f"{target}/{name}").drop(QUERY, BATCH) for name in (SCORES, REJECTED))
 
 
 def stream_quality(
@@ -47,48 +61,52 @@ def stream_quality(
     event_time: str,
     target: str,
     checkpoint: str,
-    delay: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Deduplicate, check and split a stream.
 
-    Without ``delay`` a micro-batch is deduplicated in itself and against the stored rows of the same event days, however
-    late it comes; copies of an event carry the same event time. With ``delay`` Spark's own state does it, which never
-    reads stored rows but drops events that come later than the delay.
+    A micro-batch is deduplicated in itself and against the stored rows of the same event days, whichever query stored
+    them and however late it comes; copies of an event carry the same event time. Events without a time have a day of
+    their own.
 
-    Every micro-batch is written once, under its own id, split by event day and outcome; a repeated batch overwrites
-    itself, which makes the at-least-once callback an exactly-once table.
+    Every micro-batch is written once, under its query and its own id, split by event day and outcome; a repeated batch
+    overwrites itself, which makes the at-least-once callback an exactly-once table. One query at a time writes to a
+    target.
     """
     typed = events.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    if delay is not None:
-        typed = typed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn(DAY, F.to_date(event_time))
-        if delay is None:
-            rows = dedupe(rows, key)
-            if batch_id > 0:
-                rows = rows.join(_stored_keys(rows, key, target, batch_id), list(key), "left_anti")
+        day = F.coalesce(F.to_date(event_time).cast("string"), F.lit(NO_DAY))
+        rows = dedupe(batch, key).withColumn(DAY, day)
+        query_id = _query_id(batch.sparkSession, checkpoint)
+        stored = _stored_keys(rows, key, target, query_id, batch_id)
+        if stored is not None:
+            rows = rows.join(stored, [*key, DAY], "left_anti")
         split = apply_rules(rows, rules).withColumn(OUTCOME, outcome())
-        split.write.mode("overwrite").partitionBy(DAY, OUTCOME).parquet(f"{target}/{BATCH}={batch_id}")
+        split.write.mode("overwrite").partitionBy(DAY, OUTCOME).parquet(f"{target}/{_folder(batch, checkpoint, batch_id)}")
 
     writer = typed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _stored_keys(rows: DataFrame, key: Sequence[str], target: str, batch_id: int) -> DataFrame:
-    """Keys that earlier batches have stored for the days this batch spans; other days are not read."""
-    days = rows.agg(F.min(DAY).alias("first"), F.max(DAY).alias("last")).first()
-    columns = [rows.schema[k] for k in key]
-    schema = StructType([*columns, StructField(BATCH, LongType()), rows.schema[DAY]])
-    stored = rows.sparkSession.read.schema(schema).parquet(target)
-    same_days = F.col(DAY).between(F.lit(days["first"]), F.lit(days["last"]))
-    return stored.filter((F.col(BATCH) < batch_id) & same_days).select(*key)
+def _stored_keys(rows: DataFrame, key: Sequence[str], target: str, query_id: str, batch_id: int) -> DataFrame | None:
+    """Keys and days that other batches have stored for exactly the days of this one, or None if nothing is stored."""
+    spark = rows.sparkSession
+    places = [StructField(QUERY, StringType()), StructField(BATCH, LongType()), StructField(DAY, StringType())]
+    try:
+        stored = spark.read.schema(StructType([*(rows.schema[k] for k in key), *places])).parquet(target)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    # a later attempt at this batch must not meet its own rows
+    others = stored.filter((F.col(QUERY) != query_id) | (F.col(BATCH) != batch_id))
+    return others.join(rows.select(DAY).distinct(), DAY, "left_semi").select(*key, DAY)
 
 
 def read_checked(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows with reasons) of everything ``stream_quality`` has written so far."""
     everything = spark.read.parquet(target)
-    good = everything.filter(F.col(OUTCOME) == GOOD).drop(OUTCOME, BATCH, DAY, FAILED)
-    bad = everything.filter(F.col(OUTCOME) == BAD).drop(OUTCOME, BATCH, DAY)
+    good = everything.filter(F.col(OUTCOME) == GOOD).drop(OUTCOME, QUERY, BATCH, DAY, FAILED)
+    bad = everything.filter(F.col(OUTCOME) == BAD).drop(OUTCOME, QUERY, BATCH, DAY)
     return good, bad
