@@ -104,6 +104,16 @@ def batch_extractor(name: str, read_batch: Callable, attempts: int = MAX_ATTEMPT
     return extract
 
 
+def unreadable(name: str) -> Extractor:
+    """An extractor that leaves every text to people."""
+
+    def extract(texts: DataFrame) -> DataFrame:
+        nothing = texts.select(KEY, F.lit(None).cast("string").alias("answer"), F.lit(1).alias("attempt")).limit(0)
+        return _first_valid(texts, read_answers(nothing), name, KEY)
+
+    return extract
+
+
 def choose_extractor(settings: Mapping[str, str], read_batch: Callable | None = None) -> Extractor:
     """The user's own reader if the settings name a model and one is given, otherwise the keyword rules."""
     model = settings.get("model", "").strip()

@@ -6,11 +6,13 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from trustlake.functions.cleaning import Clean, clean
+from trustlake.functions.cleaning import Clean
 from trustlake.operators.dedupe import COPIES, dedupe
 from trustlake.operators.relate import mark_existing
 from trustlake.operators.rules import CLAIM_RULES, KEY_PRESENT, POLICY_RULES, Rule, apply_rules
+from trustlake.sources.raw import MALFORMED
 
 
 @dataclass(frozen=True)
@@ -37,12 +39,22 @@ class Dataset:
         return [c.raw for c in self.columns]
 
 
+READABLE = Rule("row_readable", f"{MALFORMED} IS NULL", "own rule: the raw row has the expected fields")
+
+
+def rules_of(spec: Dataset, bronze: DataFrame) -> tuple[Rule, ...]:
+    """The rules of a dataset; rows that come from raw files must have been readable."""
+    return (READABLE, *spec.rules) if MALFORMED in bronze.columns else spec.rules
+
+
 def check(spec: Dataset, bronze: DataFrame, known: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Typed, one row per key, every row with its broken rules and the number of raw rows it stands for."""
-    rows = dedupe(clean(bronze, spec.columns), spec.key, spec.order, copies=COPIES)
+    unread = [F.col(MALFORMED)] if MALFORMED in bronze.columns else []
+    typed = bronze.select(*(c.column() for c in spec.columns), *unread)
+    rows = dedupe(typed, spec.key, spec.order, copies=COPIES)
     for reference in spec.references:
         rows = mark_existing(rows, known[reference.dataset], reference.on, reference.flag)
-    return apply_rules(rows, spec.rules).drop(*(r.flag for r in spec.references))
+    return apply_rules(rows, rules_of(spec, bronze)).drop(*(r.flag for r in spec.references))
 
 
 POLICIES = Dataset(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -22,7 +21,7 @@ from trustlake.operators.rules import (
     gate,
     observe_ledger,
 )
-from trustlake.plans.datasets import CLAIMS, POLICIES, Dataset, check
+from trustlake.plans.datasets import CLAIMS, POLICIES, Dataset, check, rules_of
 from trustlake.session import get_spark
 from trustlake.sources.raw import read_raw, with_lineage
 from trustlake.sources.storage import GOOD, CatalogLayers, Snapshots, Staged
@@ -43,6 +42,15 @@ class Outcome:
         return {name: ledger.as_dict() for name, ledger in self.ledgers.items()}
 
 
+class RowsLostError(RuntimeError):
+    """Good, bad and folded rows do not add up to the raw ones; nothing was published."""
+
+    def __init__(self, name: str, raw_rows: int, ledger: Ledger) -> None:
+        super().__init__(
+            f"{name}: {raw_rows} raw rows, but {ledger.total_rows} checked and {ledger.duplicates_removed} folded ones"
+        )
+
+
 def load_bronze(layers: Layers, spec: Dataset, raw: DataFrame) -> None:
     """Keep the raw rows as they came, with their origin."""
     layers.write(raw, "bronze", spec.name)
@@ -51,15 +59,20 @@ def load_bronze(layers: Layers, spec: Dataset, raw: DataFrame) -> None:
 def check_all(layers: Layers, specs: Sequence[Dataset], run_id: str) -> Outcome:
     """Check every dataset against the stored bronze, in order, so that later ones can refer to earlier ones.
 
-    One write per dataset does it all: rows, counters of the ledger, and the split into outcomes.
+    One write per dataset does it all: rows, counters of the ledger, and the split into outcomes. The raw rows are then
+    counted, and none may be missing.
     """
     outcome = Outcome(run_id)
     for spec in specs:
         known = {r.dataset: layers.staged(outcome.staged[r.dataset], GOOD) for r in spec.references}
-        checked = check(spec, layers.read("bronze", spec.name), known)
-        observed, counts = observe_ledger(checked, spec.rules, COPIES)
+        bronze = layers.read("bronze", spec.name)
+        rules = rules_of(spec, bronze)
+        observed, counts = observe_ledger(check(spec, bronze, known), rules, COPIES)
         outcome.staged[spec.name] = layers.stage(observed.drop(COPIES), spec.name, run_id)
-        outcome.ledgers[spec.name] = Ledger.from_counts(spec.name, counts.get, spec.rules)
+        ledger = outcome.ledgers[spec.name] = Ledger.from_counts(spec.name, counts.get, rules)
+        raw_rows = bronze.count()
+        if raw_rows != ledger.total_rows + ledger.duplicates_removed:
+            raise RowsLostError(spec.name, raw_rows, ledger)
     return outcome
 
 
@@ -90,12 +103,12 @@ def run_medallion(
     raw: Mapping[str, DataFrame] | str,
     specs: Sequence[Dataset] = (POLICIES, CLAIMS),
     limit: float = MAX_QUARANTINE_RATE,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> Outcome:
     """The whole chain. ``raw`` is a folder of ``<name>.csv`` files (or folders) or the raw frames themselves.
 
-    Text fields may hold line breaks, so a file is read by one task. Files known to have none are read in parallel
-    pieces with ``multi_line=False``.
+    Every file's own header says where its columns are. Rows that cannot be read are kept and quarantined. Files whose
+    quoted fields hold line breaks need ``multi_line=True``, by which one task reads one file.
 
     The quality report is stored before the gate decides. When the gate fails, the staged rows stay readable for
     inspection while silver, quarantine and gold keep their previous version.
@@ -103,7 +116,8 @@ def run_medallion(
     run_id = uuid.uuid4().hex
     for spec in specs:
         if isinstance(raw, str):
-            frame = with_lineage(read_raw(spark, f"{raw.rstrip('/')}/{spec.name}.csv", multi_line=multi_line))
+            path = f"{raw.rstrip('/')}/{spec.name}.csv"
+            frame = with_lineage(read_raw(spark, path, spec.raw_columns, multi_line))
         else:
             frame = raw[spec.name]
         load_bronze(layers, spec, frame)
@@ -122,23 +136,18 @@ class MedallionConfig:
     tables: str | None = None
     raw_dir: str | None = None
     limit: float = MAX_QUARANTINE_RATE
-    single_line: bool = False
-
-    @property
-    def root(self) -> str:
-        """The base folder; a plain local path is made absolute, a URI is left as it is."""
-        return self.base_path if "://" in self.base_path else os.path.abspath(self.base_path)
+    multi_line: bool = False
 
     @property
     def raw(self) -> str:
         if self.raw_dir:
             return self.raw_dir
         if self.tables:
-            return "/Volumes/" + self.tables.replace(".", "/") + "/raw"
-        return f"{self.root.rstrip('/')}/raw"
+            raise ValueError("tables have no folder for raw files: give --raw-dir")
+        return f"{self.base_path.rstrip('/')}/raw"
 
     def layers(self, spark: SparkSession) -> Layers:
-        return CatalogLayers(spark, self.tables) if self.tables else Snapshots(spark, self.root)
+        return CatalogLayers(spark, self.tables) if self.tables else Snapshots(spark, self.base_path)
 
 
 def main(argv: Sequence[str] | None = None) -> int:
@@ -147,12 +156,12 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser.add_argument("--tables", metavar="CATALOG.SCHEMA")
     parser.add_argument("--raw-dir")
     parser.add_argument("--limit", type=float, default=MAX_QUARANTINE_RATE)
-    parser.add_argument("--single-line", action="store_true", help="no line breaks inside fields: split large files")
+    parser.add_argument("--multi-line", action="store_true", help="line breaks inside quoted fields: one task per file")
     config = MedallionConfig(**vars(parser.parse_args(argv)))
     spark = get_spark("trustlake-medallion")
     try:
         layers = config.layers(spark)
-        outcome = run_medallion(spark, layers, config.raw, limit=config.limit, multi_line=not config.single_line)
+        outcome = run_medallion(spark, layers, config.raw, limit=config.limit, multi_line=config.multi_line)
     except QualityGateError as error:
         print(error)
         print(json.dumps(error.ledger.as_dict(), indent=2))

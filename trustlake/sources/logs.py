@@ -28,5 +28,9 @@ def extraction_log(extracted: DataFrame, extraction_ms: float) -> DataFrame:
     return filled.select(F.to_json(F.struct(*EXTRACTION_FIELDS)).alias("record"))
 
 
-def append_log(records: DataFrame, path: str) -> None:
-    records.write.mode("append").text(path)
+def append_log(records: DataFrame, path: str, run: str | None = None) -> None:
+    """Add records to a log. Those of a named run replace what the same run wrote before."""
+    if run is None:
+        records.write.mode("append").text(path)
+    else:
+        records.write.mode("overwrite").text(f"{path}/run={run}")

@@ -12,25 +12,47 @@ INGESTED_AT = "_ingested_at"
 SOURCE_FILE = "_source_file"
 
 
+#: The text of a raw row that cannot be read into the columns; NULL for all others.
+MALFORMED = "_malformed"
+
+
 def read_raw(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = False
 ) -> DataFrame:
     """Every column as text, nothing inferred; quotes inside a field are doubled.
 
-    ``multi_line`` allows line breaks inside quoted fields but makes one task read one file, so switch it off for large
-    files without such fields. Naming the ``columns`` saves the job that reads the header; every file's own header is
-    then checked against them.
+    With ``columns``, every file's own header says where they are, so files may have them in any order. A row with more or
+    fewer fields, and any row of a file whose header does not name exactly these columns, has NULLs in all of them and its
+    text in ``_malformed``. Without ``columns`` the first file's header counts for all.
+
+    ``multi_line`` allows line breaks inside quoted fields but makes one task read one file.
     """
-    reader = spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
-    reader = reader.option("multiLine", multi_line)
-    if columns is not None:
-        reader = reader.option("enforceSchema", False).schema(StructType([StructField(c, StringType()) for c in columns]))
-    return reader.csv(path)
+    reader = spark.read.option("escape", '"').option("multiLine", multi_line)
+    if columns is None:
+        return reader.option("header", True).option("inferSchema", False).csv(path)
+    places = [f"_c{i}" for i in range(len(columns))]
+    schema = StructType([StructField(c, StringType()) for c in (*places, MALFORMED)])
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
+    rows = reader.option("header", False).schema(schema).csv(path)
+    rows = rows.select(F.array(*places).alias("_fields"), MALFORMED, F.col("_metadata.file_path").alias(SOURCE_FILE))
+    names = F.array(*(F.lit(c) for c in sorted(columns)))
+    is_header = F.col(MALFORMED).isNull() & F.array_sort("_fields").eqNullSafe(names)
+    headers = rows.filter(is_header).groupBy(SOURCE_FILE).agg(F.min("_fields").alias("_names"))
+    placed = rows.filter(~is_header).join(headers, SOURCE_FILE, "left")
+    no_header = F.concat(F.lit("no such header: "), F.concat_ws(",", "_fields"))
+    malformed = F.coalesce(MALFORMED, F.when(F.col("_names").isNull(), no_header))
+    field = {c: F.try_element_at("_fields", F.array_position("_names", c).cast("int")) for c in columns}
+    return placed.withColumn("_bad", malformed).select(
+        *(F.when(F.col("_bad").isNull(), value).alias(c) for c, value in field.items()),
+        F.col("_bad").alias(MALFORMED),
+        SOURCE_FILE,
+    )
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
-    """Add when the row was loaded and the file it came from. ``df`` must come straight from a file source."""
-    return df.select("*", F.current_timestamp().alias(INGESTED_AT), F.col("_metadata.file_path").alias(SOURCE_FILE))
+    """Add when the row was loaded and the file it came from, which a frame straight from a file source can tell."""
+    known = [] if SOURCE_FILE in df.columns else [F.col("_metadata.file_path").alias(SOURCE_FILE)]
+    return df.select("*", F.current_timestamp().alias(INGESTED_AT), *known)
 
 
 def write_raw(df: DataFrame, path: str) -> None:

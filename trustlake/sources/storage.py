@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from trustlake.operators.bounded import few_rows
 from trustlake.operators.rules import FAILED, is_valid
+from trustlake.sources.raw import MALFORMED
 
 OUTCOME = "_outcome"
 GOOD, BAD = "valid", "quarantine"
@@ -88,7 +89,7 @@ class Staged:
 
     def pick(self, frame: DataFrame, outcome: str) -> DataFrame:
         picked = frame.filter(F.col(OUTCOME) == outcome).drop(OUTCOME)
-        return picked.drop(FAILED) if outcome == GOOD else picked
+        return picked.drop(FAILED, MALFORMED) if outcome == GOOD else picked
 
 
 def outcome() -> Column:
