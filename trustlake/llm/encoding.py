@@ -2,28 +2,39 @@
 
 Both vocabularies cut a text into pieces before any merge is tried, so a text's ids are those of its pieces in turn. Where
 every character of a text is one whose class is settled (Latin letters, ASCII, common punctuation), the pieces are cut
-here and only pieces not seen lately go through the tokenizers library; any other text goes through it whole.
+here and only pieces not seen lately go through the tokenizers library's model; any other text goes through the library
+whole. What is remembered changes the speed, never the ids.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
+import sys
 import unicodedata
+from array import array
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
-from tokenizers import Tokenizer
 
-#: Pieces remembered by a task; beyond, remembering starts afresh.
-PIECES = 800_000
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
+
+from tokenizers import Tokenizer  # noqa: E402
+
+if array("I").itemsize != 4 or sys.byteorder != "little":
+    raise ImportError("ids are exchanged as the machine's own unsigned integers, which must be 32-bit little-endian")
+
+#: Pieces in a generation of those that a worker remembers.
+PIECES = 500_000
 #: Bytes per id in memory and in what tasks exchange.
 ID = np.dtype("<u4")
 
 # How the two kinds of vocabulary cut a text before merging; L, N, P and S stand for letters, digits, other
 # visible characters and white space.
-BYTE_LEVEL = "'s|'t|'re|'ve|'m|'ll|'d| ?[L]+| ?[N]+| ?[P]+|[S]+(?![LNP])|[S]+"
-WORD_LEVEL = "'s|'t|'re|'ve|'m|'ll|'d|[L]+|[N]|[P]+"
+BYTE_LEVEL = " ?[L]+|'s|'t|'re|'ve|'m|'ll|'d| ?[N]+| ?[P]+|[S]+(?![LNP])|[S]+"
+WORD_LEVEL = "[L]+|'s|'t|'re|'ve|'m|'ll|'d|[N]|[P]+"
 # end of fixed values
 
 _SETTLED = [*range(0x250), *range(0x2010, 0x2028), *range(0x2030, 0x2050)]
@@ -57,6 +68,8 @@ def _patterns() -> tuple[re.Pattern, dict[str, re.Pattern]]:
 def _kind(definition: dict) -> str | None:
     """Which of the two known ways of cutting a tokenizer file asks for, if any."""
     before, normal = definition.get("pre_tokenizer") or {}, definition.get("normalizer") or {}
+    if not all(token["special"] for token in definition.get("added_tokens", [])) or definition["model"].get("dropout"):
+        return None
     if before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not normal:
         return "byte"
     steps = [s.get("type") for s in before.get("pretokenizers", [])]
@@ -68,32 +81,54 @@ def _kind(definition: dict) -> str | None:
     return None
 
 
-class Encoder(dict):
-    """``ids(text)`` of one tokenizer file; itself the remembered pieces, each with its ids as bytes."""
+class Remembered(dict):
+    """What a function gives for a text, remembered in two generations: a full one replaces the one before."""
+
+    def __init__(self, make: Callable[[str], bytes], size: int) -> None:
+        self.make, self.size = make, size
+        self.before: dict[str, bytes] = {}
+
+    def __missing__(self, text: str) -> bytes:
+        value = self.before.get(text)
+        if value is None:
+            value = self.make(text)
+        if len(self) >= self.size:
+            self.before = dict(self)
+            self.clear()
+        self[text] = value
+        return value
+
+
+@cache
+def _byte_letters() -> dict[int, str]:
+    """The characters that stand for bytes in byte-level vocabularies: visible Latin-1 ones for themselves, others from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(256 + place) for place, b in enumerate(hidden)}
+
+
+class Encoder:
+    """Token ids by one tokenizer file; the ids of pieces are remembered, and only new ones go through the library's model."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.kind = _kind(json.loads(self.tokenizer.to_str()))
         self.unsettled, patterns = _patterns()
         self.cut = patterns.get(self.kind)
+        self.piece_ids = Remembered(self._merged, PIECES)
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, ID).tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= PIECES:
-            self.clear()
-        value = self[piece] = self.whole(piece)
-        return value
+    def _merged(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(_byte_letters())
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
     def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
+        """A text's ids as little-endian unsigned 32-bit integers."""
         if self.cut is None or self.unsettled.search(text):
-            return self.whole(text)
-        if self.kind == "word":
-            text = text.lower()
-        return b"".join(map(self.__getitem__, self.cut.findall(text)))
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        pieces = self.cut.findall(text.lower() if self.kind == "word" else text)
+        return b"".join(map(self.piece_ids.__getitem__, pieces))
 
 
 @cache
