@@ -16,6 +16,8 @@ SMALL = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory: pytest.TempPathFactory) -> SparkSession:
     shared = tmp_path_factory.mktemp("shared")
+    events = shared / "events"
+    events.mkdir()
     session = get_spark(
         "trustlake-tests",
         master="local[4]",
@@ -23,6 +25,13 @@ def spark(tmp_path_factory: pytest.TempPathFactory) -> SparkSession:
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.warehouse.dir": str(shared / "warehouse"),
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(shared / "scratch"),
+            # executed plans are read from here
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": events.as_uri(),
+            "spark.eventLog.rolling.enabled": "false",
+            "spark.eventLog.compress": "false",
+            "spark.eventLog.buffer.kb": "1k",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

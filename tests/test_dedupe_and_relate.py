@@ -62,7 +62,8 @@ def test_reconcile_does_not_pair_up_copies(spark):
     many = spark.range(5000).select(F.lit(1).alias("k"), F.lit("x").alias("s"))
     plan = plan_of(reconcile(many, many, ["k"], ["s"]))
     assert "Join" not in plan
-    assert reconcile(many, many, ["k"], ["s"]).first().compared == 1
+    row = reconcile(many, many, ["k"], ["s"]).first()
+    assert (row.compared, row.copies_left, row.copies_right) == (1, many.count() - 1, many.count() - 1)
 
 
 def test_conservation(spark):
@@ -70,10 +71,16 @@ def test_conservation(spark):
     checked = apply_rules(dedupe(rows, ["k"]), [Rule("small", "k < 5")])
     assert conservation(rows, "k", checked).first().asDict() == {
         "distinct_keys": 8,
+        "keyless_rows": 0,
         "valid_rows": 5,
         "quarantined_rows": 3,
         "conserved": True,
     }
+    # rows without a key are kept one by one
+    keyless = rows.withColumn("k", F.when(F.col("k") > 0, F.col("k")))
+    checked = apply_rules(dedupe(keyless, ["k"]), [Rule("present", "k IS NOT NULL")])
+    assert tuple(conservation(keyless, "k", checked).first()) == (7, 2, 7, 2, True)
+    assert conservation(keyless, "k", checked.filter("k IS NOT NULL")).first().conserved is False
 
 
 def test_a_hot_key_is_split_in_the_join(spark):

@@ -65,7 +65,7 @@ def test_published_accuracy_of_the_keyword_rules(labelled):
     got = with_keyword_fields(labelled.select("id", "text"))
     compared = compare_with_labels(got, labelled, "id", ["group"])
     found = {r.group: r for r in extraction_accuracy(compared, "group").collect()}
-    every = found["all"]
+    every = extraction_accuracy(compared).first()
     assert every.cases == len(CASES) == 29
     shares = [every[f"accuracy_{f}"] for f in FIELDS]
     assert [round(100 * s) for s in shares] == [83, 76, 97, 93]
@@ -76,9 +76,9 @@ def test_published_accuracy_of_the_keyword_rules(labelled):
 
 
 def test_evaluations_are_recorded(spark, labelled, folder):
-    metrics, compared = evaluate_extractor(labelled, keyword_extractor(), "id")
+    metrics, by_group, compared = evaluate_extractor(labelled, keyword_extractor(), "id")
     assert metrics["accuracy_damage_type"] == 0.8276
-    assert metrics["accuracy_all_fields_new_text"] == 0.1818
+    assert {r.group: r.accuracy_all_fields for r in by_group.collect()}["new_text"] == 0.1818
     assert compared.count() == 29
     log_evaluation(spark, folder, "fake", metrics)
     log_evaluation(spark, folder, "again", metrics)
@@ -201,23 +201,51 @@ def test_fallbacks_are_not_remembered(spark):
     assert cache.count() == 0
 
 
-def test_batch_extractor_runs_a_users_function(spark):
-    def shout(texts: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                KEY: texts[KEY],
-                "damage_type": "fire",
-                "urgency": "low",
-                "injury_mentioned": False,
-                "third_party_involved": True,
-                "summary": texts["text"].str.upper(),
-            }
-        )
+def test_a_users_reader_is_checked_told_and_replaced(spark, tmp_path):
+    """Valid at once, valid when told what was wrong, never valid, skipped, and a reader that raises."""
+    right, late, vague, long = answer(), answer(urgency="low"), answer(urgency="drop"), answer(summary="x" * 500)
+    folder = str(tmp_path)
+
+    def read_batch(texts: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for key, text, error in zip(texts[KEY], texts["text"], texts["last_error"], strict=True):
+            again = isinstance(error, str)
+            with open(f"{folder}/{text}-{int(again)}", "w") as file:
+                file.write(str(error))
+            if text == "told":
+                rows.append((key, late if again else vague))
+            elif text == "never":
+                rows.append((key, long))
+            elif text == "good":
+                rows.append((key, right))
+        return pd.DataFrame(rows, columns=[KEY, "answer"])
+
+    frame = spark.createDataFrame([("good",), ("told",), ("never",), ("skipped",)], "text string")
+    readings, cache = extract_distinct(frame, "text", batch_extractor("r", read_batch))
+    assert readings.columns == [KEY, *EXTRACTION]
+    found = {r.text: r for r in attach(frame, "text", readings).collect()}
+    assert {t: (r.urgency, r.needs_manual_review) for t, r in found.items()} == {
+        "good": ("high", False), "told": ("low", False), "never": ("medium", True), "skipped": ("medium", True)}
+    assert {r.extractor for r in found.values()} == {"r"} and cache.count() == 2
+    told = {f.name.split("-")[0]: f.read_text() for f in tmp_path.iterdir() if f.name.endswith("-1")}
+    assert told.keys() == {"told", "never", "skipped"}
+    assert told["told"] == "urgency_known" and told["never"] == "summary_fits"
+
+
+def test_a_reader_that_raises_leaves_its_texts_to_people(spark):
+    right = answer()
+
+    def broken(texts: pd.DataFrame) -> pd.DataFrame:
+        if texts["last_error"].isna().any():
+            raise ValueError("no connection")
+        assert set(texts["last_error"]) == {"ValueError: no connection"}
+        return pd.DataFrame({KEY: texts[KEY], "answer": right})
 
     frame = spark.createDataFrame([("a",), ("b",)], "text string")
-    readings, _ = extract_distinct(frame, "text", batch_extractor("shout", shout))
-    assert readings.columns == [KEY, *EXTRACTION]
-    assert sorted((r.summary, r.extractor) for r in readings.collect()) == [("A", "shout"), ("B", "shout")]
+    readings, _ = extract_distinct(frame, "text", batch_extractor("r", broken))
+    assert {r.needs_manual_review for r in readings.collect()} == {False}
+    readings, _ = extract_distinct(frame, "text", batch_extractor("r", broken, attempts=1))
+    assert {(r.needs_manual_review, r.damage_type) for r in readings.collect()} == {(True, "other")}
 
 
 def test_settings_choose_the_extractor(spark):
@@ -226,11 +254,23 @@ def test_settings_choose_the_extractor(spark):
     assert choose_extractor({"model": "m"})(texts).first().extractor == "fake"
 
     def read_batch(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({KEY: frame[KEY], **{f: None for f in FIELDS}, "summary": "s"})
+        return pd.DataFrame({KEY: frame[KEY], "answer": None})
 
     assert choose_extractor({"model": "m"}, read_batch)(texts).first().extractor == "llm:m"
 
 
+def test_a_case_nobody_has_read_is_wrong(spark):
+    fields = "damage_type string, urgency string, injury_mentioned boolean, third_party_involved boolean"
+    labels = spark.createDataFrame([(1, "all", "water", "high", False, None), (2, "g", "fire", "low", True, False)], f"id int, g string, {fields}")
+    got = spark.createDataFrame([(1, "water", "high", False, None, False)], f"id int, {fields}, needs_manual_review boolean")
+    compared = compare_with_labels(got, labels, "id", ["g"])
+    total = extraction_accuracy(compared).first()
+    assert (total.cases, total.accuracy_all_fields, total.manual_review_rate) == (2, 0.5, 0.5)
+    # a group may be called all
+    assert {r.g: r.accuracy_all_fields for r in extraction_accuracy(compared, "g").collect()} == {"all": 1.0, "g": 0.0}
+    assert [r.id for r in extraction_errors(compared, "id").collect()] == [2]
+
+
 def test_triage_keeps_a_score_without_extraction(spark):
     scored = spark.createDataFrame([("C1", 0.5), ("C2", 0.6)], "claim_id string, fraud_score double")
     described = spark.createDataFrame([("C1", "Stolen phone")], "claim_id string, text string")

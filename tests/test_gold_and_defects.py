@@ -44,8 +44,15 @@ def test_features_by_hand(tables):
     assert gold.fraud_features(*tables).columns == ["claim_id", *gold.FEATURES, "is_fraud"]
 
 
-def test_both_ways_to_the_median_give_the_same_features(tables):
-    assert gold.fraud_features(*tables).exceptAll(gold.fraud_features(*tables, direct_limit=0)).count() == 0
+def test_totals_are_never_those_of_a_part(spark, tables):
+    """An amount without an exact decimal makes the total unknown instead of smaller."""
+    claims, policies = tables
+    for odd in (float("nan"), float("inf"), 1e23):
+        amounts = F.when(F.col("claim_id") == "C1", F.lit(odd)).otherwise(F.col("claim_amount"))
+        rows = gold.claims_monthly(claims.withColumn("claim_amount", amounts), policies).collect()
+        unknown = [r for r in rows if str(r.month) == "2023-01-01" and r["product"] == "auto"]
+        assert [(r.n_claims, r.total_amount, r.avg_amount) for r in unknown] == [(2, None, None)]
+        assert all(r.total_amount is not None for r in rows if r not in unknown)
 
 
 def test_monthly_by_hand(tables):

@@ -1,6 +1,8 @@
 import json
 
+import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
@@ -9,13 +11,12 @@ from trustlake.functions.hashing import keyed_hash
 from trustlake.operators import gold
 from trustlake.operators.defects import Defect, inject, inject_duplicates
 from trustlake.operators.models import (
-    build_estimator,
     class_weights,
+    classifier,
     fingerprint,
-    one_hot,
+    preparation,
     prepare_features,
     relative_to,
-    standardise,
     train,
 )
 from trustlake.operators.rules import FAILED, Rule, apply_rules, request_rules, split_valid
@@ -99,14 +100,24 @@ def test_class_weights(spark):
         class_weights(frame.filter("y = 0"), "y")
 
 
-def test_one_hot_of_unknown_is_zero(spark):
-    frame = spark.createDataFrame([("a",), ("b",), ("z",), (None,)], "c string")
-    assert [tuple(r)[1:] for r in one_hot(frame, "c", ["a", "b"]).collect()] == [(1, 0), (0, 1), (0, 0), (0, 0)]
+def test_the_fitted_preparation(spark):
+    """An unknown category is zero everywhere, numbers are in population deviations, a constant one is zero."""
+    rows = [("a", 1.0, 7.0), ("a", 3.0, 7.0), ("b", None, 7.0)]
+    frame = spark.createDataFrame(rows, "c string, x double, k double")
+    model = Pipeline(stages=preparation(["c"], ["x", "k"], 3)).fit(frame)
+    new = spark.createDataFrame([("a", 1.0, 7.0), ("b", 3.0, 7.0), ("z", None, 7.0), (None, 1.0, 7.0)], frame.schema)
+    found = [(list(r.c_hot.toArray()), r.scaled.toArray()) for r in model.transform(new).collect()]
+    assert [hot for hot, _ in found] == [[1, 0], [0, 1], [0, 0], [0, 0]]
+    x = np.array([1.0, 3.0, 1.0])  # the missing number is the median
+    expected = [(v - x.mean()) / x.std() for v in (1.0, 3.0, 1.0, 1.0)]
+    assert [s[0] for _, s in found] == pytest.approx(expected)
+    assert {s[1] for _, s in found} == {0.0}
 
 
-def test_standardise(spark):
-    frame = standardise(spark.createDataFrame([(1.0, 7.0), (3.0, 7.0)], "a double, b double"), ["a", "b"])
-    assert [tuple(r) for r in frame.collect()] == [(-1.0, 0.0), (1.0, 0.0)]
+def test_rows_without_a_label_are_left_out(data):
+    some = data[1].withColumn("is_fraud", F.when(F.col("claim_id") > "C000100", F.col("is_fraud")))
+    trained = train(some, ["logistic_regression"], params=QUICK)["logistic_regression"]
+    assert trained.n_unlabelled == 101 and trained.n_train + trained.n_test == 3000 - 101
 
 
 def test_fingerprint_ignores_order_and_sees_changes(spark):
@@ -114,11 +125,13 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
     assert fingerprint(frame) == fingerprint(frame.repartition(7))
     assert fingerprint(frame) != fingerprint(frame.withColumn("id", F.col("id") + 1))
     assert fingerprint(spark.range(0))["rows"] == 0
+    one = spark.createDataFrame([("x", None)], "a string, b string")
+    assert fingerprint(one) != fingerprint(spark.createDataFrame([(None, "x")], "a string, b string"))
 
 
 def test_unknown_models_and_options(data):
-    with pytest.raises(ValueError, match="Unknown model"):
-        build_estimator("oracle", 1.0)
+    with pytest.raises(ValueError, match="oracle"):
+        classifier("oracle", 1.0)
     with pytest.raises(ValueError, match="stats_from"):
         train(data[1], stats_from="test")
 
@@ -296,6 +309,16 @@ def test_serving_writes_scores_refusals_and_logs(spark, data, scorer, tmp_path):
     assert len(log) == 2 * (3000 - refused)
     assert {r["batch_size"] for r in log} == {3000 - refused}
     assert spark.read.text(f"{target}/extraction_log").count() == 3000 - refused
+    # a run that is repeated by its name replaces its records
+    for _ in range(2):
+        serve_batch(spark, wanted, scorer, target, run="nightly")
+    assert spark.read.text(f"{target}/prediction_log").count() == 3 * (3000 - refused)
+
+    def broken(texts):
+        raise ValueError("the reader is away")
+
+    rows = serve_triage(spark, wanted, scorer, str(tmp_path / "broken"), broken)
+    assert rows.filter("needs_manual_review AND fraud_score IS NOT NULL").count() == 3000 - refused
     # a claim sent three times gets three scores, not nine
     thrice = wanted.filter("claim_id = 'C000007'")
     thrice = thrice.union(thrice).union(thrice.withColumn("description", F.lit("Stolen phone.")))
@@ -320,8 +343,7 @@ def test_training_command_line(data, tmp_path, capsys):
 RULES = (Rule("value_present", "value IS NOT NULL"), Rule("value_positive", "value IS NULL OR value > 0"))
 
 
-@pytest.mark.parametrize("delay", [None, "4000 days"])
-def test_stream_quality_equals_batch(spark, small, tmp_path, delay):
+def test_stream_quality_equals_batch(spark, small, tmp_path):
     defects = (Defect("empty", "value", F.lit(None), 0.02), Defect("negative", "value", -F.col("value"), 0.02))
     events = spark.read.parquet(f"{small}/events.parquet")
     dirty = inject(events, defects, "event_id")
@@ -331,7 +353,7 @@ def test_stream_quality_equals_batch(spark, small, tmp_path, delay):
 
     def run():
         stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
-        stream_quality(stream, RULES, ["event_id"], "ts", target, offsets, delay).awaitTermination()
+        stream_quality(stream, RULES, ["event_id"], "ts", target, offsets).awaitTermination()
         return read_checked(spark, target)
 
     good, bad = run()
@@ -347,7 +369,7 @@ def test_stream_quality_equals_batch(spark, small, tmp_path, delay):
     assert again.count() == good.count()
 
 
-def test_late_events_are_kept_without_a_delay(spark, tmp_path):
+def test_late_events_are_kept(spark, tmp_path):
     arriving, target, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
     ddl = "event_id long, ts timestamp_ntz, value double"
 
@@ -365,6 +387,24 @@ def test_late_events_are_kept_without_a_delay(spark, tmp_path):
     assert arrive((3, "2020-01-01 00:00:00", 3)) == ([1, 3], [2])
 
 
+def test_a_new_checkpoint_loses_and_repeats_nothing(spark, tmp_path):
+    """A second query starts at batch 0 on a target that has rows; events without a time are matched, too."""
+    target, ddl = str(tmp_path / "out"), "event_id long, ts timestamp, value double"
+
+    def arrive(name, *rows):
+        arriving = str(tmp_path / f"in-{name}")
+        values = ", ".join(f"({i}L, CAST({ts} AS TIMESTAMP), {v}D)" for i, ts, v in rows)
+        spark.sql(f"SELECT * FROM VALUES {values} AS t(event_id, ts, value)").coalesce(1).write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(arriving)
+        stream_quality(stream, RULES, ["event_id"], "ts", target, str(tmp_path / f"offsets-{name}")).awaitTermination()
+        return sorted(r.event_id for r in read_checked(spark, target)[0].collect())
+
+    first = ((1, "NULL", 1), (2, "'2024-01-05'", 1), (3, "'2024-01-06'", 1))
+    assert arrive("a", *first) == [1, 2, 3]
+    assert arrive("a", (1, "NULL", 1), (4, "NULL", 1)) == [1, 2, 3, 4]
+    assert arrive("b", *first, (9, "'2024-01-05'", 1)) == [1, 2, 3, 4, 9]
+
+
 def test_run_all_stops_at_the_gate_and_otherwise_registers(spark, small, tmp_path):
     lake = Snapshots(spark, str(tmp_path / "lake"))
     store = ModelRegistry(spark, str(tmp_path / "registry"))

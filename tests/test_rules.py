@@ -91,7 +91,9 @@ def test_policies_by_hand(spark):
         ({"policy_id": "D9"}, ["policy_exists"]),
         ({"policy_id": None}, ["policy_exists"]),
         ({"channel": None}, []),
-        ({"claim_amount": "NaN"}, []),
+        ({"claim_amount": "NaN"}, ["claim_amount_finite"]),
+        ({"claim_amount": "Infinity"}, ["claim_amount_finite"]),
+        ({"claim_amount": "-Infinity"}, ["claim_amount_positive", "claim_amount_finite"]),
     ],
 )
 def test_claims_by_hand(spark, override, rules):
@@ -168,10 +170,10 @@ def test_empty_input_has_rate_zero(spark):
     gate(ledger)
 
 
-def test_gate_uses_the_published_rate():
-    gate(Ledger("c", 100_000, 5_004, {}), 0.05)
-    with pytest.raises(QualityGateError, match="5.0% of rows quarantined"):
-        gate(Ledger("c", 100_000, 5_006, {}), 0.05)
+def test_gate_counts():
+    gate(Ledger("c", 100_000, 5_000, {}), 0.05)
+    with pytest.raises(QualityGateError, match="5001 of 100000 rows quarantined"):
+        gate(Ledger("c", 100_000, 5_001, {}), 0.05)
 
 
 def test_rules_stay_in_generated_code(spark, small):

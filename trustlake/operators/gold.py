@@ -151,7 +151,8 @@ def fraud_features(claims: DataFrame, policies: DataFrame) -> DataFrame:
             policies.select("policy_id", "product", "region", "customer_age", "start_date", "annual_premium"),
         )
     )
-    return claim_features(records, group_medians(records), on_unknown="keep")
+    # stored, so that the join knows how small they are
+    return claim_features(records, lineage_cut(group_medians(records)), on_unknown="keep")
 
 
 # Weights of the three red flags in the label formula.
