@@ -154,6 +154,19 @@ def test_article_without_its_surroundings():
     assert extract(PAGE % (long, long, "more " * 30, "reader " * 60)) == expected
 
 
+def test_articles_of_readers_are_not_the_page_s():
+    long = "reader " * 300
+    page = f"""<body><main><article><header class="post-header"><h1>Title</h1></header><p>Own text.</p>
+      <div class="userComments"><article><p>{long}</p></article></div></article></main>
+      <section id="comments"><article><p>{long}</p></article></section>
+      <div class="related-posts"><article><p>{long}</p></article></div></body>"""
+    assert extract(page) == "Title\nOwn text."
+
+
+def test_what_was_left_unclosed_before_the_article():
+    assert extract("<body><div class='ad'>Buy<nav><a>x</a><article><p>Text <b>bold<p>More</article>") == "Text bold\nMore"
+
+
 def test_menus_without_names_are_no_region():
     links = "".join(f"<div><a href='/{i}'>Entry number {i} of a long menu of entries</a></div>" for i in range(20))
     body = "".join(f"<p>Paragraph {i} {'text ' * 20}</p>" for i in range(4))

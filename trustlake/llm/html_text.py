@@ -54,12 +54,20 @@ OUT = set(
 )
 #: Names in class, id and role that tell the same.
 OUT_NAMES = set(
-    "ad ads adv advert advertisement advertising adsense banner breadcrumb breadcrumbs byline-share captcha comment comments "
-    "commentlist complementary consent contentinfo cookie cookies copyright discussion disclaimer disqus footer form gdpr header "
-    "login masthead menu modal nav navbar navigation newsletter notice notification overlay pager pagination paywall popup promo "
-    "promoted promotion recommended recommendations related replies reply respond responses search share sharing sidebar signup "
-    "skip social sponsor sponsored subscribe subscription tags teaser toc toolbar topbar widget widgets".split()
+    "ad ads adslot adunit adv advert advertisement advertising adverts adsense alert announcement banner breadcrumb breadcrumbs "
+    "captcha complementary consent contentinfo cookie cookies copyright disclaimer footer form gdpr header login masthead menu "
+    "modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo promoted "
+    "promotion search share sharing signup skip social sponsor sponsored subscribe subscription tags teaser toc toolbar topbar "
+    "widget widgets".split()
 )
+#: Names, and elements, around what other people or pages say: an article inside is not the page's.
+OTHERS = set(
+    "comment comments commentlist discussion disqus feedback recommendations recommended related replies reply respond responses "
+    "reviews sidebar sidebars".split()
+)
+OTHERS_ELEMENTS = {"aside", "footer", "form", "template", "svg"}
+#: Names that mean the head of an article inside one, and the head of the page outside.
+HEADS = {"header", "masthead"}
 _KEPT = {"html", "body", "main", "article"}
 _CLOSED_BY_BLOCK = {"p"}
 _SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -80,7 +88,7 @@ class _Page:
     """Lines under construction, and the elements that are open."""
 
     lines: list[Line] = field(default_factory=list)
-    open: list[tuple[str, bool, int]] = field(default_factory=list)  # name, whether its inside is out, article around it
+    open: list[tuple[str, int, int]] = field(default_factory=list)  # name, whether its inside is out, article around it
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     in_link: bool = False
@@ -88,8 +96,8 @@ class _Page:
     articles: int = 0
 
     @property
-    def out(self) -> bool:
-        return bool(self.open) and self.open[-1][1]
+    def out(self) -> int:
+        return self.open[-1][1] if self.open else 0
 
     def text(self, piece: str) -> None:
         if self.out or not piece:
@@ -121,17 +129,35 @@ class _Page:
             self.blank()
 
 
-def _is_out(name: str, rest: str) -> bool:
-    if name in OUT:
-        return True
-    if not rest:
-        return False
-    words = {w for m in _NAMES.finditer(rest) for w in re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower())}
+IN, OUT_OF_PAGE, OUT_FOR_ALL = 0, 1, 2
+
+
+def _names(rest: str) -> set[str]:
+    """The words in class, id and role, both as written together and as capitals divide them."""
+    found = set()
+    for match in _NAMES.finditer(rest):
+        value = match[1] or match[2] or match[3] or ""
+        found.update(re.split(r"[^a-z0-9]+", value.lower()))
+        found.update(word.lower() for word in re.findall(r"[A-Z]?[a-z]+", value))
+    return found
+
+
+def _kind(name: str, rest: str, in_article: bool) -> int:
+    """Whether an element is part of the page's content; if not, whether an article inside it still may be."""
+    words = _names(rest) if rest else set()
+    if name in OTHERS_ELEMENTS or words & OTHERS and name not in ("html", "body", "main"):
+        return OUT_FOR_ALL
     if name == "article":
-        return bool(words & {"comment", "reply", "ad", "advert", "advertisement", "sponsored", "promo", "teaser", "related"})
+        return OUT_FOR_ALL if words & {"ad", "ads", "advert", "advertisement", "sponsored", "promo", "teaser"} else IN
     if name in _KEPT:
-        return False
-    return bool(words & OUT_NAMES) or bool(_HIDDEN.search(rest))
+        return IN
+    if in_article:
+        words -= HEADS
+        if name == "header":
+            return IN
+    if name in OUT or words & OUT_NAMES or rest and _HIDDEN.search(rest):
+        return OUT_OF_PAGE
+    return IN
 
 
 def _start(page: _Page, name: str, rest: str) -> None:
@@ -150,21 +176,19 @@ def _start(page: _Page, name: str, rest: str) -> None:
         page.in_link = True
     if name in VOID:
         return
-    inside = page.out
-    heads_article = name == "header" and any(n in ("article", "main") for n, _, _ in page.open)
+    around = page.out
+    own = _kind(name, rest, page.article > 0)
     if name in ("article", "main"):
-        # an article is never part of a menu: what was open before it was left unclosed
-        own = _is_out(name, rest)
-        inside = own or any(n == "article" and out for n, out, _ in page.open)
+        # a menu or advert around an article was left unclosed before it
+        inside = max(own, around if around == OUT_FOR_ALL else IN)
         page.open.append((name, inside, page.article))
         if not inside:
             page.articles += 1
             page.article = page.articles
         return
-    if not inside and not heads_article and _is_out(name, rest):
+    if own and not around:
         page.end_line()
-        inside = True
-    page.open.append((name, inside, page.article))
+    page.open.append((name, max(own, around), page.article))
 
 
 def _end(page: _Page, name: str) -> None:
