@@ -11,6 +11,7 @@ from trustlake.functions.hashing import chosen
 from trustlake.operators.defects import Defect, claim_defects, inject, inject_duplicates
 from trustlake.operators.bounded import few_rows
 from trustlake.operators.dedupe import COPIES
+from trustlake.operators.relate import mark_existing
 from trustlake.operators.rules import (
     FAILED,
     REPORT_SCHEMA,
@@ -26,6 +27,7 @@ from trustlake.plans.medallion import check_all, run_medallion
 from trustlake.queries.bindings import (
     CHECKED_CLAIMS,
     CHECKED_POLICIES,
+    FEATURE_ROWS,
     broken_sql,
     checked_claims,
     half_up,
@@ -186,6 +188,42 @@ def g1_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_text_dates(lake.read("gold", "claims_monthly"))
 
 
+@query("s7_gold_handover", f"WITH {FEATURE_ROWS} SELECT * FROM features")
+def s7_gold_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What training reads: the feature table as the run has stored it."""
+    lake = Snapshots(spark, work_dir(spark, "lake"))
+    run_medallion(spark, lake, raw_feeds(spark, sf_dir), limit=LOOSE_LIMIT)
+    return lake.read("gold", "fraud_features")
+
+
+LEFTOVERS = {
+    "no amount": "claim_amount IS NULL",
+    "amount not positive": "claim_amount <= 0",
+    "reported early": "report_date < incident_date",
+    "policy not in silver": "policy_id NOT IN (SELECT policy_id FROM policies)",
+}
+
+
+@query(
+    "p15_leftovers",
+    f"WITH {CHECKED_CLAIMS} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS leftover, count(*) FILTER (WHERE {broken}) AS n, count(*) AS claims FROM claims"
+        for name, broken in LEFTOVERS.items()
+    ),
+)
+def p15_leftovers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nothing that a rule refuses is left in silver."""
+    lake = published(spark, sf_dir)
+    claims = mark_existing(lake.read("silver", "claims"), lake.read("silver", "policies"), "policy_id", "known")
+    conditions = {**LEFTOVERS, "policy not in silver": "NOT known"}
+    counts = claims.agg(
+        F.count(F.lit(1)).alias("claims"), *(F.count_if(F.expr(c)).alias(name) for name, c in conditions.items())
+    )
+    lines = [F.struct(F.lit(name).alias("leftover"), F.col(f"`{name}`").alias("n")) for name in conditions]
+    return counts.select(F.inline(F.array(*lines)), "claims")
+
+
 @query(
     "g2_gate",
     f"""WITH {CHECKED_CLAIMS}, n AS (SELECT count(*) FILTER (WHERE failed_rules <> '') AS bad, count(*) AS total

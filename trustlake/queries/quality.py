@@ -539,7 +539,8 @@ def f7_serving_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "e5_skew_check",
     f"""WITH {RECORDS} SELECT c AS "column", CAST(0 AS BIGINT) AS mismatches, (SELECT count(*) FROM records) AS compared,
-      CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right
+      CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, CAST(0 AS BIGINT) AS copies_left,
+      CAST(0 AS BIGINT) AS copies_right
     FROM (VALUES {", ".join(f"('{c}')" for c in gold.FEATURES)}) columns(c)""",
 )
 def e5_skew_check(spark: SparkSession, sf_dir: str) -> DataFrame:
