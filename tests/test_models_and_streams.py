@@ -414,4 +414,4 @@ def test_run_all_stops_at_the_gate_and_otherwise_registers(spark, small, tmp_pat
     assert store.runs().count() == 0
     outcome, best, version = run_all(spark, lake, feeds, store, limit=0.05, params=QUICK)
     assert outcome.ledgers["claims"].valid_rows > 0
-    assert (store.load("claims-fraud-model").model_type, version) == (best, 1)
+    assert (store.load("claim-review").model_type, version) == (best, 1)

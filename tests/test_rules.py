@@ -224,5 +224,6 @@ def test_requests_by_hand(spark, override, rules):
     assert apply_rules(normalise_requests(typed), REQUEST_RULES).first()[FAILED] == rules
 
 
-def test_rule_sets_describe_themselves():
-    assert all(r.description for r in (*POLICY_RULES, *CLAIMS.rules))
+def test_rule_names_are_unique():
+    for rules in (POLICY_RULES, CLAIMS.rules, REQUEST_RULES):
+        assert len({r.name for r in rules}) == len(rules)

@@ -22,7 +22,6 @@ class Rule:
 
     name: str
     condition: str
-    description: str = ""
 
     def broken(self) -> Column:
         """A one-element array with the rule's name for a bad row, an empty one for a good row."""
@@ -169,22 +168,24 @@ def gate(ledger: Ledger, limit: float = MAX_QUARANTINE_RATE) -> None:
 
 # Names and conditions of the rules of the two claim feeds.
 POLICY_RULES = (
-    Rule("policy_id_present", "policy_id IS NOT NULL", "a policy is found by its id"),
-    Rule("start_date_valid", "start_date IS NOT NULL", "the start is a calendar date"),
-    Rule("end_after_start", "end_date > start_date", "a policy runs for at least a day"),
-    Rule("premium_positive", "annual_premium > 0", "somebody pays for the policy"),
-    Rule("premium_finite", f"annual_premium IS NULL OR {is_finite('annual_premium')}", "own rule: NaN > 0 holds in SQL"),
+    Rule("policy_id_present", "policy_id IS NOT NULL"),
+    Rule("start_date_valid", "start_date IS NOT NULL"),
+    Rule("end_after_start", "end_date > start_date"),
+    Rule("premium_positive", "annual_premium > 0"),
+    # own rule: NaN > 0 holds in SQL
+    Rule("premium_finite", f"annual_premium IS NULL OR {is_finite('annual_premium')}"),
 )
 
-KEY_PRESENT = Rule("claim_id_present", "claim_id IS NOT NULL", "a claim is found by its id")
+KEY_PRESENT = Rule("claim_id_present", "claim_id IS NOT NULL")
 
 CLAIM_RULES = (
-    Rule("claim_amount_present", "claim_amount IS NOT NULL", "an amount was claimed"),
-    Rule("claim_amount_positive", "claim_amount IS NULL OR claim_amount > 0", "the amount is a cost"),
-    Rule("incident_date_valid", "incident_date IS NOT NULL", "the incident has a calendar date"),
-    Rule("reported_after_incident", "report_date >= incident_date", "reports follow incidents"),
-    Rule("policy_exists", "_policy_found", "the policy is known and itself valid"),
-    Rule("claim_amount_finite", f"claim_amount IS NULL OR {is_finite('claim_amount')}", "own rule: NaN > 0 holds in SQL"),
+    Rule("claim_amount_present", "claim_amount IS NOT NULL"),
+    Rule("claim_amount_positive", "claim_amount IS NULL OR claim_amount > 0"),
+    Rule("incident_date_valid", "incident_date IS NOT NULL"),
+    Rule("reported_after_incident", "report_date >= incident_date"),
+    Rule("policy_exists", "_policy_found"),
+    # own rule, as above
+    Rule("claim_amount_finite", f"claim_amount IS NULL OR {is_finite('claim_amount')}"),
 )
 
 

@@ -39,7 +39,8 @@ class Dataset:
         return [c.raw for c in self.columns]
 
 
-READABLE = Rule("row_readable", f"{MALFORMED} IS NULL", "own rule: the raw row has the expected fields")
+# own rule: the raw row has the expected fields
+READABLE = Rule("row_readable", f"{MALFORMED} IS NULL")
 
 
 def rules_of(spec: Dataset, bronze: DataFrame) -> tuple[Rule, ...]:

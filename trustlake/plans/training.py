@@ -13,7 +13,7 @@ from trustlake.plans.medallion import Layers, MedallionConfig, Outcome, run_meda
 from trustlake.session import get_spark
 from trustlake.sources.registry import ModelRegistry
 
-MODEL_NAME = "claims-fraud-model"
+MODEL_NAME = "claim-review"
 
 
 def train_and_register(
