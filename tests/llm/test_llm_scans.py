@@ -9,7 +9,7 @@ import pytest
 from tests.llm.edges import LONG, ROWS, awkward, empty
 from trustlake.llm.html_text import extract, extract_pages, region
 from trustlake.llm.license_rules import BASE, RULES
-from trustlake.llm.licenses import Detection, gates_of, resolved, scan_licenses
+from trustlake.llm.licenses import Detection, gates_of, matches, resolved, scan_licenses
 from trustlake.llm.licenses import scan_text as scan_license_text
 from trustlake.llm.secrets_scan import literal_spans, pairs, scan_secrets, sensitivity
 from trustlake.llm.secrets_scan import scan_text as scan_secret_text
@@ -70,6 +70,64 @@ def test_hundreds_of_rules_each_behind_a_gate():
         assert re.fullmatch(rb"[0-9a-z]+", rule.gate)
 
 
+def samples(tree, rng=None):
+    """Strings that a parsed pattern matches: every alternative, optional part and character once; with ``rng``, one at random."""
+    whole = [""]
+    for kind, value in tree:
+        name = str(kind)
+        if name == "LITERAL":
+            part = [chr(value)]
+        elif name == "NOT_LITERAL":
+            part = ["x"]
+        elif name == "IN":
+            part = [chr(v if str(k) == "LITERAL" else v[0]) for k, v in value]
+        elif name == "BRANCH":
+            part = [s for branch in value[1] for s in samples(branch, rng)] if not rng else samples(rng.choice(value[1]), rng)
+        elif name == "SUBPATTERN":
+            part = samples(value[3], rng)
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            least, most, inner = value
+            if rng:
+                part = ["".join(samples(inner, rng)[0] for _ in range(rng.randint(least, min(most, least + 2))))]
+            else:
+                one = samples(inner)
+                part = [one[0] * least, *(s + one[0] * max(0, least - 1) for s in one)]
+        else:
+            assert name in ("ASSERT", "ASSERT_NOT", "AT"), name
+            part = [""]
+        if rng:
+            whole = [whole[0] + rng.choice(part)]
+        else:
+            whole = [whole[0] + part[0], *(s + part[0] for s in whole[1:]), *(whole[0] + s for s in part[1:])]
+    return whole
+
+
+def test_no_gate_hides_a_match():
+    rng = random.Random(5)
+    for rule in RULES:
+        tree, by_gate = re._parser.parse(rule.pattern.pattern.decode()), gates_of([rule])
+        for text in {*samples(tree), *(samples(tree, rng)[0] for _ in range(50))}:
+            words = text.encode().split()
+            assert rule.pattern.search(b" ".join(words)), (rule.label, text)
+            assert matches(words, [rule], by_gate), (rule.label, rule.gates, text)
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION", "apache-2.0"),
+        ("The intent of this document is to state the conditions under which a Package may be copied", "artistic"),
+        ("This Font Software is licensed under the SIL Open Font License", "ofl"),
+        ("Unauthorised copying of this file, via any medium, is strictly prohibited", "proprietary"),
+        ("Unauthorized copying of this file, via any medium, is strictly prohibited", "proprietary"),
+        ("released under the Expat License", "mit"),
+        ("ASL 2.0", "apache-2.0"),
+    ],
+)
+def test_notices_without_their_family_s_name(text, label):
+    assert label in scan_license_text(text.encode(), RULES, gates_of(RULES))[5].split(",")
+
+
 def test_suppression_against_all_pairs():
     rng = random.Random(4)
     for _ in range(50):

@@ -1,8 +1,9 @@
 """Signature rules for licences, written over a text's words: lower-case, one blank between them, no punctuation.
 
 ``GNU GPL-2.0-or-later`` reads ``gnu gpl 2 0 or later`` there, an SPDX line ``spdx license identifier mit``, and a version
-``2.0`` two words. A rule has a gate, one word that any match must contain; a text without that word never meets the rule's
-regular expression. Rules with a higher priority suppress detections that lie within theirs.
+``2.0`` two words. A rule has gates, words of which any match must contain one: one word that all its alternatives share, or
+one per alternative (``mit|expat``). A text without any of them never meets the rule's regular expression. Rules with a higher
+priority suppress detections that lie within theirs.
 """
 
 from __future__ import annotations
@@ -14,12 +15,16 @@ from dataclasses import dataclass
 @dataclass(frozen=True)
 class Rule:
     label: str
-    gate: bytes
+    gates: tuple[bytes, ...]
     pattern: re.Pattern
     priority: int
     weight: float
     base: bool = False
 
+    @property
+    def gate(self) -> bytes:
+        return self.gates[0]
+
 
 # Priorities: the more a signature says, the higher.
 MENTION, NOTICE, VERSIONED, IDENTIFIER, FULL_TEXT = 10, 20, 30, 40, 50
@@ -27,11 +32,11 @@ MENTION, NOTICE, VERSIONED, IDENTIFIER, FULL_TEXT = 10, 20, 30, 40, 50
 _LEAD = r"(?:(?:is |are |be )?(?:dual )?(?:re)?(?:licen[cs]ed|released|distributed|available|provided|published|made available|covered|governed)"
 _LEAD += r"(?: to you)?(?: for use)?(?: under| by| subject to| according to)(?: the)?(?: terms of)?(?: the)?(?: conditions of)?(?: the)?)"
 
-# A family: label stem, gate, the name's forms, the versions with their label endings (none: the stem alone).
+# A family: label stem, gates, the name's forms, the versions with their label endings (none: the stem alone).
 # v(1, 0) stands for a version as it is written: "1", "1 0", "v1 0", "version 1 0".
 FAMILIES: tuple[tuple[str, str, str, tuple[tuple[str, str], ...]], ...] = (
-    ("apache", "apache", r"apache(?: software)?(?: licen[cs]e)?|asl", (("1.0", "1 0"), ("1.1", "1 1"), ("2.0", "2(?: 0)?"))),
-    ("mit", "mit", r"mit(?: x11)?(?: licen[cs]e)?|x11 mit(?: licen[cs]e)?|expat(?: mit)? licen[cs]e", ()),
+    ("apache", "apache|asl", r"apache(?: software)?(?: licen[cs]e)?|asl", (("1.0", "1 0"), ("1.1", "1 1"), ("2.0", "2(?: 0)?"))),
+    ("mit", "mit|expat", r"mit(?: x11)?(?: licen[cs]e)?|x11 mit(?: licen[cs]e)?|expat(?: mit)? licen[cs]e", ()),
     ("bsd", "bsd", r"(?:modified |new |simplified |revised |original )?bsd(?: style)?(?: licen[cs]e)?", (
         ("0-clause", "0 clause|zero clause"), ("1-clause", "1 clause|one clause"), ("2-clause", "2 clause|two clause"),
         ("3-clause", "3 clause|three clause"), ("4-clause", "4 clause|four clause"))),
@@ -111,7 +116,7 @@ TEXTS: tuple[tuple[str, str, str], ...] = (
     ("bsd-3-clause", "endorse", r"neither the names? of (?:[^ ]+ ){1,12}?may be used to endorse or promote products derived from this software"),
     ("bsd-4-clause", "advertising", r"all advertising materials mentioning features or use of this software must display the following acknowledgement"),
     ("apache-2.0", "compliance", r"you may not use this file except in compliance with the licen[cs]e"),
-    ("apache-2.0", "redistribution", r"terms and conditions for use reproduction and distribution"),
+    ("apache-2.0", "reproduction", r"terms and conditions for use reproduction and distribution"),
     ("gpl", "redistribute", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e"),
     ("lgpl", "redistribute", r"this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[cs]e"),
     ("gpl", "copy", r"you should have received a copy of the gnu general public licen[cs]e"),
@@ -124,11 +129,11 @@ TEXTS: tuple[tuple[str, str, str], ...] = (
     ("bsl-1.0", "organization", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
     ("wtfpl", "fuck", r"you just do what the fuck you want to"),
     ("cc0-1.0", "waived", r"has waived all copyright and related or neighboring rights to"),
-    ("artistic", "artistic", r"the intent of this document is to state the conditions under which a package may be copied"),
-    ("ofl", "fonts", r"this font software is licensed under the sil open font licen[cs]e"),
+    ("artistic", "package", r"the intent of this document is to state the conditions under which a package may be copied"),
+    ("ofl", "font", r"this font software is licensed under the sil open font licen[cs]e"),
     ("public-domain", "domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain"),
     ("proprietary", "confidential", r"(?:proprietary and confidential|confidential and proprietary)"),
-    ("proprietary", "unauthorized", r"unauthori[sz]ed (?:copying|use|reproduction|distribution) (?:of this (?:file|work|software) )?(?:via any medium )?is strictly prohibited"),
+    ("proprietary", "unauthorized|unauthorised", r"unauthori[sz]ed (?:copying|use|reproduction|distribution) (?:of this (?:file|work|software) )?(?:via any medium )?is strictly prohibited"),
     ("proprietary", "permission", r"(?:may not be|no part of this (?:work|publication|book) may be) reproduced (?:[^ ]+ ){0,12}?without (?:the )?(?:prior )?(?:express )?(?:written )?permission"),
     ("copyright", "copyright", r"copyright (?:c )?(?:1[89][0-9]{2}|20[0-9]{2})(?: (?:1[89][0-9]{2}|20[0-9]{2}|present)){0,3}"),
 )
@@ -138,8 +143,8 @@ BASE = (("cc-by", "cc", "cc by"), ("gpl", "general", "general public license"),
 # end of fixed values
 
 
-def _rule(label: str, gate: str, body: str, priority: int, weight: float, base: bool = False) -> Rule:
-    return Rule(label, gate.encode(), re.compile(rf"(?<![^ ])(?:{body})(?![^ ])".encode()), priority, weight, base)
+def _rule(label: str, gates: str, body: str, priority: int, weight: float, base: bool = False) -> Rule:
+    return Rule(label, tuple(gates.encode().split(b"|")), re.compile(rf"(?<![^ ])(?:{body})(?![^ ])".encode()), priority, weight, base)
 
 
 def _version(body: str) -> str:

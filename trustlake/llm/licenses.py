@@ -1,7 +1,7 @@
 """License scans: ordered signature rules over a text's words, gated by keywords, overlaps resolved by priority.
 
-A text becomes its words (runs of digits, ASCII letters lower-cased, non-ASCII characters). Rules whose gate word occurs are
-matched; a detection lying within a kept one of higher priority, or of equal priority and greater length, is suppressed.
+A text becomes its words (runs of digits, ASCII letters lower-cased, non-ASCII characters). Rules of whose gate words one occurs
+are matched; a detection lying within a kept one of higher priority, or of equal priority and greater length, is suppressed.
 Detections of base rules always stay. The score is the chance that any kept label holds, if each rule's weight is the chance
 that its label does.
 
@@ -46,7 +46,7 @@ def matches(words: list[bytes], rules: Sequence[Rule], by_gate: dict[bytes, list
     line = b" ".join(words)
     starts = list(accumulate((len(w) + 1 for w in words), initial=0))
     found = []
-    for number in sorted(n for gate in gates for n in by_gate[gate]):
+    for number in sorted({n for gate in gates for n in by_gate[gate]}):
         for match in rules[number].pattern.finditer(line):
             found.append(Detection(bisect_left(starts, match.start()), bisect_left(starts, match.end()), number))
     return found
@@ -88,7 +88,8 @@ def resolved(found: list[Detection], rules: Sequence[Rule]) -> list[Detection]:
 def gates_of(rules: Sequence[Rule]) -> dict[bytes, list[int]]:
     by_gate = defaultdict(list)
     for number, rule in enumerate(rules):
-        by_gate[rule.gate].append(number)
+        for gate in rule.gates:
+            by_gate[gate].append(number)
     return dict(by_gate)
 
 
