@@ -11,7 +11,7 @@ from trustlake.llm.html_text import extract, extract_pages, region
 from trustlake.llm.license_rules import BASE, RULES
 from trustlake.llm.licenses import Detection, gates_of, matches, resolved, scan_licenses
 from trustlake.llm.licenses import scan_text as scan_license_text
-from trustlake.llm.secrets_scan import literal_spans, pairs, scan_secrets, sensitivity
+from trustlake.llm.secrets_scan import SENSITIVE, SENSITIVE_PAIRS, literal_spans, pairs, scan_secrets, sensitivity
 from trustlake.llm.secrets_scan import scan_text as scan_secret_text
 
 LICENSED = [
@@ -200,6 +200,32 @@ def test_sensitive_names():
     assert sensitivity("monkey") == 0.0 and sensitivity("author") == 0.0
 
 
+def names_of(words):
+    """A name as languages and settings write it, alone and in a longer one."""
+    for parts in (words, ["db", *words], [*words, "2"]):
+        for sign in "_-.":
+            yield sign.join(parts)
+            yield sign.join(parts).upper()
+        yield parts[0] + "".join(p.title() for p in parts[1:])
+        yield "".join(p.title() for p in parts)
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.3, 0.95])
+def test_every_sensitive_name_is_lexed(threshold):
+    entries = {(word,): value for word, value in SENSITIVE.items()} | SENSITIVE_PAIRS
+    for words, value in entries.items():
+        for name in names_of(list(words)):
+            text = f'{name}: "aB3$xyz9Qw!7Kp"\n'
+            spans = [s.text for s in literal_spans(text, threshold)]
+            assert bool(spans) == (sensitivity(name) >= threshold) and (spans or value < threshold), name
+            found = scan_secret_text(text.encode(), threshold)[4].split(",")
+            assert [s for s in found if s.startswith("literal")] == spans, name
+
+
+def test_names_that_are_not_sensitive_enough_are_no_spans():
+    assert scan_secret_text(b'monkeyBars: "aB3$xyz9Qw!7Kp" key = "aB3$xyz9Qw!7Kp" connection="aB3$xyz9Qw!7Kp"')[4] == ""
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="has-sidebar">
 <header><h2>Site</h2></header><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="cookie-notice">We use cookies %s</div>
 <div id="content"><h1>Fish &amp; chips</h1><p>%s</p><div class="ad">Buy now</div><p>Short.</p><p><b>%s<br></div>

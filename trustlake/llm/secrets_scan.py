@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 from hashlib import sha256
 from math import log2
 from typing import NamedTuple
@@ -52,10 +53,6 @@ SENSITIVE_PAIRS = {
     ("api", "key"): 1.0, ("access", "key"): 1.0, ("secret", "key"): 1.0, ("private", "key"): 1.0, ("encryption", "key"): 1.0,
     ("signing", "key"): 1.0, ("account", "key"): 0.9, ("master", "key"): 0.9, ("connection", "string"): 0.7,
 }
-#: A text without any of these has no sensitive name.
-_STEMS = (b"passw", b"passphrase", b"pwd", b"pass_", b"_pass", b"secret", b"token", b"apikey", b"api_key", b"api-key", b"credential",
-          b"bearer", b"authorization", b"auth_", b"_auth", b"signature", b"salt", b"_key", b"-key", b"dsn", b"connection_string",
-          b"accesskey", b"privatekey")
 HARMLESS = re.compile(
     r"(?:change_?me|example|sample|placeholder|dummy|redacted|your|my|test|xxx+|none|null|true|false|todo|undefined|\*+|<.*>|\$\{.*\}|%.*%)",
     re.IGNORECASE,
@@ -171,6 +168,14 @@ def randomness(value: str) -> float:
     return min(1.0, entropy / 3.5) * min(1.0, 0.4 + 0.2 * kinds)
 
 
+@cache
+def least_words(threshold: float) -> list[tuple[bytes, ...]]:
+    """Words that a text must hold, all of one entry, to have a name sensitive enough for any literal."""
+    entries = {(word,): value for word, value in SENSITIVE.items()} | SENSITIVE_PAIRS
+    found = {tuple(word.encode() for word in words) for words, value in entries.items() if value >= threshold}
+    return sorted(words for words in found if len(words) == 1 or not any((word,) in found for word in words))
+
+
 def literal_spans(text: str, threshold: float = THRESHOLD) -> list[Span]:
     """Literals whose targets' names and own looks make them likely secrets."""
     found = set()
@@ -186,7 +191,8 @@ def scan_text(raw: bytes, threshold: float = THRESHOLD) -> tuple:
     text = raw.decode("utf-8", "replace")
     base = sorted(base_spans(text, raw))
     lower = raw.lower()
-    more = literal_spans(text, threshold) if any(stem in lower for stem in _STEMS) else []
+    lexed = any(all(word in lower for word in words) for words in least_words(threshold))
+    more = literal_spans(text, threshold) if lexed else []
     counts = Counter(s.order for s in base)
     digest = sha256(",".join(s.text for s in base).encode()).hexdigest()
     return counts[0], counts[1], counts[2], digest, ",".join(s.text for s in sorted(base + more))
