@@ -258,6 +258,25 @@ def test_menus_without_names_are_no_region():
     assert text.split("\n")[0].startswith("Paragraph 0") and len(text.split("\n")) == 4
 
 
+def test_window_sums_run_within_marks():
+    body, more, junk = "Body text. " * 30, "More text. " * 30, "".join(f"<div>Unmarked line {i}</div>" for i in range(4))
+    one, two = body.strip(), more.strip()
+    assert extract(f"<main><h1>Title</h1><p>lead</p><article>{body}</article></main>") == f"Title\nlead\n{one}"
+    assert extract(f"<main><article>{body}</article><p>{more}</p></main>{junk}") == f"{one}\n{two}"
+    assert extract(f"<article>{body}</article>{junk}<article><p>{more}</p></article>{junk}") == f"{one}\n{two}"
+    # a sibling that does not surge, far from the text
+    assert extract(f"<article>{body}</article>{junk}<article>Short.</article>") == one
+    # a list of links in the main part is a dive, one in an article belongs to it, and so does one in a main part without any
+    links = "".join(f"<li><a href='/{i}'>Other story {i}</a></li>" for i in range(3))
+    assert extract(f"<main><article>{body}</article><ul>{links}</ul></main>") == one
+    for name in ("article", "main"):
+        assert extract(f"<{name}><ul>{links}</ul>{body}</{name}>") == f"Other story 0\nOther story 1\nOther story 2\n{one}"
+    # adverts marked as articles, and a page whose text lies in a part that only looks like one
+    promo = "<div class='promo'><article>Buy this now, it is cheap</article></div>"
+    assert extract(f"<main><article>{body}{promo}</article>{promo}</main>") == one
+    assert extract(f"<main><h1>Title</h1><div class='widget'><article>{body}</article></div></main>") == f"Title\n{one}"
+
+
 def test_region():
     assert region([0, 5, 0, 0, 0, 50, 60, 0, 3, 0, 0, 0, 90], 3, 80) == (5, 9)
     assert region([0, 5, 0, 0, 0, 7], 3, 80) == (5, 6)

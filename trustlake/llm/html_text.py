@@ -2,10 +2,14 @@
 
 Markup is stripped first: every block element of the page becomes a line, in page order, and parts that by their element or
 their class and id names are no content (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments)
-become blank lines. Where the page marks its article, lines outside count as blank, too. A line weighs as many characters as
-it has outside links. The weights are summed over a sliding window of lines: text surges where a sum reaches ``surge``, and
-dives where the sums fall to zero; the stretch between a surge and its dives is a region, from the first line of weight to the
-last. The heaviest region is the main text and is kept whole; without any surge the heaviest stretch counts.
+become blank lines. Where the page marks its main part or articles, lines outside of all of them count as blank, too. A line
+weighs as many characters as it has outside links, in a marked article as many as it has. The weights are summed over a sliding
+window of lines: text surges where a sum reaches ``surge``, and dives where the sums fall to zero; the stretch between a surge
+and its dives is a region, from the first line of weight to the last. All regions of marked lines are the main text; on pages
+without marks the heaviest is, and is kept whole. Without any surge the heaviest stretch counts.
+
+An article within the main part, or within an article, belongs to it. Where it lies in a part that is no content by its names,
+it counts only if such articles outweigh all other marked lines. A main part without articles is weighed like an article.
 
 Defined results: null and empty pages, and pages without text, give an empty text and 0 characters; html that ends within a
 tag, a comment or a script ends there; unclosed elements end with the element around them. Null ids and urls are kept.
@@ -76,11 +80,14 @@ _SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr
 _SCOPES = set("ul ol dl table div section article main body html aside nav footer header form blockquote".split())
 
 
+#: What a page marks a line as; a doubtful one is in an article within a part that is no content by its names.
+UNMARKED, MAIN, ARTICLE, DOUBTFUL = range(4)
+
+
 class Line(NamedTuple):
     text: str
     weight: int
-    #: Number of the article the line is in, 0 outside of all.
-    article: int
+    mark: int
 
 
 @dataclass
@@ -88,12 +95,11 @@ class _Page:
     """Lines under construction, and the elements that are open."""
 
     lines: list[Line] = field(default_factory=list)
-    open: list[tuple[str, int, int]] = field(default_factory=list)  # name, whether its inside is out, article around it
+    open: list[tuple[str, int, int]] = field(default_factory=list)  # name, whether its inside is out, mark around it
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     in_link: bool = False
-    article: int = 0
-    articles: int = 0
+    mark: int = UNMARKED
 
     @property
     def out(self) -> int:
@@ -111,19 +117,19 @@ class _Page:
             text = " ".join(html.unescape("".join(self.parts)).split())
             if text:
                 dense = len(text) - text.count(" ")
-                self.lines.append(Line(text, max(0, len(text) if not self.linked else dense - self.linked), self.article))
+                self.lines.append(Line(text, max(0, len(text) if not self.linked else dense - self.linked), self.mark))
         self.parts, self.linked = [], 0
 
     def blank(self) -> None:
         self.end_line()
-        self.lines.append(Line("", 0, self.article))
+        self.lines.append(Line("", 0, self.mark))
 
     def pop(self, index: int) -> None:
         """Close the open elements from ``index`` on."""
         was_out = self.out
-        for name, _, article in reversed(self.open[index:]):
+        for name, _, mark in reversed(self.open[index:]):
             if name in ("article", "main"):
-                self.article = article
+                self.mark = mark
         del self.open[index:]
         if was_out and not self.out:
             self.blank()
@@ -177,18 +183,17 @@ def _start(page: _Page, name: str, rest: str) -> None:
     if name in VOID:
         return
     around = page.out
-    own = _kind(name, rest, page.article > 0)
+    own = _kind(name, rest, page.mark > UNMARKED)
     if name in ("article", "main"):
         # a menu or advert around an article was left unclosed before it
         inside = max(own, around if around == OUT_FOR_ALL else IN)
-        page.open.append((name, inside, page.article))
+        page.open.append((name, inside, page.mark))
         if not inside:
-            page.articles += 1
-            page.article = page.articles
+            page.mark = max(page.mark, DOUBTFUL if around else ARTICLE if name == "article" else MAIN)
         return
     if own and not around:
         page.end_line()
-    page.open.append((name, max(own, around), page.article))
+    page.open.append((name, max(own, around), page.mark))
 
 
 def _end(page: _Page, name: str) -> None:
@@ -236,42 +241,56 @@ def lines_of(source: str) -> list[Line]:
     return page.lines
 
 
-def region(weights: list[int], window: int, surge: int) -> tuple[int, int]:
-    """First line and end of the heaviest stretch between a surge and its dive; of the heaviest at all if none surges."""
+def stretches(weights: list[int], window: int, surge: int) -> list[tuple[bool, int, int, int]]:
+    """All stretches between two dives: whether one surges, its weight, first line and end."""
     sums, total = [], sum(weights[: window - 1])
     for i in range(len(weights)):
         total += (weights[i + window - 1] if i + window - 1 < len(weights) else 0) - (weights[i - 1] if i else 0)
         sums.append(total)
-    best, found = (False, 0), (0, 0)
+    found = []
     start = None
     for i, value in enumerate([*sums, 0]):
         if value and start is None:
             start = i
         elif not value and start is not None:
             inside = [j for j in range(start, i) if weights[j]]
-            kind = (max(sums[start:i]) >= surge, sum(weights[start:i]))
-            if inside and kind > best:
-                best, found = kind, (inside[0], inside[-1] + 1)
+            if inside:
+                found.append((max(sums[start:i]) >= surge, sum(weights[start:i]), inside[0], inside[-1] + 1))
             start = None
     return found
 
 
+def region(weights: list[int], window: int, surge: int) -> tuple[int, int]:
+    """First line and end of the heaviest stretch between a surge and its dive; of the heaviest at all if none surges."""
+    return max(stretches(weights, window, surge), key=lambda found: found[:2], default=(False, 0, 0, 0))[2:]
+
+
+def regions(weights: list[int], window: int, surge: int) -> list[tuple[int, int]]:
+    """First line and end of every stretch that surges; of the heaviest if none does."""
+    return [found[2:] for found in stretches(weights, window, surge) if found[0]] or [region(weights, window, surge)]
+
+
+def counted_marks(heavy: list[int]) -> set[int]:
+    """The marks whose lines count, given the weight of each mark's lines."""
+    marks = {MAIN, ARTICLE} if heavy[MAIN] + heavy[ARTICLE] >= heavy[DOUBTFUL] else {MAIN, ARTICLE, DOUBTFUL}
+    return marks if any(heavy[mark] for mark in marks) else {UNMARKED, MAIN, ARTICLE, DOUBTFUL}
+
+
 def extract(source: str, window: int = WINDOW, surge: int = SURGE) -> str:
     """The main text, blocks joined by line breaks."""
     lines = lines_of(source)
-    by_article: dict[int, int] = {}
+    heavy = [0] * 4
     for line in lines:
-        if line.article:
-            by_article[line.article] = by_article.get(line.article, 0) + line.weight
-    main = max(by_article, key=lambda a: (by_article[a], -a)) if any(by_article.values()) else 0
-    weights = [line.weight if line.article == main or not main else 0 for line in lines]
-    if main:
-        # the article's own borders are its surge and dive: short blocks and links at its ends belong to it
-        own = [i for i, line in enumerate(lines) if line.article == main and line.text]
-        first, end = own[0], own[-1] + 1
+        heavy[line.mark] += line.weight
+    marks = counted_marks(heavy)
+    if UNMARKED in marks:
+        kept = [region([line.weight for line in lines], window, surge)]
     else:
-        first, end = region(weights, window, surge)
-    return "\n".join(line.text for line in lines[first:end] if line.text and (line.article == main or not main))
+        # short blocks and links at an article's ends belong to it
+        whole = {mark for mark in (ARTICLE, DOUBTFUL) if mark in marks and heavy[mark]} or {MAIN}
+        weights = [len(line.text) if line.mark in whole else line.weight if line.mark in marks else 0 for line in lines]
+        kept = regions(weights, window, surge)
+    return "\n".join(line.text for first, end in kept for line in lines[first:end] if line.text and line.mark in marks)
 
 
 def extract_pages(
