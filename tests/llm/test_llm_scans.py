@@ -7,7 +7,7 @@ from hashlib import sha256
 import pytest
 
 from tests.llm.edges import LONG, ROWS, awkward, empty
-from trustlake.llm.html_text import extract, extract_pages, region
+from trustlake.llm.html_text import extract, extract_pages, region, regions
 from trustlake.llm.license_rules import BASE, RULES
 from trustlake.llm.licenses import Detection, gates_of, matches, resolved, scan_licenses
 from trustlake.llm.licenses import scan_text as scan_license_text
@@ -277,6 +277,19 @@ def test_window_sums_run_within_marks():
     assert extract(f"<main><h1>Title</h1><div class='widget'><article>{body}</article></div></main>") == f"Title\n{one}"
 
 
+def test_text_on_both_sides_of_stripped_blocks():
+    first, last = ("First text. " * 30).strip(), ("Last text, longer. " * 40).strip()
+    for junk in ("<script>a</script><noscript>b</noscript><iframe>c</iframe>", "<div class='ad'>Buy</div> " * 3, "<aside>x</aside>" * 9):
+        assert extract(f"<body><p>{first}</p>{junk}<p>{last}</p></body>") == f"{first}\n{last}"
+        # the short end of a text after stripped blocks
+        assert extract(f"<body><p>{first}</p>{junk}<p>Short.</p></body>") == f"{first}\nShort."
+    links = "".join(f"<li><a href='/{i}'>Other story {i}</a></li>" for i in range(3))
+    assert extract(f"<p>{first}</p><ul>{links}</ul><p>{last}</p>") == f"{first}\n{last}"
+    assert extract(f"<p>{first}</p><ul>{links}</ul><p>Short.</p>") == first
+    assert regions([0, 5, 0, 0, 0, 50, 60, 0, 3, 0, 0, 0, 90], 3, 80) == [(5, 9), (12, 13)]
+    assert regions([0, 5, 0, 0, 0, 7], 3, 80) == [(5, 6)] and regions([], 3, 80) == [(0, 0)]
+
+
 def test_region():
     assert region([0, 5, 0, 0, 0, 50, 60, 0, 3, 0, 0, 0, 90], 3, 80) == (5, 9)
     assert region([0, 5, 0, 0, 0, 7], 3, 80) == (5, 6)

@@ -2,11 +2,11 @@
 
 Markup is stripped first: every block element of the page becomes a line, in page order, and parts that by their element or
 their class and id names are no content (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments)
-become blank lines. Where the page marks its main part or articles, lines outside of all of them count as blank, too. A line
+become blank lines, one for all that follow each other. Where the page marks its main part or articles, lines outside of all of them count as blank, too. A line
 weighs as many characters as it has outside links, in a marked article as many as it has. The weights are summed over a sliding
 window of lines: text surges where a sum reaches ``surge``, and dives where the sums fall to zero; the stretch between a surge
-and its dives is a region, from the first line of weight to the last. All regions of marked lines are the main text; on pages
-without marks the heaviest is, and is kept whole. Without any surge the heaviest stretch counts.
+and its dives is a region, from the first line of weight to the last. All regions are the main text, each kept whole; without
+any surge the heaviest stretch is.
 
 An article within the main part, or within an article, belongs to it. Where it lies in a part that is no content by its names,
 it counts only if such articles outweigh all other marked lines. A main part without articles is weighed like an article.
@@ -122,7 +122,8 @@ class _Page:
 
     def blank(self) -> None:
         self.end_line()
-        self.lines.append(Line("", 0, self.mark))
+        if not self.lines or self.lines[-1].text:
+            self.lines.append(Line("", 0, self.mark))
 
     def pop(self, index: int) -> None:
         """Close the open elements from ``index`` on."""
@@ -283,13 +284,11 @@ def extract(source: str, window: int = WINDOW, surge: int = SURGE) -> str:
     for line in lines:
         heavy[line.mark] += line.weight
     marks = counted_marks(heavy)
-    if UNMARKED in marks:
-        kept = [region([line.weight for line in lines], window, surge)]
-    else:
-        # short blocks and links at an article's ends belong to it
-        whole = {mark for mark in (ARTICLE, DOUBTFUL) if mark in marks and heavy[mark]} or {MAIN}
-        weights = [len(line.text) if line.mark in whole else line.weight if line.mark in marks else 0 for line in lines]
-        kept = regions(weights, window, surge)
+    # short blocks and links at an article's ends belong to it
+    articles = {mark for mark in marks - {UNMARKED, MAIN} if heavy[mark]}
+    whole = set() if UNMARKED in marks else articles or {MAIN}
+    weights = [len(line.text) if line.mark in whole else line.weight if line.mark in marks else 0 for line in lines]
+    kept = regions(weights, window, surge)
     return "\n".join(line.text for first, end in kept for line in lines[first:end] if line.text and line.mark in marks)
 
 
