@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.edges import ROWS, awkward, empty
-from trustlake.llm.encoding import Encoder
+from trustlake.llm.encoding import _SETTLED, Encoder
 from trustlake.llm.packing import best_fit, pack
 from trustlake.llm.token_counts import MARK, count_tokens, load_pieces, trie_counts, with_beginnings
 from trustlake.llm.token_files import read_digests, read_token_ids, write_token_files
@@ -48,6 +48,14 @@ def test_remembered_pieces_change_nothing(path):
         assert np.frombuffer(own.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_every_settled_character(path):
+    own, plain = Encoder(path), plain_tokenizer(path)
+    for char in map(chr, _SETTLED):
+        for text in (char, f"AB{char}CD ab{char}cd", f"x {char}{char.lower()} y", f"1{char}2 .{char}."):
+            assert np.frombuffer(own.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def by_id(rows):
     """Rows in the files' order: null ids first."""
     return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))

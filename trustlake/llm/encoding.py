@@ -38,8 +38,8 @@ WORD_LEVEL = "[L]+|'s|'t|'re|'ve|'m|'ll|'d|[N]|[P]+"
 # end of fixed values
 
 _SETTLED = [*range(0x250), *range(0x2010, 0x2028), *range(0x2030, 0x2050)]
-#: Changes into two characters when lower-cased.
-_ODD = {0x130}
+#: Lower-cased, these are not settled, or are several characters of which one is not.
+_ODD = {c for c in _SETTLED if not {ord(char) for char in chr(c).lower()} <= set(_SETTLED)}
 
 
 def _class(kind: str) -> str:
