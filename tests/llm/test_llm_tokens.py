@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.edges import ROWS, awkward, empty
-from trustlake.llm.encoding import _SETTLED, Encoder
+from trustlake.llm.encoding import _SETTLED, Encoder, encoder
 from trustlake.llm.packing import best_fit, pack
 from trustlake.llm.token_counts import MARK, count_tokens, load_pieces, trie_counts, with_beginnings
 from trustlake.llm.token_files import read_digests, read_token_ids, write_token_files
@@ -56,6 +56,24 @@ def test_every_settled_character(path):
             assert np.frombuffer(own.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+MARKED = ["x <|endoftext|> y", "<|endoftext|>", "<|startoftext|>a  <|endoftext|>\n b<|endoftext|>", "<|ENDOFTEXT|> <|endoftext |>",
+          "Ə <|endoftext|>日", "no marker  here", ""]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_markers_as_the_untouched_library_reads_them(spark, path):
+    library = Tokenizer.from_file(path)
+    expected = [library.encode(text, add_special_tokens=False).ids for text in MARKED]
+    assert [np.frombuffer(encoder(path).ids(text), "<u4").tolist() for text in MARKED] == expected
+    docs, folder = awkward(spark, list(enumerate(MARKED))), work_dir(spark, "tokens")
+    read = sorted(read_token_ids(write_token_files(docs, folder, path), folder).collect(), key=lambda r: r.doc_id)
+    assert [r.ids for r in read] == [[*ids, 0] for ids in expected]
+    assert [r.start for r in read] == np.cumsum([0, *(len(ids) + 1 for ids in expected)])[:-1].tolist()
+    if path == WORDS:
+        packed = sorted((r.doc_id, r.length, r.ids_crc32) for r in pack(docs, path).collect())
+        assert packed == [(i, len(ids) + 1, zlib.crc32(np.array([*ids, 0], "<u4").tobytes())) for i, ids in enumerate(expected)]
+
+
 def by_id(rows):
     """Rows in the files' order: null ids first."""
     return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))

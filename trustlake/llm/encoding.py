@@ -3,7 +3,8 @@
 Both vocabularies cut a text into pieces before any merge is tried, so a text's ids are those of its pieces in turn. Where
 every character of a text is one whose class is settled (Latin letters, ASCII, common punctuation), the pieces are cut
 here and only pieces not seen lately go through the tokenizers library's model; any other text goes through the library
-whole. What is remembered changes the speed, never the ids.
+whole, and so does one that holds a marker of the vocabulary (``<|endoftext|>``), which gets the marker's own id as by the
+library's default. What is remembered changes the speed, never the ids.
 """
 
 from __future__ import annotations
@@ -68,7 +69,8 @@ def _patterns() -> tuple[re.Pattern, dict[str, re.Pattern]]:
 def _kind(definition: dict) -> str | None:
     """Which of the two known ways of cutting a tokenizer file asks for, if any."""
     before, normal = definition.get("pre_tokenizer") or {}, definition.get("normalizer") or {}
-    if not all(token["special"] for token in definition.get("added_tokens", [])) or definition["model"].get("dropout"):
+    added = definition.get("added_tokens", [])
+    if not all(token["special"] and not token["normalized"] for token in added) or definition["model"].get("dropout"):
         return None
     if before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not normal:
         return "byte"
@@ -108,13 +110,18 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """Token ids by one tokenizer file; the ids of pieces are remembered, and only new ones go through the library's model."""
+    """Token ids by one tokenizer file; the ids of pieces are remembered, and only new ones go through the library's model.
 
-    def __init__(self, path: str) -> None:
+    With ``markers_as_text`` a marker in a text is cut and merged like other text, else it gets its own id.
+    """
+
+    def __init__(self, path: str, markers_as_text: bool = True) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = markers_as_text
         self.model = self.tokenizer.model
-        self.kind = _kind(json.loads(self.tokenizer.to_str()))
+        definition = json.loads(self.tokenizer.to_str())
+        self.kind = _kind(definition)
+        self.markers = [] if markers_as_text else [token["content"] for token in definition.get("added_tokens", [])]
         self.unsettled, patterns = _patterns()
         self.cut = patterns.get(self.kind)
         self.piece_ids = Remembered(self._merged, PIECES)
@@ -125,7 +132,7 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """A text's ids as little-endian unsigned 32-bit integers."""
-        if self.cut is None or self.unsettled.search(text):
+        if self.cut is None or self.unsettled.search(text) or any(marker in text for marker in self.markers):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         pieces = self.cut.findall(text.lower() if self.kind == "word" else text)
         return b"".join(map(self.piece_ids.__getitem__, pieces))
@@ -133,5 +140,5 @@ class Encoder:
 
 @cache
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
-    return Encoder(path)
+    """One encoder per worker process and file, with the library's default for markers."""
+    return Encoder(path, markers_as_text=False)
