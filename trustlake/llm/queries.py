@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trustlake.llm.contamination import contained_items
 from trustlake.llm.exact_dedup import classify
+from trustlake.llm.filter_audit import audit_filters
 from trustlake.llm.html_text import extract_pages
 from trustlake.llm.licenses import scan_licenses
 from trustlake.llm.packing import pack
@@ -124,3 +125,45 @@ FROM rows WINDOW best AS (PARTITION BY content ORDER BY n DESC, doc_id)"""
 @query("op10_exact_dedup", EXACT_COPIES)
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"))
+
+
+FILTER_AUDIT = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+first AS (SELECT text, min(doc_id) AS first_id FROM texts GROUP BY text),
+stated AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT t.part, coalesce(s.good, 0) AS good, coalesce(s.toxic, 0) AS toxic,
+         list_filter(['A', 'B', 'C', 'D', 'E'], lambda f:
+           (f = 'A' AND len(w) < 200) OR (f = 'B' AND 100 * len(list_distinct(w)) < 50 * len(w))
+           OR (f = 'C' AND 100 * len(regexp_replace(t.text, '[^A-Z]+', '', 'g')) > 2 * len(t.text))
+           OR (f = 'D' AND regexp_matches(t.text, '[#$%&*|]')) OR (f = 'E' AND coalesce(t.doc_id > first_id, false))) AS fails
+  FROM texts t JOIN first USING (text) LEFT JOIN stated s USING (doc_id)),
+combos AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, fails),
+letters(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+  SELECT filter_order, step::INT AS step, filter_order[step] AS own, string_split(left(filter_order, step::INT - 1), '') AS earlier
+  FROM orders, range(1, 6) AS s(step)),
+counted AS (
+  SELECT part, filter_order, step, own,
+         sum(CASE WHEN NOT list_contains(fails, own) AND NOT list_has_any(fails, earlier) THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN list_contains(fails, own) AND NOT list_has_any(fails, earlier) THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN list_contains(fails, own) AND list_has_any(fails, earlier) THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = [own] THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN list_contains(fails, own) AND NOT list_has_any(fails, earlier) THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN list_contains(fails, own) AND NOT list_has_any(fails, earlier) THEN toxic ELSE 0 END) AS toxic_lost
+  FROM combos, steps GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted"""
+
+
+@query("op11_filter_audit", FILTER_AUDIT)
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
