@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from trustlake.llm.contamination import contained_items
+from trustlake.llm.conversation_trie import conversation_trie
 from trustlake.llm.exact_dedup import classify
 from trustlake.llm.filter_audit import audit_filters
 from trustlake.llm.html_text import extract_pages
@@ -167,3 +168,45 @@ FROM counted"""
 @query("op11_filter_audit", FILTER_AUDIT)
 def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+CONVERSATION_TRIE = r"""
+WITH RECURSIVE bits(code, value, step) AS (
+  SELECT code, code, 0 FROM range(256) AS b(code)
+  UNION ALL SELECT code, CASE WHEN value % 2 = 1 THEN xor(value // 2, 3988292384) ELSE value // 2 END, step + 1 FROM bits WHERE step < 8),
+crc_table AS (SELECT list(value ORDER BY code) AS entries FROM bits WHERE step = 8),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS head, xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda crc, code: xor(crc // 256, entries[xor(crc % 256, code) + 1]))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL), crc_table),
+placed AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, '')) - 1 AS place,
+         coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS own, place, role, text FROM convs c JOIN placed p ON p.conv_id = c.head AND place < h
+  UNION ALL SELECT c.conv_id, 1, place, role, text FROM convs c JOIN placed p ON p.conv_id = c.conv_id AND place >= h),
+turns AS (
+  SELECT conv_id, row_number() OVER turns AS depth, strlen(text) AS size,
+         sha256(string_agg(sha256(role) || sha256(text), '') OVER turns) AS node
+  FROM rebuilt WINDOW turns AS (PARTITION BY conv_id ORDER BY own, place)),
+path AS (SELECT * FROM turns UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+steps AS (SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+                 max(depth) OVER (PARTITION BY conv_id) AS length FROM path),
+nodes AS (
+  SELECT node, any_value(parent) AS parent, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs,
+         (count(*) - 1) * any_value(size) AS saved, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = length) AS ends
+  FROM steps GROUP BY node),
+children AS (SELECT parent, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+full_nodes AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.parent = n.node),
+totals AS (
+  SELECT above.node, count(*) FILTER (low.n_children = 0) AS n_leaves, sum(low.saved) AS saved_tokens
+  FROM full_nodes low JOIN steps above ON above.conv_id = low.conv_id AND above.depth <= low.depth GROUP BY above.node)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, t.n_leaves, t.saved_tokens::BIGINT AS saved_tokens,
+       sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM full_nodes n JOIN totals t USING (node) LEFT JOIN nodes p ON p.node = n.parent"""
+
+
+@query("op12_conversation_trie", CONVERSATION_TRIE)
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
