@@ -15,6 +15,7 @@ from trustlake.llm.html_text import extract_pages
 from trustlake.llm.licenses import scan_licenses
 from trustlake.llm.packing import pack
 from trustlake.llm.quality import classify_quality, fit
+from trustlake.llm.quality_rules import judge_documents
 from trustlake.llm.secrets_scan import scan_secrets
 from trustlake.llm.simhash import near_groups
 from trustlake.llm.token_counts import count_tokens
@@ -210,3 +211,8 @@ FROM full_nodes n JOIN totals t USING (node) LEFT JOIN nodes p ON p.node = n.par
 @query("op12_conversation_trie", CONVERSATION_TRIE)
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(table(spark, sf_dir, "documents"))
