@@ -8,6 +8,9 @@ window of lines: text surges where a sum reaches ``surge``, and dives where the
 and its dives is a region, from the first line of weight to the last. All regions are the main text, each kept whole; without
 any surge the heaviest stretch is.
 
+A name that only mentions a part (``has-sidebar``, ``header-fixed``) says nothing. A named part, or a form, is content all the same
+if it holds most of the page's unlinked text and a heading, or nearly all of that text.
+
 An article within the main part, or within an article, belongs to it. Where it lies in a part that is no content by its names,
 it counts only if such articles outweigh all other marked lines. A main part without articles is weighed like an article.
 
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import NamedTuple
@@ -72,6 +76,14 @@ OTHERS = set(
 OTHERS_ELEMENTS = {"aside", "footer", "form", "template", "svg"}
 #: Names that mean the head of an article inside one, and the head of the page outside.
 HEADS = {"header", "masthead"}
+#: A name that only says whether, or how, a page shows a part: ``has-sidebar``, ``header-fixed``.
+MODIFIED = re.compile(
+    r"(?:has|have|with|without|no|not|is|hide|hides|show|shows)[-_].*|.*[-_](?:enabled|disabled|fixed|sticky|ready|collapsed|expanded|visible)",
+    re.IGNORECASE,
+)
+#: Of the page's unlinked text, what a part must hold to be content whatever its name: with a heading or an article in it, or without.
+MOST, NEARLY_ALL = 0.5, 0.9
+_HEADINGS = {"h1", "article", "main"}
 _KEPT = {"html", "body", "main", "article"}
 _CLOSED_BY_BLOCK = {"p"}
 _SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -90,13 +102,39 @@ class Line(NamedTuple):
     mark: int
 
 
+@dataclass
+class _Part:
+    """An element that its name or kind takes out of the page, and what it holds."""
+
+    number: int
+    index: int
+    others: bool
+    unlinked: int = 0
+    foreign: int = 0  # of that, in parts of others inside
+    headed: bool = False
+
+    def takes(self, inner: _Part) -> None:
+        self.unlinked += inner.unlinked
+        self.foreign += inner.unlinked if inner.others else inner.foreign
+        self.headed |= inner.headed
+
+
 @dataclass
 class _Page:
     """Lines under construction, and the elements that are open."""
 
+    content: frozenset[int] = frozenset()  # numbers of elements that are content whatever their names
     lines: list[Line] = field(default_factory=list)
     open: list[tuple[str, int, int]] = field(default_factory=list)  # name, whether its inside is out, mark around it
+    places: dict[str, list[int]] = field(default_factory=dict)  # where elements of a name stand in ``open``
+    blocks: list[int] = field(default_factory=list)
+    scopes: list[int] = field(default_factory=list)
+    named: list[_Part] = field(default_factory=list)  # open elements that are out by themselves
+    seen: list[_Part] = field(default_factory=list)  # closed ones
     parts: list[str] = field(default_factory=list)
+    number: int = 0
+    unlinked: int = 0
+    foreign: int = 0
     linked: int = 0
     in_link: bool = False
     mark: int = UNMARKED
@@ -106,7 +144,14 @@ class _Page:
         return self.open[-1][1] if self.open else 0
 
     def text(self, piece: str) -> None:
-        if self.out or not piece:
+        if not piece:
+            return
+        if not self.in_link:
+            size = len(piece.strip())
+            self.unlinked += size
+            if self.named:
+                self.named[-1].unlinked += size
+        if self.out:
             return
         self.parts.append(piece)
         if self.in_link:
@@ -125,16 +170,44 @@ class _Page:
         if not self.lines or self.lines[-1].text:
             self.lines.append(Line("", 0, self.mark))
 
+    def push(self, name: str, inside: int) -> None:
+        index = len(self.open)
+        self.open.append((name, inside, self.mark))
+        self.places.setdefault(name, []).append(index)
+        if name in BLOCKS:
+            self.blocks.append(index)
+        if name in _SCOPES:
+            self.scopes.append(index)
+
+    def last(self, name: str) -> int:
+        """Where the innermost open element of a name stands, -1 if none is open."""
+        places = self.places.get(name)
+        return places[-1] if places else -1
+
     def pop(self, index: int) -> None:
         """Close the open elements from ``index`` on."""
         was_out = self.out
         for name, _, mark in reversed(self.open[index:]):
+            self.places[name].pop()
             if name in ("article", "main"):
                 self.mark = mark
         del self.open[index:]
+        for stack in (self.blocks, self.scopes):
+            while stack and stack[-1] >= index:
+                stack.pop()
+        self.leave(index)
         if was_out and not self.out:
             self.blank()
 
+    def leave(self, index: int) -> None:
+        while self.named and self.named[-1].index >= index:
+            part = self.named.pop()
+            self.seen.append(part)
+            if self.named:
+                self.named[-1].takes(part)
+            else:
+                self.foreign += part.unlinked if part.others else part.foreign
+
 
 IN, OUT_OF_PAGE, OUT_FOR_ALL = 0, 1, 2
 
@@ -144,8 +217,10 @@ def _names(rest: str) -> set[str]:
     found = set()
     for match in _NAMES.finditer(rest):
         value = match[1] or match[2] or match[3] or ""
-        found.update(re.split(r"[^a-z0-9]+", value.lower()))
-        found.update(word.lower() for word in re.findall(r"[A-Z]?[a-z]+", value))
+        for given in value.split():
+            if not MODIFIED.fullmatch(given):
+                found.update(re.split(r"[^a-z0-9]+", given.lower()))
+                found.update(word.lower() for word in re.findall(r"[A-Z]?[a-z]+", given))
     return found
 
 
@@ -171,30 +246,43 @@ def _start(page: _Page, name: str, rest: str) -> None:
     if name in BLOCKS:
         page.end_line()
         page.in_link = False
-        closes = _SAME_CLOSES.get(name, set()) | _CLOSED_BY_BLOCK
-        for index in range(len(page.open) - 1, -1, -1):
-            if page.open[index][0] in closes:
-                page.pop(index)
-            elif page.open[index][0] in _SCOPES:
-                break
+        scope = page.scopes[-1] if page.scopes else -1
+        # the outermost implied end within the scope
+        first = len(page.open)
+        for closed in _SAME_CLOSES.get(name, set()) | _CLOSED_BY_BLOCK:
+            places = page.places.get(closed, [])
+            inside = bisect_right(places, scope)
+            if inside < len(places):
+                first = min(first, places[inside])
+        if first < len(page.open):
+            page.pop(first)
     elif name in ("td", "th", "br"):
         page.text(" ")
     if name == "a":
         page.in_link = True
     if name in VOID:
         return
+    page.number += 1
     around = page.out
     own = _kind(name, rest, page.mark > UNMARKED)
+    if name in _HEADINGS and page.named:
+        page.named[-1].headed = True
     if name in ("article", "main"):
         # a menu or advert around an article was left unclosed before it
         inside = max(own, around if around == OUT_FOR_ALL else IN)
-        page.open.append((name, inside, page.mark))
+        page.push(name, inside)
         if not inside:
             page.mark = max(page.mark, DOUBTFUL if around else ARTICLE if name == "article" else MAIN)
         return
+    if own and (name not in OUT or name == "form"):
+        # only a name says so, or a form, which may be around a whole page
+        if page.number in page.content:
+            own = IN
+        else:
+            page.named.append(_Part(page.number, len(page.open), bool(_names(rest) & OTHERS)))
     if own and not around:
         page.end_line()
-    page.open.append((name, max(own, around), page.mark))
+    page.push(name, max(own, around))
 
 
 def _end(page: _Page, name: str) -> None:
@@ -202,17 +290,36 @@ def _end(page: _Page, name: str) -> None:
         page.end_line()
     if name in BLOCKS or name == "a":
         page.in_link = False
-    for index in range(len(page.open) - 1, -1, -1):
-        if page.open[index][0] == name:
-            page.pop(index)
-            return
-        if name not in BLOCKS and page.open[index][0] in BLOCKS:
-            return
+    index = page.last(name)
+    if index >= 0 and (name in BLOCKS or not page.blocks or index > page.blocks[-1]):
+        page.pop(index)
+
+
+def _content_by_weight(page: _Page) -> frozenset[int]:
+    """Elements that are out by their names but hold what the page says: most of its unlinked text and its heading, or nearly
+    all of its text. What others say (comments) may be long and counts for neither; a part that is theirs by its name must hold
+    nearly all of the whole page, with its heading."""
+    own = page.unlinked - page.foreign
+    found = set()
+    for part in page.seen:
+        if part.others:
+            content = part.headed and part.unlinked > NEARLY_ALL * page.unlinked
+        else:
+            content = part.unlinked - part.foreign > (MOST if part.headed else NEARLY_ALL) * own
+        if content:
+            found.add(part.number)
+    return frozenset(found)
 
 
 def lines_of(source: str) -> list[Line]:
     """The page's blocks in order; a part without content is a blank line."""
-    page = _Page()
+    page = _read(source)
+    content = _content_by_weight(page)
+    return _read(source, content).lines if content else page.lines
+
+
+def _read(source: str, content: frozenset[int] = frozenset()) -> _Page:
+    page = _Page(content)
     at = 0
     while True:
         lt = source.find("<", at)
@@ -239,7 +346,8 @@ def lines_of(source: str) -> list[Line]:
             at = close.end() if close else len(source)
             _end(page, name)
     page.end_line()
-    return page.lines
+    page.leave(0)
+    return page
 
 
 def stretches(weights: list[int], window: int, surge: int) -> list[tuple[bool, int, int, int]]:
