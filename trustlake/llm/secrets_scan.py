@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from hashlib import sha256
 from math import log2
@@ -60,13 +60,18 @@ HARMLESS = re.compile(
 THRESHOLD = 0.5
 
 _TOKEN = re.compile(
-    r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
-    r"""|(?P<name>[A-Za-z_$][A-Za-z0-9_$]*(?:[.-][A-Za-z0-9_$]+)*)"""
+    r"""(?P<name>[A-Za-z_$][A-Za-z0-9_$]*(?:[.-][A-Za-z0-9_$]+)*)"""
     r"""|(?P<bare>[A-Za-z0-9/_][A-Za-z0-9+/_.=~-]*)"""
     r"""|(?P<sign>:=|=>|==|!=|<=|>=|[=:+])"""
     r"""|(?P<line>\n)|(?P<blank>[ \t\r]+)|(?P<other>.)""",
     re.ASCII | re.DOTALL,
 )
+#: What stands between a quote and the next of its kind, or the line's end if there is none.
+_QUOTED = {
+    '"': re.compile(r"""[^"\\\n]*(?:\\.[^"\\\n]*)*""", re.DOTALL),
+    "'": re.compile(r"""[^'\\\n]*(?:\\.[^'\\\n]*)*""", re.DOTALL),
+    "`": re.compile(r"[^`\n]*"),
+}
 _BARE = re.compile(r"[A-Za-z0-9+/_.=~!@#%^*?-]+", re.ASCII)
 _NAME_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 #: A keyword before a name is not a value handed on.
@@ -102,20 +107,99 @@ class Literal(NamedTuple):
     value: str
 
 
-def pairs(text: str) -> Iterator[tuple[str, list[Literal]]]:
-    """Names and the literals assigned to them, in text order, constants propagated."""
-    known: dict[str, list[Literal]] = {}
+class Value:
+    """What an assignment puts together: literals of its own and the values of other names, which it shares with them.
+
+    ``a = a + a`` doubles a value, so that neither its text nor its literals are ever written out here: what is known of the
+    text are its length, how often each character occurs, its kinds of characters, and its first and last ones.
+    """
+
+    __slots__ = ("parts", "counts", "length", "short", "told")
+    #: Up to this length the text of several parts is kept.
+    SHORT = 64
+
+    def __init__(self, parts: list[Literal | Value]) -> None:
+        self.parts = parts
+        self.counts: Counter | None = None
+        self.told = False
+
+    def _below(self, known: Callable[[Value], bool]) -> Iterator[Value]:
+        """The values below this one for which ``known`` is false and this one, each after its parts."""
+        stack = [self]
+        while stack:
+            value = stack[-1]
+            more = [part for part in value.parts if isinstance(part, Value) and not known(part)]
+            if more and not known(value):
+                stack += more
+                continue
+            stack.pop()
+            if not known(value):
+                yield value
+
+    def literals(self) -> Iterator[Literal]:
+        """The literals in it that no value has told before."""
+        for value in self._below(lambda v: v.told):
+            value.told = True
+            yield from (part for part in value.parts if isinstance(part, Literal))
+
+    def measured(self) -> Value:
+        for value in self._below(lambda v: v.counts is not None):
+            counts: Counter = Counter()
+            texts: list[str | None] = []
+            for part in value.parts:
+                own = Counter(part.value) if isinstance(part, Literal) else part.counts
+                for character, n in own.items():
+                    counts[character] += n
+                texts.append(part.value if isinstance(part, Literal) else part.short)
+            value.length = sum(counts.values())
+            if value.length > 1 << 200:  # shares are all that matters
+                counts = Counter({c: max(1, n >> 100) for c, n in counts.items()})
+                value.length = sum(counts.values())
+            value.short = texts[0] if len(texts) == 1 else None
+            if len(texts) > 1 and value.length <= Value.SHORT and None not in texts:
+                value.short = "".join(texts)
+            value.counts = counts
+        return self
+
+
+def tokens(text: str) -> Iterator[tuple[str, int, int]]:
+    """Kind, start and end of all tokens. No stretch of the text is read again: a quote without its partner is a sign of its
+    own, and so are, without a look, the quotes of its kind up to where the search for the partner ended."""
+    at, size = 0, len(text)
+    single = dict.fromkeys(_QUOTED, -1)
+    match = _TOKEN.match
+    while at < size:
+        quote = text[at]
+        if quote in single:
+            if at > single[quote]:
+                end = _QUOTED[quote].match(text, at + 1).end()
+                if end < size and text[end] == quote:
+                    yield "string", at, end + 1
+                    at = end + 1
+                    continue
+                single[quote] = end
+            yield "other", at, at + 1
+            at += 1
+            continue
+        found = match(text, at)
+        yield found.lastgroup, at, found.end()
+        at = found.end()
+
+
+def assignments(text: str) -> Iterator[tuple[str, Value]]:
+    """Names and what is assigned to them, in text order, constants propagated."""
+    known: dict[str, Value] = {}
     target: str | None = None  # the last name seen
     waiting: str | None = None  # the name that an assignment is filling
-    parts: list[Literal] = []
+    parts: list[Literal | Value] = []
     plus = adjacent = False  # whether more may be added to the parts
     skip_to = 0
-    for match in _TOKEN.finditer(text):
-        kind, start, end = match.lastgroup, match.start(), match.end()
+    for kind, start, end in tokens(text):
         if start < skip_to or kind == "blank":
             continue
         quoted = kind == "string"
-        value = match[0][1:-1] if quoted else match[0]
+        token = text[start:end]
+        value = token[1:-1] if quoted else token
         if waiting is not None:
             if quoted and (plus or adjacent or not parts):
                 parts.append(Literal(start + 1, end - 1, value))
@@ -124,7 +208,7 @@ def pairs(text: str) -> Iterator[tuple[str, list[Literal]]]:
             if kind in ("name", "bare") and (plus or not parts):
                 whole = _BARE.match(text, start)
                 if kind == "name" and value in known:
-                    parts += known[value]
+                    parts.append(known[value])
                 elif not parts and whole and any(c.isdigit() for c in whole[0]):
                     parts.append(Literal(start, whole.end(), whole[0]))
                     skip_to = whole.end()
@@ -132,23 +216,28 @@ def pairs(text: str) -> Iterator[tuple[str, list[Literal]]]:
                 if not parts:
                     waiting = None
                 continue
-            if match[0] == "+" and parts:
+            if token == "+" and parts:
                 plus = True
                 continue
             if parts:
-                known[waiting] = parts
-                yield waiting, parts
+                known[waiting] = Value(parts)
+                yield waiting, known[waiting]
             waiting, parts, plus, adjacent = None, [], False, False
         if kind == "name" and value.lower() not in _KEYWORDS:
             target = value
         elif quoted:
-            target = value if _NAME_WORDS.search(value) and len(value) <= 64 else None
-        elif kind == "sign" and match[0] in ("=", ":", ":=", "=>") and target is not None:
+            target = value if len(value) <= 64 and _NAME_WORDS.search(value) else None
+        elif kind == "sign" and token in ("=", ":", ":=", "=>") and target is not None:
             waiting, target = target, None
         elif kind in ("line", "other", "bare", "sign"):
             target = None
     if waiting is not None and parts:
-        yield waiting, parts
+        yield waiting, Value(parts)
+
+
+def pairs(text: str) -> Iterator[tuple[str, list[Literal]]]:
+    """Names and the literals in what is assigned to them, each literal once, by the first name that it reaches."""
+    return ((name, list(value.literals())) for name, value in assignments(text))
 
 
 def sensitivity(name: str) -> float:
@@ -158,13 +247,16 @@ def sensitivity(name: str) -> float:
     return max([single, *(SENSITIVE_PAIRS.get(pair, 0.0) for pair in zip(words, words[1:], strict=False))])
 
 
-def randomness(value: str) -> float:
-    """How much a literal looks like a secret rather than a word or a placeholder, 0 to 1."""
-    if len(value) < 6 or HARMLESS.fullmatch(value) or any(c.isspace() for c in value):
+def randomness(value: str | Value) -> float:
+    """How much a literal, or several put together, looks like a secret rather than a word or a placeholder, 0 to 1."""
+    measured = (Value([Literal(0, len(value), value)]) if isinstance(value, str) else value).measured()
+    counts, length = measured.counts, measured.length
+    if length < 6 or any(c.isspace() for c in counts):
+        return 0.0
+    if measured.short is not None and HARMLESS.fullmatch(measured.short):
         return 0.0
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * log2(n / len(value)) for n in counts.values())
-    kinds = sum(any(test(c) for c in value) for test in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
+    entropy = -sum(n / length * log2(n / length) for n in counts.values())
+    kinds = sum(any(map(test, counts)) for test in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
     return min(1.0, entropy / 3.5) * min(1.0, 0.4 + 0.2 * kinds)
 
 
@@ -179,10 +271,13 @@ def least_words(threshold: float) -> list[tuple[bytes, ...]]:
 def literal_spans(text: str, threshold: float = THRESHOLD) -> list[Span]:
     """Literals whose targets' names and own looks make them likely secrets."""
     found = set()
-    for name, parts in pairs(text):
-        weight = sensitivity(name)
-        if weight and weight * randomness("".join(p.value for p in parts)) >= threshold:
-            found.update(Span(p.start, 3, p.end) for p in parts if p.end > p.start)
+    weights: dict[str, float] = {}
+    for name, value in assignments(text):
+        weight = weights.get(name)
+        if weight is None:
+            weight = weights[name] = sensitivity(name)
+        if weight and not value.told and weight * randomness(value) >= threshold:
+            found.update(Span(p.start, 3, p.end) for p in value.literals() if p.end > p.start)
     return sorted(found)
 
 
