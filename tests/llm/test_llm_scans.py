@@ -1,9 +1,15 @@
 """License and secret scans and page text against plain versions."""
 
+import math
 import random
 import re
+import time
+import tracemalloc
+from collections import Counter
 from hashlib import sha256
+from html.parser import HTMLParser
 
+import pyarrow.parquet as pq
 import pytest
 
 from tests.llm.edges import LONG, ROWS, awkward, empty
@@ -56,7 +62,11 @@ def test_base_phrases(spark, small):
         ("http://creativecommons.org/licenses/by-sa/3.0/", "cc-by-sa-3.0"),
         ("Copyright (c) 2019 A. Person. All rights reserved.", "copyright,reserved"),
         ("distributed under the 3-clause BSD license", "bsd-3-clause"),
-        ("an apache helicopter mitigates", "apache"),
+        ("an apache helicopter mitigates", ""),
+        ("The Apache tribe, provided by MIT; asl", ""),
+        ("Er kam mit dem Zug, published by Apache", ""),
+        ("MIT licensed, license: Apache", "apache,mit"),
+        ("Licensed under the terms of the MIT", "mit"),
         ("permission was granted", ""),
     ],
 )
@@ -315,3 +325,196 @@ def test_awkward_pages(spark):
     expected = [(1, ""), (2, ""), (None, "a b"), (3, "a < b"), (4, "x"), (5, ""), (6, ""), (7, ("long " * 200_000).strip()), (7, "a€< b"), (8, "deep")]
     assert found == sorted(expected, key=repr)
     assert extract_pages(pages.filter("page_id < 0")).count() == 0
+
+
+def test_german_is_not_licensed_by_its_with(small):
+    table = pq.read_table(small.replace("sf0.001", "sf0.01") + "/documents.parquet", columns=["lang", "text"])
+    texts = [t for lang, t in zip(*table.to_pydict().values(), strict=True) if lang == "de" and "mit" in (t or "").split()]
+    assert len(texts) > 20
+    gates = gates_of(RULES)
+    for text in texts:
+        labels = scan_license_text(text.encode(), RULES, gates)[5].split(",")
+        assert "mit" not in labels or re.search("licen[cs]e|permission", text, re.IGNORECASE)
+
+
+BODY = "<h1>A heading</h1><p>" + "The article says this. " * 10 + "</p><p>" + "It goes on with more. " * 8 + "</p>"
+TEXT = "A heading\n" + ("The article says this. " * 10).strip() + "\n" + ("It goes on with more. " * 8).strip()
+MENU, FOOT = '<nav><ul><li><a href="/">Home</a></li></ul></nav>', '<div class="footer">Copyright by someone, a long line of it</div>'
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<div class="wrapper has-sidebar">%s</div>',
+        '<div class="layout with-sidebar"><article>%s</article></div>',
+        '<div class="layout with-sidebar">%s</div>',
+        '<div class="post share-enabled">%s</div>',
+        '<div class="header-fixed">%s</div>',
+        '<div class="no-banner">%s</div>',
+        '<div class="page login widget">%s</div>',
+    ],
+)
+def test_names_that_only_mention_a_part(around):
+    assert extract(f"<html><body>{MENU}{around % BODY}{FOOT}</body></html>") == TEXT
+    assert extract(f"<html><body>{MENU}{around % BODY}<div class='comments'><p>{'Nice words. ' * 200}</p></div></body></html>") == TEXT
+
+
+def test_a_form_around_the_whole_page():
+    assert extract(f"<html><body><form id='aspnet'>{MENU}<div>{BODY}</div>{FOOT}</form></body></html>") == TEXT
+    assert extract(f"<html><body>{MENU}{BODY}<form><p>{'Your name here. ' * 9}</p></form></body></html>") == TEXT
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        "<div>" * 20_000 + "</section>" * 20_000,
+        "<i><div>" + "<b>" * 20_000 + "</i>" * 20_000,
+        "<h2>" * 20_000,
+        "<span>" * 20_000 + "<p>" * 20_000,
+        "<form class=menu>" * 20_000 + "text",
+    ],
+)
+def test_stray_and_unclosed_tags_take_linear_time(source):
+    start = time.process_time()
+    extract(source)
+    assert time.process_time() - start < 3
+
+
+def test_stretches_by_their_definition():
+    """Windows summed one by one; a stretch is a run of windows that hold anything."""
+    dice = random.Random(8)
+    for _ in range(500):
+        weights = [dice.choice([0, 0, 0, 5, 30, 60]) for _ in range(dice.randrange(25))]
+        window, surge = dice.randint(1, 4), dice.choice([40, 80])
+        sums = [sum(weights[i : i + window]) for i in range(len(weights))]
+        runs, run = [], []
+        for i, value in enumerate([*sums, 0]):
+            if value:
+                run.append(i)
+            elif run:
+                held = [j for j in run if weights[j]]
+                runs += [(max(sums[j] for j in run) >= surge, sum(weights[j] for j in held), held[0], held[-1] + 1)] if held else []
+                run = []
+        expected = [r[2:] for r in runs if r[0]]
+        if not expected:
+            best = [r for r in runs if r[1] == max(x[1] for x in runs)]
+            expected = [best[0][2:] if best else (0, 0)]
+        assert regions(weights, window, surge) == expected
+
+
+class PlainLines(HTMLParser):
+    """Lines and weights of a well-formed page of div, p, a, nav and script, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.lines, self.text, self.linked, self.out, self.link = [], "", 0, 0, False
+
+    def flush(self):
+        text = " ".join(self.text.split())
+        if text:
+            self.lines.append((text, max(0, len(text.replace(" ", "")) - self.linked) if self.linked else len(text)))
+        self.text, self.linked = "", 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag != "a":
+            self.flush()
+        self.link |= tag == "a"
+        self.out += tag in ("nav", "script")
+
+    def handle_endtag(self, tag):
+        if tag != "a":
+            self.flush()
+        else:
+            self.link = False
+        if tag in ("nav", "script"):
+            self.out -= 1
+            if not self.out and (not self.lines or self.lines[-1][0]):
+                self.lines.append(("", 0))
+
+    def handle_data(self, data):
+        if not self.out:
+            self.text += data
+            self.linked += len("".join(data.split())) if self.link else 0
+
+
+def test_pages_by_a_plain_version():
+    dice = random.Random(3)
+    kinds = ["<p>%s</p>", "<div><p>%s</p></div>", "<p>%s <a href='x'>%s</a></p>", "<div><a href='x'>%s</a></div>", "<nav>%s</nav>",
+             "<script>%s</script>", "<div>%s &amp; &eacute;</div>"]
+    for _ in range(300):
+        parts = []
+        for _ in range(dice.randrange(1, 14)):
+            words = " ".join("word" + str(dice.randrange(9)) for _ in range(dice.choice([1, 3, 30])))
+            kind = dice.choice(kinds)
+            parts.append(kind.replace("%s", words))
+        source = "<html><body>" + "\n".join(parts) + "</body></html>"
+        plain = PlainLines()
+        plain.feed(source)
+        plain.flush()
+        weights = [w for _, w in plain.lines]
+        kept = [plain.lines[i][0] for a, b in regions(weights, 3, 80) for i in range(a, b)]
+        assert extract(source) == "\n".join(filter(None, kept)), source
+
+
+def test_lexing_takes_linear_time_and_memory():
+    start = time.process_time()
+    scan_secret_text(("secret " + '\\"a\\": ' * 125_000).encode())
+    scan_secret_text(('password = "x1y2z3"\n' + 'password = password + "q9"\n' * 20_000).encode())
+    assert time.process_time() - start < 12
+    tracemalloc.start()
+    spans = scan_secret_text(('password = "x1y2z3"\na = "ab1Q9$"\n' + "a = a + a\n" * 60 + "secret = a\n").encode())[4]
+    assert tracemalloc.get_traced_memory()[1] < 20 << 20
+    tracemalloc.stop()
+    assert spans == "assign:0:18,literal:12:18,literal:25:31"
+
+
+def plain_spans(lines, threshold=0.5):
+    """Spans of assignments given as (name, parts), a part a literal or a name: texts put together in full."""
+    text, known, found = "", {}, set()
+    for name, parts in lines:
+        text += f"{name} = "
+        own = []
+        for i, (quoted, part) in enumerate(parts):
+            text += " + " if i else ""
+            if quoted:
+                own.append((len(text) + 1, part))
+                text += f'"{part}"'
+            else:
+                own += known.get(part, [])
+                text += part
+        text += "\n"
+        known[name] = own
+        value = "".join(p for _, p in own)
+        if value:
+            counts = Counter(value)
+            entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
+            kinds = any(map(str.islower, value)) + any(map(str.isupper, value)) + any(map(str.isdigit, value)) + any(not c.isalnum() for c in value)
+            looks = 0 if len(value) < 6 else min(1, entropy / 3.5) * min(1, 0.4 + 0.2 * kinds)
+            if sensitivity(name) * looks >= threshold:
+                found |= {(start, start + len(p)) for start, p in own}
+    return text, sorted(found)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_pairs_by_a_plain_version(seed):
+    dice = random.Random(seed)
+    names = ["a", "b", "c", "password", "api_key", "plain", "salt"]
+    lines, known = [], []
+    for _ in range(dice.randrange(1, 14)):
+        parts = [
+            (False, dice.choice(known)) if known and dice.random() < 0.4 else (True, "".join(dice.choices("abXY12$", k=dice.randrange(1, 9))))
+            for _ in range(dice.randrange(1, 4))
+        ]
+        lines.append((dice.choice(names), parts))
+        known.append(lines[-1][0])
+    text, expected = plain_spans(lines)
+    assert [(s.start, s.end) for s in literal_spans(text)] == expected, text
+
+
+def test_a_quote_without_a_partner_is_a_sign():
+    """What follows it on its line is lexed all the same."""
+    for quote in "'`":
+        assert literals(f'do{quote}nt tell; password = "Zz9kk2Lm81"') == ["Zz9kk2Lm81"]
+        assert literals(f'do{quote}nt tell\npassword = "Zz9kk2Lm81" {quote}') == ["Zz9kk2Lm81"]
+    assert literals('a " b \\" c\npassword = "Zz9kk2Lm81"') == ["Zz9kk2Lm81"]
+    assert literals('password = "Zz9kk\\"2Lm81"') == ['Zz9kk\\"2Lm81']

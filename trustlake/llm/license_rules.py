@@ -32,6 +32,8 @@ MENTION, NOTICE, VERSIONED, IDENTIFIER, FULL_TEXT = 10, 20, 30, 40, 50
 _LEAD = r"(?:(?:is |are |be )?(?:dual )?(?:re)?(?:licen[cs]ed|released|distributed|available|provided|published|made available|covered|governed)"
 _LEAD += r"(?: to you)?(?: for use)?(?: under| by| subject to| according to)(?: the)?(?: terms of)?(?: the)?(?: conditions of)?(?: the)?)"
 
+_LEAD_UNDER = _LEAD.replace("| by|", "|")
+
 # A family: label stem, gates, the name's forms, the versions with their label endings (none: the stem alone).
 # v(1, 0) stands for a version as it is written: "1", "1 0", "v1 0", "version 1 0".
 FAMILIES: tuple[tuple[str, str, str, tuple[tuple[str, str], ...]], ...] = (
@@ -99,6 +101,13 @@ FAMILIES: tuple[tuple[str, str, str, tuple[tuple[str, str], ...]], ...] = (
     ("commons-clause", "clause", r"commons clause", (("1.0", "1 0"),)),
 )
 
+# Names that are words of a language, too: such a name alone is no mention, a licence word must stand next to it.
+# Given are the forms that no text has by chance.
+ORDINARY = {
+    "mit": r"mit x11|x11 mit|expat(?: mit)? licen[cs]e",
+    "apache": r"apache software licen[cs]e",
+}
+
 # Creative Commons: the conditions in the order of their short names, and how they are written out.
 CONDITIONS = (
     ("by", "attribution"), ("by-sa", "attribution share ?alike"), ("by-nc", "attribution non ?commercial"),
@@ -131,6 +140,41 @@ TEXTS: tuple[tuple[str, str, str], ...] = (
     ("cc0-1.0", "waived", r"has waived all copyright and related or neighboring rights to"),
     ("artistic", "package", r"the intent of this document is to state the conditions under which a package may be copied"),
     ("ofl", "font", r"this font software is licensed under the sil open font licen[cs]e"),
+    ("apache-2.0", "applicable", r"unless required by applicable law or agreed to in writing software distributed under the licen[cs]e is distributed on an as is basis"),
+    ("mit", "substantial", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "liable", r"in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
+    ("bsd", "retain", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "reproduce", r"redistributions in binary form must reproduce the above copyright notice"),
+    ("bsd", "holders", r"this software is provided by the copyright holders and contributors as is and any express or implied warranties"),
+    ("gpl", "hope", r"this program is distributed in the hope that it will be useful but without any warranty"),
+    ("lgpl", "hope", r"this library is distributed in the hope that it will be useful but without any warranty"),
+    ("gpl", "verbatim", r"everyone is permitted to copy and distribute verbatim copies of this licen[cs]e document but changing it is not allowed"),
+    ("gpl-2.0", "freedom", r"the licen[cs]es for most software are designed to take away your freedom to share and change it"),
+    ("agpl-3.0", "cooperation", r"specifically designed to ensure cooperation with the community in the case of network server software"),
+    ("lgpl-3.0", "incorporates", r"this version of the gnu lesser general public licen[cs]e incorporates the terms and conditions of version 3"),
+    ("fdl", "document", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[cs]e"),
+    ("mpl-2.0", "mpl", r"if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl-1.1", "mozilla", r"the contents of this file are subject to the mozilla public licen[cs]e version 1 1"),
+    ("cddl", "contents", r"the contents of this file are subject to the terms of the common development and distribution licen[cs]e"),
+    ("ofl", "font", r"permission is hereby granted free of charge to any person obtaining a copy of the font software"),
+    ("ofl", "worldwide", r"the goals of the open font licen[cs]e ofl are to stimulate worldwide development of collaborative font projects"),
+    ("cc0", "deed", r"the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("unlicense", "anyone", r"anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("isc", "disclaims", r"the software is provided as is and the author disclaims all warranties with regard to this software"),
+    ("zlib", "granted", r"permission is granted to anyone to use this software for any purpose including commercial applications"),
+    ("bsl-1.0", "derivative", r"must be included in all copies of the software in whole or in part and all derivative works of the software"),
+    ("wtfpl", "verbatim", r"everyone is permitted to copy and distribute verbatim or modified copies of this licen[cs]e document"),
+    ("psf", "python", r"psf is making python(?: [0-9]+){0,3} available to licensee on an as is basis"),
+    ("php", "php", r"this product includes php software freely available from"),
+    ("openssl", "openssl", r"this product includes (?:cryptographic )?software developed by the openssl project"),
+    ("artistic-2.0", "establishes", r"this licen[cs]e establishes the terms under which a given free software package may be copied modified distributed"),
+    ("busl-1.1", "licensor", r"the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work"),
+    ("sspl-1.0", "functionality", r"if you make the functionality of the program or a modified version available to third parties as a service"),
+    ("commons-clause", "grant", r"the licen[cs]e does not grant to you the right to sell the software"),
+    ("ncsa", "deal", r"to deal with the software without restriction"),
+    ("postgresql", "agreement", r"for any purpose without fee and without a written agreement is hereby granted"),
+    ("json", "evil", r"the software shall be used for good not evil"),
+    ("beerware", "beer", r"if we meet some day and you think this stuff is worth it you can buy me a beer in return"),
     ("public-domain", "domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain"),
     ("proprietary", "confidential", r"(?:proprietary and confidential|confidential and proprietary)"),
     ("proprietary", "unauthorized|unauthorised", r"unauthori[sz]ed (?:copying|use|reproduction|distribution) (?:of this (?:file|work|software) )?(?:via any medium )?is strictly prohibited"),
@@ -154,8 +198,10 @@ def _version(body: str) -> str:
 def _family_rules() -> list[Rule]:
     rules = []
     for stem, gate, name, versions in FAMILIES:
-        lead = rf"{_LEAD} (?:an? )?(?:{name})"
-        rules.append(_rule(stem, gate, rf"(?:{name}) licen[cs]ed?|(?:licen[cs]e|licen[cs]ed) (?:{name})|{name}", MENTION, 0.3))
+        alone = ORDINARY.get(stem, name)
+        # something may be provided by anybody, but only under a licence
+        lead = rf"{_LEAD_UNDER if stem in ORDINARY else _LEAD} (?:an? )?(?:{name})"
+        rules.append(_rule(stem, gate, rf"(?:{name}) licen[cs]ed?|(?:licen[cs]e|licen[cs]ed) (?:{name})|{alone}", MENTION, 0.3))
         rules.append(_rule(stem, gate, rf"{lead}(?: licen[cs]e)?", NOTICE, 0.7))
         rules.append(_rule(stem, gate, rf"spdx licen[cs]e identifier (?:{name})", IDENTIFIER, 0.95))
         for ending, body in versions:
