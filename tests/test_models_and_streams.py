@@ -14,6 +14,7 @@ from trustlake.operators.models import (
     class_weights,
     classifier,
     fingerprint,
+    exact_medians,
     preparation,
     prepare_features,
     relative_to,
@@ -104,12 +105,12 @@ def test_the_fitted_preparation(spark):
     """An unknown category is zero everywhere, numbers are in population deviations, a constant one is zero."""
     rows = [("a", 1.0, 7.0), ("a", 3.0, 7.0), ("b", None, 7.0)]
     frame = spark.createDataFrame(rows, "c string, x double, k double")
-    model = Pipeline(stages=preparation(["c"], ["x", "k"], 3)).fit(frame)
+    model = Pipeline(stages=preparation(["c"], exact_medians(frame, ["x", "k"]), 3)).fit(frame)
     new = spark.createDataFrame([("a", 1.0, 7.0), ("b", 3.0, 7.0), ("z", None, 7.0), (None, 1.0, 7.0)], frame.schema)
     found = [(list(r.c_hot.toArray()), r.scaled.toArray()) for r in model.transform(new).collect()]
     assert [hot for hot, _ in found] == [[1, 0], [0, 1], [0, 0], [0, 0]]
-    x = np.array([1.0, 3.0, 1.0])  # the missing number is the median
-    expected = [(v - x.mean()) / x.std() for v in (1.0, 3.0, 1.0, 1.0)]
+    x = np.array([1.0, 3.0, 2.0])  # the missing number is the median of the known ones, between them
+    expected = [(v - x.mean()) / x.std() for v in (1.0, 3.0, 2.0, 1.0)]
     assert [s[0] for _, s in found] == pytest.approx(expected)
     assert {s[1] for _, s in found} == {0.0}
 

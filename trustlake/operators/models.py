@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import ElementwiseProduct, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from trustlake.functions.cleaning import as_double, require_columns
 from trustlake.functions.hashing import chosen
 from trustlake.functions.measures import ratio
+from trustlake.operators.compiled import CompiledModel, compile_model, filled_sql
 from trustlake.operators.gold import CATEGORICAL, MEDIAN, NUMERIC, TARGET, group_medians, with_group_statistic
 from trustlake.operators.metrics import evaluate, review_threshold
-from trustlake.operators.selection import stratified_split
+from trustlake.operators.selection import group_quantile, stratified_split
 from trustlake.session import lineage_cut, shared_dir, work_dir
 
 DEFAULT_REVIEW_RATE = 0.05
@@ -62,11 +63,21 @@ def with_weight(df: DataFrame, weights: Mapping[int, float], label: str = TARGET
     return df.withColumn(WEIGHT, F.when(F.col(label) == 1, F.lit(weights[1])).otherwise(F.lit(weights[0])))
 
 
-def preparation(categorical: Sequence[str], numeric: Sequence[str], rows: int) -> list:
+def exact_medians(df: DataFrame, numeric: Sequence[str]) -> dict[str, float]:
+    """The median of the known values of each number, exactly; 0 where none is known."""
+    if not numeric:
+        return {}
+    known = [F.struct(F.lit(c).alias("name"), F.nanvl(F.col(c).cast("double"), F.lit(None)).alias("value")) for c in numeric]
+    rows = df.select(F.explode(F.array(*known)).alias("v")).select("v.name", "v.value")
+    found = {row["name"]: row["median"] for row in group_quantile(rows, ["name"], "value", 0.5, "median").collect()}
+    return {c: found.get(c, 0.0) for c in numeric}
+
+
+def preparation(categorical: Sequence[str], numeric: Mapping[str, float], rows: int) -> list:
     """Stages that turn the columns into vectors: one 0/1 place per known category (none for an unknown one), numbers with
     missing ones replaced by the median, and numbers as distances from the mean in population standard deviations.
 
-    ``rows`` is the number of rows that the stages are fitted on: Spark's scaler divides by the sample deviation, which the
+    ``numeric`` has the value that stands for a missing one, see ``exact_medians``. ``rows`` is the number of rows that the stages are fitted on: Spark's scaler divides by the sample deviation, which the
     factor after it turns into the population's.
     """
     codes, hot = [f"{c}_code" for c in categorical], [f"{c}_hot" for c in categorical]
@@ -81,7 +92,9 @@ def preparation(categorical: Sequence[str], numeric: Sequence[str], rows: int) -
     if numeric:
         factor = (rows / (rows - 1)) ** 0.5 if rows > 1 else 1.0
         stages += [
-            Imputer(inputCols=list(numeric), outputCols=filled, strategy="median"),
+            SQLTransformer(
+                statement="SELECT *, " + ", ".join(f"{filled_sql(c, v)} AS `{c}_filled`" for c, v in numeric.items()) + " FROM __THIS__"
+            ),
             VectorAssembler(inputCols=filled, outputCol="numbers"),
             StandardScaler(inputCol="numbers", outputCol="in_sample_deviations", withMean=True, withStd=True),
             ElementwiseProduct(
@@ -152,8 +165,13 @@ def without_summary(model: PipelineModel, path: str) -> PipelineModel:
     return PipelineModel(stages)
 
 
-def apply_model(model: PipelineModel, df: DataFrame, out: str = SCORE) -> DataFrame:
-    """Add the probability of class 1; the columns of the preparation are dropped again."""
+def apply_model(model: PipelineModel | CompiledModel, df: DataFrame, out: str = SCORE) -> DataFrame:
+    """Add the probability of class 1, by the model's expression over the plain feature columns."""
+    return (model if isinstance(model, CompiledModel) else compile_model(model)).apply(df, out)
+
+
+def apply_to_vectors(model: PipelineModel, df: DataFrame, out: str = SCORE) -> DataFrame:
+    """Add the probability of class 1 to rows that have the preparation's vectors already."""
     scored = model.transform(df).withColumn(out, vector_to_array("probability")[1])
     return scored.select(*df.columns, out)
 
@@ -163,7 +181,7 @@ class Trained:
     """A fitted model with everything needed to use it and to compare it."""
 
     name: str
-    model: PipelineModel
+    model: PipelineModel | CompiledModel
     threshold: float
     metrics: dict[str, float]
     n_train: int
@@ -227,7 +245,8 @@ def train(
     weights = class_weights(train_rows)
     sizes = split.agg(F.count_if(~F.col("is_test")).alias("a"), F.count_if("is_test").alias("b")).first()
 
-    prepared = Pipeline(stages=preparation(categorical, numeric, sizes["a"])).fit(train_rows)
+    fills = exact_medians(train_rows, numeric)
+    prepared = Pipeline(stages=preparation(categorical, fills, sizes["a"])).fit(train_rows)
     weighted = with_weight(prepared.transform(split), weights)
     vectors = lineage_cut(weighted.select(key, *vector_columns(categorical, numeric), TARGET, WEIGHT, "is_test"))
     result = {}
@@ -238,7 +257,7 @@ def train(
         stages = classifier(name, float(sizes["a"]), chosen_params, categorical, numeric)
         fitted = without_summary(Pipeline(stages=stages).fit(marked.filter("NOT is_test")), work_dir(spark, name))
         # every row is scored once; threshold and metrics read the stored scores
-        scored = lineage_cut(apply_model(fitted, vectors, SCORE).select(SCORE, TARGET, "is_test"))
+        scored = lineage_cut(apply_to_vectors(fitted, vectors, SCORE).select(SCORE, TARGET, "is_test"))
         threshold = review_threshold(scored.filter("NOT is_test"), SCORE, review_rate)
         metrics = evaluate(scored.filter("is_test"), SCORE, TARGET, threshold).first().asDict()
         model = PipelineModel([*prepared.stages, *fitted.stages])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustlake.functions.cleaning import as_double, folded
+from trustlake.operators.compiled import CompiledModel
 from trustlake.operators.gold import MEDIAN, NUMERIC, feature_columns, with_group_statistic
 from trustlake.operators.models import SCORE, apply_model
 from trustlake.operators.rules import FAILED, REQUEST_RULES, Rule, apply_rules, split_valid
@@ -22,7 +23,7 @@ STAT_KNOWN = Rule("product_has_median", f"{MEDIAN} IS NOT NULL")
 class Scorer:
     """All that belongs to one model version."""
 
-    model: PipelineModel
+    model: PipelineModel | CompiledModel
     medians: DataFrame
     threshold: float
     version: str = "0"

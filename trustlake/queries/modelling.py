@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 
 from trustlake.functions.hashing import HASH_DIGITS, keyed_hash
 from trustlake.operators.bounded import few_rows
+from trustlake.operators.compiled import CompiledModel
 from trustlake.operators.dedupe import dedupe
+from trustlake.operators.gold import NUMERIC, claim_records, group_medians
 from trustlake.operators.metrics import confusion, evaluate, ranking_metrics, review_threshold
 from trustlake.operators.models import (
     DEFAULT_REVIEW_RATE,
     MODEL_PARAMS,
     Trained,
+    apply_model,
     class_weights,
+    exact_medians,
     fingerprint,
     preparation,
     train,
@@ -26,9 +30,21 @@ from trustlake.operators.models import (
 from trustlake.operators.scoring import RAW_SCORE, Scorer, score_batch
 from trustlake.operators.selection import group_quantile, stratified_split
 from trustlake.plans.serving import serve_batch
-from trustlake.queries.bindings import CLEAN_CLAIMS, CLEAN_POLICIES, FEATURE_ROWS, table
+from trustlake.queries.bindings import CLEAN_CLAIMS, CLEAN_POLICIES, FEATURE_ROWS, RECORDS, table
 from trustlake.queries.catalogue import query
-from trustlake.queries.quality import BOUND_RULES, REQUEST_FAILED, RISK_SQL, features, requests, risk
+from trustlake.queries.quality import (
+    BOUND_CHANNELS,
+    BOUND_PRODUCTS,
+    BOUND_REGIONS,
+    BOUND_RULES,
+    REQUEST_FAILED,
+    RISK_SQL,
+    SERVING_SELECT,
+    features,
+    requests,
+    risk,
+    silver,
+)
 from trustlake.session import lineage_cut, work_dir
 from trustlake.sources.logs import append_log, prediction_log
 from trustlake.sources.registry import ModelRegistry, champion
@@ -49,7 +65,8 @@ def prepared_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Pipeli
         "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", F.col("o_custkey").cast("double").alias("o_custkey")
     )
     rows = orders.count()
-    model = Pipeline(stages=preparation(["o_orderstatus", "o_orderpriority"], ["o_totalprice", "o_custkey"], rows)).fit(orders)
+    fills = exact_medians(orders, ["o_totalprice", "o_custkey"])
+    model = Pipeline(stages=preparation(["o_orderstatus", "o_orderpriority"], fills, rows)).fit(orders)
     return model.transform(orders), model
 
 
@@ -337,15 +354,63 @@ def m10_score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("m7_flags", f"WITH {ACCEPTED} SELECT claim_id, true AS in_range, true AS flag_follows_score FROM accepted")
+# --- given models: what scoring makes of them is SQL ---------------------------------------------------------------
+
+_PLACES = (("product", BOUND_PRODUCTS), ("region", BOUND_REGIONS), ("channel", BOUND_CHANNELS))
+_FIRST_NUMBER = sum(len(known) for _, known in _PLACES)
+#: What a missing number counts as, what is taken off, and how far a step is.
+_SCALES = ((45.0, 44.5, 15.0), (4e3, 5e3, 7.5e3), (900.0, 1e3, 650.0), (200.0, 180.0, 110.0), (10.0, 12.5, 9.0), (1.0, 1.25, 0.75), (4.0, 5.5, 8.0))
+GIVEN_LINEAR = CompiledModel(
+    _PLACES,
+    tuple((c, fill, off, 1 / step) for c, (fill, off, step) in zip(NUMERIC, _SCALES, strict=True)),
+    intercept=-0.75,
+    weights=(0.3, -0.2, 0.1, 0.0, -0.4, 0.25, 0.15, -0.05, 0.35, -0.15, 0.2, 0.45, -0.3, -0.1, 0.6, -0.3, -0.45, 0.5, 0.7, 0.2),
+)
+_AGE, _AMOUNT, _PREMIUM, _DAYS, _DELAY, _VS_MEDIAN, _VS_PREMIUM = range(_FIRST_NUMBER, _FIRST_NUMBER + len(NUMERIC))
+GIVEN_TREES = CompiledModel(
+    _PLACES,
+    tuple((c, fill, 0.0, 1.0) for c, (fill, _, _) in zip(NUMERIC, _SCALES, strict=True)),
+    trees=(
+        (1.0, (_DAYS, 90.0, (_VS_MEDIAN, 1.5, -0.2, 0.8), (_DELAY, 14.5, -0.7, (_AMOUNT, 6e3, -0.1, 0.3)))),
+        (0.5, (0, 0.5, (_VS_PREMIUM, 3.25, -0.4, 0.2), (5, 0.5, 0.15, -0.35))),
+        (0.25, (_AGE, 40.0, 0.6, (_PREMIUM, 800.0, -0.5, 0.05))),
+    ),
+    slope=2.0,
+)
+GIVEN_THRESHOLD = 0.55
+SERVED = f"""WITH {RECORDS}, {REQUEST_ROWS},
+m AS (SELECT product, median(claim_amount) AS product_median FROM records GROUP BY product),
+served AS (SELECT {SERVING_SELECT.replace("start_date", "policy_start_date")} FROM accepted r JOIN m ON r.product = m.product)"""
+
+
+def given_scorer(spark: SparkSession, sf_dir: str, model: CompiledModel = GIVEN_LINEAR) -> Scorer:
+    """A model that was not fitted here, with the medians of the gold records."""
+    medians = lineage_cut(group_medians(claim_records(*silver(spark, sf_dir))))
+    return Scorer(model, medians, GIVEN_THRESHOLD, "1", "given", BOUND_RULES)
+
+
+def rounded_score(digits: int = 8):
+    return F.round(RAW_SCORE, digits).alias("score")
+
+
+@query("m5_tree_scores", f"{SERVED}, scored AS ({GIVEN_TREES.ansi_sql('served', ['claim_id'], 'p')}) SELECT claim_id, round(p, 8) AS score FROM scored")
+def m5_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Given boosted trees, as one expression, over every acceptable request."""
+    scored, _ = score_batch(requests(spark, sf_dir), given_scorer(spark, sf_dir, GIVEN_TREES))
+    return scored.select("claim_id", rounded_score())
+
+
+GIVEN_SCORES = f"{SERVED}, scored AS ({GIVEN_LINEAR.ansi_sql('served', ['claim_id'], 'p')})"
+
+
+@query(
+    "m7_flags",
+    f"{GIVEN_SCORES} SELECT claim_id, round(p, 8) AS score, p >= {GIVEN_THRESHOLD} AS flag_for_review, '1' AS model_version FROM scored",
+)
 def m7_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every acceptable request gets a score between 0 and 1 and the flag its raw score implies."""
-    scored, _ = score_batch(requests(spark, sf_dir), scorer(spark, sf_dir))
-    return scored.select(
-        "claim_id",
-        F.col(RAW_SCORE).between(0, 1).alias("in_range"),
-        (F.col("flag_for_review") == (F.col(RAW_SCORE) >= F.col("threshold"))).alias("flag_follows_score"),
-    )
+    """Every acceptable request gets its score and the flag that its raw score implies."""
+    scored, _ = score_batch(requests(spark, sf_dir), given_scorer(spark, sf_dir))
+    return scored.select("claim_id", rounded_score(), "flag_for_review", "model_version")
 
 
 @query(
@@ -366,25 +431,50 @@ def m11_run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("m13_load_scorer", f"WITH {ACCEPTED} SELECT DISTINCT claim_id, true AS same_score, true AS same_version FROM accepted")
+GIVEN = {"linear": GIVEN_LINEAR, "trees": GIVEN_TREES}
+
+
+@query(
+    "m15_stored_models",
+    f"WITH {FEATURE_ROWS}, "
+    + ", ".join(
+        f"{name} AS (SELECT is_fraud AS y, round(p, 8) AS s FROM ({model.ansi_sql('features', ['is_fraud'], 'p')}))"
+        for name, model in GIVEN.items()
+    )
+    + ", results AS ("
+    + " UNION ALL ".join(f"SELECT '{name}' AS model_type, round(ap, 8) AS pr_auc, round(roc_auc, 8) AS roc_auc FROM ({curves_sql(name, 's', 'y')})" for name in GIVEN)
+    + ") SELECT *, pr_auc = max(pr_auc) OVER () AS champion FROM results",
+)
+def m15_stored_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two given models rank the labelled claims; the one with the better average precision is champion."""
+    rows = lineage_cut(features(spark, sf_dir))
+    results = None
+    for name, model in GIVEN.items():
+        scored = apply_model(model, rows, RAW_SCORE).select("is_fraud", F.round(RAW_SCORE, 8).alias("s"))
+        line = ranking_metrics(scored, "s", "is_fraud").select(
+            F.lit(name).alias("model_type"), F.round("average_precision", 8).alias("pr_auc"), F.round("roc_auc", 8).alias("roc_auc")
+        )
+        results = line if results is None else results.unionByName(line)
+    results = lineage_cut(results)
+    best = champion(results.select("model_type", "pr_auc"), "pr_auc").select("model_type", F.lit(True).alias("champion"))
+    return results.join(best, "model_type", "left").withColumn("champion", F.coalesce("champion", F.lit(False)))
+
+
+@query(
+    "m13_load_scorer",
+    f"{GIVEN_SCORES} SELECT DISTINCT claim_id, round(p, 8) AS score, p >= {GIVEN_THRESHOLD} AS flag_for_review, '2' AS model_version FROM scored",
+)
 def m13_load_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A champion that was stored, registered and loaded by its alias scores as the fitted model does."""
+    """Of two stored versions the champion, loaded by its alias, scores the requests."""
     registry = ModelRegistry(spark, work_dir(spark, "registry"))
-    trained = trained_models(spark, sf_dir, "logistic_regression")["logistic_regression"]
-    fitted = scorer_of(trained)
-    run = registry.log_run("claims", trained, REVIEW_RATE, {})
-    registry.move_alias("claims", run)
+    for model in (GIVEN_TREES, GIVEN_LINEAR):
+        medians = given_scorer(spark, sf_dir).medians
+        run = registry.log_run("claims", Trained("given", model, GIVEN_THRESHOLD, {}, 0, 0, medians), REVIEW_RATE, {})
+        registry.move_alias("claims", run)
     loaded = registry.load_uri("models:/claims@champion")
     loaded.rules = BOUND_RULES
-    wanted = dedupe(requests(spark, sf_dir), ["claim_id"])
-    one = score_batch(wanted, loaded)[0]
-    other = score_batch(wanted, fitted)[0]
-    other = other.select("claim_id", F.col(RAW_SCORE).alias("_raw"), F.col("model_version").alias("_v"))
-    return one.join(other, "claim_id").select(
-        "claim_id",
-        F.col(RAW_SCORE).eqNullSafe(F.col("_raw")).alias("same_score"),
-        (F.col("model_version") == F.col("_v")).alias("same_version"),
-    )
+    scored = score_batch(dedupe(requests(spark, sf_dir), ["claim_id"]), loaded)[0]
+    return scored.select("claim_id", rounded_score(), "flag_for_review", "model_version")
 
 
 @query("m11_fingerprint", "SELECT count(*) AS n, true AS order_independent FROM orders")
@@ -415,20 +505,16 @@ def s10_prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("r1_stream_score", f"WITH {ACCEPTED} SELECT claim_id, true AS same_as_batch FROM accepted")
+@query("r1_stream_score", f"{GIVEN_SCORES} SELECT DISTINCT claim_id, round(p, 8) AS score FROM scored")
 def r1_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same requests, arriving as a stream of files, get the scores of the batch."""
+    """The same requests, arriving as a stream of files, are stored with their scores, copies once."""
     arriving, target = work_dir(spark, "requests"), work_dir(spark, "scores")
     wanted = requests(spark, sf_dir)
     wanted.write.parquet(arriving)
-    model = scorer(spark, sf_dir)
     stream = spark.readStream.schema(wanted.schema).option("maxFilesPerTrigger", 100).parquet(arriving)
-    stream_score(stream, model, target, work_dir(spark, "offsets")).awaitTermination()
+    stream_score(stream, given_scorer(spark, sf_dir), target, work_dir(spark, "offsets")).awaitTermination()
     streamed, _ = read_scored(spark, target)
-    # copies of a request have equal scores: compare one row per claim and repeat none
-    batch = score_batch(wanted, model)[0].groupBy("claim_id").agg(F.min(RAW_SCORE).alias("batch_score"))
-    same = F.col(RAW_SCORE).eqNullSafe(F.col("batch_score")).alias("same_as_batch")
-    return streamed.join(batch, "claim_id", "left").select("claim_id", same)
+    return streamed.select("claim_id", rounded_score()).distinct()
 
 
 @query(

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustlake.operators.bounded import few_rows
+from trustlake.operators.compiled import CompiledModel, compile_model
 from trustlake.operators.models import Trained
 from trustlake.operators.scoring import Scorer
 
@@ -48,7 +49,10 @@ class ModelRegistry:
         """Store a fitted model with its medians and record where it came from and how good it is."""
         run_id = uuid.uuid4().hex
         path = f"{self.base}/models/{run_id}"
-        trained.model.write().save(f"{path}/model")
+        if isinstance(trained.model, PipelineModel):
+            trained.model.write().save(f"{path}/model")
+        compiled = trained.model if isinstance(trained.model, CompiledModel) else compile_model(trained.model)
+        few_rows(self.spark, [(compiled.to_json(),)], "value string").write.text(f"{path}/compiled")
         trained.medians.write.parquet(f"{path}/medians")
         row = (
             run_id,
@@ -91,7 +95,7 @@ class ModelRegistry:
             raise LookupError(f"no version of {model_name} has the alias {alias}")
         run = self.runs().filter(F.col("run_id") == move["run_id"]).first()
         return Scorer(
-            model=PipelineModel.load(f"{run['path']}/model"),
+            model=CompiledModel.from_json(self.spark.read.text(f"{run['path']}/compiled", wholetext=True).first()["value"]),
             medians=self.spark.read.parquet(f"{run['path']}/medians"),
             threshold=run["threshold"],
             version=str(move["version"]),
