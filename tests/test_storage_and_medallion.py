@@ -233,6 +233,57 @@ def test_raw_files_in_any_column_order(spark, folder):
     assert all(r.policy_id is None and r[SOURCE_FILE] for r in rows if r[MALFORMED] is not None)
 
 
+def test_rows_that_look_like_a_header_are_rows(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b\n1,2\na,b\n3,4\nb,a\n")
+    (tmp_path / "y.csv").write_text("\ufeff b , a\r\n1,2\r\n")
+    rows = read_raw(spark, str(tmp_path), ["a", "b"])
+    assert sorted((r.a, r.b, r[MALFORMED]) for r in rows.collect()) == sorted(
+        [("1", "2", None), ("a", "b", None), ("3", "4", None), ("b", "a", None), ("2", "1", None)]
+    )
+
+
+def test_reading_raw_rows_shuffles_nothing(spark, tmp_path):
+    for number in range(3):
+        (tmp_path / f"{number}.csv").write_text("a,b\n" + "1,2\n" * 50)
+    (tmp_path / "same").mkdir()
+    (tmp_path / "same" / "1.csv").write_text("b,a\n" + "1,2\n" * 50)
+    one_layout = read_raw(spark, str(tmp_path / "[012].csv"), ["a", "b"])
+    assert "Exchange" not in plan_of(one_layout) and one_layout.count() == 150
+    several = read_raw(spark, f"{tmp_path}/{{0.csv,same}}", ["a", "b"])
+    plan = plan_of(several)
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert several.filter("a = 2").count() == 50
+
+
+NASTY = ['plain', 'two\nlines', 'a "quoted" word', 'x\n\n"y"\n', ',', '"', ' lead', None, 'é\n日本', '\n' * 40, 'id,t']
+
+
+def test_line_breaks_in_quoted_fields_across_splits(spark, folder):
+    """Splits of a few bytes, so that most records lie in several of them."""
+    rows = [(str(i), NASTY[i * 7 % len(NASTY)]) for i in range(110)]
+    write_raw(text_frame(spark, ["id", "t"], rows).coalesce(1), f"{folder}/raw")
+    expected = sorted(rows, key=repr)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("61", "500"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found = read_raw(spark, f"{folder}/raw", ["t", "id"], multi_line=True)
+            if size == "500":
+                assert spark.read.text(f"{folder}/raw").rdd.getNumPartitions() > 3
+            assert sorted(((r.id, r.t) for r in found.collect()), key=repr) == expected
+            assert found.filter(f"{MALFORMED} IS NOT NULL").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_multi_line_files_with_wrong_rows(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\r\n"1\n2",x\r\nonly\r\n\r\n3,"4\n\n"\r\n')
+    (tmp_path / "y.csv").write_text('a,c\n1,"2\n3"\n')
+    rows = read_raw(spark, str(tmp_path), ["a", "b"], multi_line=True).collect()
+    assert sorted((r.a, r.b) for r in rows if r[MALFORMED] is None) == [("1\n2", "x"), ("3", "4\n\n")]
+    assert sorted(r[MALFORMED] for r in rows if r[MALFORMED]) == ["no such header: 1,2\n3", "no such header: a,c", "only"]
+
+
 def test_malformed_rows_are_quarantined(spark, small, folder):
     feeds = raw_feeds(spark, small)
     for name, frame in feeds.items():

@@ -108,7 +108,7 @@ def run_medallion(
     """The whole chain. ``raw`` is a folder of ``<name>.csv`` files (or folders) or the raw frames themselves.
 
     Every file's own header says where its columns are. Rows that cannot be read are kept and quarantined. Files whose
-    quoted fields hold line breaks need ``multi_line=True``, by which one task reads one file.
+    quoted fields hold line breaks need ``multi_line=True``; they are split like others.
 
     The quality report is stored before the gate decides. When the gate fails, the staged rows stay readable for
     inspection while silver, quarantine and gold keep their previous version.
@@ -156,7 +156,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser.add_argument("--tables", metavar="CATALOG.SCHEMA")
     parser.add_argument("--raw-dir")
     parser.add_argument("--limit", type=float, default=MAX_QUARANTINE_RATE)
-    parser.add_argument("--multi-line", action="store_true", help="line breaks inside quoted fields: one task per file")
+    parser.add_argument("--multi-line", action="store_true", help="line breaks inside quoted fields")
     config = MedallionConfig(**vars(parser.parse_args(argv)))
     spark = get_spark("trustlake-medallion")
     try:

@@ -69,6 +69,20 @@ def s1_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, f"{path}/*", customers.columns).drop(MALFORMED, SOURCE_FILE)
 
 
+@query(
+    "s1_multiline",
+    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name || chr(10) || '"' || c_mktsegment || '",' || chr(10) AS c_note,
+      CAST(NULL AS VARCHAR) AS _malformed FROM customer""",
+)
+def s1_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields with quotes and line breaks, read from files that are split wherever a split ends."""
+    path = work_dir(spark, "notes")
+    note = F.concat("c_name", F.lit('\n"'), "c_mktsegment", F.lit('",\n'))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", note.alias("c_note"))
+    write_raw(customers, path)
+    return read_raw(spark, path, ["c_note", "c_custkey"], multi_line=True).drop(SOURCE_FILE)
+
+
 @query("s2_lineage", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, true AS has_time, true AS has_file FROM customer")
 def s2_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = exported_customers(spark, sf_dir)
