@@ -29,6 +29,8 @@ if array("I").itemsize != 4 or sys.byteorder != "little":
 
 #: Pieces in a generation of those that a worker remembers.
 PIECES = 500_000
+#: Longer pieces are not remembered, so that entries bound bytes, too.
+PIECE_LENGTH = 64
 #: Bytes per id in memory and in what tasks exchange.
 ID = np.dtype("<u4")
 
@@ -91,6 +93,8 @@ class Remembered(dict):
         self.before: dict[str, bytes] = {}
 
     def __missing__(self, text: str) -> bytes:
+        if len(text) > PIECE_LENGTH:
+            return self.make(text)
         value = self.before.get(text)
         if value is None:
             value = self.make(text)

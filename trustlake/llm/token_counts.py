@@ -25,9 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustlake.llm.frames import byte_texts, in_slices, record
-from trustlake.llm.words import CACHE_ENTRIES
 
 MARK = "▁"
+#: Longer words share nothing and are not remembered.
+LONG = 1024
+#: Letters of words that a task remembers.
+CACHE_LETTERS = 1 << 22
 #: Added to a piece's place before the logarithm, so that the first pieces do not dwarf all others.
 OFFSET = 10.0
 
@@ -37,11 +40,12 @@ class Pieces(NamedTuple):
 
     scores: dict[str, float | None]
     byte_score: float
+    longest: int
 
 
 def with_beginnings(scores: dict[str, float], byte_score: float) -> Pieces:
     beginnings: dict[str, float | None] = {piece[:n]: None for piece in scores for n in range(1, len(piece))}
-    return Pieces(beginnings | scores, byte_score)
+    return Pieces(beginnings | scores, byte_score, max(map(len, scores), default=1))
 
 
 @cache
@@ -57,7 +61,7 @@ def load_pieces(path: str) -> Pieces:
 
 def trie_counts(words: Iterable[str], pieces: Pieces) -> Iterator[tuple[str, int]]:
     """Every word of a sorted iterable with its number of tokens."""
-    scores, byte_score = pieces
+    scores, byte_score, _ = pieces
     path = ""
     # forward[i]: score and minus the number of tokens of the best segmentation of path[:i]
     forward: list[tuple[float, int]] = [(0.0, 0)]
@@ -86,6 +90,33 @@ def trie_counts(words: Iterable[str], pieces: Pieces) -> Iterator[tuple[str, int
         yield word, -forward[-1][1]
 
 
+def long_count(word: str, pieces: Pieces) -> int:
+    """The tokens of one word, of which only as many scores are kept as the longest piece has characters."""
+    scores, byte_score, longest = pieces
+    forward, base, going = [(0.0, 0)], 0, [0]
+    for end in range(1, len(word) + len(MARK) + 1):
+        character = word[end - len(MARK) - 1] if end > len(MARK) else MARK
+        before, tokens = forward[-1]
+        size = len(character.encode("utf-8", "surrogatepass"))
+        best, still = (before + size * byte_score, tokens - size), []
+        for start in going:
+            piece = MARK + word[: end - len(MARK)] if start == 0 else word[start - len(MARK) : end - len(MARK)]
+            if piece in scores:
+                still.append(start)
+                score = scores[piece]
+                if score is not None:
+                    before, tokens = forward[start - base]
+                    best = max(best, (before + score, tokens - 1))
+        forward.append(best)
+        still.append(end)
+        going = still
+        if len(forward) > 8 * longest + 64:
+            gone = len(forward) - longest - 1
+            del forward[:gone]
+            base += gone
+    return -forward[-1][1]
+
+
 def count_tokens(
     docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -98,13 +129,17 @@ def count_tokens(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load_pieces(vocabulary)
         known: dict[str, int] = {}
+        held = 0
         for batch in in_slices(batches, 1 << 23):
             texts = [text.decode("utf-8", "replace").split() for text in byte_texts(batch["text"])]
-            fresh = {word for words in texts for word in words if word not in known}
-            if len(known) + len(fresh) > CACHE_ENTRIES:
+            fresh = {word for words in texts for word in words if len(word) <= LONG and word not in known}
+            if held + sum(map(len, fresh)) > CACHE_LETTERS:
                 known.clear()
-                fresh = {word for words in texts for word in words}
+                held = 0
+                fresh = {word for words in texts for word in words if len(word) <= LONG}
+            held += sum(map(len, fresh))
             known.update(trie_counts(sorted(fresh), pieces))
-            yield record(schema, batch["doc_id"], [len(w) for w in texts], [sum(map(known.__getitem__, w)) for w in texts])
+            totals = [sum(known[w] if len(w) <= LONG else long_count(w, pieces) for w in words) for words in texts]
+            yield record(schema, batch["doc_id"], [len(w) for w in texts], totals)
 
     return rows.mapInArrow(count, "doc_id bigint, n_pretokens bigint, n_tokens bigint")

@@ -13,6 +13,8 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Entries a cache may hold before it starts afresh; a cache changes speed, never a result.
 CACHE_ENTRIES = 500_000
+#: Longer words are not remembered, so that entries bound bytes, too.
+CACHE_BYTES = 64
 
 
 def plain_words(text: bytes) -> list[bytes]:
@@ -24,9 +26,11 @@ class WordHashes(dict):
     """XXH64 of words, remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= CACHE_BYTES:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[word] = value
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:
