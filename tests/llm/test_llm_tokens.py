@@ -1,6 +1,7 @@
 """Encoding, token files, packing and token counts against the plain libraries."""
 
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 from functools import cache
@@ -9,13 +10,15 @@ from math import ceil
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from tests.llm.edges import ROWS, awkward, empty
-from trustlake.llm.encoding import _SETTLED, Encoder, encoder
+from trustlake.llm.encoding import _SETTLED, Encoder, Remembered, encoder
 from trustlake.llm.packing import best_fit, pack
-from trustlake.llm.token_counts import MARK, count_tokens, load_pieces, trie_counts, with_beginnings
-from trustlake.llm.token_files import read_digests, read_token_ids, write_token_files
+from trustlake.llm.token_counts import LONG, MARK, count_tokens, load_pieces, long_count, trie_counts, with_beginnings
+from trustlake.llm.token_files import address, read_digests, read_token_ids, write_token_files
+from trustlake.llm.words import WordHashes
 from trustlake.session import work_dir
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -199,3 +202,43 @@ def test_counts_of_documents(spark, small):
     ]
     assert sorted((tuple(r) for r in found), key=repr) == sorted(expected, key=repr)
     assert count_tokens(empty(spark), PIECES).count() == 0
+
+
+def test_long_words_are_streamed():
+    """The same counts with the scores of a few characters at a time, and little memory."""
+    dice = random.Random(2)
+    pieces = load_pieces(PIECES)
+    toy = with_beginnings({MARK: -1.0, "a": -2.0, "b": -2.5, "ab": -3.0, "aba": -3.5, "bab": -4.0, MARK + "a": -2.2}, -9.0)
+    for count in (1, 2, 5, 60, 500, 3000):
+        word = "".join(dice.choices("abcétion日", k=count))
+        for known in (pieces, toy):
+            assert long_count(word, known) == dict(trie_counts([word], known))[word]
+    word = "".join(dice.choices("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/", k=300_000))
+    tracemalloc.start()
+    assert long_count(word, pieces) > 100_000
+    assert tracemalloc.get_traced_memory()[1] < 1 << 20
+    tracemalloc.stop()
+
+
+def test_words_of_any_length_in_a_table(spark):
+    pieces = load_pieces(PIECES)
+    words = ["a" * n for n in (1, LONG - 1, LONG, LONG + 1, 5 * LONG)]
+    rows = [(i, " ".join(words[: i + 1])) for i in range(len(words))]
+    found = count_tokens(awkward(spark, rows), PIECES).collect()
+    one = {w: dict(trie_counts([w], pieces))[w] for w in words}
+    assert {r.doc_id: r.n_tokens for r in found} == {i: sum(one[w] for w in words[: i + 1]) for i in range(len(words))}
+
+
+def test_caches_hold_no_long_texts(spark):
+    hashes, remembered = WordHashes(), Remembered(str.encode, 10)
+    assert hashes[b"x" * 100] == xxhash.xxh64_intdigest(b"x" * 100) and hashes[b"x"] and list(hashes) == [b"x"]
+    assert remembered["x" * 100] == b"x" * 100 and not remembered
+
+
+def test_a_folder_without_a_scheme_is_spark_s(spark):
+    assert address(spark, "/x/y") == "file:///x/y" and address(spark, "s3://b/x") == "s3://b/x"
+    spark.conf.set("spark.hadoop.fs.defaultFS", "hdfs://name:9000/")
+    try:
+        assert address(spark, "/x/y") == "hdfs://name:9000/x/y"
+    finally:
+        spark.conf.unset("spark.hadoop.fs.defaultFS")

@@ -15,6 +15,7 @@ table gives no parts and an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from uuid import uuid4
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trustlake.llm.encoding import ID, encoder
@@ -36,7 +37,19 @@ MANIFEST = "part int, name string, width int, docs bigint, ids bigint"
 
 def _place(folder: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder's address, and the folder's path there."""
-    return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+    return fs.FileSystem.from_uri(folder)
+
+
+def address(spark: SparkSession, folder: str) -> str:
+    """A folder's whole address: a path without a scheme lies where Spark would look for it, in the default file system."""
+    if re.match(r"[a-z][a-z0-9+.-]*:", folder):
+        return folder
+    default = spark.conf.get("spark.hadoop.fs.defaultFS", None)
+    if default is None:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError(f"give {folder} with its scheme, or set spark.hadoop.fs.defaultFS: executors write there themselves")
+        default = "file://"
+    return default.rstrip("/") + folder if default != "file://" else f"file://{folder}"
 
 
 def write_token_files(
@@ -48,6 +61,7 @@ def write_token_files(
     text_column: str = "text",
 ) -> DataFrame:
     """Write the files into ``folder``, which all executors must reach, and return the manifest."""
+    folder = address(docs.sparkSession, folder)
     rows = docs.select(
         F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").cast("binary").alias("text")
     )
@@ -111,6 +125,7 @@ def _documents(folder: str, name: str, width: int) -> Iterator[tuple[int | None,
 
 def _read(manifest: DataFrame, folder: str, last: pa.Field, value) -> DataFrame:
     """``doc_id, start, n_tokens`` and ``value`` of the ids, one task per part."""
+    folder = address(manifest.sparkSession, folder)
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), last])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
