@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trustlake.llm.frames import ROW, byte_texts, field, in_slices, packed, record, row_key, unpacked
-from trustlake.llm.words import CACHE_ENTRIES, WordHashes, mixed
+from trustlake.llm.words import CACHE_BYTES, CACHE_ENTRIES, WordHashes, mixed
 from trustlake.session import lineage_cut
 
 WEIGHT_BITS = 18
@@ -51,10 +51,12 @@ class ShapeHashes(dict):
     """Hashes of word shapes, by word, remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
         shape = _RUN.sub(rb"\1", word.translate(_SHAPES))
-        value = self[word] = xxhash.xxh64_intdigest(b"shape " + shape)
+        value = xxhash.xxh64_intdigest(b"shape " + shape)
+        if len(word) <= CACHE_BYTES:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -229,8 +231,13 @@ def good_documents(
     """The rows of ``docs``, with all their columns, that the classifier accepts."""
     if weights is None:
         return docs
-    text = F.col(text_column).cast("string").cast("binary").alias("text")
-    rows = docs.select(row_key(F.col(id_column), F.col(text_column)).alias("key"), text)
-    rejected = lineage_cut(_scored(rows, weights, "key").filter(F.col("score") < accept).select("key").distinct())
-    keyed = packed(docs).withColumn("key", row_key(field(id_column), field(text_column)))
-    return unpacked(keyed.join(rejected, "key", "left_anti").select(ROW))
+    # a row's own score decides: whole rows go through the scoring batch, and nothing is moved
+    rows = packed(docs).withColumn("text", field(text_column).cast("string").cast("binary"))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features()
+        for batch in in_slices(batches):
+            accepted = [score_text(weights, features.of(text)) >= accept for text in byte_texts(batch["text"])]
+            yield batch.select([ROW]).filter(pa.array(accepted))
+
+    return unpacked(rows.mapInArrow(of, packed(docs).schema))
