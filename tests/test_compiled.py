@@ -10,6 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
+from trustlake.operators.categories import known_categories
 from trustlake.operators.compiled import CompiledModel, compile_model, tree_of
 from trustlake.operators.models import apply_model, apply_to_vectors, classifier, exact_medians, preparation
 from trustlake.queries.modelling import GIVEN_LINEAR, GIVEN_TREES
@@ -39,7 +40,7 @@ def rows(spark):
 @pytest.fixture(scope="module", params=["logistic_regression", "gradient_boosting"])
 def fitted(request, rows):
     numbers = ["a", "b c", "one"]
-    stages = preparation(["kind", "other"], exact_medians(rows, numbers), 600)
+    stages = preparation(known_categories(rows, ["kind", "other"]), exact_medians(rows, numbers), 600)
     few = {"max_iter": 12, "max_depth": 5}
     model = [*stages, *classifier(request.param, 600.0, few, ["kind", "other"], numbers)]
     marked = rows.withColumns({"_weight": F.lit(1.0) + F.col("is_fraud"), "_validation": F.col("id") % 10 == 0})

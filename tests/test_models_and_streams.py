@@ -10,6 +10,8 @@ from tests.test_storage_and_medallion import raw_feeds
 from trustlake.functions.hashing import keyed_hash
 from trustlake.operators import gold
 from trustlake.operators.defects import Defect, inject, inject_duplicates
+from trustlake.operators.extraction import attach, extract_distinct, extract_rows, keyword_extractor
+from trustlake.operators.categories import category_places, known_categories, with_places
 from trustlake.operators.models import (
     class_weights,
     classifier,
@@ -105,7 +107,7 @@ def test_the_fitted_preparation(spark):
     """An unknown category is zero everywhere, numbers are in population deviations, a constant one is zero."""
     rows = [("a", 1.0, 7.0), ("a", 3.0, 7.0), ("b", None, 7.0)]
     frame = spark.createDataFrame(rows, "c string, x double, k double")
-    model = Pipeline(stages=preparation(["c"], exact_medians(frame, ["x", "k"]), 3)).fit(frame)
+    model = Pipeline(stages=preparation(known_categories(frame, ["c"]), exact_medians(frame, ["x", "k"]), 3)).fit(frame)
     new = spark.createDataFrame([("a", 1.0, 7.0), ("b", 3.0, 7.0), ("z", None, 7.0), (None, 1.0, 7.0)], frame.schema)
     found = [(list(r.c_hot.toArray()), r.scaled.toArray()) for r in model.transform(new).collect()]
     assert [hot for hot, _ in found] == [[1, 0], [0, 1], [0, 0], [0, 0]]
@@ -115,6 +117,32 @@ def test_the_fitted_preparation(spark):
     assert {s[1] for _, s in found} == {0.0}
 
 
+def test_category_places(spark):
+    """Frequent ones first, then by name; missing and unknown ones have no place; a column may have any number of them."""
+    rows = [("b", i, "x'") for i in range(5)] + [("a", i % 3, None) for i in range(5)] + [(None, None, "")]
+    frame = spark.createDataFrame(rows, "c string, n int, other string").repartition(3)
+    places = category_places(frame, ["c", "n", "other"])
+    found = {(r["column"], r.category): (r.n, r.place) for r in places.collect()}
+    assert found == {
+        ("c", "a"): (5, 0), ("c", "b"): (5, 1), ("n", "0"): (3, 0), ("n", "1"): (3, 1), ("n", "2"): (2, 2),
+        ("n", "3"): (1, 3), ("n", "4"): (1, 4), ("other", "x'"): (5, 0), ("other", ""): (1, 1),
+    }
+    new = spark.createDataFrame([("a", 4), ("z", None)], "c string, n int")
+    assert sorted((r.c, r.c_place, r.n_place) for r in with_places(new, places, ["c", "n"]).collect()) == [("a", 0, 4), ("z", None, None)]
+    assert known_categories(frame, ["c", "n"]) == {"c": ["a", "b"], "n": ["0", "1", "2", "3", "4"]}
+    with pytest.raises(ValueError, match=r"at most 4 a column: n \(5\)"):
+        known_categories(frame, ["c", "n"], most=4)
+
+
+def test_a_native_reader_moves_nothing(spark):
+    rows = [(1, "  A car crash. Someone was hurt. "), (2, None), (3, "water in the house"), (4, "water in the house")]
+    frame = spark.createDataFrame(rows, "id int, text string")
+    inline = extract_rows(frame, "text", keyword_extractor())
+    assert "Exchange" not in plan_of(inline)
+    apart = attach(frame, "text", extract_distinct(frame, "text", keyword_extractor())[0])
+    assert sorted(map(tuple, inline.collect())) == sorted(map(tuple, apart.select(*inline.columns).collect()))
+
+
 def test_rows_without_a_label_are_left_out(data):
     some = data[1].withColumn("is_fraud", F.when(F.col("claim_id") > "C000100", F.col("is_fraud")))
     trained = train(some, ["logistic_regression"], params=QUICK)["logistic_regression"]

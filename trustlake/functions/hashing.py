@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HASH_DIGITS = 8
+#: Hex digits of a hash, all of which decide.
+HASH_DIGITS = 32
 
 
 def keyed_hash(seed: object, *keys: str | Column) -> Column:
@@ -15,16 +18,16 @@ def keyed_hash(seed: object, *keys: str | Column) -> Column:
 
 
 def share_cut(share: float) -> str:
-    """The hex prefix below which ``share`` of all hashes fall."""
+    """The hash below which ``share`` of all hashes fall."""
     if not 0 <= share <= 1:
         raise ValueError(f"share must be between 0 and 1, got {share}")
     span = 16**HASH_DIGITS
-    return "g" if share == 1 else format(int(share * span), f"0{HASH_DIGITS}x")
+    return "g" if share == 1 else format(int(Fraction(share) * span), f"0{HASH_DIGITS}x")
 
 
 def chosen(seed: object, share: float, *keys: str | Column) -> Column:
     """True for about ``share`` of the keys, always the same ones."""
-    return F.substring(keyed_hash(seed, *keys), 1, HASH_DIGITS) < F.lit(share_cut(share))
+    return keyed_hash(seed, *keys) < F.lit(share_cut(share))
 
 
 def _column(key: str | Column) -> Column:

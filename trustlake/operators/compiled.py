@@ -169,8 +169,8 @@ def compile_model(model: PipelineModel) -> CompiledModel:
     categories, fills, off, factor = (), {}, {}, {}
     for stage in model.stages:
         if isinstance(stage, StringIndexerModel):
-            columns = stage.getOrDefault("inputCols")
-            categories = tuple((c, tuple(known)) for c, known in zip(columns, stage.labelsArray, strict=True))
+            columns = [stage.getInputCol()] if stage.isSet("inputCol") else stage.getInputCols()
+            categories += tuple((c, tuple(known)) for c, known in zip(columns, stage.labelsArray, strict=True))
         elif isinstance(stage, SQLTransformer):
             fills = fills_in(stage.getStatement())
         elif isinstance(stage, StandardScalerModel):

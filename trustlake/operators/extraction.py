@@ -66,6 +66,13 @@ def keyword_extractor(words: KeywordTable = CLAIM_WORDS) -> Extractor:
     def extract(texts: DataFrame) -> DataFrame:
         return with_keyword_fields(texts, "text", words).select(KEY, *EXTRACTION)
 
+    # a pure expression: rows can be read where they are
+    def inline(df: DataFrame, text: str) -> DataFrame:
+        read = with_keyword_fields(df.withColumn("_read", stripped(F.col(text))), "_read", words)
+        known = F.col(text).isNotNull()
+        return read.select(*df.columns, *(F.when(known, F.col(c)).alias(c) for c in EXTRACTION))
+
+    extract.inline = inline
     return extract
 
 
@@ -234,6 +241,15 @@ def attach(df: DataFrame, text: str, extractions: DataFrame) -> DataFrame:
     return df.withColumn(KEY, text_key(text)).join(extractions, KEY, "left").drop(KEY)
 
 
+def extract_rows(df: DataFrame, text: str, extractor: Extractor) -> DataFrame:
+    """Every row with the extraction of its text: by the extractor's expression where it has one, without moving a row; else
+    each distinct text is read once."""
+    inline = getattr(extractor, "inline", None)
+    if inline is not None:
+        return inline(df, text)
+    return attach(df, text, extract_distinct(df, text, extractor)[0])
+
+
 def triage(scored: DataFrame, extracted: DataFrame, key: str = "claim_id") -> DataFrame:
     """Score and extraction side by side; a score without an extraction stays. ``extracted`` has one row per key."""
     note = F.when(F.col("extractor") == KEYWORD_EXTRACTOR, F.lit(KEYWORD_NOTE))

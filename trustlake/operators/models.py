@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from trustlake.functions.cleaning import as_double, require_columns
 from trustlake.functions.hashing import chosen
 from trustlake.functions.measures import ratio
+from trustlake.operators.categories import known_categories
 from trustlake.operators.compiled import CompiledModel, compile_model, filled_sql
 from trustlake.operators.gold import CATEGORICAL, MEDIAN, NUMERIC, TARGET, group_medians, with_group_statistic
 from trustlake.operators.metrics import evaluate, review_threshold
@@ -73,11 +74,12 @@ def exact_medians(df: DataFrame, numeric: Sequence[str]) -> dict[str, float]:
     return {c: found.get(c, 0.0) for c in numeric}
 
 
-def preparation(categorical: Sequence[str], numeric: Mapping[str, float], rows: int) -> list:
+def preparation(categorical: Mapping[str, Sequence[str]], numeric: Mapping[str, float], rows: int) -> list:
     """Stages that turn the columns into vectors: one 0/1 place per known category (none for an unknown one), numbers with
     missing ones replaced by the median, and numbers as distances from the mean in population standard deviations.
 
-    ``numeric`` has the value that stands for a missing one, see ``exact_medians``. ``rows`` is the number of rows that the stages are fitted on: Spark's scaler divides by the sample deviation, which the
+    ``categorical`` has the known categories of each column, see ``known_categories``; ``numeric`` the value that stands for a
+    missing one, see ``exact_medians``. ``rows`` is the number of rows that the stages are fitted on: Spark's scaler divides by the sample deviation, which the
     factor after it turns into the population's.
     """
     codes, hot = [f"{c}_code" for c in categorical], [f"{c}_hot" for c in categorical]
@@ -85,7 +87,10 @@ def preparation(categorical: Sequence[str], numeric: Mapping[str, float], rows:
     stages: list = []
     if categorical:
         stages += [
-            StringIndexer(inputCols=list(categorical), outputCols=codes, handleInvalid="keep"),
+            *(
+                StringIndexerModel.from_labels(list(known), column, f"{column}_code", handleInvalid="keep")
+                for column, known in categorical.items()
+            ),
             # the slot dropped is the one for unknown values
             OneHotEncoder(inputCols=codes, outputCols=hot, dropLast=True),
         ]
@@ -245,8 +250,8 @@ def train(
     weights = class_weights(train_rows)
     sizes = split.agg(F.count_if(~F.col("is_test")).alias("a"), F.count_if("is_test").alias("b")).first()
 
-    fills = exact_medians(train_rows, numeric)
-    prepared = Pipeline(stages=preparation(categorical, fills, sizes["a"])).fit(train_rows)
+    known, fills = known_categories(train_rows, categorical), exact_medians(train_rows, numeric)
+    prepared = Pipeline(stages=preparation(known, fills, sizes["a"])).fit(train_rows)
     weighted = with_weight(prepared.transform(split), weights)
     vectors = lineage_cut(weighted.select(key, *vector_columns(categorical, numeric), TARGET, WEIGHT, "is_test"))
     result = {}

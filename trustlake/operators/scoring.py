@@ -69,7 +69,12 @@ def score_features(features: DataFrame, scorer: Scorer) -> DataFrame:
 
 def score_batch(requests: DataFrame, scorer: Scorer) -> tuple[DataFrame, DataFrame]:
     """(scores of the acceptable requests, rejected requests with the reasons); nothing is collected."""
-    accepted, rejected = split_valid(check_requests(requests, scorer))
+    return score_checked(check_requests(requests, scorer), scorer)
+
+
+def score_checked(checked: DataFrame, scorer: Scorer) -> tuple[DataFrame, DataFrame]:
+    """The same for requests that ``check_requests`` has been over."""
+    accepted, rejected = split_valid(checked)
     features = feature_columns(accepted.withColumnRenamed("policy_start_date", "start_date"))
     return score_features(features, scorer), rejected.drop(MEDIAN)
 

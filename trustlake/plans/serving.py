@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustlake.operators.dedupe import dedupe
-from trustlake.operators.extraction import Extractor, attach, extract_distinct, keyword_extractor, triage, unreadable
+from trustlake.operators.extraction import Extractor, extract_rows, keyword_extractor, triage, unreadable
 from trustlake.operators.scoring import Scorer, rejection_reasons, score_batch
 from trustlake.sources.logs import append_log, extraction_log, prediction_log
 
@@ -67,10 +67,9 @@ def serve_triage(
     described = dedupe(requests.select(F.trim("claim_id").alias("claim_id"), text), ["claim_id"])
     described = described.join(scores.select("claim_id"), "claim_id", "left_semi")
     try:
-        readings, _ = extract_distinct(described, text, extractor or keyword_extractor())
+        extracted = extract_rows(described, text, extractor or keyword_extractor())
     except Exception as error:  # noqa: BLE001 - a user's extractor may raise anything
-        readings, _ = extract_distinct(described, text, unreadable(f"failed: {type(error).__name__}"))
-    extracted = attach(described, text, readings)
+        extracted = extract_rows(described, text, unreadable(f"failed: {type(error).__name__}"))
     extraction_ms = round((time.perf_counter() - start) * 1000, 1)
     append_log(extraction_log(extracted, extraction_ms), f"{target}/extraction_log", run)
     return triage(scores, extracted)

@@ -35,7 +35,7 @@ def with_text_dates(df: DataFrame) -> DataFrame:
 
 def hit_sql(seed: str, share: float, key: str) -> str:
     """SQL of ``chosen``."""
-    return f"substr(md5('{seed}|' || {key}), 1, 8) < '{share_cut(share)}'"
+    return f"md5('{seed}|' || {key}) < '{share_cut(share)}'"
 
 
 def broken_sql(*conditions: tuple[str, str]) -> str:

@@ -22,6 +22,7 @@ from trustlake.operators.extraction import (
     batch_extractor,
     compare_with_labels,
     extract_distinct,
+    extract_rows,
     extraction_accuracy,
     extraction_errors,
     first_valid_answers,
@@ -330,13 +331,11 @@ def s11_extraction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT readings.*, true AS scored, '{KEYWORD_NOTE}' AS note FROM readings JOIN accepted USING (claim_id)""",
 )
 def x9_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score and extraction of every acceptable claim, with the descriptions read once per distinct text."""
+    """Score and extraction of every acceptable claim, with the descriptions read where they are."""
     wanted = requests(spark, sf_dir)
     scored, _ = score_batch(wanted, scorer(spark, sf_dir))
     described = wanted.select("claim_id", "description").distinct()
-    readings, _ = extract_distinct(described, "description", keyword_extractor(WORDS))
-    extracted = attach(described, "description", readings)
-    both = triage(scored, extracted)
+    both = triage(scored, extract_rows(described, "description", keyword_extractor(WORDS)))
     return both.select("claim_id", *EXTRACTION, F.col("fraud_score").isNotNull().alias("scored"), "note")
 
 

@@ -9,8 +9,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustlake.functions.hashing import HASH_DIGITS, keyed_hash
+from trustlake.functions.hashing import keyed_hash
 from trustlake.operators.bounded import few_rows
+from trustlake.operators.categories import category_places, known_categories, with_places
 from trustlake.operators.compiled import CompiledModel
 from trustlake.operators.dedupe import dedupe
 from trustlake.operators.gold import NUMERIC, claim_records, group_medians
@@ -66,7 +67,7 @@ def prepared_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Pipeli
     )
     rows = orders.count()
     fills = exact_medians(orders, ["o_totalprice", "o_custkey"])
-    model = Pipeline(stages=preparation(["o_orderstatus", "o_orderpriority"], fills, rows)).fit(orders)
+    model = Pipeline(stages=preparation(known_categories(orders, ["o_orderstatus", "o_orderpriority"]), fills, rows)).fit(orders)
     return model.transform(orders), model
 
 
@@ -81,13 +82,32 @@ def prepared_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Pipeli
 def m1_onehot(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared, model = prepared_orders(spark, sf_dir)
     columns = []
-    for column, labels in zip(("o_orderstatus", "o_orderpriority"), model.stages[0].labelsArray, strict=True):
+    for column, labels in (("o_orderstatus", model.stages[0].labels), ("o_orderpriority", model.stages[1].labels)):
         place = vector_to_array(f"{column}_hot")
         wanted = STATUSES if column == "o_orderstatus" else PRIORITIES
         columns += [place[i].cast("int").alias(f"{column}_{v}") for i, v in enumerate(labels) if v in wanted]
     return prepared.select("o_orderkey", *columns)
 
 
+PLACES = "row_number() OVER (ORDER BY count(*) DESC, {0}) - 1 AS {1} FROM lineitem GROUP BY 1"
+
+
+@query(
+    "m1_dictionary",
+    f"""WITH p AS (SELECT CAST(l_partkey AS VARCHAR) AS part, {PLACES.format("CAST(l_partkey AS VARCHAR)", "part_place")}),
+      m AS (SELECT l_returnflag AS mode, {PLACES.format("l_returnflag", "mode_place")})
+    SELECT l_orderkey, l_linenumber, part_place, mode_place
+    FROM lineitem JOIN p ON part = CAST(l_partkey AS VARCHAR) LEFT JOIN m ON mode = l_returnflag""",
+)
+def m1_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse one-hot rows of a column with thousands of categories and of one with a few."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("mode")
+    )
+    places = lineage_cut(category_places(lines, ["part", "mode"]))
+    return with_places(lines, places, ["part", "mode"]).select("l_orderkey", "l_linenumber", "part_place", "mode_place")
+
+
 @query(
     "m2_standardise",
     """WITH m AS (SELECT avg(o_totalprice) AS am, stddev_pop(o_totalprice) AS asd, avg(o_custkey) AS cm,
@@ -254,8 +274,7 @@ def m12_champion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table with a label drawn from the red-flag score, so that there is something to learn."""
-    digits = F.substring(keyed_hash("label", "claim_id"), 1, HASH_DIGITS)
-    drawn = F.conv(digits, 16, 10).cast("double") / 16**HASH_DIGITS
+    drawn = F.conv(F.substring(keyed_hash("label", "claim_id"), 1, 8), 16, 10).cast("double") / 16**8
     return features(spark, sf_dir).withColumn("is_fraud", (drawn < risk()).cast("int"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from trustlake.operators.dedupe import dedupe
 from trustlake.operators.rules import FAILED, Rule, apply_rules
-from trustlake.operators.scoring import Scorer, score_batch
+from trustlake.operators.scoring import Scorer, check_requests, score_checked
 from trustlake.sources.storage import BAD, GOOD, OUTCOME, outcome
 
 QUERY, BATCH, DAY = "query_id", "batch_id", "event_day"
@@ -40,10 +40,14 @@ def stream_score(
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        scored, rejected = score_batch(batch, scorer)
         folder = _folder(batch, checkpoint, batch_id)
-        for frame, name in ((scored, SCORES), (rejected, REJECTED)):
-            frame.write.mode("overwrite").parquet(f"{target}/{name}/{folder}")
+        checked = check_requests(batch, scorer).persist()  # read and checked once for both sinks
+        try:
+            scored, rejected = score_checked(checked, scorer)
+            for frame, name in ((scored, SCORES), (rejected, REJECTED)):
+                frame.write.mode("overwrite").parquet(f"{target}/{name}/{folder}")
+        finally:
+            checked.unpersist()
 
     writer = requests.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -77,13 +81,18 @@ def stream_quality(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         day = F.coalesce(F.to_date(event_time).cast("string"), F.lit(NO_DAY))
-        rows = dedupe(batch, key).withColumn(DAY, day)
         query_id = _query_id(batch.sparkSession, checkpoint)
-        stored = _stored_keys(rows, key, target, query_id, batch_id)
-        if stored is not None:
-            rows = rows.join(stored, [*key, DAY], "left_anti")
-        split = apply_rules(rows, rules).withColumn(OUTCOME, outcome())
-        split.write.mode("overwrite").partitionBy(DAY, OUTCOME).parquet(f"{target}/{_folder(batch, checkpoint, batch_id)}")
+        arrived = batch.withColumn(DAY, day).persist()  # its days are asked for apart from its rows
+        try:
+            # copies have the same time, so the day is no part of the key
+            rows = dedupe(arrived, key)
+            stored = _stored_keys(arrived, key, target, query_id, batch_id)
+            if stored is not None:
+                rows = rows.join(stored, [*key, DAY], "left_anti")
+            split = apply_rules(rows, rules).withColumn(OUTCOME, outcome())
+            split.write.mode("overwrite").partitionBy(DAY, OUTCOME).parquet(f"{target}/{_folder(batch, checkpoint, batch_id)}")
+        finally:
+            arrived.unpersist()
 
     writer = typed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
