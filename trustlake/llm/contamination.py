@@ -8,8 +8,8 @@ Documents are far longer than items, so signatures of whole documents would hard
 search therefore hashes all shingles with one function and sketches the items only: items are partitioned by size (powers
 of two), and an item's sketch is its ``k`` least hashes, ``k`` being one more than the largest number of shingles that an
 item of its partition can miss and still reach the threshold. A document that holds an item thus has one of its sketch's
-shingles at least, whatever the document's length: candidates lose nothing. A bit set of fixed size, made from all
-sketches, lets map tasks drop nearly all other shingles before any shuffle. Every candidate is then verified by comparing
+shingles at least, whatever the document's length: candidates lose nothing. A bit set of bounded size, made from all
+sketches, goes to the documents, so that nearly all other shingles, and all documents without a hit, are never moved. Every candidate is then verified by comparing
 shingles as texts.
 
 Defined results: null or wordless items match nothing, null or wordless documents hold nothing. Items repeated with equal
@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from trustlake.llm.frames import ROW, byte_texts, field, in_slices, packed, record, row_key, unpacked
 from trustlake.llm.words import WordHashes, plain_words, run_hashes
@@ -34,8 +35,13 @@ from trustlake.session import lineage_cut
 
 WIDTH = 5
 THRESHOLD = 0.8
-#: The bit set has 2^FILTER_BITS bits (2 MB), however many items there are.
-FILTER_BITS = 24
+#: The bit set has 2^14 to 2^15 bits for each hash in it, at least 2^LEAST_BITS (2 MB) and at most 2^MOST_BITS (64 MB).
+LEAST_BITS, MOST_BITS, SPARE_BITS = 24, 29, 14
+_HITS = StructField("hits", ArrayType(StructType([StructField("width", IntegerType()), StructField("hash", LongType())])))
+
+
+def bits_for(hashes: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, hashes.bit_length() + SPARE_BITS))
 
 
 def sketch_size(shingles: int, threshold: Fraction) -> int:
@@ -81,29 +87,52 @@ def bit_set(hashes: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def candidates(docs: DataFrame, sketches: DataFrame, filter_bits: int) -> DataFrame:
-    """``doc_key, item_key`` of every document that has a shingle of an item's sketch."""
+def marked(rows: DataFrame, sketches: DataFrame, filter_bits: int | None, only_hits: bool) -> DataFrame:
+    """``rows`` with ``hits`` (width and hash), the shingles of ``doc_text`` that may be in an item's sketch; stored.
+
+    With ``only_hits`` rows without any are left out, else ``doc_text`` is. The rows stay where they are: the bit set comes to them.
+    """
+    if filter_bits is None:
+        filter_bits = bits_for(sketches.count())
     flags = bit_set(sketches, filter_bits)
     widths = [r.width for r in sketches.select("width").distinct().collect()]  # 1 to WIDTH
-    schema = pa.schema([("doc_key", pa.binary()), ("width", pa.int32()), ("hash", pa.int64())])
+    kept = [c for c in rows.columns if only_hits or c != "doc_text"]
+    kind = pa.list_(pa.struct([("width", pa.int32()), ("hash", pa.int64())]))
     shift = np.uint64(64 - filter_bits)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in in_slices(batches):
-            keys, found_widths, found = [], [], []
-            for key, text in zip(batch["doc_key"], byte_texts(batch["doc_text"]), strict=True):
+            sizes, found_widths, found = [], [], []
+            for text in byte_texts(batch["doc_text"]):
                 words = hashes.of(plain_words(text))
+                count = 0
                 for width in widths:
                     runs = run_hashes(words, width)
                     place = runs >> shift
                     runs = np.unique(runs[(flags[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) > 0])
-                    keys += [key.as_py()] * len(runs)
-                    found_widths += [width] * len(runs)
+                    found_widths.append(np.full(len(runs), width, np.int32))
                     found.append(runs)
-            yield record(schema, keys, found_widths, pa.array(np.concatenate(found or [np.empty(0, np.uint64)]).view(np.int64)))
-
-    hits = docs.select("doc_key", "doc_text").mapInArrow(of, "doc_key binary, width int, hash bigint")
+                    count += len(runs)
+                sizes.append(count)
+            struct = pa.StructArray.from_arrays(
+                [
+                    pa.array(np.concatenate(found_widths or [np.empty(0, np.int32)])),
+                    pa.array(np.concatenate(found or [np.empty(0, np.uint64)]).view(np.int64)),
+                ],
+                ["width", "hash"],
+            )
+            hits = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), struct).cast(kind)
+            out = pa.RecordBatch.from_arrays([*(batch[c] for c in kept), hits], [*kept, "hits"])
+            yield out.filter(pa.array(np.array(sizes) > 0)) if only_hits else out
+
+    schema = StructType([*(rows.schema[c] for c in kept), _HITS])
+    return lineage_cut(rows.mapInArrow(of, schema))
+
+
+def candidates(hit: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``doc_key, item_key`` of every document (doc_key, hits) that has a shingle of an item's sketch."""
+    hits = hit.select("doc_key", F.explode("hits").alias("hit")).select("doc_key", "hit.*")
     return hits.join(sketches, ["width", "hash"]).select("doc_key", "item_key").distinct()
 
 
@@ -138,14 +167,16 @@ def verified(pairs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
     return ordered.mapInArrow(of, "doc_key binary, doc_id bigint, item_id bigint, n bigint, matched bigint")
 
 
-def _found(docs: DataFrame, benchmark: DataFrame, columns: tuple, width: int, threshold: float, bits: int) -> DataFrame:
-    share = Fraction(str(threshold))
-    id_column, text_column, item_column, item_text = columns
-    rows = _keyed(docs, id_column, text_column, "doc")
+def _items(benchmark: DataFrame, item_column: str, item_text: str, width: int, share: Fraction) -> tuple[DataFrame, DataFrame]:
+    """Every different item, and the sketches of all."""
     items = lineage_cut(_keyed(benchmark, item_column, item_text, "item").dropDuplicates(["item_key"]))
-    sketches = lineage_cut(item_sketches(items, width, share))
-    pairs = lineage_cut(candidates(rows, sketches, bits))
-    return verified(pairs.join(items, "item_key").join(rows, "doc_key"), width, share)
+    return items, lineage_cut(item_sketches(items, width, share))
+
+
+def _holding(hit: DataFrame, items: DataFrame, sketches: DataFrame, width: int, share: Fraction) -> DataFrame:
+    """The documents and items that hold, of documents with hits (doc_key, doc_id, doc_text, hits)."""
+    pairs = lineage_cut(candidates(hit, sketches))
+    return verified(pairs.join(items, "item_key").join(hit.drop("hits"), "doc_key"), width, share)
 
 
 def contained_items(
@@ -157,11 +188,13 @@ def contained_items(
     item_text: str = "text",
     width: int = WIDTH,
     threshold: float = THRESHOLD,
-    filter_bits: int = FILTER_BITS,
+    filter_bits: int | None = None,
 ) -> DataFrame:
     """``doc_id, item_id, item_shingles, matched, containment`` for every document and item that it holds."""
-    columns = (id_column, text_column, item_column, item_text)
-    return _found(docs, benchmark, columns, width, threshold, filter_bits).select(
+    share = Fraction(str(threshold))
+    items, sketches = _items(benchmark, item_column, item_text, width, share)
+    hit = marked(_keyed(docs, id_column, text_column, "doc"), sketches, filter_bits, only_hits=True)
+    return _holding(hit, items, sketches, width, share).select(
         "doc_id",
         "item_id",
         F.col("n").alias("item_shingles"),
@@ -179,10 +212,21 @@ def without_leaks(
     item_text: str = "text",
     width: int = WIDTH,
     threshold: float = THRESHOLD,
-    filter_bits: int = FILTER_BITS,
+    filter_bits: int | None = None,
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no item."""
-    columns = (id_column, text_column, item_column, item_text)
-    leaks = lineage_cut(_found(docs, benchmark, columns, width, threshold, filter_bits).select("doc_key").distinct())
-    keyed = packed(docs).withColumn("doc_key", row_key(field(id_column), field(text_column)))
-    return unpacked(keyed.join(leaks, "doc_key", "left_anti").select(ROW))
+    share = Fraction(str(threshold))
+    items, sketches = _items(benchmark, item_column, item_text, width, share)
+    rows = packed(docs).withColumn("doc_text", field(text_column).cast("string").cast("binary"))
+    told = marked(rows, sketches, filter_bits, only_hits=False)
+    # without a hit a document holds nothing, and is not moved
+    clean = told.filter(F.size("hits") == 0).select(ROW)
+    suspects = told.filter(F.size("hits") > 0).withColumn("doc_key", row_key(field(id_column), field(text_column)))
+    hit = suspects.select(
+        "doc_key",
+        field(id_column).cast("bigint").alias("doc_id"),
+        field(text_column).cast("string").cast("binary").alias("doc_text"),
+        "hits",
+    )
+    leaks = lineage_cut(_holding(hit, items, sketches, width, share).select("doc_key").distinct())
+    return unpacked(clean.unionByName(suspects.join(leaks, "doc_key", "left_anti").select(ROW)))
