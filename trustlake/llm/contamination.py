@@ -19,7 +19,7 @@ Other columns are ignored by ``contained_items`` and kept by ``without_leaks``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 from math import floor
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from trustlake.llm.frames import ROW, byte_texts, field, in_slices, packed, record, row_key, unpacked
+from trustlake.llm.frames import ROW, byte_texts, field, in_slices, packed_with_text, record, row_key, row_texts, unpacked
 from trustlake.llm.words import WordHashes, plain_words, run_hashes
 from trustlake.session import lineage_cut
 
@@ -87,16 +87,18 @@ def bit_set(hashes: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def marked(rows: DataFrame, sketches: DataFrame, filter_bits: int | None, only_hits: bool) -> DataFrame:
-    """``rows`` with ``hits`` (width and hash), the shingles of ``doc_text`` that may be in an item's sketch; stored.
+def marked(rows: DataFrame, sketches: DataFrame, filter_bits: int | None, texts: Callable) -> DataFrame:
+    """``rows`` with ``hits`` (width and hash), the shingles of a row's text that may be in an item's sketch; stored.
 
-    With ``only_hits`` rows without any are left out, else ``doc_text`` is. The rows stay where they are: the bit set comes to them.
+    ``texts`` gives the texts of a batch. Single columns (``doc_key, doc_id, doc_text``) are kept of rows with hits only, packed
+    rows all. The rows stay where they are: the bit set comes to them.
     """
     if filter_bits is None:
         filter_bits = bits_for(sketches.count())
     flags = bit_set(sketches, filter_bits)
     widths = [r.width for r in sketches.select("width").distinct().collect()]  # 1 to WIDTH
-    kept = [c for c in rows.columns if only_hits or c != "doc_text"]
+    only_hits = ROW not in rows.columns
+    kept = [c for c in rows.columns if c != "text"]
     kind = pa.list_(pa.struct([("width", pa.int32()), ("hash", pa.int64())]))
     shift = np.uint64(64 - filter_bits)
 
@@ -104,7 +106,7 @@ def marked(rows: DataFrame, sketches: DataFrame, filter_bits: int | None, only_h
         hashes = WordHashes()
         for batch in in_slices(batches):
             sizes, found_widths, found = [], [], []
-            for text in byte_texts(batch["doc_text"]):
+            for text in texts(batch):
                 words = hashes.of(plain_words(text))
                 count = 0
                 for width in widths:
@@ -193,7 +195,7 @@ def contained_items(
     """``doc_id, item_id, item_shingles, matched, containment`` for every document and item that it holds."""
     share = Fraction(str(threshold))
     items, sketches = _items(benchmark, item_column, item_text, width, share)
-    hit = marked(_keyed(docs, id_column, text_column, "doc"), sketches, filter_bits, only_hits=True)
+    hit = marked(_keyed(docs, id_column, text_column, "doc"), sketches, filter_bits, lambda batch: byte_texts(batch["doc_text"]))
     return _holding(hit, items, sketches, width, share).select(
         "doc_id",
         "item_id",
@@ -217,8 +219,7 @@ def without_leaks(
     """The rows of ``docs``, with all their columns, that hold no item."""
     share = Fraction(str(threshold))
     items, sketches = _items(benchmark, item_column, item_text, width, share)
-    rows = packed(docs).withColumn("doc_text", field(text_column).cast("string").cast("binary"))
-    told = marked(rows, sketches, filter_bits, only_hits=False)
+    told = marked(packed_with_text(docs, text_column), sketches, filter_bits, lambda batch: row_texts(batch, text_column))
     # without a hit a document holds nothing, and is not moved
     clean = told.filter(F.size("hits") == 0).select(ROW)
     suspects = told.filter(F.size("hits") > 0).withColumn("doc_key", row_key(field(id_column), field(text_column)))

@@ -26,6 +26,20 @@ def field(name: str) -> Column:
     return F.col(ROW)[name]
 
 
+def packed_with_text(docs: DataFrame, text_column: str) -> DataFrame:
+    """``packed`` rows for ``row_texts``: a text column that is a string goes to the workers within its row only."""
+    rows = packed(docs)
+    if docs.schema[text_column].dataType.typeName() == "string":
+        return rows
+    return rows.withColumn("text", field(text_column).cast("string"))
+
+
+def row_texts(batch: pa.RecordBatch, text_column: str) -> Iterator[bytes]:
+    """The texts of a batch of ``packed_with_text``, null as empty, one at a time."""
+    texts = batch["text"] if "text" in batch.schema.names else batch[ROW].field(text_column)
+    return byte_texts(texts.cast(pa.binary()))
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 

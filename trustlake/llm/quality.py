@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trustlake.llm.frames import ROW, byte_texts, field, in_slices, packed, record, row_key, unpacked
+from trustlake.llm.frames import ROW, byte_texts, in_slices, packed, packed_with_text, record, row_key, row_texts, unpacked
 from trustlake.llm.words import CACHE_BYTES, CACHE_ENTRIES, WordHashes, mixed
 from trustlake.session import lineage_cut
 
@@ -232,12 +232,10 @@ def good_documents(
     if weights is None:
         return docs
     # a row's own score decides: whole rows go through the scoring batch, and nothing is moved
-    rows = packed(docs).withColumn("text", field(text_column).cast("string").cast("binary"))
-
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in in_slices(batches):
-            accepted = [score_text(weights, features.of(text)) >= accept for text in byte_texts(batch["text"])]
+            accepted = [score_text(weights, features.of(text)) >= accept for text in row_texts(batch, text_column)]
             yield batch.select([ROW]).filter(pa.array(accepted))
 
-    return unpacked(rows.mapInArrow(of, packed(docs).schema))
+    return unpacked(packed_with_text(docs, text_column).mapInArrow(of, packed(docs).schema))
