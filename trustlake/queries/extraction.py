@@ -31,6 +31,7 @@ from trustlake.operators.extraction import (
     triage,
     with_keyword_fields,
 )
+from trustlake.operators.keyword_join import with_first_label
 from trustlake.operators.rules import member_of
 from trustlake.operators.scoring import score_batch
 from trustlake.queries.bindings import hit_sql, table
@@ -99,6 +100,23 @@ def x3_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found(spark, sf_dir).select("doc_id", "injury_mentioned", "third_party_involved")
 
 
+@query(
+    "x1_keyword_table",
+    """WITH words AS (
+      SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS word FROM benchmark),
+    texts AS (SELECT doc_id, lower(text) AS t FROM documents),
+    hits AS (SELECT doc_id, first(word ORDER BY -length(word), word) AS label FROM texts, words
+             WHERE length(word) > 4 AND contains(t, word) GROUP BY doc_id)
+    SELECT doc_id, coalesce(label, 'other') AS label FROM documents LEFT JOIN hits USING (doc_id)""",
+)
+def x1_keyword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest word of the benchmark that occurs anywhere in a document: keywords that are a table."""
+    word = F.explode(F.split(F.lower("text"), " ")).alias("word")
+    words = table(spark, sf_dir, "benchmark").select(word).filter("length(word) > 4")
+    ranked = words.select("word", F.col("word").alias("label"), (-F.length("word")).alias("rank"))
+    return with_first_label(table(spark, sf_dir, "documents"), ranked).select("doc_id", "label")
+
+
 @query("x4_summary", f"WITH {READ} SELECT doc_id, summary FROM found")
 def x4_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", first_sentence(F.col("text")).alias("summary"))

@@ -11,6 +11,7 @@ from trustlake.functions.measures import days_between
 from trustlake.operators import gold
 from trustlake.operators.dedupe import COPIES, dedupe
 from trustlake.operators.defects import inject_duplicates
+from trustlake.operators.digest_tree import reconcile_by_digest
 from trustlake.operators.relate import conservation, mark_existing, orphans, reconcile
 from trustlake.operators.rules import (
     CLAIM_RULES,
@@ -290,27 +291,35 @@ def changed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "j5_reconcile",
-    f"""WITH pairs AS (
-      SELECT a.o_orderkey IS NOT NULL AND NOT {hit_sql("lost", 0.01, "a.o_orderkey")} AS in_both,
-             {hit_sql("price", 0.02, "a.o_orderkey")} AS price_differs,
-             {hit_sql("status", 0.03, "a.o_orderkey")} AND o_orderpriority IS NOT NULL AS priority_differs
-      FROM orders a),
-    counts AS (SELECT count(*) FILTER (WHERE in_both) AS compared, count(*) FILTER (WHERE NOT in_both) AS only_left,
-               count(*) FILTER (WHERE in_both AND price_differs) AS price,
-               count(*) FILTER (WHERE in_both AND priority_differs) AS priority,
-               (SELECT count(*) FROM orders WHERE {hit_sql("42|d6", 0.01, "o_orderkey")}) AS copies FROM pairs)
-    SELECT 'o_totalprice' AS "column", price AS mismatches, compared, only_left, CAST(0 AS BIGINT) AS only_right,
-           copies AS copies_left, CAST(0 AS BIGINT) AS copies_right FROM counts
-    UNION ALL SELECT 'o_orderpriority', priority, compared, only_left, 0, copies, 0 FROM counts
-    UNION ALL SELECT 'o_custkey', 0, compared, only_left, 0, copies, 0 FROM counts""",
-)
+RECONCILED = f"""WITH pairs AS (
+    SELECT a.o_orderkey IS NOT NULL AND NOT {hit_sql("lost", 0.01, "a.o_orderkey")} AS in_both,
+           {hit_sql("price", 0.02, "a.o_orderkey")} AS price_differs,
+           {hit_sql("status", 0.03, "a.o_orderkey")} AND o_orderpriority IS NOT NULL AS priority_differs
+    FROM orders a),
+  counts AS (SELECT count(*) FILTER (WHERE in_both) AS compared, count(*) FILTER (WHERE NOT in_both) AS only_left,
+             count(*) FILTER (WHERE in_both AND price_differs) AS price,
+             count(*) FILTER (WHERE in_both AND priority_differs) AS priority,
+             (SELECT count(*) FROM orders WHERE {hit_sql("42|d6", 0.01, "o_orderkey")}) AS copies FROM pairs)
+  SELECT 'o_totalprice' AS "column", price AS mismatches, compared, only_left, CAST(0 AS BIGINT) AS only_right,
+         copies AS copies_left, CAST(0 AS BIGINT) AS copies_right FROM counts
+  UNION ALL SELECT 'o_orderpriority', priority, compared, only_left, 0, copies, 0 FROM counts
+  UNION ALL SELECT 'o_custkey', 0, compared, only_left, 0, copies, 0 FROM counts"""
+
+
+@query("j5_reconcile", RECONCILED)
 def j5_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, right = inject_duplicates(table(spark, sf_dir, "orders"), "o_orderkey"), changed_orders(spark, sf_dir)
     return reconcile(left, right, ["o_orderkey"], ["o_totalprice", "o_orderpriority", "o_custkey"])
 
 
+@query("j5_digest_tree", RECONCILED)
+def j5_digest_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same comparison by digests; the changed table's keys are unique."""
+    left, right = inject_duplicates(table(spark, sf_dir, "orders"), "o_orderkey"), changed_orders(spark, sf_dir)
+    columns = ["o_totalprice", "o_orderpriority", "o_custkey"]
+    return reconcile_by_digest(left, right, ["o_orderkey"], columns, unique=True)
+
+
 @query(
     "j6_orphans",
     f"""WITH {CHECKED_POLICIES}, {CLEAN_CLAIMS} SELECT claim_id, policy_id FROM claims_all
