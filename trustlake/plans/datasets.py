@@ -33,6 +33,8 @@ class Dataset:
     order: tuple[str, ...] = ()
     references: tuple[Reference, ...] = ()
     gated: bool = False
+    #: the date by whose month an incremental run files the rows
+    day: str | None = None
 
     @property
     def raw_columns(self) -> list[str]:
@@ -48,14 +50,22 @@ def rules_of(spec: Dataset, bronze: DataFrame) -> tuple[Rule, ...]:
     return (READABLE, *spec.rules) if MALFORMED in bronze.columns else spec.rules
 
 
-def check(spec: Dataset, bronze: DataFrame, known: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Typed, one row per key, every row with its broken rules and the number of raw rows it stands for."""
+def typed(spec: Dataset, bronze: DataFrame) -> DataFrame:
+    """The dataset's columns, cleaned and cast; rows that could not be read keep their text."""
     unread = [F.col(MALFORMED)] if MALFORMED in bronze.columns else []
-    typed = bronze.select(*(c.column() for c in spec.columns), *unread)
-    rows = dedupe(typed, spec.key, spec.order, copies=COPIES)
+    return bronze.select(*(c.column() for c in spec.columns), *unread)
+
+
+def judge(spec: Dataset, rows: DataFrame, known: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Rows, one per key already, with the names of the rules they break."""
     for reference in spec.references:
         rows = mark_existing(rows, known[reference.dataset], reference.on, reference.flag)
-    return apply_rules(rows, rules_of(spec, bronze)).drop(*(r.flag for r in spec.references))
+    return apply_rules(rows, rules_of(spec, rows)).drop(*(r.flag for r in spec.references))
+
+
+def check(spec: Dataset, bronze: DataFrame, known: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Typed, one row per key, every row with its broken rules and the number of raw rows it stands for."""
+    return judge(spec, dedupe(typed(spec, bronze), spec.key, spec.order, copies=COPIES), known)
 
 
 POLICIES = Dataset(
@@ -71,6 +81,7 @@ POLICIES = Dataset(
     ),
     key=("policy_id",),
     rules=POLICY_RULES,
+    day="start_date",
 )
 
 CLAIMS = Dataset(
@@ -89,4 +100,5 @@ CLAIMS = Dataset(
     rules=(KEY_PRESENT, *CLAIM_RULES),
     references=(Reference("policies", "policy_id", "_policy_found"),),
     gated=True,
+    day="incident_date",
 )

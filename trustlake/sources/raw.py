@@ -119,7 +119,7 @@ def _records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_raw(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = False
+    spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None, multi_line: bool = False
 ) -> DataFrame:
     """Every column as text, nothing inferred; quotes inside a field are doubled.
 
