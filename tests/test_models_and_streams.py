@@ -2,6 +2,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ from trustlake.plans.training import run_all, train_and_register
 from trustlake.sources.logs import append_log, extraction_log, prediction_log
 from trustlake.sources.registry import ModelRegistry, champion, parse_uri
 from trustlake.sources.storage import Snapshots
-from trustlake.streaming.jobs import read_checked, read_scored, stream_quality, stream_score
+from trustlake.streaming.jobs import read_checked, read_report, read_scored, stream_quality, stream_score
 
 QUICK = {"logistic_regression": {"max_iter": 30}, "gradient_boosting": {"max_iter": 5}}
 REGIONS = ("North", "South")
@@ -444,3 +445,37 @@ def test_run_all_stops_at_the_gate_and_otherwise_registers(spark, small, tmp_pat
     outcome, best, version = run_all(spark, lake, feeds, store, limit=0.05, params=QUICK)
     assert outcome.ledgers["claims"].valid_rows > 0
     assert (store.load("claim-review").model_type, version) == (best, 1)
+
+
+def test_stream_ledger_and_gate(spark, tmp_path):
+    """Ledgers of micro-batches add up to the batch report; a batch over the limit is reported but not written."""
+    arriving, target, offsets, report = (str(tmp_path / n) for n in ("in", "out", "offsets", "report"))
+    ddl = "event_id long, ts timestamp_ntz, value double"
+
+    def arrive(limit, *rows):
+        if rows:
+            values = ", ".join(f"({i}L, TIMESTAMP_NTZ'2024-01-05 10:00:00', {v}D)" for i, v in rows)
+            spark.sql(f"SELECT * FROM VALUES {values} AS t(event_id, ts, value)").coalesce(1).write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(ddl).parquet(arriving)
+        query = stream_quality(stream, RULES, ["event_id"], "ts", target, offsets, report=report, limit=limit)
+        query.awaitTermination()
+
+    def reported():
+        columns = ("dataset", "rule", "failed_rows", "total_rows", "quarantined_rows", "duplicates_removed", "quarantine_rate")
+        return {r["rule"]: tuple(r)[2:] for r in read_report(spark, report).select(*columns).collect()}
+
+    arrive(0.5, (1, 1), (2, -1), (2, -1))
+    # a copy of a stored event
+    arrive(0.5, (3, 1), (1, 1))
+    assert set(reported().values()) == {(1, 3, 1, 2, 0.3333), (0, 3, 1, 2, 0.3333)}
+    before = sorted(r["event_id"] for r in read_checked(spark, target)[0].collect())
+    with pytest.raises(StreamingQueryException, match="Quality gate failed for events: 2 of 3"):
+        arrive(0.5, (4, -1), (5, -1), (6, 1))
+    assert sorted(r["event_id"] for r in read_checked(spark, target)[0].collect()) == before == [1, 3]
+    assert {v[1] for v in reported().values()} == {6}
+    # the same micro-batch again, under a looser limit: counted once
+    arrive(1.0)
+    assert sorted(r["event_id"] for r in read_checked(spark, target)[0].collect()) == [1, 3, 6]
+    assert {v[1:4] for v in reported().values()} == {(6, 3, 2)}
+    with pytest.raises(ValueError, match="needs a folder"):
+        stream_quality(spark.readStream.schema(ddl).parquet(arriving), RULES, ["event_id"], "ts", target, offsets, limit=0.5)

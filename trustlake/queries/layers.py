@@ -43,7 +43,7 @@ from trustlake.queries.quality import CLAIM_SELECT, LINE_RULES, LINES, MONTHLY_S
 from trustlake.session import work_dir
 from trustlake.sources.raw import MALFORMED, SOURCE_FILE, read_raw, with_lineage, write_raw
 from trustlake.sources.storage import Snapshots, Storage, create_namespace, list_tables
-from trustlake.streaming.jobs import read_checked, stream_quality
+from trustlake.streaming.jobs import read_checked, read_report, stream_quality
 
 LOOSE_LIMIT = 0.35
 
@@ -404,3 +404,27 @@ def r2_stream_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, bad = read_checked(spark, target)
     columns = ("event_id", "user_id", "value", "event_type")
     return good.select(*columns, F.lit("").alias("failed_rules")).unionByName(bad.select(*columns, reasons()))
+
+
+@query(
+    "g2_stream_ledger",
+    f"""WITH checked AS ({EVENTS_SQL}),
+    totals AS (SELECT count(*) AS n, count(*) FILTER (WHERE failed_rules <> '') AS bad FROM checked),
+    copies AS (SELECT count(*) AS c FROM events WHERE {hit_sql("copy", 0.05, "event_id")}),
+    counted AS ({" UNION ALL ".join(
+        f"SELECT '{r.name}' AS rule, count(*) FILTER (WHERE list_contains(string_split(failed_rules, ','), '{r.name}')) "
+        "AS failed_rows FROM checked" for r in EVENT_RULES)})
+    SELECT 'events' AS dataset, rule, failed_rows, n AS total_rows, n - bad AS valid_rows, bad AS quarantined_rows,
+      c AS duplicates_removed, {half_up("bad", "n", 4)} AS quarantine_rate FROM counted, totals, copies""",
+)
+def g2_stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a gated stream, summed over its micro-batches, is that of one batch."""
+    events = inject(table(spark, sf_dir, "events"), event_defects(), "event_id")
+    arriving, report = work_dir(spark, "events"), work_dir(spark, "ledgers")
+    events.unionByName(events.filter(chosen("copy", 0.05, "event_id"))).repartition(4).write.parquet(arriving)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    stream_quality(
+        stream, EVENT_RULES, ["event_id"], "ts", work_dir(spark, "checked"), work_dir(spark, "offsets"),
+        report=report, limit=LOOSE_LIMIT,
+    ).awaitTermination()
+    return read_report(spark, report)

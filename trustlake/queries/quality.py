@@ -12,6 +12,7 @@ from trustlake.operators import gold
 from trustlake.operators.dedupe import COPIES, dedupe
 from trustlake.operators.defects import inject_duplicates
 from trustlake.operators.digest_tree import reconcile_by_digest
+from trustlake.operators.kept_rollup import KeptMonthly, applied, superseding
 from trustlake.operators.relate import conservation, mark_existing, orphans, reconcile
 from trustlake.operators.rules import (
     CLAIM_RULES,
@@ -27,6 +28,7 @@ from trustlake.operators.rules import (
 )
 from trustlake.operators.scoring import normalise_requests
 from trustlake.operators.selection import group_quantile
+from trustlake.operators.sketches import daily_sketches, over_days, sketched_distinct, sketched_quantiles
 from trustlake.plans.datasets import CLAIMS, POLICIES, check
 from trustlake.queries.bindings import (
     CHECKED_CLAIMS,
@@ -53,7 +55,7 @@ from trustlake.queries.bindings import (
     with_text_dates,
 )
 from trustlake.queries.catalogue import query
-from trustlake.session import lineage_cut
+from trustlake.session import lineage_cut, work_dir
 
 POLICY_COLUMNS = ("policy_id", "product", "region", "customer_age", "start_date", "end_date", "annual_premium")
 POLICY_DATES = ("start_date", "end_date")
@@ -378,6 +380,42 @@ def a2_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_text_dates(monthly(spark, sf_dir))
 
 
+@query("a2_kept_monthly", MONTHLY_SQL)
+def a2_kept_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table from the states of three runs: older versions of rows come first and are superseded, some policies come
+    after their claims."""
+    claims, policies = silver(spark, sf_dir)
+    old_claim, old_policy = chosen("old claim", 0.2, "claim_id"), chosen("old policy", 0.2, "policy_id")
+    earlier_claims = claims.withColumns(
+        {
+            "incident_date": F.when(old_claim, F.add_months("incident_date", -1)).otherwise(F.col("incident_date")),
+            "report_date": F.when(old_claim, F.date_sub("report_date", 1)).otherwise(F.col("report_date")),
+            "claim_amount": F.when(old_claim, F.col("claim_amount") + 1000).otherwise(F.col("claim_amount")),
+        }
+    )
+    earlier_policies = policies.withColumns(
+        {
+            "start_date": F.when(old_policy, F.date_sub("start_date", 1)).otherwise(F.col("start_date")),
+            "region": F.when(old_policy, F.lit("unassigned")).otherwise(F.col("region")),
+        }
+    )
+    late_claim, late_policy = chosen("late claim", 0.3, "claim_id"), chosen("late policy", 0.2, "policy_id")
+    runs = (
+        (earlier_claims.filter(~late_claim), earlier_policies.filter(~late_policy)),
+        (claims.filter(late_claim | old_claim), policies.limit(0)),
+        (claims.limit(0), policies.filter(late_policy | old_policy)),
+    )
+    kept = KeptMonthly(spark, work_dir(spark, "kept"))
+    kept_claims, kept_policies = claims.limit(0), policies.limit(0)
+    for number, (new_claims, new_policies) in enumerate(runs):
+        claim_changes = lineage_cut(superseding(kept_claims, new_claims, ["claim_id"], ["report_date"]))
+        policy_changes = lineage_cut(superseding(kept_policies, new_policies, ["policy_id"], ["start_date"]))
+        kept.add(str(number), kept_claims, claim_changes, kept_policies, policy_changes)
+        kept_claims = lineage_cut(applied(kept_claims, claim_changes, ["claim_id"]))
+        kept_policies = lineage_cut(applied(kept_policies, policy_changes, ["policy_id"]))
+    return with_text_dates(kept.monthly())
+
+
 @query(
     "a3_failures_by_rule",
     f"WITH {LINES} "
@@ -442,6 +480,43 @@ def a6_group_median_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medians.withColumn("price_median", F.round("price_median", 6))
 
 
+SKETCHED_DAYS = ("1993-03-10", "1996-08-20")
+SKETCHED_AT = (0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
+
+
+@query(
+    "a6_sketched_quantiles",
+    f"""SELECT o_orderpriority, probability, n_values, true AS rank_within, true AS idents_within
+    FROM (SELECT o_orderpriority, count(o_totalprice) AS n_values FROM orders
+          WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{SKETCHED_DAYS[0]}' AND DATE '{SKETCHED_DAYS[1]}'
+          GROUP BY o_orderpriority),
+         (SELECT CAST(unnest([{", ".join(map(str, SKETCHED_AT))}]) AS DOUBLE) AS probability)""",
+)
+def a6_sketched_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored daily sketches merged over a range; each quantile's exact rank among the range's rows is within 1 % of the asked
+    one, and each count of customers within 6 %."""
+    group, orders = ["o_orderpriority"], table(spark, sf_dir, "orders")
+    stored = lineage_cut(daily_sketches(orders, group, "o_orderdate", "o_totalprice", "o_custkey"))
+    states = lineage_cut(over_days(stored, group, *SKETCHED_DAYS))
+    days = orders.filter(F.to_date("o_orderdate").between(*(F.lit(d).cast("date") for d in SKETCHED_DAYS)))
+    exact = days.groupBy(*group).agg(F.countDistinct("o_custkey").alias("customers"))
+    found = lineage_cut(sketched_quantiles(states, group, SKETCHED_AT))
+    ranked = days.join(found, group).groupBy(*group, "probability").agg(
+        F.count_if(F.col("o_totalprice") < F.col("value")).alias("below"),
+        F.count_if(F.col("o_totalprice") <= F.col("value")).alias("reached"),
+    )
+    n, at = F.col("n_values"), F.col("probability")
+    # a value has all the ranks of its copies; one row is the finest step
+    close = (F.col("below") <= (at + 0.01) * n + 1) & (F.col("reached") >= (at - 0.01) * n - 1)
+    counted = F.abs(F.col("idents") - F.col("customers")) <= 0.06 * F.col("customers")
+    return (
+        ranked.join(states.select(*group, "n_values"), group)
+        .join(sketched_distinct(states, group), group)
+        .join(exact, group)
+        .select(*group, "probability", "n_values", close.alias("rank_within"), counted.alias("idents_within"))
+    )
+
+
 @query(
     "a7_rate_by_group",
     f"""WITH {RECORDS}, g AS (SELECT product, count(*) AS n, sum(is_fraud) AS frauds,

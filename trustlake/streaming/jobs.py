@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from trustlake.operators.bounded import few_rows
 from trustlake.operators.dedupe import dedupe
-from trustlake.operators.rules import FAILED, Rule, apply_rules
+from trustlake.operators.rules import FAILED, REPORT_SCHEMA, Ledger, Rule, apply_rules, gate, ledger_columns
 from trustlake.operators.scoring import Scorer, check_requests, score_checked
 from trustlake.sources.storage import BAD, GOOD, OUTCOME, outcome
 
@@ -66,6 +68,9 @@ def stream_quality(
     target: str,
     checkpoint: str,
     trigger: dict | None = None,
+    report: str | None = None,
+    dataset: str = "events",
+    limit: float | None = None,
 ) -> StreamingQuery:
     """Deduplicate, check and split a stream.
 
@@ -76,13 +81,20 @@ def stream_quality(
     Every micro-batch is written once, under its query and its own id, split by event day and outcome; a repeated batch
     overwrites itself, which makes the at-least-once callback an exactly-once table. One query at a time writes to a
     target.
+
+    ``report`` is a folder that receives the ledger of each micro-batch before its rows are written; ``read_report`` adds
+    them up. With ``limit`` a micro-batch of which a larger share breaks rules fails the query: its ledger stays, its rows
+    are not written, and the query starts with it again.
     """
+    if limit is not None and report is None:
+        raise ValueError("a limit needs a folder for the report")
     typed = events.withColumn(event_time, F.col(event_time).cast("timestamp"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         day = F.coalesce(F.to_date(event_time).cast("string"), F.lit(NO_DAY))
         query_id = _query_id(batch.sparkSession, checkpoint)
         arrived = batch.withColumn(DAY, day).persist()  # its days are asked for apart from its rows
+        split = None
         try:
             # copies have the same time, so the day is no part of the key
             rows = dedupe(arrived, key)
@@ -90,14 +102,42 @@ def stream_quality(
             if stored is not None:
                 rows = rows.join(stored, [*key, DAY], "left_anti")
             split = apply_rules(rows, rules).withColumn(OUTCOME, outcome())
-            split.write.mode("overwrite").partitionBy(DAY, OUTCOME).parquet(f"{target}/{_folder(batch, checkpoint, batch_id)}")
+            folder = _folder(batch, checkpoint, batch_id)
+            if report is not None:
+                split = split.persist()  # counted before it is written
+                ledger = _batch_ledger(split, arrived.count(), rules, dataset)
+                entries = few_rows(batch.sparkSession, ledger.rows(folder), REPORT_SCHEMA)
+                entries.write.mode("overwrite").parquet(f"{report}/{folder}")
+                if limit is not None:
+                    gate(ledger, limit)
+            split.write.mode("overwrite").partitionBy(DAY, OUTCOME).parquet(f"{target}/{folder}")
         finally:
+            if split is not None:
+                split.unpersist()
             arrived.unpersist()
 
     writer = typed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _batch_ledger(split: DataFrame, arrived: int, rules: Sequence[Rule], dataset: str) -> Ledger:
+    """Counts of a micro-batch; events that it repeats, or that are stored already, count as removed."""
+    ledger = Ledger.from_counts(dataset, split.agg(*ledger_columns(rules)).first().asDict(), rules)
+    return replace(ledger, duplicates_removed=arrived - ledger.total_rows)
+
+
+def read_report(spark: SparkSession, report: str) -> DataFrame:
+    """By dataset and rule, the sums of the ledgers of all micro-batches: the report of one batch over the same events."""
+    counts = ("failed_rows", "total_rows", "valid_rows", "quarantined_rows", "duplicates_removed")
+    ledgers = spark.read.schema(StructType.fromDDL(REPORT_SCHEMA)).parquet(report)
+    rate = F.round(F.try_divide(F.col("quarantined_rows"), F.col("total_rows")), 4)
+    return (
+        ledgers.groupBy("dataset", "rule")
+        .agg(*(F.sum(c).alias(c) for c in counts))
+        .withColumn("quarantine_rate", F.coalesce(rate, F.lit(0.0)))
+    )
+
+
 def _stored_keys(rows: DataFrame, key: Sequence[str], target: str, query_id: str, batch_id: int) -> DataFrame | None:
     """Keys and days that other batches have stored for exactly the days of this one, or None if nothing is stored."""
     spark = rows.sparkSession
