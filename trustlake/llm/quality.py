@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trustlake.llm.frames import ROW, byte_texts, in_slices, packed, packed_with_text, record, row_key, row_texts, unpacked
+from trustlake.llm.frames import byte_texts, in_slices, record, row_key
 from trustlake.llm.words import CACHE_BYTES, CACHE_ENTRIES, WordHashes, mixed
 from trustlake.session import lineage_cut
 
@@ -231,11 +231,11 @@ def good_documents(
     """The rows of ``docs``, with all their columns, that the classifier accepts."""
     if weights is None:
         return docs
-    # a row's own score decides: whole rows go through the scoring batch, and nothing is moved
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # a row's own score decides: only texts go to the workers, and nothing is moved
+    @F.arrow_udf("boolean")
+    def accepted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         features = Features()
-        for batch in in_slices(batches):
-            accepted = [score_text(weights, features.of(text)) >= accept for text in row_texts(batch, text_column)]
-            yield batch.select([ROW]).filter(pa.array(accepted))
+        for texts in batches:
+            yield pa.array([score_text(weights, features.of(text)) >= accept for text in byte_texts(texts)], pa.bool_())
 
-    return unpacked(packed_with_text(docs, text_column).mapInArrow(of, packed(docs).schema))
+    return docs.filter(accepted(F.col(text_column).cast("string").cast("binary")))
