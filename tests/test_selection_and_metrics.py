@@ -176,3 +176,16 @@ def test_evaluate_and_threshold(spark):
     assert frame.filter(F.col("s") >= threshold).count() == pytest.approx(100, abs=1)
     row = evaluate(frame, "s", "y", threshold).first()
     assert (row.flagged_rate, row.recall, row.precision, row.accuracy_if_never_fraud) == (0.1, 0.1, 0.01, 0.99)
+
+
+def test_a_split_does_not_deal_rows_by_label(spark):
+    """With two labels, most rows would meet in one task."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    try:
+        rows = spark.range(3000).select("id", (F.col("id") % 10 == 0).cast("int").alias("label"))
+        split = stratified_split(rows, "label", "id")
+        assert "BroadcastHashJoin" in plan_of(split) and "SortMergeJoin" not in plan_of(split)
+        assert sorted(map(tuple, split.filter("is_test").groupBy("label").count().collect())) == [(0, 540), (1, 60)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
