@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 from trustlake.operators.dedupe import dedupe
-from trustlake.operators.relate import conservation, mark_existing, orphans, reconcile
+from trustlake.operators.relate import conservation, joined_by_key, mark_existing, orphans, reconcile
 from trustlake.operators.rules import Rule, apply_rules
 
 
@@ -109,3 +109,11 @@ def test_a_hot_key_is_split_in_the_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_parts_of_a_join_do_not_grow(spark):
+    left = spark.range(300).select((F.col("id") % 100).alias("k"), "id").union(spark.createDataFrame([(None, 1)], "k long, id long"))
+    right = spark.range(50).selectExpr("id AS j")
+    joined = joined_by_key(left, "k", right, "j", task_rows=10)
+    assert "hashpartitioning(k#" in plan_of(joined) and ", 36), REPARTITION_BY_NUM" in plan_of(joined)
+    assert sorted(r["id"] for r in joined.collect()) == sorted(i for i in range(300) if i % 100 < 50)
