@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trustlake.functions.keywords import CLAIM_WORDS, first_label
+from trustlake.operators import keyword_join
 from trustlake.operators.keyword_join import GROUP, keyword_index, with_first_label
 
 WORDS = "word string, label string, rank int"
@@ -66,3 +67,12 @@ def test_a_long_text_and_many_words(spark):
     text = "lorem ipsum " * 100_000 + "w19999 w12345"
     found = with_first_label(spark.createDataFrame([(1, text)], "id int, text string"), words)
     assert labels(found) == {1: "12345"}
+
+
+def test_candidates_of_a_text_come_in_chunks(spark, monkeypatch):
+    """However many words may be in a text, they do not meet it in one row; the first in order is found in any chunk."""
+    monkeypatch.setattr(keyword_join, "CHUNK", 3)
+    words = [(f"word{n}", None if n == 7 else f"label{n}", 9 - n) for n in range(10)]
+    texts = [(n, f"a word{n} and a word0") for n in range(10)] + [(10, "wor d")]
+    found = labels(with_first_label(spark.createDataFrame(texts, "id int, text string"), spark.createDataFrame(words, WORDS)))
+    assert found == {n: None if n == 7 else f"label{n}" for n in range(10)} | {10: "other"}

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trustlake.operators.selection import prefix_sums
 from trustlake.session import lineage_cut
 
 #: Letters of a group; shorter words are looked up by groups of their own length.
 GROUP = 4
 KEY = "_text_key"
+#: Words that may be in a text and meet it in one row.
+CHUNK = 4096
 
 
 def groups_of(text: Column, size: int) -> Column:
@@ -33,6 +36,29 @@ def keyword_index(words: DataFrame) -> DataFrame:
     return spread.join(rarest, "word").filter("group = _rare.group").select("group", "size", "word", "label", "rank")
 
 
+def _first_of(texts: DataFrame, index: DataFrame, found: Column) -> DataFrame:
+    """(key, _first): rank and label of the first word that is in the text.
+
+    The words are numbered by rank and label. The candidates of a text meet it as arrays of at most ``CHUNK``, and are searched
+    in order until the first one that is in it.
+    """
+    order = F.struct("rank", F.col("label").isNotNull().alias("known"), "label", "word").alias("order")
+    numbered = prefix_sums(index.select("group", order, F.lit(1).cast("bigint").alias("one")), [], "order", ["one"])
+    places = lineage_cut(numbered.select("group", "order.word", "order.label", "order.rank", F.col("one_before").alias("place")))
+    groups = texts.select(KEY, F.explode(found).alias("group"))
+    maybe = groups.join(places.select("group", F.struct("place", "word").alias("candidate")), "group")
+    chunk = F.floor(F.col("candidate.place") / F.lit(CHUNK)).alias("_chunk")
+    chunks = maybe.groupBy(KEY, chunk).agg(F.sort_array(F.collect_list("candidate")).alias("_candidates"))
+    hit = F.aggregate(
+        "_candidates",
+        F.lit(None).cast("bigint"),
+        lambda seen, c: F.when(seen.isNotNull(), seen).when(F.contains(F.col("_text"), c["word"]), c["place"]),
+    )
+    best = chunks.join(texts, KEY).select(KEY, hit.alias("place")).groupBy(KEY).agg(F.min("place").alias("place"))
+    named = places.select("place", F.struct("rank", F.col("label").alias("_found")).alias("_first"))
+    return best.join(named, "place").select(KEY, "_first")
+
+
 def with_first_label(
     df: DataFrame, words: DataFrame, text: str = "text", label: str = "label", default: str = "other"
 ) -> DataFrame:
@@ -40,7 +66,8 @@ def with_first_label(
 
     Same answer as ``functions.keywords.first_label`` with the table's words in order of rank, whatever the number of words:
     each text looks up its own groups of letters, only words with such a group are searched in it, and the search decides.
-    Equal texts are read once. Of a text only its distinct groups travel, and itself once, to the words that may be in it.
+    Equal texts are read once. Of a text only its distinct groups travel, and itself once to every ``CHUNK`` words that may be
+    in it; they are searched in order, up to the first one found.
 
     Missing and empty texts have the default, like texts without any word. Rows keep all their columns; one already called
     like the new one is replaced.
@@ -55,10 +82,7 @@ def with_first_label(
     if not sizes:
         return keyed.drop(KEY).withColumn(label, F.lit(default))
     found = F.flatten(F.array(*(groups_of(F.col("_text"), n) for n in sorted(sizes))))
-    groups = texts.select(KEY, F.explode(found).alias("group"))
-    maybe = groups.join(index, "group").select(KEY, "word", "label", "rank")
-    verified = maybe.join(texts, KEY).filter(F.contains("_text", F.col("word")))
-    first = lineage_cut(verified.groupBy(KEY).agg(F.min(F.struct("rank", F.col("label").alias("_found"))).alias("_first")))
+    first = lineage_cut(_first_of(texts, index, found))
     labelled = keyed.join(first.select(KEY, F.struct("_first._found").alias("_first")), KEY, "left")
     answer = F.when(F.col("_first").isNotNull(), F.col("_first._found")).otherwise(F.lit(default))
     return labelled.select(*(F.col(c) for c in keyed.columns if c != KEY), answer.alias(label))
