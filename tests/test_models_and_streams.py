@@ -32,6 +32,7 @@ from trustlake.plans.training import run_all, train_and_register
 from trustlake.sources.logs import append_log, extraction_log, prediction_log
 from trustlake.sources.registry import ModelRegistry, champion, parse_uri
 from trustlake.sources.storage import Snapshots
+from trustlake.streaming import jobs
 from trustlake.streaming.jobs import read_checked, read_report, read_scored, stream_quality, stream_score
 
 QUICK = {"logistic_regression": {"max_iter": 30}, "gradient_boosting": {"max_iter": 5}}
@@ -479,3 +480,31 @@ def test_stream_ledger_and_gate(spark, tmp_path):
     assert {v[1:4] for v in reported().values()} == {(6, 3, 2)}
     with pytest.raises(ValueError, match="needs a folder"):
         stream_quality(spark.readStream.schema(ddl).parquet(arriving), RULES, ["event_id"], "ts", target, offsets, limit=0.5)
+
+
+def test_a_micro_batch_writes_few_files_a_day(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "FILE_ROWS", 100)
+    hour = F.timestamp_seconds(F.lit(1704067200) + F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 3 * 86400))
+    events = spark.range(600).select(F.col("id").alias("event_id"), hour.alias("ts"), F.lit(1.0).alias("value"))
+    arriving, target, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
+    events.coalesce(1).write.parquet(arriving)
+    stream_quality(spark.readStream.schema(events.schema).parquet(arriving), RULES, ["event_id"], "ts", target, offsets).awaitTermination()
+    files = spark.read.parquet(target).select(F.input_file_name().alias("file"), jobs.DAY, "event_id")
+    by_day = files.groupBy(jobs.DAY).agg(F.count_distinct("file").alias("n"), F.count_distinct("event_id").alias("rows"))
+    found = sorted((r["n"], r["rows"]) for r in by_day.collect())
+    # the small days in one file each, the large one in several
+    assert [n for n, _ in found[:2]] == [1, 1] and 2 <= found[-1][0] <= 5
+    assert sum(rows for _, rows in found) == 600 and found[-1][1] > 400
+
+
+def test_requests_are_read_once(spark, data, scorer, tmp_path):
+    wanted, seen = requests_of(data[0]), spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    rows = wanted.count()
+    served = serve_batch(spark, wanted.mapInPandas(counted, wanted.schema), scorer, str(tmp_path / "once"))
+    assert served.scored_rows + served.rejected_rows == rows == seen.value

@@ -16,11 +16,14 @@ from trustlake.operators.bounded import few_rows
 from trustlake.operators.dedupe import dedupe
 from trustlake.operators.rules import FAILED, REPORT_SCHEMA, Ledger, Rule, apply_rules, gate, ledger_columns
 from trustlake.operators.scoring import Scorer, check_requests, score_checked
+from trustlake.session import lineage_cut
 from trustlake.sources.storage import BAD, GOOD, OUTCOME, outcome
 
 QUERY, BATCH, DAY = "query_id", "batch_id", "event_day"
 NO_DAY = "unknown"
 SCORES, REJECTED = "scores", "rejected"
+#: Rows of a day that one task of the quality stream writes.
+FILE_ROWS = 250_000
 
 
 def _query_id(spark: SparkSession, checkpoint: str) -> str:
@@ -110,7 +113,8 @@ def stream_quality(
                 entries.write.mode("overwrite").parquet(f"{report}/{folder}")
                 if limit is not None:
                     gate(ledger, limit)
-            split.write.mode("overwrite").partitionBy(DAY, OUTCOME).parquet(f"{target}/{folder}")
+            by_day = _dealt_by_day(split, [*key, event_time])
+            by_day.write.mode("overwrite").partitionBy(DAY, OUTCOME).parquet(f"{target}/{folder}")
         finally:
             if split is not None:
                 split.unpersist()
@@ -120,6 +124,14 @@ def stream_quality(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _dealt_by_day(split: DataFrame, spread: Sequence[str]) -> DataFrame:
+    """Rows dealt by day, large days in parts of about ``FILE_ROWS`` rows: else every task writes a file for every day, and
+    every later micro-batch reads them all."""
+    parts = F.ceil(F.count(F.lit(1)) / F.lit(FILE_ROWS)).alias("_parts")
+    days = lineage_cut(split.groupBy(DAY).agg(parts))  # stored, so that the join knows how small they are
+    return split.join(days, DAY).repartition(DAY, F.pmod(F.xxhash64(*spread), F.col("_parts"))).drop("_parts").select(*split.columns)
+
+
 def _batch_ledger(split: DataFrame, arrived: int, rules: Sequence[Rule], dataset: str) -> Ledger:
     """Counts of a micro-batch; events that it repeats, or that are stored already, count as removed."""
     ledger = Ledger.from_counts(dataset, split.agg(*ledger_columns(rules)).first().asDict(), rules)
