@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import plan_of
 from trustlake.operators.bounded import few_rows
 from trustlake.operators.metrics import confusion, evaluate, flag_metrics, ranking_metrics, review_threshold, running_counts
+from trustlake.operators import selection
 from trustlake.operators.selection import group_quantile, hash_split, stratified_split
 
 
@@ -73,6 +74,46 @@ def test_quantiles_with_numbers_that_are_none(spark, ranges):
     assert (low["a"], low["b"]) == (1.0, -inf)
 
 
+def rows_stored(monkeypatch):
+    """The sizes of all frames that selections store from now on."""
+    sizes = []
+
+    def cut(frame, store=selection.lineage_cut):
+        stored = store(frame)
+        sizes.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(selection, "lineage_cut", cut)
+    return sizes
+
+
+def test_quantile_orders_only_values_near_it(spark, monkeypatch):
+    frame = spark.range(50_000).select((F.col("id") % 2).alias("g"), (F.col("id") * 7919 % 100_003 + 0.25).alias("v"))
+    rows = [(i % 2, i * 7919 % 100_003 + 0.25) for i in range(50_000)]
+    sizes = rows_stored(monkeypatch)
+    found = {r.g: r.m for r in group_quantile(frame, ["g"], "v", 0.5, "m").collect()}
+    assert found == {g: pytest.approx(float(np.median([v for h, v in rows if h == g]))) for g in (0, 1)}
+    assert max(sizes) < 1000
+
+
+@pytest.mark.parametrize("q", [0.0, 0.1, 0.35, 0.5, 0.77, 1.0])
+def test_quantile_of_values_of_every_size(spark, q):
+    """Values that share a bucket, that lie buckets apart, and both signs of nothing."""
+    sizes = [1e-300, 1e-12, 1.0, 1.0 + 1e-13, 1.0 + 2e-13, 7.0, 1e15, 1e15 + 1, 1e300]
+    values = [s * v for v in sizes for s in (1, -1)] + [0.0, -0.0]
+    frame = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    assert group_quantile(frame, [], "v", q, "m").first().m == pytest.approx(float(np.quantile(values, q)), rel=1e-9, abs=1e-310)
+
+
+def test_split_orders_only_hashes_near_the_cut(spark, monkeypatch):
+    rows = spark.range(20_000).select("id", (F.col("id") % 3).alias("y"))
+    sizes = rows_stored(monkeypatch)
+    split = stratified_split(rows, "y", "id")
+    counts = {(r.y, r.is_test): r["count"] for r in split.groupBy("y", "is_test").count().collect()}
+    assert counts == {(0, True): 1334, (0, False): 5333, (1, True): 1334, (1, False): 5333, (2, True): 1334, (2, False): 5332}
+    assert max(sizes) <= 3
+
+
 def test_empty_table_has_no_quantile(spark):
     frame = spark.range(0).select(F.lit("a").alias("g"), F.lit(1.0).alias("v"))
     assert group_quantile(frame, ["g"], "v", 0.5, "m").count() == 0
