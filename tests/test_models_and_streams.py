@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import plan_of
 from tests.test_storage_and_medallion import raw_feeds
 from trustlake.functions.hashing import keyed_hash
-from trustlake.operators import gold
+from trustlake.operators import gold, models
 from trustlake.operators.defects import Defect, inject, inject_duplicates
 from trustlake.operators.extraction import attach, extract_distinct, extract_rows, keyword_extractor
 from trustlake.operators.categories import category_places, known_categories, with_places
@@ -189,6 +189,18 @@ def test_medians_rebuild_the_gold_column(registry, data):
     assert rebuilt.select(columns).exceptAll(data[1].select(columns)).count() == 0
 
 
+def test_rows_are_stored_with_one_vector_a_model(spark, data, monkeypatch):
+    kinds = []
+
+    def cut(frame, store=models.lineage_cut):
+        kinds.append([f.dataType.typeName() for f in frame.schema.fields].count("vectorudt"))
+        return store(frame)
+
+    monkeypatch.setattr(models, "lineage_cut", cut)
+    train(data[1], ["logistic_regression"], params=QUICK)
+    assert max(kinds) == 1
+
+
 def test_statistics_of_the_training_rows_only(spark, data):
     trained = train(data[1], ["logistic_regression"], params=QUICK, stats_from="train")["logistic_regression"]
     rows = stratified_split(data[1], "is_fraud", "claim_id").filter("NOT is_test")
