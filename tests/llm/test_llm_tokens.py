@@ -242,3 +242,16 @@ def test_a_folder_without_a_scheme_is_spark_s(spark):
         assert address(spark, "/x/y") == "hdfs://name:9000/x/y"
     finally:
         spark.conf.unset("spark.hadoop.fs.defaultFS")
+
+
+def test_a_folder_without_a_scheme_on_a_cluster_lies_where_spark_says(spark, folder):
+    folder, master = f"{folder}/a é%#b", spark.conf.get("spark.master")
+    expected = [[*direct(BYTES, text), 0] for text in ("", "one two", "日 x")]
+    docs = awkward(spark, list(enumerate(["", "one two", "日 x"])))
+    spark.conf.set("spark.master", "spark://somewhere:7077")
+    try:
+        manifest = write_token_files(docs, folder, BYTES)
+        assert [r.ids for r in read_token_ids(manifest, folder).orderBy("doc_id").collect()] == expected
+        assert read_digests(write_token_files(empty(spark), f"{folder}/none", BYTES), f"{folder}/none").count() == 0
+    finally:
+        spark.conf.set("spark.master", master)

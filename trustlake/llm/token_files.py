@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote
 from uuid import uuid4
 
 import numpy as np
@@ -40,18 +41,31 @@ def _place(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder)
 
 
-def address(spark: SparkSession, folder: str) -> str:
-    """A folder's whole address: a path without a scheme lies where Spark would look for it, in the default file system."""
+def address(spark: SparkSession, folder: str, held: str | None = None) -> str:
+    """A folder's whole address: a path without a scheme lies where Spark would look for it, in the default file system.
+
+    On a cluster whose session does not name that one, Spark itself says where ``held`` lies, a file in the folder; without
+    one, a row is stored there first.
+    """
     if re.match(r"[a-z][a-z0-9+.-]*:", folder):
         return folder
     default = spark.conf.get("spark.hadoop.fs.defaultFS", None)
     if default is None:
         if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
-            raise ValueError(f"give {folder} with its scheme, or set spark.hadoop.fs.defaultFS: executors write there themselves")
+            return _asked(spark, folder, held)
         default = "file://"
     return default.rstrip("/") + folder if default != "file://" else f"file://{folder}"
 
 
+def _asked(spark: SparkSession, folder: str, held: str | None) -> str:
+    """The folder's address as Spark's reader gives it for a file in it; only what is no ASCII is left to be quoted."""
+    if held is None:
+        held = f"address-{uuid4().hex}"
+        spark.range(1).write.parquet(f"{folder}/{held}")
+    file = spark.read.format("binaryFile").load(f"{folder}/{held}").inputFiles()[0]
+    return quote(file[: file.rindex(f"/{held}")], safe="%:/?#[]@!$&'()*+,;=")
+
+
 def write_token_files(
     docs: DataFrame,
     folder: str,
@@ -125,7 +139,9 @@ def _documents(folder: str, name: str, width: int) -> Iterator[tuple[int | None,
 
 def _read(manifest: DataFrame, folder: str, last: pa.Field, value) -> DataFrame:
     """``doc_id, start, n_tokens`` and ``value`` of the ids, one task per part."""
-    folder = address(manifest.sparkSession, folder)
+    first = manifest.first()
+    if first is not None:
+        folder = address(manifest.sparkSession, folder, f"{first['name']}.idx")
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), last])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
