@@ -14,6 +14,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from tests.llm.edges import ROWS, awkward, empty
+from trustlake.llm import token_files
 from trustlake.llm.encoding import _SETTLED, Encoder, Remembered, encoder
 from trustlake.llm.packing import best_fit, pack
 from trustlake.llm.token_counts import LONG, MARK, count_tokens, load_pieces, long_count, trie_counts, with_beginnings
@@ -255,3 +256,14 @@ def test_a_folder_without_a_scheme_on_a_cluster_lies_where_spark_says(spark, fol
         assert read_digests(write_token_files(empty(spark), f"{folder}/none", BYTES), f"{folder}/none").count() == 0
     finally:
         spark.conf.set("spark.master", master)
+
+
+def test_parts_do_not_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "PART_BYTES", 1 << 14)
+    rows = [(i, f"text {i} " * 100) for i in range(120)]
+    folder = work_dir(spark, "tokens")
+    manifest = write_token_files(awkward(spark, rows), folder, BYTES)
+    parts = [r.docs for r in manifest.collect()]
+    assert len(parts) > 4 and sum(parts) == 120 and max(parts) <= 40
+    read = read_token_ids(manifest, folder).orderBy("start").collect()
+    assert [(r.doc_id, r.ids) for r in read] == [(i, [*direct(BYTES, text), 0]) for i, text in rows]

@@ -7,7 +7,8 @@ of ids before it, is the prefix sum of the sizes. Parts hold ranges of document
 (null ids first; equal ids by text hash). Reading maps the files into memory where the folder is a mounted one.
 
 A task writes under a name of its own and reports it when all is written: files of lost attempts are never in the manifest.
-Inside the order no id can fill a part: ranges are cut by id, then text hash, then row number.
+Inside the order no id can fill a part: ranges are cut by id, then text hash, then row number. However few partitions the
+session shuffles into, a part holds about 64 MB of texts, so a task's memory does not grow with the table.
 
 Defined results: a null text is empty; an empty text has the end id only. Repeated rows are separate documents. An empty
 table gives no parts and an empty result. Other columns are ignored.
@@ -33,6 +34,8 @@ from trustlake.llm.frames import byte_texts, in_slices, record
 from trustlake.session import lineage_cut
 
 DOCUMENT = np.dtype([("id", "<i8"), ("known", "u1")])
+#: Bytes of text to a part where the session's number of partitions would make larger ones, and what a document counts besides.
+PART_BYTES, DOCUMENT_BYTES = 1 << 26, 256
 MANIFEST = "part int, name string, width int, docs bigint, ids bigint"
 
 
@@ -80,9 +83,12 @@ def write_token_files(
         F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").cast("binary").alias("text")
     )
     order = ["doc_id", "hash", "row"]
+    size = rows.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + DOCUMENT_BYTES)).first()[0] or 0
+    parts = -(-size // PART_BYTES)
+    more = [parts] if parts > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
     ordered = (
         rows.withColumns({"hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
-        .repartitionByRange(*order)
+        .repartitionByRange(*more, *order)
         .sortWithinPartitions(*order)
         .select("doc_id", "text")
     )
